@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, language, packing, quality, sharding, toxicity
+from . import bpe, language, minhash, packing, quality, sharding, toxicity
 from .common import table
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -37,8 +37,12 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_sharding, op3_toxicity, op4_packing, op5_bpe, op8_quality, op9_language)}
+    return {f.__name__: f for f in (op1_sharding, op3_toxicity, op4_packing, op5_bpe, op8_quality, op9_language, op10_minhash)}
 
 
 def oracle_sql() -> dict[str, str]:

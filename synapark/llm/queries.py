@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, language, minhash, packing, quality, sharding, toxicity
+from . import bpe, covertree, language, lines, minhash, packing, quality, sharding, suffixes, toxicity
 from .common import table
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -16,6 +17,10 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
+def op2_covertree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covertree.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -28,6 +33,16 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), BYTE_VOCABULARY)
 
 
+def op6_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.dedup_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_removed", "n_blocks", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op7_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.dedup_substrings(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.quality(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "ratio", "chunks_out")
@@ -42,7 +57,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_sharding, op3_toxicity, op4_packing, op5_bpe, op8_quality, op9_language, op10_minhash)}
+    return {f.__name__: f for f in (op1_sharding, op2_covertree, op3_toxicity, op4_packing, op5_bpe, op6_lines, op7_suffixes, op8_quality, op9_language, op10_minhash)}
 
 
 def oracle_sql() -> dict[str, str]:

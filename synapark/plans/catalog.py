@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from . import queries_aggregate, queries_interval, queries_relational, queries_statistics, queries_window  # noqa: F401  they register themselves
+from .registry import ORACLES, QUERIES
+
 
 def queries() -> dict:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict:
-    return {}
+    return dict(ORACLES)

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,14 +16,20 @@ from .common import cut, mix64, slices
 #: Bytes of a repeated string, of the pieces whose hashes are compared, and pieces in a string.
 LENGTH, PIECE = 100, 20
 WINDOW = LENGTH - PIECE + 1
-#: An anchor that more than so many places share is settled by hashes of whole strings instead.
+#: An anchor with more than so many different contexts is settled by hashes of whole strings instead.
 CROWD = 50_000
-#: Bytes of a shard, and contexts merged in one go.
-SHARD, MERGED = 1 << 18, 8192
+#: Bytes of a shard, and of contexts merged in one go (more only for one anchor's).
+SHARD, MERGED = 1 << 14, 60_000
+#: Bytes of a letter of the transforms.
+LETTER = 8
 END = 0xFF  # no byte of UTF-8
 
 _MARKS = 1 << 20  # places carry 20 bits of their text's hash above 40 bits of offset
 _OFFSET = 40
+_LOW = (1 << _OFFSET) - 1
+#: Spans are an offset above 23 bits of length; longer ones are written as several.
+_PACK = 23
+_SIZE = (1 << _PACK) - 1
 
 
 def packs(raw: np.ndarray, size: int) -> np.ndarray:
@@ -40,34 +47,47 @@ def sliding(x: np.ndarray, width: int, op) -> np.ndarray:
     return op(out[: len(out) - rest], out[rest:]) if rest else out
 
 
-def anchors(data: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Text number, offset and hash of the anchors of each text.
+def anchors(data: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The anchors of texts: text number, offset, hash, and first and last string that has it.
 
-    In every string of LENGTH bytes the pieces of least hash are anchors, so
-    equal strings have equal anchors at equal places (winnowing).
+    The anchor of a string of LENGTH bytes is its first piece of least hash, so
+    equal strings have equal anchors at equal places (winnowing). The strings of
+    an anchor follow one another.
     """
+    none = np.zeros(0, np.int64)
     sizes = np.array([len(d) for d in data], np.int64)
+    if sizes.max(initial=0) < LENGTH:
+        return none, none, none, none, none
     starts = np.cumsum(sizes) - sizes
     raw = np.frombuffer(b"".join(data) + bytes(8), np.uint8)
-    whole = int(sizes.sum())
-    if sizes.max(initial=0) < LENGTH:
-        none = np.zeros(0, np.int64)
-        return none, none, none
     eight, four = packs(raw, 8), packs(raw, 4)
-    n = whole - PIECE + 1
+    n = int(sizes.sum()) - PIECE + 1
     with np.errstate(over="ignore"):
-        h = mix64(mix64(eight[:n] * np.uint64(0x9E3779B97F4A7C15) + eight[8 : n + 8]) + four[16 : n + 16] * np.uint64(0xC2B2AE3D27D4EB4F)) | np.uint64(1)
+        h = mix64(mix64(eight[:n] * np.uint64(0x9E3779B97F4A7C15) + eight[8 : n + 8]) + four[16 : n + 16] * np.uint64(0xC2B2AE3D27D4EB4F))
     least = sliding(h, WINDOW, np.minimum)
     inside = np.zeros(len(least) + 1, np.int64)
     full = sizes >= LENGTH
     np.add.at(inside, starts[full], 1)
     np.add.at(inside, starts[full] + sizes[full] - LENGTH + 1, -1)
-    least = np.where(np.cumsum(inside[:-1]) > 0, least, 0)
-    most = sliding(np.r_[np.zeros(WINDOW - 1, np.uint64), least, np.zeros(WINDOW - 1, np.uint64)], WINDOW, np.maximum)
-    at = np.flatnonzero(h == most)
-    text = np.searchsorted(starts, at, side="right") - 1
-    # empty texts share a start with the next one; the last of them is the one that has bytes
-    return text, at - starts[text], h[at].view(np.int64)
+    string = np.flatnonzero(np.cumsum(inside[:-1]))
+    least = least[string]
+    # the piece of least hash, looked for among those that are least in any string
+    picked = np.zeros(len(h), bool)
+    wide = np.zeros(len(h) + WINDOW - 1, np.uint64)
+    wide[string + WINDOW - 1] = least
+    picked[h == sliding(wide, WINDOW, np.maximum)[: len(h)]] = True
+    at = np.flatnonzero(picked)
+    nth = np.searchsorted(at, string) if len(at) < 64 else (np.cumsum(picked) - picked)[string]
+    open_ = np.arange(len(string))
+    while len(open_):
+        open_ = open_[h[at[nth[open_]]] != least[open_]]
+        nth[open_] += 1
+    edge = np.r_[True, (nth[1:] != nth[:-1]) | (string[1:] != string[:-1] + 1)]
+    first = string[edge]
+    last = string[np.r_[np.flatnonzero(edge)[1:] - 1, len(string) - 1]]
+    place = at[nth[edge]]
+    text = np.searchsorted(starts, first, side="right") - 1
+    return text, place - starts[text], h[place].view(np.int64), first - starts[text], last - starts[text]
 
 
 def _texts(batch: pd.DataFrame) -> Iterator[tuple[int, int, list[bytes]]]:
@@ -76,91 +96,162 @@ def _texts(batch: pd.DataFrame) -> Iterator[tuple[int, int, list[bytes]]]:
         yield i, j, [t.encode("utf-8", "replace") for t in texts[i:j]]
 
 
-def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for _, _, data in _texts(batch):
-            piece, n = np.unique(anchors(data)[2], return_counts=True)
-            yield pd.DataFrame({"piece": piece, "n": n})
+def _repeated(frame: pd.DataFrame) -> np.ndarray:
+    """Rows, sorted by piece, context and place, whose context the row before has too."""
+    piece, context = frame["piece"].to_numpy(), frame["context"].to_numpy()
+    return np.r_[False, (piece[1:] == piece[:-1]) & (context[1:] == context[:-1])][: len(frame)]
+
+
+ORDER = ["piece", "context", "doc_id", "place"]
+#: ``reach``: bytes before the anchor and bytes from it on of its context; ``context`` null marks a span to remove.
+ANCHORS = "piece long, context long, doc_id long, place long, reach long"
+_REACH = 20
 
 
 def _places(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Anchors with hashes of their contexts; of equal ones in a batch the first, the others as spans to remove."""
     for batch in batches:
+        parts = []
         for i, j, data in _texts(batch):
-            text, offset, piece = anchors(data)
+            text, offset, piece, first, last = anchors(data)
             doc, mark = batch["doc_id"].to_numpy()[i:j], batch["mark"].to_numpy()[i:j]
-            yield pd.DataFrame({"piece": piece, "doc_id": doc[text], "place": (mark[text] << _OFFSET) | offset})
-
+            ends = last + LENGTH
+            digest = xxhash.xxh3_64_intdigest
+            found = (digest(data[t][a:b], p & 0xFF) for t, a, b, p in zip(text.tolist(), first.tolist(), ends.tolist(), (offset - first).tolist(), strict=True))
+            context = np.fromiter(found, np.uint64, len(text)).view(np.int64)
+            parts.append(pd.DataFrame({"piece": piece, "context": context, "doc_id": doc[text], "place": (mark[text] << _OFFSET) | offset, "reach": ((offset - first) << _REACH) | (ends - offset)}))
+        if not parts:
+            continue
+        rows = pd.concat(parts, ignore_index=True).sort_values(ORDER, kind="stable")
+        again = _repeated(rows)
+        if again.any():
+            rows["context"] = rows["context"].astype("Int64").mask(again)
+            rows.loc[again, "piece"] = rows.loc[again, "doc_id"]  # spans go anywhere
+        yield rows
+
+
+#: What is found about a document: spans to remove, and contexts that have to be compared; offsets and lengths are packed.
+FOUND = "doc_id long, mark long, span long, piece long, crowded boolean"
+
+
+def _meet(crowd: int):
+    """Over anchors sorted by ``ORDER``: spans to remove, and the contexts of anchors that have several."""
+
+    def settle_hashes(rows: pd.DataFrame) -> pd.DataFrame:
+        span = rows["context"].isna().to_numpy()
+        again = _repeated(rows.assign(context=rows["context"].fillna(0).astype("int64"))) & ~span
+        alone = ~span & ~again
+        piece = rows["piece"].to_numpy()
+        _, which, many = np.unique(piece[alone], return_inverse=True, return_counts=True)
+        asked = np.zeros(len(rows), bool)
+        asked[np.flatnonzero(alone)[many[which] > 1]] = True
+        crowded = np.zeros(len(rows), bool)
+        crowded[np.flatnonzero(alone)[many[which] > crowd]] = True
+        keep = span | again | asked
+        place, reach = rows["place"].to_numpy(), rows["reach"].to_numpy()
+        before, after = reach >> _REACH, reach & ((1 << _REACH) - 1)
+        out = pd.DataFrame({"doc_id": rows["doc_id"].to_numpy(), "mark": place >> _OFFSET, "span": ((place & _LOW) - before) << _PACK | (before + after)})
+        out["piece"] = pd.array(np.where(asked, piece, 0), dtype="Int64")
+        out.loc[~asked, "piece"] = pd.NA
+        out["crowded"] = crowded
+        return out[keep]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        for batch in batches:
+            held.append(batch)
+            piece = batch["piece"].to_numpy()
+            if piece[-1] == held[0]["piece"].iloc[0]:
+                continue
+            rows = pd.concat(held, ignore_index=True)
+            last = int(np.searchsorted(rows["piece"].to_numpy(), piece[-1]))
+            yield settle_hashes(rows.iloc[:last])
+            held = [rows.iloc[last:]]
+        if held:
+            yield settle_hashes(pd.concat(held, ignore_index=True))
 
-def _context(data: bytes, offset: int) -> tuple[bytes, int]:
-    """The bytes that strings with this anchor can have, and where they begin."""
-    start = max(0, offset - WINDOW + 1)
-    return data[start : offset + LENGTH], start
+    return run
 
 
 def _contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Context of each shared anchor; of equal ones in a slice the first alone, the others as spans to remove."""
+    """The bytes of each context that is asked for."""
     for batch in batches:
-        for i, j in slices(batch["text"].tolist(), 1_000_000):
-            part = batch.iloc[i:j].sort_values(["doc_id", "mark"], kind="stable")
-            seen: dict[tuple[int, bytes], tuple[int, int]] = {}
-            rows = []
-            for doc, mark, text, shared in zip(part["doc_id"], part["mark"], part["text"], part["shared"], strict=True):
-                data, high = text.encode("utf-8", "replace"), int(mark) << _OFFSET
-                for offset, piece in sorted((s["place"] & ((1 << _OFFSET) - 1), s["piece"]) for s in shared):
-                    own, start = _context(data, offset)
-                    if len(own) < LENGTH:
-                        continue
-                    if (piece, own) in seen:
-                        rows.append((hash((doc, offset)), None, doc, high | start, len(own)))
-                    else:
-                        seen[piece, own] = doc, offset
-                        rows.append((piece, own, doc, high | start, len(own)))
-            if rows:
-                yield pd.DataFrame(rows, columns=["piece", "own", "doc_id", "place", "size"])
-
-
-def suffix_order(raw: np.ndarray) -> np.ndarray:
-    """Places of a circular byte string in the order of the bytes from each place on, to a depth of 128 at least."""
-    n = len(raw)
-    ring = np.r_[raw, np.resize(raw, 8)]
-    rank = np.zeros(n, np.uint64)
-    for k in range(8):
-        rank = (rank << np.uint64(8)) | ring[k : k + n].astype(np.uint64)
-    step = 8
-    rank = np.unique(rank, return_inverse=True)[1]
-    while step < 128:
-        rank = rank.astype(np.uint64) << np.uint64(32) | np.roll(rank, -step).astype(np.uint64)
-        rank = np.unique(rank, return_inverse=True)[1]
-        step *= 2
-    return np.argsort(rank, kind="stable")
+        rows = []
+        for doc, mark, text, asked in zip(batch["doc_id"], batch["mark"], batch["text"], batch["asked"], strict=True):
+            if asked is None or not len(asked):
+                continue
+            data, high = text.encode("utf-8", "replace"), int(mark) << _OFFSET
+            for s in asked:
+                start, size = s["span"] >> _PACK, s["span"] & _SIZE
+                rows.append((s["piece"], data[start : start + size], doc, high | start))
+        if rows:
+            yield pd.DataFrame(rows, columns=["piece", "own", "doc_id", "place"])
+
+
+def letters(shards: list[np.ndarray]) -> list[np.ndarray]:
+    """For each place of each shard, a circular byte string, the number of the letter that begins there.
+
+    A letter is LETTER bytes, so a transform has the letters of all phases. Numbers
+    stand in the order of their letters.
+    """
+    codes = []
+    for shard in shards:
+        ring = np.r_[shard, np.resize(shard, LETTER)]
+        code = np.zeros(len(shard), np.uint64)
+        for k in range(LETTER):
+            code = (code << np.uint64(8)) | ring[k : k + len(shard)].astype(np.uint64)
+        codes.append(code)
+    unique, number = np.unique(np.concatenate(codes), return_inverse=True)
+    number = number.astype(np.uint16 if len(unique) <= 1 << 16 else np.int32)
+    return np.split(number, np.cumsum([len(s) for s in shards])[:-1])
+
+
+def suffix_order(number: np.ndarray, depth: int) -> np.ndarray:
+    """Places of a circular string in the order of ``depth`` letters from each on."""
+    order = np.arange(len(number))
+    for k in reversed(range(depth)):
+        order = order[np.argsort(np.roll(number, -k * LETTER)[order], kind="stable")]
+    return order
 
 
 def merge(shards: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Shard, place and class of every suffix of the shards, in merged order.
 
-    Each shard is a circular byte string with its transform: the bytes before its
-    sorted suffixes. The interleave says which shard the next suffix of the merged
-    order is from. At first it is sorted by no byte; each round writes every shard
-    number behind the byte that precedes its suffix, in a stable order, and so
-    sorts by one byte more. Suffixes of a class have as long a common prefix as
-    rounds went by; a class that is split in a round has one of that length. After
-    LENGTH rounds classes are the intervals of repeated strings. No suffixes are
-    sorted again and no text is looked at, only the transforms.
+    Each shard is a circular byte string with its transform: the letters before
+    its sorted suffixes. The interleave says which shard the next suffix of the
+    merged order is from. At first it is sorted by nothing; each round writes
+    every shard number behind the letter that precedes its suffix, in a stable
+    order, and so sorts by one letter more. Suffixes of a class have as long a
+    common prefix as rounds went by; where a class is split, it ends. The last
+    round takes the part of a letter that makes up LENGTH, after which classes
+    are the intervals of repeated strings. The suffixes of all shards are never
+    sorted together and no text is looked at, only the transforms.
     """
-    orders = [suffix_order(s) for s in shards]
-    before = np.concatenate([s[o - 1] for s, o in zip(shards, orders, strict=True)])
+    whole, part = divmod(LENGTH, LETTER)
+    number = letters(shards)
+    orders = [suffix_order(x, whole + 1) for x in number]
+    # letters before each suffix; and, for the last round, the shorter ones
+    before = [np.concatenate([np.roll(x, LETTER)[o] for x, o in zip(number, orders, strict=True)])] * whole
+    if part:
+        bytes_ = [sum(np.roll(s, part - k).astype(np.uint64) << np.uint64(8 * (part - 1 - k)) for k in range(part)) for s in shards]
+        short = np.unique(np.concatenate(bytes_), return_inverse=True)[1]
+        short = np.split(short.astype(np.uint16 if short.max(initial=0) < 1 << 16 else np.int32), np.cumsum([len(s) for s in shards])[:-1])
+        before.append(np.concatenate([x[o] for x, o in zip(short, orders, strict=True)]))
     kind = np.uint8 if len(shards) < 256 else np.uint16
     mix = np.repeat(np.arange(len(shards)), [len(s) for s in shards]).astype(kind)
     group = np.zeros(len(mix), np.int32)
-    letters = np.empty_like(before)
-    for _ in range(LENGTH):
-        letters[np.argsort(mix, kind="stable") if len(shards) > 1 else slice(None)] = before
-        turn = np.argsort(letters, kind="stable")
-        mix, group, sorted_letters = mix[turn], group[turn], letters[turn]
-        edge = (sorted_letters[1:] != sorted_letters[:-1]) | (group[1:] != group[:-1])
-        group = np.r_[0, np.cumsum(edge)].astype(np.int32)
+    for letter in before:
+        held = np.empty_like(letter)
+        held[np.argsort(mix, kind="stable")] = letter
+        turn = np.argsort(held, kind="stable")
+        mix, group, held = mix[turn], group[turn], held[turn]
+        group = np.r_[0, np.cumsum((held[1:] != held[:-1]) | (group[1:] != group[:-1]))].astype(np.int32)
+    # a shard's suffixes come in the order that ends with the shorter letter, which its own order has to follow
     place = np.empty(len(mix), np.int64)
-    place[np.argsort(mix, kind="stable")] = np.concatenate(orders)
+    final = []
+    for k, o in enumerate(orders):
+        final.append((o - part)[np.argsort(short[k][o], kind="stable")] % len(o) if part else o)
+    place[np.argsort(mix, kind="stable")] = np.concatenate(final)
     return mix, place, group
 
 
@@ -191,76 +282,67 @@ def repeats(contexts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def spans(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> pd.DataFrame:
-    """The union of spans, document by document."""
-    order = np.lexsort((start, doc))
-    doc, start, end = doc[order], start[order], end[order]
-    out: list[list[int]] = []
-    for d, s, e in zip(doc.tolist(), start.tolist(), end.tolist(), strict=True):
-        if out and out[-1][0] == d and s <= out[-1][2]:
-            out[-1][2] = max(out[-1][2], e)
-        else:
-            out.append([d, s, e])
-    return pd.DataFrame(out, columns=["doc_id", "start", "end"]).astype("int64")
+    """The union of spans, document by document, packed."""
+    out: list[tuple[int, int, int]] = []
+    if len(doc):
+        order = np.lexsort((start, doc))
+        doc, start, end = doc[order], start[order], end[order]
+        fresh = np.r_[True, (doc[1:] != doc[:-1]) | (start[1:] > end[:-1])]  # all are equally long, so ends rise too
+        head = np.flatnonzero(fresh)
+        last = np.r_[head[1:] - 1, len(doc) - 1]
+        for d, s, e in zip(doc[head].tolist(), start[head].tolist(), end[last].tolist(), strict=True):
+            for k in range(s, e, _SIZE):
+                out.append((d, k >> _OFFSET, (k & _LOW) << _PACK | min(_SIZE, e - k)))
+    return pd.DataFrame(out, columns=["doc_id", "mark", "span"]).astype("int64")
 
 
 def settle(rows: pd.DataFrame) -> pd.DataFrame:
     """Spans to remove among contexts of some anchors, each anchor complete."""
-    ready = rows[rows["own"].isna()]
-    rows = rows[~rows["own"].isna()].sort_values(["piece", "own", "doc_id", "place"], kind="stable")
-    copy = rows.duplicated(["piece", "own"])
-    ready = pd.concat([ready, rows[copy]])
-    doc, start, end = [ready["doc_id"].to_numpy(np.int64)], [ready["place"].to_numpy(np.int64)], [(ready["place"] + ready["size"]).to_numpy(np.int64)]
-    rows = rows[~copy]
-    rows = rows[rows.duplicated("piece", keep=False)]
-    if len(rows):
-        context, offset, group = repeats(rows["own"].tolist())
-        d, p = rows["doc_id"].to_numpy(np.int64)[context], rows["place"].to_numpy(np.int64)[context] + offset
-        order = np.lexsort((p, d, group))
-        d, p, group = d[order], p[order], group[order]
-        later = np.r_[False, group[1:] == group[:-1]] if len(group) else np.zeros(0, bool)
-        # the same place can stand in two contexts; it isn't later than itself
-        heads = np.maximum.accumulate(np.where(later, 0, np.arange(len(group)))) if len(group) else np.zeros(0, np.int64)
-        later &= (d != d[heads]) | (p != p[heads])
-        doc, start, end = [*doc, d[later]], [*start, p[later]], [*end, p[later] + LENGTH]
-    return spans(np.concatenate(doc), np.concatenate(start), np.concatenate(end))
+    context, offset, group = repeats(rows["own"].tolist())
+    doc, place = rows["doc_id"].to_numpy(np.int64)[context], rows["place"].to_numpy(np.int64)[context] + offset
+    order = np.lexsort((place, doc, group))
+    doc, place, group = doc[order], place[order], group[order]
+    later = np.r_[False, group[1:] == group[:-1]] if len(group) else np.zeros(0, bool)
+    return spans(doc[later], place[later], place[later] + LENGTH)
 
 
 def _settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Over rows sorted by anchor: settles whole anchors, about MERGED contexts at a time."""
+    """Over contexts sorted by anchor: settles whole anchors, about MERGED bytes at a time."""
     held: list[pd.DataFrame] = []
-    size = 0
     for batch in batches:
         held.append(batch)
-        size += len(batch)
-        if size >= MERGED:
-            rows = pd.concat(held, ignore_index=True)
-            piece = rows["piece"].to_numpy()
-            heads = np.flatnonzero(np.r_[True, piece[1:] != piece[:-1]])
-            at, last = 0, int(heads[-1])  # the last anchor may go on
-            while at < last:
-                to = int(heads[min(np.searchsorted(heads, at + MERGED), len(heads) - 1)])
-                to = min(max(to, int(heads[np.searchsorted(heads, at, side="right")])), last)
-                yield settle(rows.iloc[at:to])
-                at = to
-            held = [rows.iloc[last:]]
-            size = len(held[0])
+        if batch["piece"].iloc[-1] == held[0]["piece"].iloc[0]:
+            continue
+        rows = pd.concat(held, ignore_index=True)
+        piece = rows["piece"].to_numpy()
+        heads = np.flatnonzero(np.r_[True, piece[1:] != piece[:-1]])
+        size = np.r_[0, np.cumsum(rows["own"].str.len().to_numpy())]
+        at, last = 0, int(heads[-1])  # the last anchor may go on
+        while at < last:
+            fits = heads[(heads > at) & (size[heads] <= size[at] + MERGED)]
+            to = int(fits[-1]) if len(fits) else int(heads[heads > at][0])
+            yield settle(rows.iloc[at:to])
+            at = to
+        held = [rows.iloc[last:]]
     if held:
         yield settle(pd.concat(held, ignore_index=True))
 
 
 def _crowds(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Two hashes of every string with a crowded anchor, and its place; of equal ones in a slice, the first and the last."""
+    """Two hashes of every string of a crowded anchor, and its place."""
     for batch in batches:
         rows = []
-        for doc, mark, text, shared in zip(batch["doc_id"], batch["mark"], batch["text"], batch["shared"], strict=True):
+        for doc, mark, text, asked in zip(batch["doc_id"], batch["mark"], batch["text"], batch["crowds"], strict=True):
+            if asked is None or not len(asked):
+                continue
             data, high = text.encode("utf-8", "replace"), int(mark) << _OFFSET
-            for s in shared:
-                own, start = _context(data, s["place"] & ((1 << _OFFSET) - 1))
-                for k in range(len(own) - LENGTH + 1):
-                    digest = hashlib.blake2b(own[k : k + LENGTH], digest_size=16).digest()
-                    rows.append((int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True), doc, high | (start + k)))
+            for s in asked:
+                start, size = s["span"] >> _PACK, s["span"] & _SIZE
+                for k in range(start, start + size - LENGTH + 1):
+                    digest = hashlib.blake2b(data[k : k + LENGTH], digest_size=16).digest()
+                    rows.append((int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True), doc, high | k))
         if rows:
-            yield pd.DataFrame(rows, columns=["hash_a", "hash_b", "doc_id", "place"]).drop_duplicates()
+            yield pd.DataFrame(rows, columns=["hash_a", "hash_b", "doc_id", "place"])
 
 
 def _remove(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -269,9 +351,8 @@ def _remove(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for text, found in zip(batch["text"], batch["found"], strict=True):
             data = (text or "").encode("utf-8", "replace")
             out, at, runs = [], 0, 0
-            low = (1 << _OFFSET) - 1
             top = -1
-            for s, e in sorted((x["start"] & low, x["end"] & low) for x in (found if found is not None else ())):
+            for s, e in sorted((x >> _PACK, (x >> _PACK) + (x & _SIZE)) for x in (found.tolist() if found is not None else ())):
                 if s > top:
                     runs += 1
                     out.append(data[at:s])
@@ -292,14 +373,15 @@ def dedup_substrings(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     smaller offset (rows that share a doc_id come in the order of their text's
     hash). Strings never cross documents and are judged on the input.
 
-    First winnowing: equal strings share an anchor, a piece of least hash, at an
-    equal place; anchors that occur once can't be part of a repeat and go. The
-    bytes around the others, their contexts, meet by anchor. In a task, equal
-    contexts settle at once; the rest are cut into shards of bounded size whose
-    Burrows-Wheeler transforms are merged by interleave refinement (``merge``),
-    and its intervals of LENGTH equal bytes are the repeated strings. Anchors of
-    over ``crowd`` places aren't gathered: their strings are compared by 128-bit
-    hashes in an aggregate that Spark combines before the shuffle.
+    First winnowing: a string's anchor is its piece of least hash, so equal strings
+    meet under equal anchors, and anchors that occur once go. The strings of an
+    anchor make up its context; by two hashes, of 128 bits together, equal contexts
+    settle at once: all but the first are repeats as a whole. Where an anchor has
+    several contexts, their bytes are fetched and cut into shards of bounded size,
+    whose Burrows-Wheeler transforms are merged by interleave refinement
+    (``merge``); its intervals of LENGTH equal bytes are the repeated strings. An
+    anchor of over ``crowd`` contexts isn't gathered: its strings are compared by
+    128-bit hashes in an aggregate that Spark combines before the shuffle.
 
     Returns the columns of ``docs`` with the text shortened (a character of
     which bytes are cut off goes), and n_bytes, n_removed, n_spans, kept_sha256
@@ -311,21 +393,31 @@ def dedup_substrings(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     own = [n for n in docs.columns if n.lower() not in taken]
     keyed = docs.select(*[F.col(f"`{n}`") for n in own], (F.xxhash64("text") % _MARKS + _MARKS).bitwiseAND(_MARKS - 1).alias("mark"))
     able = keyed.where(F.col("doc_id").isNotNull() & (F.octet_length("text") >= LENGTH)).select(F.col("doc_id").cast("long").alias("doc_id"), "mark", "text")
-    counts = able.select("text").mapInPandas(_count, "piece long, n long").groupBy("piece").agg(F.sum("n").alias("n")).where("n > 1")
-    shared = able.mapInPandas(_places, "piece long, doc_id long, place long").join(counts, "piece")
-    shared = shared.withColumn("mark", F.shiftright("place", _OFFSET)).select("doc_id", "mark", (F.col("n") > crowd).alias("crowded"), F.struct("place", "piece").alias("anchor"))
+    marked = able.mapInPandas(_places, ANCHORS)
+    met = marked.repartition("piece").sortWithinPartitions(*ORDER).mapInPandas(_meet(crowd), FOUND)
+    asked = F.struct("span", "piece")
     # a document has at most as many anchors as bytes
-    shared = cut(shared.groupBy("doc_id", "mark", "crowded").agg(F.array_distinct(F.collect_list("anchor")).alias("shared")))
-    quiet = able.join(shared.where(~F.col("crowded")).drop("crowded"), ["doc_id", "mark"])
-    contexts = quiet.mapInPandas(_contexts, "piece long, own binary, doc_id long, place long, size long")
-    parts = contexts.repartition("piece").sortWithinPartitions("piece")
-    found = parts.mapInPandas(_settle, "doc_id long, start long, end long")
-    if not shared.where("crowded").isEmpty():
-        strings = cut(able.join(shared.where("crowded").drop("crowded"), ["doc_id", "mark"]).mapInPandas(_crowds, "hash_a long, hash_b long, doc_id long, place long"))
+    met = cut(
+        met.groupBy("doc_id", "mark").agg(
+            F.collect_list(F.when(F.col("piece").isNull(), F.col("span"))).alias("known"),
+            F.collect_list(F.when(F.col("piece").isNotNull() & ~F.col("crowded"), asked)).alias("asked"),
+            F.collect_list(F.when(F.col("crowded"), asked)).alias("crowds"),
+        )
+    )
+    again = met.select("doc_id", "mark", F.explode("known").alias("span"))
+    quiet = met.select("doc_id", "mark", "asked").where(F.size("asked") > 0)
+    # an outer join like the last one below, so that Spark shuffles the texts once for both
+    contexts = keyed.join(quiet, ["doc_id", "mark"], "left").mapInPandas(_contexts, "piece long, own binary, doc_id long, place long")
+    found = contexts.repartition("piece").sortWithinPartitions("piece").mapInPandas(_settle, "doc_id long, mark long, span long")
+    found = found.unionByName(again)
+    if not met.where(F.size("crowds") > 0).isEmpty():
+        few = met.select("doc_id", "mark", "crowds").where(F.size("crowds") > 0)
+        strings = cut(keyed.join(few, ["doc_id", "mark"]).mapInPandas(_crowds, "hash_a long, hash_b long, doc_id long, place long"))
         first = strings.groupBy("hash_a", "hash_b").agg(F.min(F.struct("doc_id", "place")).alias("first"))
         later = strings.join(first, ["hash_a", "hash_b"]).where(F.struct("doc_id", "place") != F.col("first"))
-        found = found.unionByName(later.select("doc_id", F.col("place").alias("start"), (F.col("place") + LENGTH).alias("end")))
-    found = found.groupBy("doc_id", F.shiftright("start", _OFFSET).alias("mark")).agg(F.collect_list(F.struct("start", "end")).alias("found"))
+        span = F.shiftleft(F.col("place").bitwiseAND(_LOW), _PACK).bitwiseOR(F.lit(LENGTH))
+        found = found.unionByName(later.select("doc_id", F.shiftright("place", _OFFSET).alias("mark"), span.alias("span")))
+    found = found.groupBy("doc_id", "mark").agg(F.collect_list("span").alias("found"))
     joined = keyed.join(found, ["doc_id", "mark"], "left")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema if f.name not in ("mark", "found"))
     out = joined.drop("mark").mapInPandas(_remove, fields + ", n_bytes long, n_removed long, n_spans long, kept_sha256 string")

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, covertree, language, lines, minhash, packing, quality, sharding, suffixes, toxicity
+from . import bpe, covertree, language, lines, minhash, oracles, packing, quality, sharding, suffixes, toxicity
 from .common import table
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -61,4 +61,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_sharding": oracles.SHARDING, "op2_covertree": oracles.COVER_TREE, "op7_suffixes": oracles.SUFFIXES, "op10_minhash": oracles.MINHASH}

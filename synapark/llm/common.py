@@ -26,6 +26,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def sized(df: DataFrame, rows: int = 50_000) -> DataFrame:
+    """``df``, written down, in partitions of about ``rows`` rows where it has more of them.
+
+    What comes out of a selective step is small against its partitions; every
+    later shuffle then has as many pieces as its rows are worth. No shuffle here.
+    """
+    held = cut(df)
+    return held.coalesce(max(1, -(-held.count() // rows)))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import sized
 
 
 def _stamp(links: DataFrame) -> tuple:
@@ -26,16 +26,16 @@ def components(edges: DataFrame) -> DataFrame:
     join. Links never leave the executors.
     """
     links = edges.where("a <> b").select(F.least("a", "b").alias("b"), F.greatest("a", "b").alias("a")).select("a", "b").distinct()
-    links = cut(links)
+    links = sized(links)
     stamp = _stamp(links)
     while stamp[0]:
+        parts = -(-stamp[0] // 50_000)  # a step makes at most twice as many rows as there are links
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("least"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
-        large = large.where("a <> b").distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("least"))
+        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("least")).coalesce(parts)
+        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b")).where("a <> b").coalesce(parts)
+        low = large.groupBy("a").agg(F.min("b").alias("least")).coalesce(parts)
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("least").alias("b")).where("a <> b")
-        links = cut(small.unionByName(low.select("a", F.col("least").alias("b"))).distinct())
+        links = sized(small.unionByName(low.select("a", F.col("least").alias("b"))).distinct())
         stamp, before = _stamp(links), stamp
         if stamp == before:
             break

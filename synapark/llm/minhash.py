@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, mix64, slices
+from .common import cut, mix64, sized, slices
 from .components import components
 
 #: Words of a shingle; links need 100 * intersection >= PERCENT * union.
@@ -100,26 +100,50 @@ def _sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             )
 
 
-def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        texts = batch.pop("text").tolist()
-        for i, j in slices(texts):
-            yield batch.iloc[i:j].assign(found=shingle_sets(texts[i:j]))
+def _shingles(texts: pd.Series) -> pd.Series:
+    out: list[np.ndarray] = []
+    held = texts.tolist()
+    for i, j in slices(held):
+        out += shingle_sets(held[i:j])
+    return pd.Series(out, index=texts.index)
+
 
+def verify(sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Those of the pairs ``a, b`` whose full sets overlap enough: a's set goes to where b's is."""
+    lead = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("found").alias("lead")), "a")
+    both = lead.join(sets.select(F.col("doc_id").alias("b"), "found"), "b")
+    both = both.select("a", "b", F.size("found").alias("x"), F.size("lead").alias("y"), F.size(F.array_intersect("found", "lead")).alias("same"))
+    return both.where(F.col("same") * 100 >= (F.col("x") + F.col("y") - F.col("same")) * PERCENT).select("a", "b").distinct()
 
-def verify(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Those of the pairs ``a, b`` whose full sets overlap enough.
 
-    Only texts of a pair are read out; each is sent to where its smaller
-    partner's set goes, through joins whose hot keys Spark can split.
+def prefix_pairs(sets: DataFrame) -> DataFrame:
+    """Pairs of different components that may overlap enough, by prefix and positional filtering.
+
+    ``sets`` has doc_id, component, found. With elements ordered from rare to
+    common, two sets of n and m elements that overlap by 3/7 (n + m), which is
+    what a Jaccard similarity of 3/4 takes, have their first common element so
+    early in both that as many can follow. Elements that a set shares with no
+    other make up most of those places in edited copies, so pairs below the
+    threshold mostly never meet.
     """
-    texts = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull())
-    schema = "doc_id long, key long, found array<long>"
-    own = texts.join(pairs.select(F.col("b").alias("doc_id"), F.col("a").alias("key")), "doc_id").select("doc_id", "key", "text").mapInPandas(_sets, schema)
-    lead = texts.join(pairs.select(F.col("a").alias("doc_id")).distinct(), "doc_id").select("doc_id", F.col("doc_id").alias("key"), "text").mapInPandas(_sets, schema)
-    lead = lead.select("key", F.col("found").alias("lead"))
-    both = own.join(lead, "key").select(F.col("key").alias("a"), F.col("doc_id").alias("b"), F.size("found").alias("x"), F.size("lead").alias("y"), F.size(F.array_intersect("found", "lead")).alias("same"))
-    return both.where(F.col("same") * 100 >= (F.col("x") + F.col("y") - F.col("same")) * PERCENT).select("a", "b")
+    rows = sets.select("doc_id", "component", F.size("found").alias("n"), F.explode("found").alias("x"))
+    often = rows.groupBy("x").agg(F.count("*").alias("often"), F.min("component").alias("low"), F.max("component").alias("high"))
+    often = often.select("x", "often", (F.col("low") < F.col("high")).alias("mixed"))
+    placed = rows.join(often, "x").groupBy("doc_id", "component", "n").agg(F.sort_array(F.collect_list(F.struct("often", "x", "mixed"))).alias("own"))
+    # a set of n reaches 3/4 of its size at the least, and 6/7 with a set that is no smaller
+    probe = placed.select("doc_id", "component", "n", F.posexplode(F.slice("own", 1, F.col("n") - F.ceil(F.col("n") * 3 / 4).cast("int") + 1)).alias("at", "e")).where("e.mixed")
+    index = placed.select("doc_id", "component", "n", F.posexplode(F.slice("own", 1, F.col("n") - F.ceil(F.col("n") * 6 / 7).cast("int") + 1)).alias("at", "e")).where("e.mixed")
+    probe = probe.select(F.col("e.x").alias("x"), *[F.col(c).alias(f"{c}_p") for c in ("doc_id", "component", "n", "at")])
+    index = index.select(F.col("e.x").alias("x"), *[F.col(c).alias(f"{c}_i") for c in ("doc_id", "component", "n", "at")])
+    needed = F.ceil((F.col("n_p") + F.col("n_i")) * 3 / 7)
+    found = probe.join(index, "x").where(
+        (F.col("component_p") != F.col("component_i"))
+        & ((F.col("n_i") < F.col("n_p")) | ((F.col("n_i") == F.col("n_p")) & (F.col("doc_id_i") < F.col("doc_id_p"))))
+        & (F.col("n_i") * 100 >= F.col("n_p") * PERCENT)
+        & (F.col("n_p") - F.col("at_p") >= needed)
+        & (F.col("n_i") - F.col("at_i") >= needed)
+    )
+    return found.select(F.least("doc_id_p", "doc_id_i").alias("a"), F.greatest("doc_id_p", "doc_id_i").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -130,12 +154,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     Documents with one and the same set are a class and linked at once; only the
     class's first document goes on, so copies cost one row each. Band buckets
-    then give candidates in two rounds. First every document is verified against
-    the smallest of all documents that it shares a bucket with, at most one pair
-    a document, which settles large groups of near copies. Then those pairs of a
-    bucket are verified that lie in different components still. A pair within a
-    component would change nothing, so no link between different texts is lost
-    and no group is expanded into all its pairs.
+    then give candidates in three rounds, each of which looks only at pairs that
+    lie in different components still: a pair within one would change nothing.
+
+    1. Every document is verified against the most popular of all that it shares
+       a bucket with, at most one pair a document. What near copies were made
+       from shares most buckets, so this settles most of a large group.
+    2. Every document is verified against the most popular one of each bucket.
+    3. Documents of buckets in which others stay apart go through an exact prefix
+       filter, which names the pairs that can reach the threshold.
+
+    So no link between different texts is lost and no group is expanded into all
+    its pairs; sets are read out of the texts once, for documents that share a
+    bucket.
 
     A text that is null, empty or white space has an empty set and links with
     nothing, and so does a row whose doc_id is null; repeated rows are of one
@@ -144,25 +175,43 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = cut(docs.mapInPandas(_sketch, "doc_id long, n long, key_a long, key_b long, bands array<long>"))
     able = rows.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
-    classes = cut(able.groupBy("n", "key_a", "key_b").agg(F.min("doc_id").alias("rep")))
-    members = able.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "n", F.explode("bands").alias("bucket"))
-    shared = members.groupBy("bucket").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("bucket", "least")
-    members = cut(members.join(shared, "bucket").select("bucket", "doc_id", "n", "least").distinct())
-    sizes = members.select(F.col("doc_id").alias("a"), F.col("n").alias("n_a")).distinct()
-
-    near = f"100 * least(n_a, n) >= {PERCENT} * greatest(n_a, n)"
-    partner = members.groupBy("doc_id", "n").agg(F.min("least").alias("a")).where("a < doc_id")
-    first = cut(partner.join(sizes, "a").where(near).select("a", F.col("doc_id").alias("b")))
-    links = cut(verify(docs, first))
+    classes = sized(able.groupBy("n", "key_a", "key_b").agg(F.min("doc_id").alias("rep")))
+    members = able.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select("doc_id", F.explode("bands").alias("bucket"))
+    shared = members.groupBy("bucket").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.count("*").alias("size")).where("least < most").select("bucket", "size")
+    members = sized(members.join(shared, "bucket").distinct(), 200_000)
+    popular = sized(members.groupBy("doc_id").agg(F.sum("size").alias("fame")).join(able.select("doc_id", "n").distinct(), "doc_id"))
+    texts = docs.where(F.col("doc_id").isNotNull())
+    sets = sized(texts.join(popular, "doc_id").select("doc_id", F.pandas_udf(_shingles, "array<long>")("text").alias("found")), 4_000)
+
+    # a bucket's most popular member, the smallest id of equals
+    ranked = members.join(popular, "doc_id").select("bucket", "doc_id", "n", F.struct("fame", (-F.col("doc_id")).alias("neg"), F.col("n").alias("n_top")).alias("rank"))
+    tops = ranked.groupBy("bucket").agg(F.max("rank").alias("top"))
+    ranked = sized(ranked.select("bucket", "doc_id", "n").join(tops, "bucket").select("bucket", "doc_id", "n", "top"), 200_000)
+    near = f"100 * least(top.n_top, n) >= {PERCENT} * greatest(top.n_top, n)"
+    other, pair = (-F.col("top.neg")), [F.least(-F.col("top.neg"), "doc_id").alias("a"), F.greatest(-F.col("top.neg"), "doc_id").alias("b")]
+
+    first = ranked.where(other != F.col("doc_id")).groupBy("doc_id", "n").agg(F.max("top").alias("top")).where(near)
+    first = sized(first.select(*pair).distinct())
+    links = sized(verify(sets, first))
+    known = components(links)
+
+    def now(rows: DataFrame) -> DataFrame:
+        return rows.join(known, rows["doc_id"] == known["node"], "left").select(*rows.columns, F.coalesce("component", "doc_id").alias("component"))
+
+    def mixed(rows: DataFrame) -> DataFrame:
+        many = rows.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket")
+        return rows.join(many, "bucket", "left_semi")
+
+    ranked = sized(mixed(now(ranked)), 200_000)
+    lead = ranked.where(other == F.col("doc_id")).select("bucket", F.col("component").alias("of_top"))
+    second = ranked.join(lead, "bucket").where("component <> of_top").where(near).select(*pair).distinct()
+    links = sized(links.unionByName(verify(sets, second.join(first, ["a", "b"], "left_anti"))))
     known = components(links)
 
-    now = members.join(known, members["doc_id"] == known["node"], "left").select("bucket", "doc_id", "n", F.coalesce("component", "doc_id").alias("component"))
-    mixed = now.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket")
-    now = cut(now.join(mixed, "bucket", "left_semi"))
-    other = now.select("bucket", F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("component_a"))
-    second = other.join(now, "bucket").where("a < doc_id AND component_a <> component").where(near).select("a", F.col("doc_id").alias("b")).distinct()
-    second = cut(second.join(first, ["a", "b"], "left_anti"))
-    known = components(links.unionByName(verify(docs, second)))
+    rest = mixed(now(ranked.drop("component").where(other != F.col("doc_id"))))
+    rest = rest.select("doc_id", "component").distinct().join(sets, "doc_id")
+    third = prefix_pairs(sized(rest, 4_000))
+    known = components(links.unionByName(verify(sets, sized(third))))
 
     named = classes.join(known, classes["rep"] == known["node"], "left").select("n", "key_a", "key_b", F.coalesce("component", "rep").alias("component_id"))
     linked = able.select("doc_id", "n", "key_a", "key_b").join(named, ["n", "key_a", "key_b"])

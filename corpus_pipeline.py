@@ -26,7 +26,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the blocks of lines that earlier ones have."""
-    return _shortened(docs, lines.dedup_lines(docs))
+    return _shortened(docs, lines.dedup_lines(docs, every=True))
 
 
 def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,12 +6,20 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import mix64
+
 #: Characters of a line that may bring documents together, and of a block that is deleted.
 ANCHOR_CHARS, BLOCK_CHARS = 20, 50
+#: Lines of pairs that are looked at in one go; bounds the temporaries.
+SLICE_LINES = 500_000
+#: Base of the rolling hash of runs, and its inverse modulo 2**64.
+BASE = 0x9E3779B97F4A7C15
+BACK = pow(BASE, -1, 1 << 64)
 
 
 def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
@@ -83,7 +91,74 @@ def _align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["doc_id", "mark", "drop", "n_blocks"])
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
+def least_runs(codes: np.ndarray, chars: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The shortest run of ``BLOCK_CHARS`` characters from each line on, and up to each: its document, start, end and hash.
+
+    Documents of ``sizes`` lines lie behind one another. Every longer block
+    consists of such runs, and has the same ones wherever it stands.
+    """
+    n = len(codes)
+    total = np.r_[0, np.cumsum(chars, dtype=np.int64)]
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    last = np.cumsum(sizes, dtype=np.int64)
+    ends = np.searchsorted(total, total[:-1] + BLOCK_CHARS, "left")
+    starts = np.searchsorted(total, total[1:] - BLOCK_CHARS, "right") - 1
+    fore = np.flatnonzero(ends <= last[row])
+    back = np.flatnonzero(starts >= (last - sizes)[row])
+    back = back[ends[starts[back]] != back + 1]  # else it is there already
+    s, e = np.r_[fore, starts[back]], np.r_[ends[fore], back + 1]
+    with np.errstate(over="ignore"):
+        up = np.cumprod(np.r_[np.uint64(1), np.full(n, BASE, np.uint64)], dtype=np.uint64)
+        down = np.cumprod(np.r_[np.uint64(1), np.full(n, BACK, np.uint64)], dtype=np.uint64)
+        prefix = np.r_[np.uint64(0), np.cumsum(codes.view(np.uint64) * up[:-1], dtype=np.uint64)]
+        found = mix64((prefix[e] - prefix[s]) * down[s] + (e - s).astype(np.uint64))
+    return np.r_[row[fore], row[back]], s, e, found
+
+
+def _flat(column: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    return np.concatenate(column.to_list()), np.array([len(x) for x in column], np.int64)
+
+
+def _anchors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        if len(batch):
+            codes, sizes = _flat(batch["codes"])
+            row, _, _, found = least_runs(codes, _flat(batch["chars"])[0], sizes)
+            yield pd.DataFrame({"doc_id": batch["doc_id"].to_numpy()[row], "mark": batch["mark"].to_numpy()[row], "line": found.view(np.int64)})
+
+
+def _align_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """As ``_align``; blocks of a pair that its alignment leaves out (crossed or repeated) are then aligned by themselves."""
+    for batch in batches:
+        size = np.array([len(x) + len(y) for x, y in zip(batch["later"], batch["earlier"], strict=True)], np.int64)
+        for _, part in batch.groupby(np.cumsum(size) // SLICE_LINES, sort=False):
+            rows = []
+            later, sizes = _flat(part["later"])
+            first = np.cumsum(sizes) - sizes
+            gone, n_blocks = np.zeros(len(later), bool), []
+            for at, b, chars, a in zip(first.tolist(), part["later"], part["chars"], part["earlier"], strict=True):
+                runs = blocks(a.tolist(), b.tolist(), chars.tolist())
+                gone[[at + j for run in runs for j in run]] = True
+                n_blocks.append(len(runs))
+            row, s, e, found = least_runs(later, _flat(part["chars"])[0], sizes)
+            left = np.r_[0, np.cumsum(~gone)]
+            open_ = left[e] > left[s]
+            row, s, e, found = row[open_], s[open_], e[open_], found[open_]
+            earlier, theirs = _flat(part["earlier"])
+            there, _, _, known = least_runs(earlier, _flat(part["earlier_chars"])[0], theirs)
+            hit = np.isin(mix64(found ^ mix64(row.astype(np.uint64))), mix64(known ^ mix64(there.astype(np.uint64))))
+            edge = np.zeros(len(later) + 1, np.int64)
+            np.add.at(edge, s[hit], 1)
+            np.add.at(edge, e[hit], -1)
+            more = (np.cumsum(edge)[:-1] > 0) & ~gone
+            gone |= more
+            for doc, mark, at, n, k in zip(part["doc_id"], part["mark"], first.tolist(), sizes.tolist(), n_blocks, strict=True):
+                own = more[at : at + n]
+                rows.append((doc, mark, np.flatnonzero(gone[at : at + n]).tolist(), k + int(np.diff(np.r_[0, own.astype(np.int8)]).clip(0).sum())))
+            yield pd.DataFrame(rows, columns=["doc_id", "mark", "drop", "n_blocks"])
+
+
+def dedup_lines(docs: DataFrame, every: bool = False) -> DataFrame:
     """Deletes from each document the blocks of lines that it has from earlier ones.
 
     A line of at least ``ANCHOR_CHARS`` characters that an earlier document has
@@ -95,6 +170,15 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     later one (larger doc_id; rows that share a doc_id come in the order of
     their text's hash). The first holder keeps its own lines.
 
+    So far only what aligns with first holders of long lines goes. With
+    ``every``, as in the registered queries, all blocks go that any earlier
+    document has. What brings documents together is then each shortest run of
+    ``BLOCK_CHARS`` characters, of lines of any length: whatever is shared with
+    any document is made of such runs, and each is shared with its own first
+    holder too. Runs of a pair that patience leaves out, since they stand in
+    crossed order or repeatedly, are then aligned by themselves, so no other
+    holder can add any, and a run still adds one pair a document.
+
     Pairing and alignment move line hashes of 8 bytes; texts are shuffled once,
     to take the lines out. Lines are paired by one hash and compared by another.
 
@@ -110,14 +194,18 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     arrays = able.select(
         "doc_id", "mark", F.transform(lines, lambda x: F.xxhash64(x, F.lit(1))).alias("later"), F.transform(lines, lambda x: F.length(x)).alias("chars")
     ).dropDuplicates(["doc_id", "mark"])
-    anchors = able.select("doc_id", "mark", F.explode(F.array_distinct(F.transform(F.filter(lines, lambda x: F.length(x) >= ANCHOR_CHARS), lambda x: F.xxhash64(x)))).alias("line"))
     holder = F.struct("doc_id", "mark")
+    if every:
+        coded = able.select("doc_id", "mark", F.transform(lines, lambda x: F.xxhash64(x)).alias("codes"), F.transform(lines, lambda x: F.length(x)).alias("chars"))
+        anchors = coded.mapInPandas(_anchors, "doc_id long, mark long, line long")
+    else:
+        anchors = able.select("doc_id", "mark", F.explode(F.array_distinct(F.transform(F.filter(lines, lambda x: F.length(x) >= ANCHOR_CHARS), lambda x: F.xxhash64(x)))).alias("line"))
     first = anchors.groupBy("line").agg(F.min(holder).alias("first"), F.max(holder).alias("final")).where("first < final").select("line", "first")
     pairs = anchors.join(first, "line").where(holder != F.col("first")).select("doc_id", "mark", "first").distinct()
-    earlier = arrays.select(F.struct("doc_id", "mark").alias("first"), F.col("later").alias("earlier"))
-    both = pairs.join(arrays, ["doc_id", "mark"]).join(earlier, "first").select("doc_id", "mark", "later", "chars", "earlier")
-    found = both.mapInPandas(_align, "doc_id long, mark long, drop array<int>, n_blocks long").where("n_blocks > 0")
-    # a document has at most as many pairs as lines
+    earlier = arrays.select(F.struct("doc_id", "mark").alias("first"), F.col("later").alias("earlier"), F.col("chars").alias("earlier_chars"))
+    both = pairs.join(arrays, ["doc_id", "mark"]).join(earlier, "first").select("doc_id", "mark", "later", "chars", "earlier", *["earlier_chars"] * every)
+    found = both.mapInPandas(_align_all if every else _align, "doc_id long, mark long, drop array<int>, n_blocks long").where("n_blocks > 0")
+    # a document has at most as many pairs as lines, or twice as many
     found = found.groupBy("doc_id", "mark").agg(F.array_distinct(F.flatten(F.collect_list("drop"))).alias("drop"), F.sum("n_blocks").alias("n_blocks"))
     joined = marked.join(found, ["doc_id", "mark"], "left")
     kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("drop", i)), "\n")

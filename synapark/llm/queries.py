@@ -34,7 +34,7 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = lines.dedup_lines(table(spark, sf_dir, "documents"))
+    found = lines.dedup_lines(table(spark, sf_dir, "documents"), every=True)
     return found.select("doc_id", "n_lines", "n_removed", "n_blocks", F.sha2("text", 256).alias("kept_sha256"))
 
 

@@ -164,6 +164,37 @@ def test_lines(spark):
     assert sum(r["n_removed"] for r in rows) > 50
 
 
+def brute_all_lines(texts):
+    """Without the lines of every run of enough characters that any earlier document has."""
+    out, held = {}, set()
+    for i, t in sorted(texts):
+        own = t.split("\n")
+        runs = {(s, e): tuple(own[s:e]) for s in range(len(own)) for e in range(s + 1, len(own) + 1) if sum(map(len, own[s:e])) >= lines.BLOCK_CHARS}
+        gone = {k for (s, e), run in runs.items() if run in held for k in range(s, e)}
+        held |= set(runs.values())
+        out[i] = ("\n".join(x for k, x in enumerate(own) if k not in gone), len(gone))
+    return out
+
+
+def test_lines_of_every_earlier_document(spark):
+    """Crossed and repeated lines, blocks whose lines have several first holders, blocks of short lines."""
+    rng = random.Random(12)
+    long = ["".join(H.words(700 + k, 12)) + "x" * 30 for k in range(6)]
+    mid = [f"{k} " + "m" * 26 for k in range(6)]
+    short = [f"short {k}" for k in range(9)]
+    texts = [(0, "\n".join([long[0], long[1]])), (1, "\n".join([long[1], "between", long[0]])), (2, "\n".join([long[1], long[1], long[0], "end"]))]
+    texts += [(3, mid[0]), (4, mid[1]), (5, "\n".join(["x", *mid[:2], "y"])), (6, "\n".join(["z", *mid[:2], "w"])), (7, "\n".join(["a", *short, "b"])), (8, "\n".join(["c", *short, "d"]))]
+    pool = [*long, *mid, *short, "", ""]
+    texts += [(9 + k, "\n".join(rng.choice(pool) for _ in range(rng.randint(1, 16)))) for k in range(40)]
+    want = brute_all_lines(texts)
+    assert want[1] == ("between", 2) and want[6] == ("z\nw", 2) and want[8] == ("c\nd", 9)
+    rows = lines.dedup_lines(H.from_texts(spark, texts), every=True).collect()
+    assert {r["doc_id"]: (r["text"], r["n_removed"]) for r in rows} == want
+    assert all((r["n_blocks"] > 0) == (r["n_removed"] > 0) for r in rows)
+    assert len(lines.dedup_lines(H.docs(spark), every=True).collect()) == len(H.awkward())
+    assert lines.dedup_lines(H.docs(spark).limit(0), every=True).count() == 0
+
+
 def test_lines_awkward(spark):
     rows = lines.dedup_lines(H.docs(spark)).collect()
     got = {r["doc_id"]: r for r in rows}

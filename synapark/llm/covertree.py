@@ -16,6 +16,8 @@ from .components import components
 LEAF, LOOKED_AT, CHILDREN = 1024, 512, 64
 #: Nested radii, each half the one before: of the levels across tasks, then of those inside a leaf.
 RADII = tuple(1.0 / 2**k for k in range(7))
+#: Levels across tasks at most; share of a node's points in one child, within the last radius, from which on a hash splits the child.
+DEPTH, STUCK = 60, 0.9
 #: Guards the bounds against rounding; what lies so near the threshold is compared itself.
 SLACK = 1e-9
 
@@ -26,7 +28,7 @@ def _unit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = [np.asarray(v, float) for v in batch["v"]]
         rows = [v / np.abs(v).max() for v in rows]
-        yield batch.assign(v=[v / np.sqrt(v @ v) for v in rows])
+        yield batch.assign(unit=[v / np.sqrt(v @ v) for v in rows])
 
 
 def matrix(column: pd.Series) -> np.ndarray:
@@ -220,7 +222,7 @@ def _grow(points: DataFrame) -> tuple[DataFrame, DataFrame]:
     spark = points.sparkSession
     nodes = spark.createDataFrame([], "parent string, node string, center array<double>, radius double")
     done = None
-    for depth in range(60):
+    for depth in range(DEPTH):
         sizes = points.groupBy("node").agg(F.count("*").alias("size"))
         marked = points.join(sizes, "node")
         small = marked.where(F.col("size") <= LEAF).drop("size")
@@ -228,6 +230,8 @@ def _grow(points: DataFrame) -> tuple[DataFrame, DataFrame]:
         big = cut(marked.where(F.col("size") > LEAF))
         if big.isEmpty():
             break
+        if depth == DEPTH - 1:
+            raise RuntimeError("nodes of the cover tree are still too large at the last level")
         draw = F.pmod(F.xxhash64("cls", F.lit(depth)), F.lit(1_000_003)) / 1_000_003.0
         looked = big.where(draw * F.col("size") <= LOOKED_AT).select("node", "cls", "v")
         centers = cut(looked.groupBy("node").applyInPandas(_choose, "parent string, node string, center array<double>"))
@@ -238,8 +242,18 @@ def _grow(points: DataFrame) -> tuple[DataFrame, DataFrame]:
         spread = centers.join(many.withColumnRenamed("node", "parent"), "parent").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("parent", F.col("part").cast("long").alias("part"), "node", "center")
         moved = own.withColumn("part", F.col("part").cast("long")).groupBy("parent", "part").cogroup(spread.groupBy("parent", "part")).applyInPandas(_assign, "node string, far double, " + POINT)
         moved = cut(moved)
-        reach = moved.groupBy("node").agg(F.max("far").alias("radius"))
-        nodes = nodes.unionByName(centers.join(reach, "node").select("parent", "node", "center", "radius"))
+        reach = moved.groupBy("node").agg(F.max("far").alias("radius"), F.count("*").alias("size"))
+        held = cut(centers.join(reach, "node"))
+        nodes = nodes.unionByName(held.select("parent", "node", "center", "radius"))
+        # a child that got nearly all of its parent's points: they lie too close for distances to part, so a hash does
+        whole = sizes.withColumnRenamed("node", "parent").withColumnRenamed("size", "of")
+        stuck = cut(held.where(F.col("radius") <= RADII[-1]).join(whole, "parent").where((F.col("size") > LEAF) & (F.col("size") > STUCK * F.col("of"))).select("node", "center", (F.col("size") * 2 / LEAF).cast("int").alias("pieces")))
+        if not stuck.isEmpty():
+            named = F.concat_ws("/", "node", F.pmod(F.xxhash64("cls", F.lit(-2)), F.col("pieces")))
+            moved = cut(moved.join(stuck.drop("center"), "node", "left").withColumn("to", F.when(F.col("pieces").isNull(), F.col("node")).otherwise(named)))
+            pieces = moved.where("pieces IS NOT NULL").groupBy("node", "to").agg(F.max("far").alias("radius"))
+            nodes = nodes.unionByName(pieces.join(stuck, "node").select(F.col("node").alias("parent"), F.col("to").alias("node"), "center", "radius"))
+            moved = moved.select(F.col("to").alias("node"), "far", "cls", "copies", "v")
         points = moved.drop("far")
     return cut(done), cut(nodes)
 
@@ -268,14 +282,16 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
     n_links counts the other vectors linked directly, component_id is the
     smallest vec_id reachable over links, kept says whether it is the own one.
 
-    Equal vectors of a label are one point with a number of copies. Each label's
+    Vectors of a label that are equal, or differ in length only, are one point
+    with a number of copies. Each label's
     points grow a cover tree whose levels have halving radii: across tasks until
     a node has at most ``LEAF`` points, then inside each leaf. Radii are measured
     over all points of a node, so bounds hold whatever points the centres were
     chosen from. Pairs of nodes go down both trees together, pruned by their
     covering radii; what remains are pairs of leaves, each a task of bounded
     size, which count links and return a forest of them. No group is gathered
-    whole, and a tight group is counted without its pairs being listed.
+    whole, and a tight group is counted without its pairs being listed. Points too
+    close for distances to part go into leaves by a hash.
 
     A vector that is null, empty, all zero or has a null or non-finite component
     links with nothing, and so does one whose label or vec_id is null; vectors of
@@ -288,8 +304,11 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
     able = rows.where(sound).where(F.coalesce(finite, F.lit(False)))
     able = able.withColumn("node", F.concat(F.regexp_replace("label", "/", "//"), F.lit("#"), F.size("v"))).withColumn("node", F.md5("node"))
     classes = cut(able.groupBy("node", "v").agg(F.min("vec_id").alias("cls"), F.count("*").alias("copies")))
-    points = classes.select("node", "cls", "copies", "v").mapInPandas(_unit, "node string, " + POINT)
-    points, nodes = _grow(cut(points))
+    # vectors that differ in length only are one point
+    units = cut(classes.select("node", "cls", "copies", "v").mapInPandas(_unit, f"node string, {POINT}, unit array<double>"))
+    merged = cut(units.groupBy("node", "unit").agg(F.min("cls").alias("cls"), F.sum("copies").alias("copies")))
+    classes = cut(units.select("node", "v", "unit").join(merged, ["node", "unit"]).select("node", "v", "cls", "copies"))
+    points, nodes = _grow(merged.select("node", "cls", "copies", F.col("unit").alias("v")))
     pairs = _leaf_pairs(points, nodes, threshold)
     leaves = cut(points.groupBy("node").applyInPandas(_levels, f"node string, {POINT}, path array<int>"))
     pair = F.concat_ws("|", "a", "b").alias("pair")

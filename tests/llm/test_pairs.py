@@ -100,6 +100,19 @@ def test_vectors(spark, leaf, monkeypatch):
     assert covertree.near_vectors(df.limit(0)).count() == 0
 
 
+def test_vectors_that_distances_do_not_part(spark, monkeypatch):
+    """More multiples of one vector, and more vectors that differ by rounding, than a leaf holds."""
+    monkeypatch.setattr(covertree, "LEAF", 16)
+    rng = np.random.default_rng(6)
+    base, other = rng.normal(size=8).astype(np.float32).astype(float), rng.normal(size=8)
+    rows = [(k, (base * (k + 1)).tolist(), 0) for k in range(60)]
+    rows += [(100 + k, (other * (1 + rng.integers(-9, 10, 8) * 2.0**-50)).tolist(), 1) for k in range(60)]
+    rows += [(200 + k, rng.normal(size=8).tolist(), k % 2) for k in range(20)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(3)
+    got = covertree.near_vectors(df).collect()
+    assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in got} == H.vector_links(rows) and len(got) == len(rows)
+
+
 def test_vectors_repeated_rows(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0], 0, "x"), (1, [1.0, 0.0], 0, "x"), (2, [0.0, 1.0], 0, "y"), (None, [1.0, 0.0], 0, "z")], "vec_id long, embedding array<float>, label int, node string")
     got = sorted((r["vec_id"] or -1, r["n_links"]) for r in covertree.near_vectors(df).collect())

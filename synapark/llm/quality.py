@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 WHITE, SYMBOLS = b" \t\n\v\f\r", b"#*$%&|<>"
 
-#: Limits of compressed over raw bytes by length: texts of at least the first
-#: figure's bytes must lie between the other two. Short texts carry the frame
+#: Limits of compressed over raw codes by length: texts of at least the first
+#: figure's codes (see ``coded``) must lie between the other two. Short texts carry the frame
 #: and have little to refer back to, so both limits fall as length grows. The
 #: lower ones stand about 0.02 below the least ratio of documents labelled good.
 BANDS = (
@@ -58,6 +58,17 @@ def dup_lines(data: bytes) -> int:
     return found
 
 
+def coded(text: str, data: bytes) -> bytes:
+    """A byte for each character, so that a script's bytes a character don't count; ``data``, the text in UTF-8, where it is ASCII or has over 256 different ones."""
+    if len(data) == len(text):
+        return data
+    points = np.frombuffer(text.encode("utf-32-le", "replace"), "<u4")
+    seen = np.zeros(int(points.max()) + 1, bool)
+    seen[points] = True
+    number = np.cumsum(seen) - 1
+    return number.astype(np.uint8)[points].tobytes() if number[-1] < 256 else data
+
+
 def judge(text: str | None, packer: zstandard.ZstdCompressor) -> tuple:
     text = text or ""
     data = text.encode("utf-8", "replace")
@@ -67,14 +78,15 @@ def judge(text: str | None, packer: zstandard.ZstdCompressor) -> tuple:
     repeats = repeat_words(words)
     base = len(words) < 50 or 100 * repeats > 50 * len(words)
     ratio, out = 1.0, 0.0
+    codes = coded(text, data)
     if data:
-        ratio = len(packer.compress(data)) / len(data)
-        chunks = [data[i : i + CHUNK_BYTES] for i in range(0, len(data), CHUNK_BYTES)]
+        ratio = len(packer.compress(codes)) / len(codes)
+        chunks = [codes[i : i + CHUNK_BYTES] for i in range(0, len(codes), CHUNK_BYTES)]
         if len(chunks) > 1:
             chunks = [c for c in chunks if len(c) >= CHUNK_BYTES // 4]
             each = [len(packer.compress(c)) / len(c) for c in chunks]
             out = sum(not CHUNK_LOW <= x <= CHUNK_HIGH for x in each) / len(each)
-    low, high = next((lo, hi) for least, lo, hi in reversed(BANDS) if len(data) >= least)
+    low, high = next((lo, hi) for least, lo, hi in reversed(BANDS) if len(codes) >= least)
     kept = not base and low <= ratio <= high and out <= CHUNK_SHARE
     return len(data), len(words), len(text) - white, symbols, dup_lines(data), repeats, base, ratio, out, kept
 
@@ -94,7 +106,9 @@ def quality(docs: DataFrame) -> DataFrame:
     under 50 words, or more than half of them in repeated 3-word windows.
     ``kept``: not base_failed, the ratio of the whole text inside the limits for
     its length (``BANDS``), and at most ``CHUNK_SHARE`` of the fixed chunks
-    outside theirs: below is repetitive, above incompressible.
+    outside theirs: below is repetitive, above incompressible. Ratios are taken
+    over one code a character, which makes them alike for alphabets of one, two
+    or three bytes; texts of over 256 different characters keep their UTF-8 bytes.
 
     One narrow map: rows stay where they were read and no group is gathered.
     Null and empty texts count nothing and aren't kept; a row of the input gives

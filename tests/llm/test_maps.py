@@ -73,6 +73,18 @@ def test_quality_bands(spark):
     assert [r["doc_id"] for r in quality.keep_quality(H.from_texts(spark, [(1, noise), (2, prose), (3, same)])).collect()] == [2]
 
 
+@pytest.mark.parametrize("base", [0x430, 0x3B1, 0x915], ids=["Cyrillic", "Greek", "Devanagari"])
+def test_quality_of_other_scripts(spark, base):
+    """A text is judged alike in whatever alphabet."""
+    rng = np.random.default_rng(1)
+    noise = " ".join("".join(chr(base + c) for c in rng.integers(0, 90, 8)) for _ in range(400))
+    prose = [" ".join(H.words(40 + n, n, "etaoinshrdlucm")) for n in (80, 300, 1500, 5000)]
+    same = " ".join(f"alpha{'abcdefg'[k % 7]} beta{'abcdefg'[k % 7]}" for k in range(600))
+    texts = [t.translate({97 + k: chr(base + k) for k in range(26)}) for t in (*prose, same)]
+    kept = {r["doc_id"]: r["kept"] for r in quality.quality(H.from_texts(spark, list(enumerate([*prose, same, *texts, noise])))).collect()}
+    assert [kept[k] for k in range(11)] == [True] * 4 + [False] + [True] * 4 + [False] * 2
+
+
 def test_encode(spark):
     library = Tokenizer.from_file(BYTE_VOCABULARY)
     rows = bpe.encode(H.docs(spark), BYTE_VOCABULARY, ids=True).collect()

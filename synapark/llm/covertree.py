@@ -12,23 +12,25 @@ from pyspark.sql import functions as F
 from .common import cut, flat_ranges
 from .components import components
 
-#: Points of a leaf at most; points of a node looked at to choose its children; children at most.
-LEAF, LOOKED_AT, CHILDREN = 1024, 512, 64
-#: Nested radii, each half the one before: of the levels across tasks, then of those inside a leaf.
+#: Points that one task holds of a node at most; points of a node looked at to find its centres.
+LEAF, LOOKED_AT = 8192, 2048
+#: A node whose next net takes more centres isn't parted by distance; rounds in which a net grows.
+CHILDREN, ROUNDS = 64, 6
+#: Covering radii of the levels, each half the one before.
 RADII = tuple(1.0 / 2**k for k in range(7))
-#: Levels across tasks at most; share of a node's points in one child, within the last radius, from which on a hash splits the child.
-DEPTH, STUCK = 60, 0.9
 #: Guards the bounds against rounding; what lies so near the threshold is compared itself.
-SLACK = 1e-9
+SLACK = 1e-7
+#: Pairs of nodes looked at in one go; bounds the temporaries.
+PAIRS = 1 << 20
 
-POINT = "cls long, copies long, v array<double>"
+POINT = "cls long, least long, copies long, v array<double>"
 
 
 def _unit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = [np.asarray(v, float) for v in batch["v"]]
         rows = [v / np.abs(v).max() for v in rows]
-        yield batch.assign(unit=[v / np.sqrt(v @ v) for v in rows])
+        yield batch.assign(v=[v / np.sqrt(v @ v) for v in rows])
 
 
 def matrix(column: pd.Series) -> np.ndarray:
@@ -40,221 +42,305 @@ def far(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (x @ y.T)))
 
 
-def net(points: np.ndarray, radius: float, most: int | None = None) -> np.ndarray:
-    """Greedy cover: places of centres further apart than ``radius``."""
-    free = np.ones(len(points), bool)
-    out: list[int] = []
-    while free.any() and (most is None or len(out) < most):
-        k = int(free.argmax())
-        out.append(k)
-        free &= far(points, points[k : k + 1])[:, 0] > radius
-        free[k] = False
-    return np.array(out, np.int64)
+def cover(points: np.ndarray, radius: float, most: int | None = None) -> tuple[np.ndarray, list[int]]:
+    """A greedy net: the centre within ``radius`` of each point, and the centres, of which the first point is one.
 
-
-def _choose(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Centres of a node's children: the widest nested radius that parts the points looked at."""
-    pdf = pdf.sort_values("cls", kind="stable")
-    points = matrix(pdf["v"])
-    for radius in RADII:
-        chosen = net(points, radius, CHILDREN)
-        if len(chosen) > 1:
-            break
-    else:  # closer than the last radius: any two will do
-        chosen = np.arange(min(2, len(points)))
-    node = pdf["node"].iloc[0]
-    return pd.DataFrame({"parent": node, "node": [f"{node}/{k}" for k in range(len(chosen))], "center": list(points[chosen])})
-
-
-def _assign(points: pd.DataFrame, centers: pd.DataFrame) -> pd.DataFrame:
-    """Moves a bounded part of a node's points to the nearest of its children."""
-    if not len(points):
-        return pd.DataFrame({"node": [], "far": [], "cls": [], "copies": [], "v": []})
-    centers = centers.sort_values("node", kind="stable")
-    gap = far(matrix(points["v"]), matrix(centers["center"]))
-    best = gap.argmin(1)
-    return points.assign(node=centers["node"].to_numpy()[best], far=gap[np.arange(len(gap)), best])[["node", "far", "cls", "copies", "v"]]
-
-
-def _levels(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The node of each point of a leaf at every nested radius; points come sorted by node."""
-    pdf = pdf.sort_values("cls", kind="stable").reset_index(drop=True)
-    points = matrix(pdf["v"])
-    node = np.zeros(len(pdf), np.int64)
+    Centres lie further apart than ``radius``. Ends with points at -1 where ``most`` centres don't do.
+    """
+    owner = np.full(len(points), -1)
+    centers: list[int] = []
+    free = np.arange(len(points))
+    while len(free) and (most is None or len(centers) < most):
+        batch = free[:256]
+        gap = far(points[batch], points[batch])
+        open_, picked = np.ones(len(batch), bool), []
+        for k in range(len(batch)):
+            if open_[k]:
+                picked.append(batch[k])
+                open_ &= gap[k] > radius
+        picked = np.array(picked[: None if most is None else most - len(centers)])
+        gap = far(points[free], points[picked])
+        near = gap.argmin(1)
+        hit = gap[np.arange(len(free)), near] <= radius
+        owner[free[hit]] = picked[near[hit]]
+        owner[picked] = picked
+        centers += picked.tolist()
+        free = free[owner[free] < 0]
+    return owner, centers
+
+
+def nest(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Nested nets of the halving radii: an order of the points, and the node of each at every level.
+
+    Nodes are runs of the order, and a node's first point is its centre at its
+    level and at all below.
+    """
+    order, starts = np.arange(len(points)), np.array([0])
     path = []
     for radius in RADII:
-        child, count = np.zeros_like(node), 0
-        order = np.argsort(node, kind="stable")
-        for members in np.split(order, np.flatnonzero(np.diff(node[order])) + 1):
-            if len(members) > 1:
-                some = points[members]
-                chosen = net(some, radius)
-                nearest = far(some, some[chosen]).argmin(1)
-                child[members] = count + nearest
-                count += len(chosen)
-            else:
-                child[members] = count
-                count += 1
-        node = child
-        path.append(node)
-    path = np.stack(path, 1)
-    order = np.lexsort(path.T[::-1])
-    return pdf.iloc[order].assign(path=list(path[order].astype(np.int32)))
+        ends = np.r_[starts[1:], len(points)]
+        begun = [starts]
+        for s, e in zip(starts[ends - starts > 1].tolist(), ends[ends - starts > 1].tolist(), strict=True):
+            owner, centers = cover(points[order[s:e]], radius)
+            if len(centers) > 1:
+                nth = np.zeros(e - s, np.int64)
+                nth[centers] = np.arange(len(centers))
+                turn = np.lexsort((owner != np.arange(e - s), nth[owner]))
+                order[s:e] = order[s:e][turn]
+                begun.append(s + np.flatnonzero(np.diff(nth[owner][turn])) + 1)
+        starts = np.sort(np.concatenate(begun))
+        path.append(np.searchsorted(starts, np.arange(len(points)), side="right") - 1)
+    return order, np.stack(path, 1)
+
+
+def _nest(pdf: pd.DataFrame) -> pd.DataFrame:
+    pdf = pdf.sort_values("cls", kind="stable")
+    order, path = nest(matrix(pdf["v"]))
+    return pdf.iloc[order].assign(place=np.arange(len(order)), path=list(path.astype(np.int32)))
 
 
 class Block:
-    """A leaf's points with the bounds of its nodes, level by level."""
+    """Points in nested order, with the bounds of their nodes level by level."""
 
     def __init__(self, pdf: pd.DataFrame):
-        path = np.stack(pdf["path"].to_numpy())
-        order = np.lexsort(path.T[::-1])
-        pdf, path = pdf.iloc[order], path[order]
-        self.points, self.cls, self.copies = matrix(pdf["v"]), pdf["cls"].to_numpy(), pdf["copies"].to_numpy()
-        self.first, self.size, self.radius = [], [], []
-        for column in path.T:
+        pdf = pdf.sort_values("place")
+        self.points = matrix(pdf["v"])
+        self.cls, self.least, self.copies = (pdf[c].to_numpy() for c in ("cls", "least", "copies"))
+        self.sum = np.r_[0, np.cumsum(self.copies)]
+        self.first, self.end, self.radius = [], [], []
+        for column in np.stack(pdf["path"].to_numpy()).T:
             first = np.flatnonzero(np.r_[True, column[1:] != column[:-1]])
-            size = np.diff(np.r_[first, len(column)])
-            own = np.einsum("ij,ij->i", self.points, np.repeat(self.points[first], size, 0))
+            own = np.einsum("ij,ij->i", self.points, self.points[np.repeat(first, np.diff(np.r_[first, len(column)]))])
             self.first.append(first)
-            self.size.append(size)
+            self.end.append(np.r_[first[1:], len(column)])
             self.radius.append(np.maximum.reduceat(np.sqrt(np.maximum(0.0, 2.0 - 2.0 * own)), first))
-        depth = len(self.first)
+            self.radius[-1][self.end[-1] - first == 1] = 0.0
         #: children of node k of a level are nodes kids[level][k] up to kids[level][k + 1] of the next
-        self.kids = [np.searchsorted(self.first[d + 1], np.r_[self.first[d], len(path)]) for d in range(depth - 1)]
-
-
-def traverse(a: Block, b: Block, same: bool, threshold: float):
-    """Links between two leaves, or inside one: counts for the points of each, and a forest of links.
+        self.kids = [np.searchsorted(self.first[d + 1], np.r_[self.first[d], len(pdf)]) for d in range(len(self.first) - 1)]
+
+
+def unite(top: np.ndarray, p: np.ndarray, q: np.ndarray) -> None:
+    """Joins the sets of ``p[k]`` and ``q[k]``; ``top`` names the least place of each place's set."""
+    while True:
+        a, b = top[p], top[q]
+        apart = a != b
+        if not apart.any():
+            return
+        p, q, a, b = p[apart], q[apart], a[apart], b[apart]
+        np.minimum.at(top, np.maximum(a, b), np.minimum(a, b))
+        while (top[top] != top).any():
+            top[:] = top[top]
+
+
+class Links:
+    """Counts and connected sets of the points of two blocks (or of one)."""
+
+    def __init__(self, a: Block, b: Block, same: bool, threshold: float):
+        self.a, self.b, self.same, self.threshold = a, b, same, threshold
+        self.shift = 0 if same else len(a.cls)
+        size = len(a.cls) + (0 if same else len(b.cls))
+        self.edge, self.own, self.bound = (np.zeros(size + 1, np.int64) for _ in range(3))
+        self.top = np.arange(size)
+
+    def whole(self, d: int, x: np.ndarray, y: np.ndarray) -> None:
+        """All points of nodes x link with all of nodes y."""
+        a, b = self.a, self.b
+        x0, x1, y0, y1 = a.first[d][x], a.end[d][x], b.first[d][y], b.end[d][y]
+        to_x, to_y = b.sum[y1] - b.sum[y0], a.sum[x1] - a.sum[x0]
+        np.add.at(self.edge, x0, to_x)
+        np.add.at(self.edge, x1, -to_x)
+        itself = (x == y) if self.same else np.zeros(len(x), bool)
+        np.add.at(self.own, x0[itself], 1)
+        np.add.at(self.own, x1[itself], -1)
+        other = ~itself
+        np.add.at(self.edge, y0[other] + self.shift, to_y[other])
+        np.add.at(self.edge, y1[other] + self.shift, -to_y[other])
+        for s, e in ((x0, x1), (y0 + self.shift, y1 + self.shift)):
+            # a node's points lie in a row: mark the steps between them
+            many = e - s > 1
+            np.add.at(self.bound, s[many], 1)
+            np.add.at(self.bound, e[many] - 1, -1)
+        unite(self.top, x0[other], y0[other] + self.shift)
+
+    def compare(self, d: int, x: np.ndarray, y: np.ndarray) -> None:
+        """Compares the points of nodes x with those of nodes y themselves."""
+        a, b = self.a, self.b
+        m, n = a.end[d][x] - a.first[d][x], b.end[d][y] - b.first[d][y]
+        for part in chunks(m * n):
+            pair = np.repeat(part, (m * n)[part])
+            nth = flat_ranges(np.zeros(len(part), np.int64), (m * n)[part])
+            p, q = a.first[d][x[pair]] + nth // n[pair], b.first[d][y[pair]] + nth % n[pair]
+            if self.same:
+                p, q = p[p < q], q[p < q]
+            hit = np.einsum("ij,ij->i", a.points[p], b.points[q]) >= self.threshold
+            p, q = p[hit], q[hit]
+            np.add.at(self.edge, p, b.copies[q])
+            np.add.at(self.edge, p + 1, -b.copies[q])
+            np.add.at(self.edge, q + self.shift, a.copies[p])
+            np.add.at(self.edge, q + self.shift + 1, -a.copies[p])
+            unite(self.top, p, q + self.shift)
+
+    def result(self) -> pd.DataFrame:
+        """Rows cls, -1, links; and rows least, least, 0 that join what is linked."""
+        step = np.flatnonzero(np.cumsum(self.bound)[:-1] > 0)
+        unite(self.top, step, step + 1)
+        blocks = (self.a,) if self.same else (self.a, self.b)
+        cls, least, copies = (np.concatenate([getattr(x, c) for x in blocks]) for c in ("cls", "least", "copies"))
+        n = np.cumsum(self.edge)[:-1] - np.cumsum(self.own)[:-1] * copies
+        some, low = n > 0, self.top != np.arange(len(cls))
+        return pd.DataFrame({"x": np.r_[cls[some], least[low]], "y": np.r_[np.full(some.sum(), -1), least[self.top[low]]], "n": np.r_[n[some], np.zeros(low.sum(), np.int64)], "count": np.r_[np.ones(some.sum(), bool), np.zeros(low.sum(), bool)]})
+
+
+def chunks(sizes: np.ndarray) -> Iterator[np.ndarray]:
+    """Places of sizes in runs of about PAIRS together."""
+    if len(sizes):
+        yield from np.split(np.arange(len(sizes)), np.flatnonzero(np.diff(np.cumsum(sizes) // PAIRS)) + 1)
+
+
+def traverse(a: Block, b: Block, same: bool, threshold: float) -> Links:
+    """Links between two blocks, or inside one.
 
     Pairs of nodes go down level by level. A pair whose balls are further apart
     than the threshold is dropped; one whose farthest points are within it links
-    as a whole, without its pairs being listed; what is left at the last level
-    is compared.
+    as a whole, without its pairs being listed; what is left of the last level,
+    or of two single points, is compared.
     """
+    links = Links(a, b, same, threshold)
     limit = float(np.sqrt(2.0 - 2.0 * threshold))
-    counts_a, counts_b = np.zeros(len(a.cls), np.int64), np.zeros(len(b.cls), np.int64)
-    links: list[np.ndarray] = []
-    i, j = (x.ravel() for x in np.meshgrid(np.arange(len(a.first[0])), np.arange(len(b.first[0])), indexing="ij"))
-    if same:
-        i, j = i[i <= j], j[i <= j]
-    depth = len(a.first)
-    for d in range(depth):
-        keep, whole = np.zeros(len(i), bool), np.zeros(len(i), bool)
-        for at in range(0, len(i), 32768):
-            x, y = i[at : at + 32768], j[at : at + 32768]
-            dot = np.einsum("ij,ij->i", a.points[a.first[d][x]], b.points[b.first[d][y]])
-            gap, reach = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * dot)), a.radius[d][x] + b.radius[d][y]
-            keep[at : at + 32768] = gap - reach <= limit + SLACK
-            whole[at : at + 32768] = gap + reach <= limit - SLACK
-        for x, y in zip(i[whole], j[whole], strict=True):
-            own, other = slice(a.first[d][x], a.first[d][x] + a.size[d][x]), slice(b.first[d][y], b.first[d][y] + b.size[d][y])
-            if same and x == y:
-                counts_a[own] += a.copies[own].sum() - a.copies[own]
-                if a.size[d][x] > 1:
-                    links.append(np.stack([np.full(a.size[d][x] - 1, a.cls[own.start]), a.cls[own][1:]], 1))
-                continue
-            counts_a[own] += b.copies[other].sum()
-            counts_b[other] += a.copies[own].sum()
-            links.append(np.stack([np.full(b.size[d][y], a.cls[own.start]), b.cls[other]], 1))
-            links.append(np.stack([a.cls[own], np.full(a.size[d][x], b.cls[other.start])], 1))
-        i, j = i[keep & ~whole], j[keep & ~whole]
-        if d < depth - 1:
-            ni, nj = np.diff(a.kids[d])[i], np.diff(b.kids[d])[j]
-            pair = np.repeat(np.arange(len(i)), ni * nj)
-            nth = flat_ranges(np.zeros(len(i), np.int64), ni * nj)
-            up_i, up_j = i[pair], j[pair]
-            i, j = a.kids[d][up_i] + nth // nj[pair], b.kids[d][up_j] + nth % nj[pair]
+    last = len(a.first) - 1
+    todo: list[tuple[int, np.ndarray, np.ndarray]] = []
+
+    def judge(d: int, x: np.ndarray, y: np.ndarray, gap: np.ndarray) -> None:
+        reach = a.radius[d][x] + b.radius[d][y]
+        whole = gap + reach <= limit - SLACK
+        links.whole(d, x[whole], y[whole])
+        rest = ~whole & (gap - reach <= limit + SLACK)
+        x, y, reach = x[rest], y[rest], reach[rest]
+        final = (reach == 0) | (d == last)
+        links.compare(d, x[final], y[final])
+        if not final.all():
+            todo.append((d, x[~final], y[~final]))
+
+    def meet(d: int, x0: int, x1: int, y0: int, y1: int, triangle: bool) -> None:
+        """All nodes of two ranges, some rows at a time."""
+        right, rows = b.points[b.first[d][y0:y1]], max(1, PAIRS // max(1, y1 - y0))
+        for at in range(x0, x1, rows):
+            to = min(x1, at + rows)
+            gap = far(a.points[a.first[d][at:to]], right)
+            near = gap - b.radius[d][y0:y1] <= a.radius[d][at:to, None] + (limit + SLACK)
+            if triangle:
+                near &= np.arange(at, to)[:, None] <= np.arange(y0, y1)
+            i, j = np.nonzero(near)
+            judge(d, at + i, y0 + j, gap[i, j])
+
+    meet(0, 0, len(a.first[0]), 0, len(b.first[0]), same)
+    while todo:
+        d, x, y = todo.pop()
+        m, n = np.diff(a.kids[d])[x], np.diff(b.kids[d])[y]
+        large = m * n > PAIRS // 4
+        for i, j in zip(x[large].tolist(), y[large].tolist(), strict=True):
+            meet(d + 1, a.kids[d][i], a.kids[d][i + 1], b.kids[d][j], b.kids[d][j + 1], same and i == j)
+        x, y, m, n = x[~large], y[~large], m[~large], n[~large]
+        for part in chunks(m * n):
+            pair = np.repeat(part, (m * n)[part])
+            nth = flat_ranges(np.zeros(len(part), np.int64), (m * n)[part])
+            i, j = a.kids[d][x[pair]] + nth // n[pair], b.kids[d][y[pair]] + nth % n[pair]
             if same:
                 i, j = i[i <= j], j[i <= j]
-    order = np.argsort(i, kind="stable")
-    i, j = i[order], j[order]
-    for part in np.split(np.arange(len(i)), np.flatnonzero(np.diff(i)) + 1) if len(i) else ():
-        x = i[part[0]]
-        own = np.arange(a.first[-1][x], a.first[-1][x] + a.size[-1][x])
-        other = flat_ranges(b.first[-1][j[part]], b.size[-1][j[part]])
-        hit = a.points[own] @ b.points[other].T >= threshold
-        if same:
-            hit &= own[:, None] < other[None, :]
-        p, q = np.nonzero(hit)
-        np.add.at(counts_a, own[p], b.copies[other[q]])
-        np.add.at(counts_b, other[q], a.copies[own[p]])
-        links.append(np.stack([a.cls[own[p]], b.cls[other[q]]], 1))
-    if same:
-        counts_a, counts_b = counts_a + counts_b, np.zeros(0, np.int64)
-    return counts_a, counts_b, forest(np.concatenate(links) if links else np.zeros((0, 2), np.int64))
-
-
-def forest(links: np.ndarray) -> np.ndarray:
-    """As few of the links as join the same points."""
-    up: dict[int, int] = {}
-
-    def top(x: int) -> int:
-        while up.setdefault(x, x) != x:
-            up[x] = up[up[x]]
-            x = up[x]
-        return x
-
-    out = []
-    for x, y in links.tolist():
-        p, q = top(x), top(y)
-        if p != q:
-            up[max(p, q)] = min(p, q)
-            out.append((x, y))
-    return np.array(out, np.int64).reshape(-1, 2)
+            dot = np.einsum("ij,ij->i", a.points[a.first[d + 1][i]], b.points[b.first[d + 1][j]])
+            judge(d + 1, i, j, np.sqrt(np.maximum(0.0, 2.0 - 2.0 * dot)))
+    return links
 
 
 def _pair(threshold: float):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        a = Block(pdf[pdf["side"] == 0])
-        right = pdf[pdf["side"] == 1]
+        a, right = Block(pdf[pdf["side"] == 0]), pdf[pdf["side"] == 1]
         same = not len(right)
-        b = a if same else Block(right)
-        counts_a, counts_b, links = traverse(a, b, same, threshold)
-        cls, n = (a.cls, counts_a) if same else (np.r_[a.cls, b.cls], np.r_[counts_a, counts_b])
-        some = n > 0
-        return pd.DataFrame({"x": np.r_[cls[some], links[:, 0]], "y": np.r_[np.full(some.sum(), -1), links[:, 1]], "n": np.r_[n[some], np.zeros(len(links), np.int64)]})
+        return traverse(a, a if same else Block(right), same, threshold).result()
+
+    return run
+
+
+def _choose(radius: float):
+    """A net of the points looked at of a node; where it takes too many centres, the first alone, and ``spread``."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("cls", kind="stable")
+        points, node = matrix(pdf["v"]), pdf["node"].iloc[0]
+        owner, centers = cover(points, radius, CHILDREN + 1)
+        spread = len(centers) > CHILDREN or radius == 0
+        centers = centers[:1] if spread else centers
+        names = [f"{node}/{pdf['cls'].iloc[k]}" for k in centers]
+        return pd.DataFrame({"parent": node, "node": names, "center": list(points[centers]), "spread": spread})
+
+    return run
+
+
+def _assign(radius: float):
+    """Moves a bounded part of a node's points to the nearest centre within the radius, or (spread) to a child by their hash."""
+
+    def run(points: pd.DataFrame, centers: pd.DataFrame) -> pd.DataFrame:
+        names = ["node", "parent", "pieces", "far", "cls", "least", "copies", "v"]
+        if not len(points) or not len(centers):  # without a centre points wait for the next round
+            return points.assign(node=None, far=0.0).astype({"node": object, "v": object})[names]
+        centers = centers.sort_values("node", kind="stable")
+        child, gap = centers["node"].to_numpy(), far(matrix(points["v"]), matrix(centers["center"]))
+        best = gap.argmin(1)
+        gap = gap[np.arange(len(gap)), best]
+        if centers["spread"].iloc[0]:
+            node = [f"{child[0]}#{h}" for h in (points["draw"] % points["pieces"]).tolist()]
+        else:
+            node = np.where(gap <= radius, child[best], None)
+        return points.assign(node=node, far=gap)[names]
 
     return run
 
 
 def _grow(points: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Splits nodes until none has more than LEAF points: the points by leaf, and all nodes."""
+    """Splits nodes until none has more than LEAF points: the points by leaf, and all nodes.
+
+    A level's children have its radius: a net of the points looked at takes what
+    lies within it, the others go into the next round's net. Nodes that a small
+    net can't part (their points are far from each other, or closer than the
+    last radius) are dealt by hash among children of one centre; so is what the
+    rounds leave. Their radius is measured like any other, so all bounds hold.
+    """
     spark = points.sparkSession
     nodes = spark.createDataFrame([], "parent string, node string, center array<double>, radius double")
-    done = None
-    for depth in range(DEPTH):
+    done = points.limit(0)
+    for radius in (*RADII, 0.0):
         sizes = points.groupBy("node").agg(F.count("*").alias("size"))
         marked = points.join(sizes, "node")
-        small = marked.where(F.col("size") <= LEAF).drop("size")
-        done = small if done is None else done.unionByName(small)
-        big = cut(marked.where(F.col("size") > LEAF))
+        done = done.unionByName(marked.where(F.col("size") <= LEAF).drop("size"))
+        pieces = (F.col("size") * 2 / LEAF).cast("long") + 1
+        big = cut(marked.where(F.col("size") > LEAF).withColumn("pieces", pieces).drop("size"))
         if big.isEmpty():
             break
-        if depth == DEPTH - 1:
-            raise RuntimeError("nodes of the cover tree are still too large at the last level")
-        draw = F.pmod(F.xxhash64("cls", F.lit(depth)), F.lit(1_000_003)) / 1_000_003.0
-        looked = big.where(draw * F.col("size") <= LOOKED_AT).select("node", "cls", "v")
-        centers = cut(looked.groupBy("node").applyInPandas(_choose, "parent string, node string, center array<double>"))
-        # parts of a node of bounded size, each with a copy of the node's few centres
-        parts = (F.col("size") / (2 * LEAF)).cast("int") + 1
-        own = big.withColumn("part", F.pmod(F.xxhash64("cls", F.lit(-1)), parts)).select(F.col("node").alias("parent"), "part", "cls", "copies", "v")
-        many = big.groupBy("node").agg(F.first(parts).alias("parts"))
-        spread = centers.join(many.withColumnRenamed("node", "parent"), "parent").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("parent", F.col("part").cast("long").alias("part"), "node", "center")
-        moved = own.withColumn("part", F.col("part").cast("long")).groupBy("parent", "part").cogroup(spread.groupBy("parent", "part")).applyInPandas(_assign, "node string, far double, " + POINT)
-        moved = cut(moved)
-        reach = moved.groupBy("node").agg(F.max("far").alias("radius"), F.count("*").alias("size"))
-        held = cut(centers.join(reach, "node"))
-        nodes = nodes.unionByName(held.select("parent", "node", "center", "radius"))
-        # a child that got nearly all of its parent's points: they lie too close for distances to part, so a hash does
-        whole = sizes.withColumnRenamed("node", "parent").withColumnRenamed("size", "of")
-        stuck = cut(held.where(F.col("radius") <= RADII[-1]).join(whole, "parent").where((F.col("size") > LEAF) & (F.col("size") > STUCK * F.col("of"))).select("node", "center", (F.col("size") * 2 / LEAF).cast("int").alias("pieces")))
-        if not stuck.isEmpty():
-            named = F.concat_ws("/", "node", F.pmod(F.xxhash64("cls", F.lit(-2)), F.col("pieces")))
-            moved = cut(moved.join(stuck.drop("center"), "node", "left").withColumn("to", F.when(F.col("pieces").isNull(), F.col("node")).otherwise(named)))
-            pieces = moved.where("pieces IS NOT NULL").groupBy("node", "to").agg(F.max("far").alias("radius"))
-            nodes = nodes.unionByName(pieces.join(stuck, "node").select(F.col("node").alias("parent"), F.col("to").alias("node"), "center", "radius"))
-            moved = moved.select(F.col("to").alias("node"), "far", "cls", "copies", "v")
-        points = moved.drop("far")
+        placed = None
+        for turn in range(ROUNDS):
+            within = radius if turn < ROUNDS - 1 else 0.0  # what the rounds leave
+            many = big.groupBy("node").agg(F.count("*").alias("left"))
+            draw = F.pmod(F.xxhash64("cls", F.lit(turn), F.lit(radius)), F.lit(1_000_003)).alias("draw")
+            looked = big.join(many, "node").where(draw / 1_000_003.0 * F.col("left") <= LOOKED_AT).select("node", "cls", "v")
+            centers = cut(looked.groupBy("node").applyInPandas(_choose(within), "parent string, node string, center array<double>, spread boolean"))
+            # parts of a node of bounded size, each with a copy of the node's few centres
+            part = F.pmod(F.xxhash64("cls", F.lit(-1)), F.col("pieces")).alias("part")
+            parts = big.select(F.col("node").alias("parent"), part, "pieces", F.pmod(F.xxhash64("cls", F.lit(-2)), F.lit(1 << 40)).alias("draw"), "cls", "least", "copies", "v")
+            spread = big.groupBy("node").agg(F.first("pieces").alias("pieces")).withColumnRenamed("node", "parent")
+            spread = centers.join(spread, "parent").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1))).drop("pieces")
+            fields = "node string, parent string, pieces long, far double, " + POINT
+            moved = cut(parts.groupBy("parent", "part").cogroup(spread.groupBy("parent", "part")).applyInPandas(_assign(within), fields))
+            kept = moved.where("node IS NOT NULL")
+            reach = kept.groupBy("node").agg(F.max("far").alias("radius"), F.first("parent").alias("parent"))
+            named = reach.join(centers.select(F.col("node").alias("of"), "center"), F.regexp_replace("node", "#[0-9]+$", "") == F.col("of"))
+            nodes = nodes.unionByName(named.select("parent", "node", "center", "radius"))
+            placed = kept if placed is None else placed.unionByName(kept)
+            big = moved.where("node IS NULL").select(F.col("parent").alias("node"), "pieces", "cls", "least", "copies", "v")
+            if big.isEmpty():
+                break
+        points = placed.select("node", "cls", "least", "copies", "v")
+    else:
+        done = done.unionByName(points)
     return cut(done), cut(nodes)
 
 
@@ -283,44 +369,44 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.98) -> DataFrame:
     smallest vec_id reachable over links, kept says whether it is the own one.
 
     Vectors of a label that are equal, or differ in length only, are one point
-    with a number of copies. Each label's
-    points grow a cover tree whose levels have halving radii: across tasks until
-    a node has at most ``LEAF`` points, then inside each leaf. Radii are measured
-    over all points of a node, so bounds hold whatever points the centres were
-    chosen from. Pairs of nodes go down both trees together, pruned by their
-    covering radii; what remains are pairs of leaves, each a task of bounded
-    size, which count links and return a forest of them. No group is gathered
-    whole, and a tight group is counted without its pairs being listed. Points too
-    close for distances to part go into leaves by a hash.
+    with a number of copies. Each label's points grow a cover tree whose levels
+    have halving radii: across tasks until a node has at most ``LEAF`` points,
+    then inside each leaf. Pairs of nodes go down both trees together, pruned by
+    their covering radii, which are measured; what remains across tasks are
+    pairs of leaves, each a task of bounded size, which count links and return
+    one link a point at most to join them. No group is gathered whole, and a
+    tight group is counted without its pairs being listed.
+
+    Directions without any order (random ones in many dimensions) have no small
+    net: their leaves are parted by a hash and all meet, as in any exact method,
+    so work and shuffle grow with the square of their number over ``LEAF``.
 
     A vector that is null, empty, all zero or has a null or non-finite component
     links with nothing, and so does one whose label or vec_id is null; vectors of
-    other lengths are apart. Repeated rows count as copies. No rows give none;
-    other columns are ignored.
+    other lengths are apart. Repeated rows count as copies, and vectors that
+    share a vec_id are one place of the links to follow, each with its own
+    n_links. No rows give none; other columns are ignored.
     """
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("string").alias("label"), F.col("embedding").cast("array<double>").alias("v"))
     sound = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.col("v").isNotNull()
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
     able = rows.where(sound).where(F.coalesce(finite, F.lit(False)))
-    able = able.withColumn("node", F.concat(F.regexp_replace("label", "/", "//"), F.lit("#"), F.size("v"))).withColumn("node", F.md5("node"))
-    classes = cut(able.groupBy("node", "v").agg(F.min("vec_id").alias("cls"), F.count("*").alias("copies")))
-    # vectors that differ in length only are one point
-    units = cut(classes.select("node", "cls", "copies", "v").mapInPandas(_unit, f"node string, {POINT}, unit array<double>"))
-    merged = cut(units.groupBy("node", "unit").agg(F.min("cls").alias("cls"), F.sum("copies").alias("copies")))
-    classes = cut(units.select("node", "v", "unit").join(merged, ["node", "unit"]).select("node", "v", "cls", "copies"))
-    points, nodes = _grow(merged.select("node", "cls", "copies", F.col("unit").alias("v")))
+    able = able.select("vec_id", F.md5(F.concat(F.col("label"), F.lit("#"), F.size("v"))).alias("node"), F.pmod(F.xxhash64("vec_id"), F.lit(64)).cast("int").alias("salt"), "v")
+    able = cut(able.mapInPandas(_unit, "vec_id long, node string, salt int, v array<double>"))
+    classes = able.groupBy("node", "v").agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"), F.collect_set("salt").alias("salts"))
+    classes = cut(classes.withColumn("cls", F.monotonically_increasing_id()))
+    points, nodes = _grow(classes.select("node", "cls", "least", "copies", "v"))
     pairs = _leaf_pairs(points, nodes, threshold)
-    leaves = cut(points.groupBy("node").applyInPandas(_levels, f"node string, {POINT}, path array<int>"))
+    leaves = points.groupBy("node").applyInPandas(_nest, f"node string, {POINT}, place long, path array<int>")
     pair = F.concat_ws("|", "a", "b").alias("pair")
     sides = pairs.select(pair, F.col("a").alias("node"), F.lit(0).alias("side")).unionByName(pairs.where("a <> b").select(pair, F.col("b").alias("node"), F.lit(1).alias("side")))
-    found = cut(sides.join(leaves, "node").groupBy("pair").applyInPandas(_pair(threshold), "x long, y long, n long"))
-    counts = found.where("y = -1").groupBy("x").agg(F.sum("n").alias("n"))
-    known = components(found.where("y <> -1").select(F.col("x").alias("a"), F.col("y").alias("b")))
-    named = (
-        classes.join(counts, classes["cls"] == counts["x"], "left")
-        .join(known, classes["cls"] == known["node"], "left")
-        .select(classes["node"], "v", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "cls").alias("component_id"))
-    )
-    linked = able.join(named, ["node", "v"]).select("vec_id", "n_links", "component_id")
+    found = cut(sides.join(leaves, "node").groupBy("pair").applyInPandas(_pair(threshold), "x long, y long, n long, count boolean"))
+    counts = found.where("count").groupBy(F.col("x").alias("cls")).agg(F.sum("n").alias("n"))
+    known = components(found.where("NOT count").select(F.col("x").alias("a"), F.col("y").alias("b")))
+    named = classes.join(counts, "cls", "left").join(known.withColumnRenamed("node", "least"), "least", "left")
+    named = named.select("node", "v", F.explode("salts").alias("salt"), (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "least").alias("component_id"))
+    # a vector that very many rows have is met in as many tasks as its rows have salts
+    linked = able.join(named, ["node", "v", "salt"]).select("vec_id", "n_links", "component_id")
+    # rows of one vec_id agree on what it reaches
     alone = rows.where(~sound | ~F.coalesce(finite, F.lit(False))).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.unionByName(alone).select("vec_id", "n_links", "component_id", F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept"))

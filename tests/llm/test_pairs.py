@@ -113,6 +113,48 @@ def test_vectors_that_distances_do_not_part(spark, monkeypatch):
     assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in got} == H.vector_links(rows) and len(got) == len(rows)
 
 
+def test_cover_tree_invariants():
+    """Nested halving nets: children lie within their level's radius of their centre, which is their parent's or apart from it."""
+    rng = np.random.default_rng(3)
+    points = np.concatenate([c + rng.normal(size=(60, 8)) * s for c, s in zip(rng.normal(size=(5, 8)), (0.0, 0.01, 0.05, 0.2, 0.5), strict=True)])
+    points /= np.linalg.norm(points, axis=1)[:, None]
+    order, path = covertree.nest(points)
+    points = points[order]
+    assert sorted(order) == list(range(300))
+    for level, radius in enumerate(covertree.RADII):
+        heads = [int(np.flatnonzero(path[:, level] == k)[0]) for k in range(path[-1, level] + 1)]
+        gap = np.linalg.norm(points - points[np.array(heads)[path[:, level]]], axis=1)
+        assert gap.max() <= radius + 1e-7
+        if level:
+            assert {int(np.flatnonzero(path[:, level - 1] == k)[0]) for k in range(path[-1, level - 1] + 1)} <= set(heads)
+            for k in range(path[-1, level - 1] + 1):
+                own = [h for h in heads if path[h, level - 1] == k]
+                apart = covertree.far(points[own], points[own]) + 9 * np.eye(len(own))
+                assert apart.min() > radius - 1e-7
+
+
+@pytest.mark.parametrize("children", [64, 2])
+def test_vectors_in_many_leaves(spark, children, monkeypatch):
+    """Nodes parted by nets over rounds, and nodes dealt by hash, with pairs of leaves between them."""
+    monkeypatch.setattr(covertree, "LEAF", 40)
+    monkeypatch.setattr(covertree, "LOOKED_AT", 30)
+    monkeypatch.setattr(covertree, "CHILDREN", children)
+    rng = np.random.default_rng(11)
+    centers = rng.normal(size=(9, 6))
+    rows = [(k, (centers[k % 9] + rng.normal(size=6) * rng.choice([0.02, 0.1, 0.4])).tolist(), k % 2) for k in range(700)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(3)
+    got = covertree.near_vectors(df).collect()
+    assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in got} == H.vector_links(rows) and len(got) == len(rows)
+
+
+def test_vectors_that_share_an_id(spark):
+    """Each vector has its own links; what either reaches, their id reaches."""
+    a, b = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0]
+    rows = [(7, a, 0), (7, b, 0), (3, [1.0, 0.001, 0.0], 0), (5, [0.0, 1.0, 0.001], 0), (6, [0.0, 1.0, -0.001], 0), (9, [0.0, 0.0, 1.0], 0)]
+    got = sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in covertree.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect())
+    assert got == [(3, 1, 3), (5, 2, 3), (6, 2, 3), (7, 1, 3), (7, 2, 3), (9, 0, 9)]
+
+
 def test_vectors_repeated_rows(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0], 0, "x"), (1, [1.0, 0.0], 0, "x"), (2, [0.0, 1.0], 0, "y"), (None, [1.0, 0.0], 0, "z")], "vec_id long, embedding array<float>, label int, node string")
     got = sorted((r["vec_id"] or -1, r["n_links"]) for r in covertree.near_vectors(df).collect())

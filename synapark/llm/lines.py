@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from .common import mix64
 
-#: Characters of a line that may bring documents together, and of a block that is deleted.
-ANCHOR_CHARS, BLOCK_CHARS = 20, 50
+#: Characters of a block that is deleted; holders of a run of lines up to which it is rare.
+BLOCK_CHARS, RARE = 50, 8
 #: Lines of pairs that are looked at in one go; bounds the temporaries.
 SLICE_LINES = 500_000
 #: Base of the rolling hash of runs, and its inverse modulo 2**64.
@@ -82,17 +82,8 @@ def blocks(earlier: list[int], later: list[int], chars: list[int], least: int =
     return [run for run in out if sum(chars[j] for j in run) >= least]
 
 
-def _align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        rows = []
-        for doc, mark, later, chars, earlier in zip(batch["doc_id"], batch["mark"], batch["later"], batch["chars"], batch["earlier"], strict=True):
-            found = blocks(earlier.tolist(), later.tolist(), chars.tolist())
-            rows.append((doc, mark, [j for run in found for j in run], len(found)))
-        yield pd.DataFrame(rows, columns=["doc_id", "mark", "drop", "n_blocks"])
-
-
-def least_runs(codes: np.ndarray, chars: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The shortest run of ``BLOCK_CHARS`` characters from each line on, and up to each: its document, start, end and hash.
+def least_runs(codes: np.ndarray, chars: np.ndarray, sizes: np.ndarray, least: int = BLOCK_CHARS) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The shortest run of ``least`` characters from each line on, and up to each: its document, start, end and hash.
 
     Documents of ``sizes`` lines lie behind one another. Every longer block
     consists of such runs, and has the same ones wherever it stands.
@@ -101,8 +92,8 @@ def least_runs(codes: np.ndarray, chars: np.ndarray, sizes: np.ndarray) -> tuple
     total = np.r_[0, np.cumsum(chars, dtype=np.int64)]
     row = np.repeat(np.arange(len(sizes)), sizes)
     last = np.cumsum(sizes, dtype=np.int64)
-    ends = np.searchsorted(total, total[:-1] + BLOCK_CHARS, "left")
-    starts = np.searchsorted(total, total[1:] - BLOCK_CHARS, "right") - 1
+    ends = np.searchsorted(total, total[:-1] + least, "left")
+    starts = np.searchsorted(total, total[1:] - least, "right") - 1
     fore = np.flatnonzero(ends <= last[row])
     back = np.flatnonzero(starts >= (last - sizes)[row])
     back = back[ends[starts[back]] != back + 1]  # else it is there already
@@ -119,99 +110,134 @@ def _flat(column: pd.Series) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(column.to_list()), np.array([len(x) for x in column], np.int64)
 
 
-def _anchors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        if len(batch):
-            codes, sizes = _flat(batch["codes"])
-            row, _, _, found = least_runs(codes, _flat(batch["chars"])[0], sizes)
-            yield pd.DataFrame({"doc_id": batch["doc_id"].to_numpy()[row], "mark": batch["mark"].to_numpy()[row], "line": found.view(np.int64)})
+#: A span of lines is its first one above 31 bits of their number.
+_PACK = 31
+#: Tasks that a run of very many holders is met in.
+SALTS = 64
+
+
+def _runs(least: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Hash of every shortest run of a document, once each."""
+        for batch in batches:
+            if len(batch):
+                codes, sizes = _flat(batch["codes"])
+                row, _, _, found = least_runs(codes, _flat(batch["chars"])[0], sizes, least)
+                order = np.lexsort((found, row))
+                row, found = row[order], found[order]
+                fresh = np.r_[True, (row[1:] != row[:-1]) | (found[1:] != found[:-1])][: len(row)]
+                row, found = row[fresh], found[fresh]
+                doc = batch["doc_id"].to_numpy()[row]
+                salt = (mix64(doc.astype(np.int64).view(np.uint64)) % np.uint64(SALTS)).astype(np.int32)
+                yield pd.DataFrame({"doc_id": doc, "mark": batch["mark"].to_numpy()[row], "salt": salt, "run": found.view(np.int64)})
 
+    return run
 
-def _align_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """As ``_align``; blocks of a pair that its alignment leaves out (crossed or repeated) are then aligned by themselves."""
+
+def _spans(gone: np.ndarray) -> list[int]:
+    edge = np.diff(np.r_[0, gone.astype(np.int8), 0])
+    start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    return (start << _PACK | (end - start)).tolist()
+
+
+def _align(least: int):
+    """Lines of the later one of each pair that the earlier one has in blocks of enough characters.
+
+    Patience alignment finds blocks in step; runs that it leaves out (crossed or
+    repeated) are then aligned by themselves.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            size = np.array([len(x) + len(y) for x, y in zip(batch["later"], batch["earlier"], strict=True)], np.int64)
+            for _, part in batch.groupby(np.cumsum(size) // SLICE_LINES, sort=False):
+                later, sizes = _flat(part["later"])
+                first = np.cumsum(sizes) - sizes
+                gone = np.zeros(len(later), bool)
+                for at, b, chars, a in zip(first.tolist(), part["later"], part["chars"], part["earlier"], strict=True):
+                    gone[[at + j for block in blocks(a.tolist(), b.tolist(), chars.tolist(), least) for j in block]] = True
+                row, s, e, found = least_runs(later, _flat(part["chars"])[0], sizes, least)
+                left = np.r_[0, np.cumsum(~gone)]
+                open_ = left[e] > left[s]
+                row, s, e, found = row[open_], s[open_], e[open_], found[open_]
+                earlier, theirs = _flat(part["earlier"])
+                there, _, _, known = least_runs(earlier, _flat(part["earlier_chars"])[0], theirs, least)
+                hit = np.isin(mix64(found ^ mix64(row.astype(np.uint64))), mix64(known ^ mix64(there.astype(np.uint64))))
+                edge = np.zeros(len(later) + 1, np.int64)
+                np.add.at(edge, s[hit], 1)
+                np.add.at(edge, e[hit], -1)
+                gone |= np.cumsum(edge)[:-1] > 0
+                spans = [_spans(gone[at : at + n]) for at, n in zip(first.tolist(), sizes.tolist(), strict=True)]
+                yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy(), "mark": part["mark"].to_numpy(), "spans": spans})
+
+    return run
+
+
+def _flags(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Whether each line goes, up to the last that does, from the spans that the pairs of a document found."""
     for batch in batches:
-        size = np.array([len(x) + len(y) for x, y in zip(batch["later"], batch["earlier"], strict=True)], np.int64)
-        for _, part in batch.groupby(np.cumsum(size) // SLICE_LINES, sort=False):
-            rows = []
-            later, sizes = _flat(part["later"])
-            first = np.cumsum(sizes) - sizes
-            gone, n_blocks = np.zeros(len(later), bool), []
-            for at, b, chars, a in zip(first.tolist(), part["later"], part["chars"], part["earlier"], strict=True):
-                runs = blocks(a.tolist(), b.tolist(), chars.tolist())
-                gone[[at + j for run in runs for j in run]] = True
-                n_blocks.append(len(runs))
-            row, s, e, found = least_runs(later, _flat(part["chars"])[0], sizes)
-            left = np.r_[0, np.cumsum(~gone)]
-            open_ = left[e] > left[s]
-            row, s, e, found = row[open_], s[open_], e[open_], found[open_]
-            earlier, theirs = _flat(part["earlier"])
-            there, _, _, known = least_runs(earlier, _flat(part["earlier_chars"])[0], theirs)
-            hit = np.isin(mix64(found ^ mix64(row.astype(np.uint64))), mix64(known ^ mix64(there.astype(np.uint64))))
-            edge = np.zeros(len(later) + 1, np.int64)
-            np.add.at(edge, s[hit], 1)
-            np.add.at(edge, e[hit], -1)
-            more = (np.cumsum(edge)[:-1] > 0) & ~gone
-            gone |= more
-            for doc, mark, at, n, k in zip(part["doc_id"], part["mark"], first.tolist(), sizes.tolist(), n_blocks, strict=True):
-                own = more[at : at + n]
-                rows.append((doc, mark, np.flatnonzero(gone[at : at + n]).tolist(), k + int(np.diff(np.r_[0, own.astype(np.int8)]).clip(0).sum())))
-            yield pd.DataFrame(rows, columns=["doc_id", "mark", "drop", "n_blocks"])
-
-
-def dedup_lines(docs: DataFrame, every: bool = False) -> DataFrame:
-    """Deletes from each document the blocks of lines that it has from earlier ones.
-
-    A line of at least ``ANCHOR_CHARS`` characters that an earlier document has
-    too brings a document together with the first that has it. The first holder
-    stands for all others: a rare line finds its one partner, and a line that
-    very many share still adds one pair a document, never all pairs of the
-    group. The two are aligned by patience diff over the hashes of their lines,
-    and aligned common blocks of at least ``BLOCK_CHARS`` characters go from the
-    later one (larger doc_id; rows that share a doc_id come in the order of
-    their text's hash). The first holder keeps its own lines.
-
-    So far only what aligns with first holders of long lines goes. With
-    ``every``, as in the registered queries, all blocks go that any earlier
-    document has. What brings documents together is then each shortest run of
-    ``BLOCK_CHARS`` characters, of lines of any length: whatever is shared with
-    any document is made of such runs, and each is shared with its own first
-    holder too. Runs of a pair that patience leaves out, since they stand in
-    crossed order or repeatedly, are then aligned by themselves, so no other
-    holder can add any, and a run still adds one pair a document.
+        rows = []
+        for spans in batch["spans"]:
+            start, size = spans >> _PACK, spans & ((1 << _PACK) - 1)
+            edge = np.zeros(int((start + size).max()) + 1, np.int64)
+            np.add.at(edge, start, 1)
+            np.add.at(edge, start + size, -1)
+            gone = np.cumsum(edge)[:-1] > 0
+            rows.append((gone, int(gone.sum()), int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())))
+        yield pd.concat([batch[["doc_id", "mark"]].reset_index(drop=True), pd.DataFrame(rows, columns=["flags", "n_removed", "n_blocks"])], axis=1)
+
+
+def dedup_lines(docs: DataFrame, least: int = BLOCK_CHARS, rare: int = RARE) -> DataFrame:
+    """Deletes from each document the blocks of lines that any earlier document has.
+
+    A block is a row of lines of at least ``least`` characters together. Whatever
+    two documents share is made of shortest such runs, single lines or a few
+    short ones, whose hashes bring documents together: through a rare run, of at
+    most ``rare`` holders, each holder meets every earlier one; through a common
+    run each meets the first, which is the exact way for those: the first holder
+    has the whole run, so no other can add to it, and a run that very many share
+    still adds one pair a document, never all pairs of the group.
+
+    Pairs are aligned by patience diff over the hashes of their lines, and aligned
+    common blocks go from the later one (larger doc_id; rows that share a doc_id
+    come in the order of their text's hash). Runs of a pair that patience leaves
+    out, since they stand in crossed order or repeatedly, are then aligned by
+    themselves. The first holder keeps its own lines.
 
     Pairing and alignment move line hashes of 8 bytes; texts are shuffled once,
     to take the lines out. Lines are paired by one hash and compared by another.
 
     Returns the columns of ``docs`` with ``text`` shortened, and n_lines,
-    n_removed and n_blocks (which replace columns of those names). A null text
-    stays null with no lines; null ids take no part; equal rows are one document
-    and get one result; no rows give none.
+    n_removed and n_blocks (rows of removed lines), which replace columns of those
+    names. A null text stays null with no lines; null ids take no part; equal rows
+    are one document and get one result; no rows give none.
     """
-    own = [n for n in docs.columns if n.lower() not in ("n_lines", "n_removed", "n_blocks", "mark", "drop")]
+    own = [n for n in docs.columns if n.lower() not in ("n_lines", "n_removed", "n_blocks", "mark", "flags")]
     lines = F.split("text", "\n", -1)
     marked = docs.select(*[F.col(f"`{n}`") for n in own], F.xxhash64("text").alias("mark"))
     able = marked.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "mark", "text")
-    arrays = able.select(
-        "doc_id", "mark", F.transform(lines, lambda x: F.xxhash64(x, F.lit(1))).alias("later"), F.transform(lines, lambda x: F.length(x)).alias("chars")
-    ).dropDuplicates(["doc_id", "mark"])
+    chars = F.transform(lines, lambda x: F.length(x)).alias("chars")
+    arrays = able.select("doc_id", "mark", F.transform(lines, lambda x: F.xxhash64(x, F.lit(1))).alias("later"), chars).dropDuplicates(["doc_id", "mark"])
+    coded = able.select("doc_id", "mark", F.transform(lines, lambda x: F.xxhash64(x)).alias("codes"), chars)
     holder = F.struct("doc_id", "mark")
-    if every:
-        coded = able.select("doc_id", "mark", F.transform(lines, lambda x: F.xxhash64(x)).alias("codes"), F.transform(lines, lambda x: F.length(x)).alias("chars"))
-        anchors = coded.mapInPandas(_anchors, "doc_id long, mark long, line long")
-    else:
-        anchors = able.select("doc_id", "mark", F.explode(F.array_distinct(F.transform(F.filter(lines, lambda x: F.length(x) >= ANCHOR_CHARS), lambda x: F.xxhash64(x)))).alias("line"))
-    first = anchors.groupBy("line").agg(F.min(holder).alias("first"), F.max(holder).alias("final")).where("first < final").select("line", "first")
-    pairs = anchors.join(first, "line").where(holder != F.col("first")).select("doc_id", "mark", "first").distinct()
+    runs = coded.mapInPandas(_runs(least), "doc_id long, mark long, salt int, run long")
+    # combined before it is shuffled; the salts say in which tasks a run's holders are
+    shared = runs.groupBy("run").agg(F.min(holder).alias("first"), F.max(holder).alias("final"), F.count("*").alias("held"), F.collect_set("salt").alias("salts")).where("first < final")
+    met = runs.join(shared.select("run", "first", "held", F.explode("salts").alias("salt")), ["run", "salt"]).where(holder != F.col("first"))
+    few = met.where(F.col("held").between(3, rare)).groupBy("run").agg(F.collect_set(holder).alias("holders"))
+    few = few.select(F.explode("holders").alias("later"), "holders").select("later.*", F.explode(F.filter("holders", lambda x: x < F.col("later"))).alias("first"))
+    pairs = met.select("doc_id", "mark", "first").unionByName(few).distinct()
     earlier = arrays.select(F.struct("doc_id", "mark").alias("first"), F.col("later").alias("earlier"), F.col("chars").alias("earlier_chars"))
-    both = pairs.join(arrays, ["doc_id", "mark"]).join(earlier, "first").select("doc_id", "mark", "later", "chars", "earlier", *["earlier_chars"] * every)
-    found = both.mapInPandas(_align_all if every else _align, "doc_id long, mark long, drop array<int>, n_blocks long").where("n_blocks > 0")
-    # a document has at most as many pairs as lines, or twice as many
-    found = found.groupBy("doc_id", "mark").agg(F.array_distinct(F.flatten(F.collect_list("drop"))).alias("drop"), F.sum("n_blocks").alias("n_blocks"))
+    both = pairs.join(arrays, ["doc_id", "mark"]).join(earlier, "first").select("doc_id", "mark", "later", "chars", "earlier", "earlier_chars")
+    found = both.mapInPandas(_align(least), "doc_id long, mark long, spans array<long>").select("doc_id", "mark", F.explode("spans").alias("span"))
+    # a document has no more spans than pairs of its lines
+    found = found.groupBy("doc_id", "mark").agg(F.collect_set("span").alias("spans"))
+    found = found.mapInPandas(_flags, "doc_id long, mark long, flags array<boolean>, n_removed long, n_blocks long")
     joined = marked.join(found, ["doc_id", "mark"], "left")
-    kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("drop", i)), "\n")
+    kept = F.array_join(F.filter(lines, lambda x, i: ~F.coalesce(F.get("flags", i), F.lit(False))), "\n")
     return joined.select(
-        *[F.when(F.col("drop").isNull(), F.col("text")).otherwise(kept).alias("text") if n == "text" else F.col(f"`{n}`") for n in own],
+        *[F.when(F.col("flags").isNull(), F.col("text")).otherwise(kept).alias("text") if n == "text" else F.col(f"`{n}`") for n in own],
         F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
-        F.coalesce(F.size("drop"), F.lit(0)).cast("long").alias("n_removed"),
+        F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"),
         F.coalesce("n_blocks", F.lit(0).cast("long")).alias("n_blocks"),
     )

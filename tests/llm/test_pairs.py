@@ -191,34 +191,6 @@ def test_merge_orders_like_a_sort():
     assert [a == b for a, b in zip(keys, keys[1:], strict=False)] == (group[1:] == group[:-1]).tolist()
 
 
-def brute_patience_lines(texts):
-    out = {}
-    first = {}
-    for i, t in sorted(texts):
-        for line in t.split("\n"):
-            if len(line) >= lines.ANCHOR_CHARS:
-                first.setdefault(line, i)
-    held = dict(texts)
-    for i, t in texts:
-        own = t.split("\n")
-        gone = set()
-        for partner in {first[x] for x in own if len(x) >= lines.ANCHOR_CHARS} - {i}:
-            for run in lines.blocks(held[partner].split("\n"), own, [len(x) for x in own]):
-                gone |= set(run)
-        out[i] = "\n".join(x for k, x in enumerate(own) if k not in gone)
-    return out
-
-
-def test_lines(spark):
-    rng = random.Random(8)
-    stock = [" ".join(H.words(600 + k, 9)) for k in range(30)] + ["", "short"]
-    texts = [(i, "\n".join(rng.choice(stock) if rng.random() < 0.4 else " ".join(H.words(1000 + 31 * i + k, 8)) for k in range(rng.randint(1, 14)))) for i in range(60)]
-    texts += [(60 + k, texts[k][1]) for k in range(5)]
-    rows = lines.dedup_lines(H.from_texts(spark, texts)).collect()
-    assert {r["doc_id"]: r["text"] for r in rows} == brute_patience_lines(texts) and len(rows) == len(texts)
-    assert sum(r["n_removed"] for r in rows) > 50
-
-
 def brute_all_lines(texts):
     """Without the lines of every run of enough characters that any earlier document has."""
     out, held = {}, set()
@@ -243,11 +215,30 @@ def test_lines_of_every_earlier_document(spark):
     texts += [(9 + k, "\n".join(rng.choice(pool) for _ in range(rng.randint(1, 16)))) for k in range(40)]
     want = brute_all_lines(texts)
     assert want[1] == ("between", 2) and want[6] == ("z\nw", 2) and want[8] == ("c\nd", 9)
-    rows = lines.dedup_lines(H.from_texts(spark, texts), every=True).collect()
+    rows = lines.dedup_lines(H.from_texts(spark, texts)).collect()
     assert {r["doc_id"]: (r["text"], r["n_removed"]) for r in rows} == want
     assert all((r["n_blocks"] > 0) == (r["n_removed"] > 0) for r in rows)
-    assert len(lines.dedup_lines(H.docs(spark), every=True).collect()) == len(H.awkward())
-    assert lines.dedup_lines(H.docs(spark).limit(0), every=True).count() == 0
+    assert len(lines.dedup_lines(H.docs(spark)).collect()) == len(H.awkward())
+    assert lines.dedup_lines(H.docs(spark).limit(0)).count() == 0
+
+
+def test_lines_of_mixed_documents(spark):
+    rng = random.Random(8)
+    stock = [" ".join(H.words(600 + k, 9)) for k in range(30)] + ["", "short"]
+    texts = [(i, "\n".join(rng.choice(stock) if rng.random() < 0.4 else " ".join(H.words(1000 + 31 * i + k, 8)) for k in range(rng.randint(1, 14)))) for i in range(60)]
+    texts += [(60 + k, texts[k][1]) for k in range(5)]
+    for rare in (8, 2):  # 2: the first holders alone give the same
+        rows = lines.dedup_lines(H.from_texts(spark, texts), rare=rare).collect()
+        assert {r["doc_id"]: (r["text"], r["n_removed"]) for r in rows} == brute_all_lines(texts)
+
+
+def test_lines_that_a_third_of_all_have(spark):
+    """A block that very many documents share, among other lines."""
+    rng = random.Random(3)
+    texts = [(i, "\n".join([f"own {i}", *(["a line that is common", "and one more like it, common too"] if i % 3 == 0 else []), " ".join(H.words(i, rng.randint(1, 15)))])) for i in range(240)]
+    rows = lines.dedup_lines(H.from_texts(spark, texts)).collect()
+    assert {r["doc_id"]: (r["text"], r["n_removed"]) for r in rows} == brute_all_lines(texts)
+    assert sum(r["n_removed"] for r in rows) == 158 and {r["n_blocks"] for r in rows} == {0, 1}
 
 
 def test_lines_awkward(spark):

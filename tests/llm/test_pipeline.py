@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from synapark.llm import quality
 
 from . import helpers as H
-from .test_pairs import brute_patience_lines, near_texts
+from .test_pairs import brute_all_lines, near_texts
 
 NAMES = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -30,7 +30,7 @@ def test_stages(spark, tmp_path):
         if name == "quality_rules":
             assert set(rows) == {r["doc_id"] for r in quality.quality(kept).where("kept").collect()} and 301 not in rows
         elif name == "line_dedup":
-            want = {i: t for i, t in brute_patience_lines(list(before.items())).items() if t or not before[i]}
+            want = {i: t for i, (t, _) in brute_all_lines(list(before.items())).items() if t or not before[i]}
             assert {i: r["text"] for i, r in rows.items()} == want and 200 not in rows
         elif name == "minhash_dedup":
             assert set(rows) == {i for i, (_, c) in H.near_components(list(before.items())).items() if i == c}

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .windows import stretches
+
 
 def butter(order: int, cut: float | tuple[float, float], kind: str = "low") -> np.ndarray:
     """Second-order sections of a Butterworth filter; ``cut`` in parts of the Nyquist frequency."""
@@ -52,17 +55,49 @@ def sections(zeros: np.ndarray, poles: np.ndarray, at: complex) -> np.ndarray:
     return np.array(out)
 
 
+#: Samples that a recursive filter takes in one matrix product.
+BLOCK = 64
+
+
+@lru_cache(maxsize=64)
+def block_form(section: tuple[float, ...]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """A section over BLOCK samples: the response to them, to the state before, and the state after from both."""
+    b0, b1, b2, a1, a2 = section
+    step, drive = np.array([[-a1, 1.0], [-a2, 0.0]]), np.array([b1 - a1 * b0, b2 - a2 * b0])
+    powers = [np.eye(2)]
+    for _ in range(BLOCK):
+        powers.append(step @ powers[-1])
+    rings = np.array([b0] + [(p @ drive)[0] for p in powers[: BLOCK - 1]])
+    lag = np.subtract.outer(np.arange(BLOCK), np.arange(BLOCK))
+    own = np.where(lag >= 0, rings[np.maximum(lag, 0)], 0.0)
+    return own, np.array([p[0] for p in powers[:BLOCK]]), np.array([p @ drive for p in powers[BLOCK - 1 :: -1]]), powers[BLOCK]
+
+
 def run_sections(sos: np.ndarray, x: np.ndarray, state: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """One pass, direct form II transposed; returns the last state, which the next stretch goes on with."""
+    """One pass, direct form II transposed; returns the last state, which the next stretch goes on with.
+
+    Blocks of samples are products with the section's response; only the state of
+    two numbers goes from block to block.
+    """
     y = np.array(x, float)
     state = np.zeros((len(sos), 2)) if state is None else np.array(state, float)
-    for k, (b0, b1, b2, a1, a2) in enumerate(sos):
-        s1, s2 = state[k]
+    for k, section in enumerate(sos):
+        own, from_state, to_state, ((p, q), (r, t)) = block_form(tuple(section.tolist()))
+        whole = len(y) // BLOCK * BLOCK
+        blocks = y[:whole].reshape(-1, BLOCK)
+        s1, s2 = state[k].tolist()
+        before = []
+        for u, v in (blocks @ to_state).tolist():
+            before.append((s1, s2))
+            s1, s2 = p * s1 + q * s2 + u, r * s1 + t * s2 + v
         out = np.empty_like(y)
-        for i, v in enumerate(y.tolist()):
+        if before:
+            out[:whole] = (blocks @ own.T + np.array(before) @ from_state.T).ravel()
+        b0, b1, b2, a1, a2 = section.tolist()
+        for i in range(whole, len(y)):
+            v = y[i]
             w = b0 * v + s1
-            s1 = b1 * v - a1 * w + s2
-            s2 = b2 * v - a2 * w
+            s1, s2 = b1 * v - a1 * w + s2, b2 * v - a2 * w
             out[i] = w
         state[k] = s1, s2
         y = out
@@ -92,14 +127,6 @@ def zero_phase(sos: np.ndarray, x: np.ndarray) -> np.ndarray:
     return y[::-1][n : n + len(x)]
 
 
-def stretches(samples: DataFrame, size: int, halo: int) -> DataFrame:
-    """Each sample in its stretch, and in neighbours' halos: ``part``, ``own`` says whether it is its stretch."""
-    here = F.floor(F.col("sample") / size).cast("long")
-    inside = F.pmod(F.col("sample"), F.lit(size))
-    parts = F.array_compact(F.array(here, F.when((inside < halo) & (here > 0), here - 1), F.when(inside >= size - halo, here + 1)))
-    return samples.withColumn("part", F.explode(parts)).withColumn("own", F.col("part") == F.floor(F.col("sample") / size))
-
-
 def per_stretch(samples: DataFrame, f: Callable[[np.ndarray], np.ndarray], value: str = "v", size: int = 1 << 16, halo: int = 4096) -> DataFrame:
     """``f`` over each channel's voltage, in stretches with halos that are cut off again: bounded tasks for any recording.
 
@@ -132,9 +159,24 @@ def analytic(x: np.ndarray) -> np.ndarray:
 
 
 def hilbert(samples: DataFrame, kind: str = "abs", value: str = "v", size: int = 1 << 16, halo: int = 4096) -> DataFrame:
-    """Envelope (``abs``), phase (``angle``) or parts of the analytic signal."""
-    take = {"abs": np.abs, "angle": np.angle, "real": np.real, "imag": np.imag, "unwrap": lambda z: np.unwrap(np.angle(z))}[kind]
-    return per_stretch(samples, lambda x: take(analytic(x)), value, size, halo)
+    """Envelope (``abs``), phase (``angle``, ``unwrap``) or parts (``real``, ``imag``, ``absreal``, ``absimag``) of the analytic signal.
+
+    The transform of a stretch sees ``halo`` samples to each side; what lies
+    further adds about 1 / (pi * halo) of its size to the imaginary part. An
+    unwrapped phase goes on across stretches: whole turns between neighbours are
+    summed over the stretches before.
+    """
+    take = {"abs": np.abs, "angle": np.angle, "real": np.real, "imag": np.imag, "absreal": lambda z: np.abs(np.real(z)), "absimag": lambda z: np.abs(np.imag(z)), "unwrap": lambda z: np.unwrap(np.angle(z))}[kind]
+    out = per_stretch(samples, lambda x: take(analytic(x)), value, size, halo)
+    if kind != "unwrap":
+        return out
+    turn = 2 * np.pi
+    parts = out.withColumn("part", F.floor(F.col("sample") / size))
+    edges = parts.groupBy("channel", "part").agg(F.min_by(value, "sample").alias("first"), F.max_by(value, "sample").alias("last"))
+    w = Window.partitionBy("channel").orderBy("part")
+    edges = edges.withColumn("add", F.coalesce(F.round((F.lag("last").over(w) - F.col("first")) / turn), F.lit(0.0)) * turn)
+    edges = edges.select("channel", "part", F.sum("add").over(w).alias("add"))
+    return parts.join(edges, ["channel", "part"]).select("channel", "sample", (F.col(value) + F.col("add")).alias(value))
 
 
 def gaussian_rate(samples: DataFrame, sigma: float, value: str = "v", size: int = 1 << 16) -> DataFrame:
@@ -187,46 +229,96 @@ def wavelet_power(trials: DataFrame, rate: float, freqs: list[float], width: flo
     return trials.groupBy("trial", "channel").applyInPandas(run, f"trial {kind['trial'].dataType.simpleString()}, channel {kind['channel'].dataType.simpleString()}, freq double, sample long, power double")
 
 
-def beta_share(x: float, a: float, b: float) -> float:
+def beta_shares(x: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The regularised incomplete beta function, by a continued fraction."""
-    from math import exp, lgamma, log, log1p
-
-    if x <= 0 or x >= 1:
-        return float(x >= 1)
-    if x > (a + 1) / (a + b + 2):
-        return 1 - beta_share(1 - x, b, a)
-    c, d = 1.0, 1 / (1 - (a + b) * x / (a + 1))
-    h = d
-    for m in range(1, 300):
-        for top in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)), -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
-            d = 1 / (1 + top * d)
-            c = 1 + top / c
-            h *= d * c
-        if abs(d * c - 1) < 1e-15:
-            break
-    return exp(lgamma(a + b) - lgamma(a) - lgamma(b) + a * log(x) + b * log1p(-x)) * h / a
+    from math import lgamma
+
+    x, a, b = (np.array(v, float) for v in np.broadcast_arrays(x, a, b))
+    swap = x > (a + 1) / (a + b + 2)
+    x, a, b = np.where(swap, 1 - x, x), np.where(swap, b, a), np.where(swap, a, b)
+    inside = (x > 0) & (x < 1)
+    y = np.where(inside, x, 0.5)
+    with np.errstate(all="ignore"):
+        c, d = np.ones_like(y), 1 / (1 - (a + b) * y / (a + 1))
+        h = d.copy()
+        for m in range(1, 300):
+            for top in (m * (b - m) * y / ((a + 2 * m - 1) * (a + 2 * m)), -(a + m) * (a + b + m) * y / ((a + 2 * m) * (a + 2 * m + 1))):
+                d = 1 / (1 + top * d)
+                c = 1 + top / c
+                h = h * d * c
+            if np.nanmax(np.abs(d * c - 1), initial=0.0) < 1e-15:
+                break
+        gamma = np.vectorize(lgamma, otypes=[float])
+        front = np.exp(gamma(a + b) - gamma(a) - gamma(b) + a * np.log(y) + b * np.log1p(-y)) if len(y) else y
+        low = np.where(inside, front * h / a, (x >= 1).astype(float))
+    return np.where(swap, 1 - low, low)
 
 
 def t_pvalue(t: str, df: str):
     """Two-sided p of a t column."""
 
     def run(t: pd.Series, df: pd.Series) -> pd.Series:
-        return pd.Series([np.nan if not np.isfinite(x) or n <= 0 else beta_share(n / (n + x * x), n / 2, 0.5) for x, n in zip(t, df, strict=True)])
+        x, n = t.to_numpy(float), df.to_numpy(float)
+        fine = np.isfinite(x) & (n > 0)
+        n, x = np.where(fine, n, 1.0), np.where(fine, x, 0.0)
+        return pd.Series(np.where(fine, beta_shares(n / (n + x * x), n / 2, np.full_like(n, 0.5)), np.nan))
 
     return F.pandas_udf(run, "double")(F.col(t).cast("double"), F.col(df).cast("double"))
 
 
-def isolation(features: DataFrame) -> DataFrame:
-    """Isolation distance and L-ratio of each unit against all other spikes.
+def f_pvalue(f: str, df1: str, df2: str):
+    """Upper tail of an F column."""
 
-    A unit's mean and covariance are sums over its rows; distances of all spikes
-    to it come from a map over spikes with those few numbers, never from a group
-    of all spikes. Columns unit, spike_id, x (array<double>).
-    """
-    dims = F.size("x")
+    def run(f: pd.Series, a: pd.Series, b: pd.Series) -> pd.Series:
+        x, m, n = f.to_numpy(float), a.to_numpy(float), b.to_numpy(float)
+        fine = np.isfinite(x) & (m > 0) & (n > 0) & (x >= 0)
+        x, m, n = np.where(fine, x, 0.0), np.where(fine, m, 1.0), np.where(fine, n, 1.0)
+        return pd.Series(np.where(fine, beta_shares(n / (n + m * x), n / 2, m / 2), np.nan))
+
+    return F.pandas_udf(run, "double")(*[F.col(c).cast("double") for c in (f, df1, df2)])
+
+
+def f_quantile(p: str, df1: str, df2: str):
+    """The F value below which a share ``p`` lies, by halving."""
+
+    def run(p: pd.Series, a: pd.Series, b: pd.Series) -> pd.Series:
+        q, m, n = p.to_numpy(float), a.to_numpy(float), b.to_numpy(float)
+        low, high = np.zeros_like(q), np.ones_like(q)
+        for _ in range(200):
+            middle = (low + high) / 2
+            below = beta_shares(middle, m / 2, n / 2) < q
+            low, high = np.where(below, middle, low), np.where(below, high, middle)
+        with np.errstate(divide="ignore"):
+            return pd.Series(np.where((q >= 0) & (q <= 1), high / (1 - high) * n / m, np.nan))
+
+    return F.pandas_udf(run, "double")(*[F.col(c).cast("double") for c in (p, df1, df2)])
+
+
+def chi_square_tail(x: np.ndarray, k: int) -> np.ndarray:
+    """Share of a chi square with ``k`` degrees of freedom above x, by its series."""
+    from math import lgamma
+
+    x = np.asarray(x, float)
+    half = np.clip(x, 0, 700) / 2
+    term = np.ones_like(half)
+    total, n = np.ones_like(half), 1
+    while len(half) and n < 2000 and (term > total * 1e-16).any():
+        term = term * half / (k / 2 + n)
+        total, n = total + term, n + 1
+    with np.errstate(divide="ignore"):
+        low = np.exp(k / 2 * np.log(half) - half - lgamma(k / 2 + 1)) * total
+    return np.where(x > 700, 0.0, np.clip(1 - low, 0, 1))
+
+
+#: Bytes of all units' models that a task holds at most; bins of an octave of squared distance.
+MODEL_BYTES, OCTAVE = 256 << 20, 64
+
+
+def unit_models(features: DataFrame) -> DataFrame:
+    """Number, mean and inverse covariance of each unit's spikes (unit, x), from sums over rows: target, n, mean, inverse."""
     each = features.select("unit", F.posexplode("x").alias("i", "a"), F.col("x").alias("all"))
     pairs = each.select("unit", "i", "a", F.posexplode("all").alias("j", "b"))
-    moment = pairs.groupBy("unit", "i", "j").agg(F.avg("a").alias("ma"), F.avg("b").alias("mb"), F.covar_samp("a", "b").alias("c"), F.count("*").alias("n"))
+    moment = pairs.groupBy("unit", "i", "j").agg(F.avg("a").alias("ma"), F.covar_samp("a", "b").alias("c"), F.count("*").alias("n"))
     model = moment.groupBy("unit").agg(F.sort_array(F.collect_list(F.struct("i", "j", "c", "ma"))).alias("m"), F.max("n").alias("n"))
 
     def invert(batches):
@@ -234,32 +326,73 @@ def isolation(features: DataFrame) -> DataFrame:
             rows = []
             for unit, m, n in zip(pdf["unit"], pdf["m"], pdf["n"], strict=True):
                 d = int(round(len(m) ** 0.5))
-                cov, mean = np.array([e["c"] for e in m]).reshape(d, d), np.array([m[k * d]["ma"] for k in range(d)])
+                cov, mean = np.array([np.nan_to_num(e["c"] or 0.0) for e in m], float).reshape(d, d), np.array([m[k * d]["ma"] for k in range(d)])
                 rows.append((unit, int(n), mean.tolist(), np.linalg.pinv(cov).ravel().tolist()))
             yield pd.DataFrame(rows, columns=["target", "n", "mean", "inverse"])
 
+    return model.mapInPandas(invert, f"target {features.schema['unit'].dataType.simpleString()}, n long, mean array<double>, inverse array<double>")
+
+
+def isolation(features: DataFrame) -> DataFrame:
+    """Isolation distance, L-ratio and separation of each unit against all other spikes.
+
+    Isolation is the n-th smallest squared Mahalanobis distance of other units'
+    spikes, n being the unit's own; null if there are fewer. ``separation`` is the
+    mean distance of the others over that of its own. Distances come from a map
+    over spikes with a row of numbers for each unit (checked against
+    ``MODEL_BYTES``), which counts them in bins before anything is shuffled; the
+    n-th is then looked for in the one bin that holds it. Columns unit, spike_id,
+    x (array<double>, of one length).
+    """
+    found = unit_models(features).orderBy("target").toPandas()  # a row a unit
+    if not len(found):
+        kind = features.schema["unit"].dataType.simpleString()
+        return features.sparkSession.createDataFrame([], f"unit {kind}, isolation double, l_ratio double, separation double")
+    mean, size = np.array(found["mean"].to_list()), found["n"].to_numpy()
+    inverse = np.array(found["inverse"].to_list()).reshape(len(found), mean.shape[1], -1)
+    if inverse.nbytes > MODEL_BYTES:
+        raise ValueError("too many units for one map; take them apart by shank")
+    names, dims = found["target"].to_numpy(), mean.shape[1]
+    sent = features.sparkSession.sparkContext.broadcast((names, mean, inverse))  # of checked size
     kind = features.schema["unit"].dataType.simpleString()
-    ready = model.mapInPandas(invert, f"target {kind}, n long, mean array<double>, inverse array<double>")
-    # every spike against every unit's model is the measure itself; models are a row a unit
-    gap = F.zip_with("x", "mean", lambda a, b: a - b)
-    both = features.withColumn("_d", dims).join(ready, F.col("unit") != F.col("target")).withColumn("g", gap)
-    square = F.expr("aggregate(transform(g, (a, i) -> a * aggregate(transform(g, (b, j) -> b * inverse[CAST(i * _d + j AS INT)]), 0D, (s, v) -> s + v)), 0D, (s, v) -> s + v)")
-    far = both.select("target", "n", "_d", square.alias("d2"))
-    from pyspark.sql import Window
-
-    ranked = far.withColumn("k", F.row_number().over(Window.partitionBy("target").orderBy("d2")))
-
-    def tail(d2: pd.Series, df: pd.Series) -> pd.Series:
-        from math import exp, gamma
-
-        def upper(x: float, k: int) -> float:  # survival of chi square by its series
-            a, term, total, n = k / 2, 1.0, 1.0, 1
-            while term > total * 1e-16 and n < 500:
-                term *= x / 2 / (a + n)
-                total, n = total + term, n + 1
-            return max(0.0, 1 - (x / 2) ** a * exp(-x / 2) / gamma(a + 1) * total)
-
-        return pd.Series([upper(x, int(k)) for x, k in zip(d2, df, strict=True)])
-
-    share = F.pandas_udf(tail, "double")("d2", "_d")
-    return ranked.withColumn("s", share).groupBy(F.col("target").alias("unit")).agg(F.max(F.when(F.col("k") == F.col("n"), F.col("d2"))).alias("isolation"), (F.sum("s") / F.first("n")).alias("l_ratio"))
+
+    def distances(pdf: pd.DataFrame):
+        names, mean, inverse = sent.value
+        x, unit = np.array(pdf["x"].to_list(), float).reshape(len(pdf), dims), pdf["unit"].to_numpy()
+        for k, name in enumerate(names):
+            gap = x - mean[k]
+            yield name, np.einsum("ij,ij->i", gap @ inverse[k], gap), unit == name
+
+    def place(d2: np.ndarray) -> np.ndarray:
+        return np.floor(np.log2(np.maximum(d2, 1e-12)) * OCTAVE).astype(np.int64)
+
+    def count(batches):
+        for pdf in batches:
+            rows = []
+            for name, d2, own in distances(pdf):
+                at, where = np.unique(place(d2[~own]), return_inverse=True)
+                tail = np.bincount(where, chi_square_tail(d2[~own], dims), len(at))
+                rows.append(pd.DataFrame({"target": name, "bin": at, "n": np.bincount(where, minlength=len(at)), "tail": tail, "far": np.bincount(where, np.sqrt(np.maximum(0, d2[~own])), len(at)), "near": 0.0}))
+                rows.append(pd.DataFrame({"target": [name], "bin": [-(1 << 40)], "n": [0], "tail": [0.0], "far": [0.0], "near": [float(np.sqrt(np.maximum(0, d2[own])).sum())]}))
+            yield pd.concat(rows)
+
+    bins = features.select("unit", "x").mapInPandas(count, f"target {kind}, bin long, n long, tail double, far double, near double")
+    bins = bins.groupBy("target", "bin").agg(*[F.sum(c).alias(c) for c in ("n", "tail", "far", "near")])
+    bins = bins.join(features.groupBy(F.col("unit").alias("target")).agg(F.count("*").alias("own")), "target")
+    w = Window.partitionBy("target").orderBy("bin")
+    run = bins.withColumn("upto", F.sum("n").over(w))
+    whole = run.groupBy("target").agg((F.sum("tail") / F.first("own")).alias("l_ratio"), ((F.sum("far") / F.sum("n")) / (F.sum("near") / F.first("own"))).alias("separation"))
+    there = run.where("n > 0 AND upto >= own AND upto - n < own").select("target", F.col("bin").alias("at"), (F.col("own") - F.col("upto") + F.col("n")).alias("nth"))
+    wanted = dict(there.select("target", "at").toPandas().itertuples(index=False))  # at most a row a unit
+
+    def pick(batches):
+        for pdf in batches:
+            for name, d2, own in distances(pdf):
+                if name in wanted:
+                    hit = d2[~own & (place(d2) == wanted[name])]
+                    yield pd.DataFrame({"target": [name] * len(hit), "d2": hit})
+
+    near = features.select("unit", "x").mapInPandas(pick, f"target {kind}, d2 double")
+    nth = F.row_number().over(Window.partitionBy("target").orderBy("d2"))
+    near = near.withColumn("k", nth).join(there, "target").where("k = nth").select("target", F.col("d2").alias("isolation"))
+    return whole.join(near, "target", "left").select(F.col("target").alias("unit"), "isolation", "l_ratio", "separation")

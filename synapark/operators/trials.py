@@ -1,4 +1,4 @@
-"""Trial definitions, spike bookkeeping, simulations."""
+"""Trial definitions, spike bookkeeping."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Trial functions by name: each takes a table of events and gives trials.
@@ -38,10 +38,10 @@ def consecutive(events: DataFrame, first: str, then: str, *, kind: str = "event_
 
 @trial_function
 def crossings(samples: DataFrame, threshold: float, refractory: int, *, by: Sequence[str] = ("channel",)) -> DataFrame:
-    """Samples at which a signal rises through a threshold, the first of a refractory time."""
+    """Samples at which a signal rises through a threshold, without those within ``refractory`` of the last one kept."""
     w = Window.partitionBy(*by).orderBy("sample")
-    up = samples.withColumn("_was", F.lag("v").over(w)).where((F.col("v") >= threshold) & (F.col("_was") < threshold))
-    return up.withColumn("_gap", F.col("sample") - F.lag("sample").over(w)).where(F.col("_gap").isNull() | (F.col("_gap") > refractory)).drop("_was", "_gap")
+    up = samples.withColumn("_was", F.lag("v").over(w)).where((F.col("v") >= threshold) & (F.col("_was") < threshold)).drop("_was")
+    return drop_duplicates_within(up, refractory, by=by, t="sample", key="sample")
 
 
 def drop_duplicates_within(spikes: DataFrame, window: float, *, by: Sequence[str] = ("channel",), t: str = "t", key: str = "spike_id") -> DataFrame:
@@ -85,12 +85,3 @@ def random_per_group(df: DataFrame, by: Sequence[str], n: int, key: str, seed: i
     """At most ``n`` rows of each group, by a hash of the key: the same rows every time."""
     w = Window.partitionBy(*by).orderBy(F.xxhash64(F.col(key), F.lit(seed)), key)
     return df.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= n).drop("_n")
-
-
-def simulate(units: DataFrame, rate: Column, seconds: int, refractory_ms: int = 2, seed: int = 1) -> DataFrame:
-    """Poisson spikes by milliseconds for each unit, without those in the refractory time of the one before."""
-    ms = units.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(seconds - 1)))).withColumn("t", F.explode(F.transform(F.sequence(F.lit(0), F.lit(999)), lambda k: F.col("_s") * 1000 + k)))
-    draw = F.pmod(F.xxhash64("unit", "t", F.lit(seed)), F.lit(1_000_000_007)) / 1_000_000_007.0
-    hit = ms.where(draw < rate / 1000.0)
-    w = Window.partitionBy("unit").orderBy("t")
-    return hit.withColumn("_gap", F.col("t") - F.lag("t").over(w)).where(F.col("_gap").isNull() | (F.col("_gap") > refractory_ms)).drop("_gap", "_s")

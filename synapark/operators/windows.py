@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -16,6 +16,85 @@ def centred(w: WindowSpec, half: int) -> WindowSpec:
     return w.rowsBetween(-half, half)
 
 
+#: Samples of a stretch: what one task of a windowed pass holds of a channel.
+STRETCH = 1 << 16
+
+
+def stretches(samples: DataFrame, size: int, halo: int, order: str = "sample") -> DataFrame:
+    """Each sample in its stretch, and in neighbours' halos: ``part``, ``own`` says whether it is its stretch."""
+    here = F.floor(F.col(order) / size).cast("long")
+    inside = F.pmod(F.col(order), F.lit(size))
+    parts = F.array_compact(F.array(here, F.when((inside < halo) & (here > 0), here - 1), F.when(inside >= size - halo, here + 1)))
+    return samples.withColumn("part", F.explode(parts)).withColumn("own", F.col("part") == F.floor(F.col(order) / size))
+
+
+def over_stretches(samples: DataFrame, half: int, made: dict[str, Callable[[WindowSpec], Column]], by: Sequence[str] = ("channel",), order: str = "sample", size: int = STRETCH) -> DataFrame:
+    """Columns over frames that reach ``half`` samples to each side, one after the other, in stretches with halos: no task sorts a whole channel.
+
+    Samples of a channel are numbered without gaps.
+    """
+    rows = stretches(samples, size, half, order)
+    for name, build in made.items():
+        rows = rows.withColumn(name, build(ordered([*by, "part"], [order])))
+    return rows.where("own").drop("part", "own")
+
+
+def carried(df: DataFrame, x: Column, name: str, by: Sequence[str] = ("channel",), order: str = "sample", forward: bool = False, size: int = STRETCH) -> DataFrame:
+    """``x`` of the last row at or before each that has one (``forward``: of the next one), stretch by stretch.
+
+    A stretch's last value goes on to the stretches behind it by a window over
+    stretches, of which a channel has few.
+    """
+    rows = df.withColumns({"_x": x, "_part": F.floor(F.col(order) / size)})
+    inside, over = ordered([*by, "_part"], [order]), ordered(by, ["_part"])
+    pair = F.when(F.col("_x").isNotNull(), F.struct(order, F.col("_x").alias("x")))
+    if forward:
+        own = F.first("_x", ignorenulls=True).over(inside.rowsBetween(0, Window.unboundedFollowing))
+        edge, past = F.min(pair), F.first("_edge", ignorenulls=True).over(over.rowsBetween(1, Window.unboundedFollowing))
+    else:
+        own = F.last("_x", ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, 0))
+        edge, past = F.max(pair), F.last("_edge", ignorenulls=True).over(over.rowsBetween(Window.unboundedPreceding, -1))
+    edges = rows.groupBy(*by, "_part").agg(edge.alias("_edge")).select(*by, "_part", past.alias("_past"))
+    return rows.withColumn("_own", own).join(edges, [*by, "_part"]).withColumn(name, F.coalesce("_own", "_past.x")).drop("_x", "_part", "_own", "_past")
+
+
+def demeaned(df: DataFrame, x: str, by: Sequence[str], name: str) -> DataFrame:
+    """x without its group's mean: a sum by group, joined back."""
+    return df.join(df.groupBy(*by).agg(F.avg(x).alias("_m")), list(by)).withColumn(name, F.col(x) - F.col("_m")).drop("_m")
+
+
+def detrended(df: DataFrame, x: str, t: str, by: Sequence[str], name: str, order: int = 1) -> DataFrame:
+    """x without its group's least-squares polynomial: power sums by group, a small system each, joined back.
+
+    Times are taken from -1 to 1 within a group, which keeps the sums well apart.
+    """
+    import numpy as np
+    import pandas as pd
+
+    ends = df.groupBy(*by).agg(F.min(t).alias("_lo"), F.max(t).alias("_hi"))
+    rows = df.join(ends, list(by)).withColumn("_u", F.when(F.col("_hi") > F.col("_lo"), (2 * F.col(t) - F.col("_lo") - F.col("_hi")) / (F.col("_hi") - F.col("_lo"))).otherwise(0.0))
+    known = rows.where(F.col(x).isNotNull())
+    powers = [F.sum(F.pow(F.col("_u"), F.lit(float(k)))).alias(f"p{k}") for k in range(2 * order + 1)]
+    sums = known.groupBy(*by).agg(*powers, *[F.sum(F.pow(F.col("_u"), F.lit(float(k))) * F.col(x)).alias(f"y{k}") for k in range(order + 1)])
+
+    def solve(batches):
+        for pdf in batches:
+            gram = np.stack([[pdf[f"p{i + j}"].to_numpy(float) for j in range(order + 1)] for i in range(order + 1)]).transpose(2, 0, 1)
+            right = np.stack([pdf[f"y{i}"].to_numpy(float) for i in range(order + 1)], 1)
+            yield pd.concat([pdf[list(by)], pd.Series(list((np.linalg.pinv(gram) @ right[..., None])[..., 0]), index=pdf.index, name="_w")], axis=1)
+
+    kinds = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in by)
+    weights = sums.mapInPandas(solve, f"{kinds}, _w array<double>")
+    fit = sum((F.col("_w")[k] * F.pow(F.col("_u"), F.lit(float(k))) for k in range(order + 1)), F.lit(0.0))
+    return rows.join(weights, list(by)).withColumn(name, F.col(x) - fit).drop("_lo", "_hi", "_u", "_w")
+
+
+def normalised(df: DataFrame, x: str, by: Sequence[str], name: str) -> DataFrame:
+    """(x - mean) / population deviation of the group; null where nothing varies."""
+    found = df.groupBy(*by).agg(F.avg(x).alias("_m"), F.stddev_pop(x).alias("_s"))
+    return df.join(found, list(by)).withColumn(name, (F.col(x) - F.col("_m")) / F.nullif(F.col("_s"), F.lit(0.0))).drop("_m", "_s")
+
+
 def interval(t: str, w: WindowSpec) -> Column:
     """Time since the row before; null for the first."""
     return F.col(t) - F.lag(t).over(w)
@@ -41,24 +120,6 @@ def gradient(x: str, w: WindowSpec) -> Column:
     return F.when(low.isNull(), high - F.col(x)).when(high.isNull(), F.col(x) - low).otherwise((high - low) / 2)
 
 
-def demean(x: str, by: Sequence[str]) -> Column:
-    return F.col(x) - F.avg(x).over(Window.partitionBy(*by))
-
-
-def detrend(x: str, t: str, by: Sequence[str]) -> Column:
-    """Residual of the least-squares line within each group."""
-    w = Window.partitionBy(*by)
-    mt, mx = F.avg(t).over(w), F.avg(x).over(w)
-    slope = F.covar_pop(t, x).over(w) / F.nullif(F.var_pop(t).over(w), F.lit(0.0))
-    return F.col(x) - mx - F.coalesce(slope, F.lit(0.0)) * (F.col(t) - mt)
-
-
-def normalise(x: str, by: Sequence[str]) -> Column:
-    """(x - mean) / population deviation; null where nothing varies."""
-    w = Window.partitionBy(*by)
-    return (F.col(x) - F.avg(x).over(w)) / F.nullif(F.stddev_pop(x).over(w), F.lit(0.0))
-
-
 def baseline(x: str, at_rest: Column, by: Sequence[str], kind: str = "zscore") -> Column:
     """x against the group's rows at rest: ``zscore``, ``relchange``, ``absolute`` or ``db``."""
     w = Window.partitionBy(*by)
@@ -83,30 +144,17 @@ def changes(df: DataFrame, value: str, order: Sequence[str], by: Sequence[str])
     return df.withColumn("_was", F.lag(value).over(ordered(by, order))).where(F.col("_was").isNotNull() & (F.col("_was") != F.col(value))).drop("_was")
 
 
-def schmitt(x: str, low: float, high: float, w: WindowSpec) -> Column:
-    """1 from where x reaches ``high`` until it falls to ``low``; null before the first of either."""
-    state = F.when(F.col(x) >= high, 1).when(F.col(x) <= low, 0)
-    return F.last(state, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-
-
 def forward_or(code: str, t: str, span: int, by: Sequence[str]) -> Column:
     """Bits set in any row from here to ``span`` later."""
     return F.bit_or(F.col(code)).over(Window.partitionBy(*by).orderBy(t).rangeBetween(0, span))
 
 
-def peaks(df: DataFrame, x: str, order: Sequence[str], by: Sequence[str], least: float) -> DataFrame:
-    """Rows above ``least`` that are higher than both neighbours."""
-    w = ordered(by, order)
-    near = df.withColumns({"_l": F.lag(x).over(w), "_r": F.lead(x).over(w)})
-    return near.where((F.col(x) > F.col("_l")) & (F.col(x) > F.col("_r")) & (F.col(x) > least)).drop("_l", "_r")
-
-
-def fill_linear(x: str, t: str, w: WindowSpec) -> Column:
-    """Nulls by the line between the nearest values on both sides; the ends stay null."""
-    pair = F.when(F.col(x).isNotNull(), F.struct(F.col(t).alias("t"), F.col(x).alias("x")))
-    low = F.last(pair, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    high = F.first(pair, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
-    return F.coalesce(F.col(x), low["x"] + (F.col(t) - low["t"]) / (high["t"] - low["t"]) * (high["x"] - low["x"]))
+def fill_gaps(df: DataFrame, x: str, by: Sequence[str] = ("channel",), order: str = "sample", size: int = STRETCH) -> DataFrame:
+    """Nulls of x by the line between the nearest values on both sides; the ends stay null. Stretch by stretch, see ``carried``."""
+    pair = F.when(F.col(x).isNotNull(), F.struct(F.col(order).alias("t"), F.col(x).alias("x")))
+    both = carried(carried(df, pair, "_low", by, order, size=size), pair, "_high", by, order, forward=True, size=size)
+    line = F.col("_low.x") + (F.col(order) - F.col("_low.t")) / (F.col("_high.t") - F.col("_low.t")) * (F.col("_high.x") - F.col("_low.x"))
+    return both.withColumn(x, F.coalesce(F.col(x), line)).drop("_low", "_high")
 
 
 def hazen(values: Column, p: float) -> Column:

@@ -113,12 +113,12 @@ def drift_map(spark, d):
     return e.select("vec_id", F.round(X.center_of_mass("v"), 8).alias("depth"))
 
 
-@query("""WITH p AS (SELECT vec_id, label, unnest(embedding)::DOUBLE AS v, unnest(range(64)) AS i FROM embeddings), m AS (SELECT label AS c, i, avg(v) AS m FROM p WHERE label < 3 GROUP BY ALL), d AS (SELECT p.vec_id, p.label, m.c, sum(v * m) AS s FROM p JOIN m ON m.i = p.i GROUP BY ALL)
+@query("""WITH p AS (SELECT vec_id, label, unnest(embedding)::DOUBLE AS v, unnest(range(64)) AS i FROM embeddings), m AS (SELECT label AS c, i, avg(v) AS m FROM p GROUP BY ALL), d AS (SELECT p.vec_id, p.label, m.c, sum(v * m) AS s FROM p JOIN m ON m.i = p.i GROUP BY ALL)
  SELECT CAST(c AS INT) AS label, round((avg(s) FILTER (label = c) - avg(s) FILTER (label <> c)) / stddev_samp(s) FILTER (label <> c), 7) AS snr FROM d GROUP BY c""")
 def projection_snr(spark, d):
     """How far a cluster's spikes project on its mean beyond the others."""
     p = T.read(spark, d, "embeddings").select("vec_id", "label", F.posexplode(F.col("embedding").cast("array<double>")).alias("i", "v"))
-    m = p.where("label < 3").groupBy(F.col("label").alias("c"), "i").agg(F.avg("v").alias("m"))
+    m = p.groupBy(F.col("label").alias("c"), "i").agg(F.avg("v").alias("m"))
     s = p.join(m, "i").groupBy("vec_id", "label", "c").agg(F.sum(F.col("v") * F.col("m")).alias("s"))
     own, other = F.when(F.col("label") == F.col("c"), F.col("s")), F.when(F.col("label") != F.col("c"), F.col("s"))
     return s.groupBy(F.col("c").alias("label")).agg(F.round((F.avg(own) - F.avg(other)) / F.stddev_samp(other), 7).alias("snr"))
@@ -180,10 +180,10 @@ def good_chunks(spark, d):
     return r.groupBy("channel").agg(F.max(F.struct("length", (-F.col("first")).alias("neg"))).alias("x")).select("channel", (-F.col("x.neg")).alias("first"), "x.length")
 
 
-@query(f"""WITH {SM}, a AS (SELECT channel, max(v) - min(v) AS peak FROM smp WHERE sample <= 200 GROUP BY channel), p AS (SELECT channel // 10 AS grp, channel % 10 AS dist, peak FROM a) SELECT grp, round(regr_slope(peak, dist), 8) AS slope, round(regr_intercept(peak, dist), 8) AS base FROM p GROUP BY grp""")
+@query(f"""WITH {SM}, a AS (SELECT channel, max(v) - min(v) AS peak FROM smp GROUP BY channel), p AS (SELECT channel // 10 AS grp, channel % 10 AS dist, peak FROM a) SELECT grp, round(regr_slope(peak, dist), 8) AS slope, round(regr_intercept(peak, dist), 8) AS base FROM p GROUP BY grp""")
 def spatial_decay(spark, d):
     """Slope of the peak over the distance from the first channel."""
-    a = T.samples(spark, d).where("sample <= 200").groupBy("channel").agg((F.max("v") - F.min("v")).alias("peak"))
+    a = T.samples(spark, d).groupBy("channel").agg((F.max("v") - F.min("v")).alias("peak"))
     p = a.select(F.expr("channel div 10").alias("grp"), (F.col("channel") % 10).alias("dist"), "peak")
     return p.groupBy("grp").agg(F.round(F.regr_slope("peak", "dist"), 8).alias("slope"), F.round(F.regr_intercept("peak", "dist"), 8).alias("base"))
 
@@ -221,22 +221,29 @@ def quantile_color(spark, d):
     return s.join(q, "unit").select("spike_id", F.coalesce(F.greatest(F.lit(0), F.least(F.lit(19), bin_)), F.lit(0)).cast("long").alias("color"))
 
 
-@query(f"""WITH {SM} SELECT channel, round(2 * sqrt(pow(avg(v * cos(2 * pi() * sample / 20)), 2) + pow(avg(v * sin(2 * pi() * sample / 20)), 2)), 7) AS line FROM smp WHERE sample <= 500 GROUP BY channel""")
+CYCLES = SM + ", whole AS (SELECT *, count(*) OVER (PARTITION BY channel) // 20 * 20 AS last FROM smp)"
+
+
+def whole_cycles(spark, d):
+    """Each channel up to its own last whole cycle of 20 samples."""
+    s = T.samples(spark, d)
+    last = s.groupBy("channel").agg((F.expr("count(*) div 20") * 20).alias("last"))
+    return s.join(last, "channel").where("sample <= last")
+
+
+@query(f"""WITH {CYCLES} SELECT channel, round(2 * sqrt(pow(avg(v * cos(2 * pi() * sample / 20)), 2) + pow(avg(v * sin(2 * pi() * sample / 20)), 2)), 7) AS line FROM whole WHERE sample <= last GROUP BY channel""")
 def line_noise(spark, d):
     """Amplitude of the line frequency over whole cycles."""
-    s = T.samples(spark, d).where("sample <= 500")
-    return s.groupBy("channel").agg(F.round(X.tone("v", "sample", 20), 7).alias("line"))
+    return whole_cycles(spark, d).groupBy("channel").agg(F.round(X.tone("v", "sample", 20), 7).alias("line"))
 
 
-@query(f"""WITH {SM}, x AS (SELECT channel, sample, v, cos(2 * pi() * sample / 20) AS c, sin(2 * pi() * sample / 20) AS s FROM smp WHERE sample <= 500), m AS (SELECT channel, 2 * avg(v * c) AS a, 2 * avg(v * s) AS b FROM x GROUP BY channel) SELECT x.channel, sample, round(v - a * c - b * s, 7) AS clean FROM x JOIN m ON m.channel = x.channel""")
+@query(f"""WITH {CYCLES}, x AS (SELECT channel, sample, v, last, cos(2 * pi() * sample / 20) AS c, sin(2 * pi() * sample / 20) AS s FROM whole), m AS (SELECT channel, 2 * avg(v * c) AS a, 2 * avg(v * s) AS b FROM x WHERE sample <= last GROUP BY channel) SELECT x.channel, sample, round(v - a * c - b * s, 7) AS clean FROM x JOIN m ON m.channel = x.channel""")
 def dft_filter(spark, d):
-    """Samples without the line frequency fitted over whole cycles."""
-    s = T.samples(spark, d).where("sample <= 500")
+    """Samples without the line frequency, fitted over whole cycles and taken out of all."""
     turn = F.lit(2.0) * F.pi() * F.col("sample") / 20
-    w = Window.partitionBy("channel")
-    x = s.withColumns({"c": F.cos(turn), "s": F.sin(turn)})
-    fit = F.lit(2.0) * (F.avg(F.col("v") * F.col("c")).over(w) * F.col("c") + F.avg(F.col("v") * F.col("s")).over(w) * F.col("s"))
-    return x.select("channel", "sample", F.round(F.col("v") - fit, 7).alias("clean"))
+    c, s = F.cos(turn), F.sin(turn)
+    fit = whole_cycles(spark, d).groupBy("channel").agg((2 * F.avg(F.col("v") * c)).alias("a"), (2 * F.avg(F.col("v") * s)).alias("b"))
+    return T.samples(spark, d).join(fit, "channel").select("channel", "sample", F.round(F.col("v") - F.col("a") * c - F.col("b") * s, 7).alias("clean"))
 
 
 @query(f"""WITH {SM}, r AS (SELECT channel % 8 AS channel, sample % 64 AS freq, avg(v) AS p FROM smp GROUP BY ALL) SELECT channel, freq, round(p / max(p) OVER (PARTITION BY freq), 9) AS rel FROM r""")

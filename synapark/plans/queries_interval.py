@@ -13,6 +13,11 @@ from .registry import query
 H = T.HOUR
 
 
+def marks(spark, d):
+    """Errors as marks on a recording: their channel and sample."""
+    return T.events(spark, d).where("event_type = 'error'").select((F.col("user_id") % 100).alias("channel"), F.col("depth").alias("at"))
+
+
 @query(f"WITH {T.TRIALS} SELECT unit, CAST(floor((s.t - r.t0) / {H}.0) AS BIGINT) AS bin, count(*) AS n FROM spike s JOIN trial r ON s.t >= r.start AND s.t < r.stop GROUP BY ALL")
 def aligned_rate(spark, d):
     """Spike counts by unit and hour from the event, over all trials."""
@@ -21,14 +26,13 @@ def aligned_rate(spark, d):
 
 
 @query(f"""WITH {T.TRIALS}, u AS (SELECT DISTINCT unit FROM spike), s AS (SELECT unit, trial, count(*) AS n, sum(s.t - r.t0) AS rel FROM spike s JOIN trial r ON s.t >= r.start AND s.t < r.stop GROUP BY ALL),
- g AS (SELECT unit, trial FROM u, trial WHERE trial % 10 = 0)
+ g AS (SELECT unit, trial FROM u, trial)
  SELECT g.unit, g.trial, coalesce(n, 0) AS n, CAST(coalesce(rel, 0) AS BIGINT) AS rel FROM g LEFT JOIN s ON g.unit = s.unit AND g.trial = s.trial""")
 def spikes_to_trials(spark, d):
-    """Every unit and tenth trial with its spikes' number and summed time, empty ones too."""
+    """Every unit and trial with its spikes' number and summed time, empty ones too."""
     s, r = T.spikes(spark, d), T.trials(spark, d)
     found = I.range_join(s, r, 12 * H).groupBy("unit", "trial").agg(F.count("*").alias("n"), F.sum(F.col("t") - F.col("t0")).alias("rel"))
-    some = r.where("trial % 10 = 0").select("trial")  # every unit and trial is the feature
-    full = s.select("unit").distinct().crossJoin(some)
+    full = s.select("unit").distinct().crossJoin(r.select("trial"))  # every unit and trial is the feature
     return full.join(found, ["unit", "trial"], "left").select("unit", "trial", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("rel", F.lit(0)).alias("rel"))
 
 
@@ -61,12 +65,11 @@ def trial_aligned_condition(spark, d):
     return A.align(T.spikes(spark, d), r, 24 * H, 24 * H, closed="both", on=["unit"]).groupBy("unit", "trial").agg(F.count("*").alias("n"))
 
 
-@query(f"""WITH {T.SAMPLES}, e AS (SELECT channel, sample AS pos FROM smp WHERE sample % 97 = 0)
+@query(f"""WITH {T.EVENTS}, {T.SAMPLES}, e AS (SELECT user_id % 100 AS channel, depth AS pos FROM ev WHERE event_type = 'error')
  SELECT e.channel, o AS "offset", count(*) AS n, round(avg(v * 0.5), 9) AS mean FROM e, generate_series(-8, 8, 4) g(o) JOIN smp s ON s.channel = e.channel AND s.sample = e.pos + o GROUP BY ALL""")
 def event_aligned_series(spark, d):
-    """Voltage around every 97th sample, every fourth sample of the window, scaled."""
-    s = T.samples(spark, d)
-    e = s.where("sample % 97 = 0").select("channel", F.col("sample").alias("at"))
+    """Voltage around every error's sample, every fourth sample of the window, scaled."""
+    s, e = T.samples(spark, d), marks(spark, d)
     return A.triggered(s, e, 8, 8, every=4, on=["channel"]).groupBy("channel", "offset").agg(F.count("*").alias("n"), F.round(F.avg(F.col("v") * 0.5), 9).alias("mean"))
 
 
@@ -231,10 +234,16 @@ def hopping_rate(spark, d):
 @query(f"""WITH {T.TRIALS}, a AS (SELECT unit, trial, CAST(floor((s.t - r.t0 + {6 * H}) / {3 * H}) AS BIGINT) AS bin, count(*) AS n FROM spike s JOIN trial r ON s.t >= r.start AND s.t < r.stop GROUP BY ALL)
  SELECT trial, bin, count(*) AS units, CAST(sum(n) AS BIGINT) AS n FROM a GROUP BY ALL""")
 def binned_array(spark, d):
-    """Event by bin array over all units."""
-    found = A.align(T.spikes(spark, d), T.trials(spark, d).select("trial", "t0"), 6 * H, 6 * H)
-    each = found.groupBy("unit", "trial", F.floor((F.col("rel") + 6 * H) / (3 * H)).alias("bin")).agg(F.count("*").alias("n"))
-    return each.groupBy("trial", "bin").agg(F.count("*").alias("units"), F.sum("n").alias("n"))
+    """Event by bin array over all units.
+
+    A spike stands for its unit in a bin where the unit's spike before lies ahead
+    of the bin, so pairs are counted as they are made and never shuffled by unit.
+    """
+    s = T.spikes(spark, d).select("t", F.lag("t").over(Window.partitionBy("unit").orderBy("t", "spike_id")).alias("was"))
+    found = A.align(s, T.trials(spark, d).select("trial", "t0"), 6 * H, 6 * H)
+    bin_ = F.floor((F.col("rel") + 6 * H) / (3 * H))
+    ahead = F.col("was").isNull() | (F.col("was") < F.col("t0") - 6 * H + bin_ * 3 * H)
+    return found.groupBy("trial", bin_.alias("bin")).agg(F.count(F.when(ahead, 1)).alias("units"), F.count("*").alias("n"))
 
 
 @query(f"""WITH {T.EVENTS}, e AS (SELECT DISTINCT user_id, t FROM ev WHERE event_type = 'signup'), c AS (SELECT event_id, user_id, t FROM ev WHERE event_type = 'click')
@@ -245,12 +254,11 @@ def since_last_event(spark, d):
     return I.cycles(e.where("event_type = 'click'").select("event_id", "user_id", "t"), e.where("event_type = 'signup'"), by=["user_id"]).select("event_id", "since")
 
 
-@query(f"""WITH {T.SAMPLES}, e AS (SELECT channel, sample AS pos FROM smp WHERE sample % 50 = 0), x AS (SELECT e.channel, o AS "offset", pos, v FROM e, generate_series(-3, 3) g(o) JOIN smp s ON s.channel = e.channel AND s.sample = pos + o)
+@query(f"""WITH {T.EVENTS}, {T.SAMPLES}, e AS (SELECT user_id % 100 AS channel, depth AS pos FROM ev WHERE event_type = 'error'), x AS (SELECT e.channel, o AS "offset", pos, v FROM e, generate_series(-3, 3) g(o) JOIN smp s ON s.channel = e.channel AND s.sample = pos + o)
  SELECT "offset", count(*) AS n, round(avg(v), 9) AS mean, round(stddev_samp(v) / sqrt(count(*)), 9) AS sem FROM x GROUP BY "offset" """)
 def event_triggered_average(spark, d):
-    """Mean trace and its standard error around every 50th sample."""
-    s = T.samples(spark, d)
-    e = s.where("sample % 50 = 0").select("channel", F.col("sample").alias("at"))
+    """Mean trace and its standard error around every error's sample."""
+    s, e = T.samples(spark, d), marks(spark, d)
     return A.triggered(s, e, 3, 3, on=["channel"]).groupBy("offset").agg(F.count("*").alias("n"), F.round(F.avg("v"), 9).alias("mean"), F.round(F.stddev_samp("v") / F.sqrt(F.count("*")), 9).alias("sem"))
 
 

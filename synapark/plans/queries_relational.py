@@ -14,17 +14,17 @@ from .registry import query
 SM, C, EV, S = T.SAMPLES, T.CONDITIONS, T.EVENTS, T.SPIKES
 
 
-@query("SELECT l_orderkey, l_linenumber, l_partkey, CAST(greatest(-32768, least(32767, round((l_quantity * 700 - 32768) * 0.195))) AS INT) AS uv FROM lineitem WHERE l_linenumber <= 2")
+@query("SELECT l_orderkey, l_linenumber, l_partkey, CAST(greatest(-32768, least(32767, round((l_quantity * 700 - 32768) * 0.195))) AS INT) AS uv FROM lineitem")
 def adc_to_uv(spark, d):
     """Converter counts in microvolt, rounded and saturated."""
-    x = T.read(spark, d, "lineitem").where("l_linenumber <= 2")
+    x = T.read(spark, d, "lineitem")
     return x.select("l_orderkey", "l_linenumber", "l_partkey", X.adc_to_uv(F.col("l_quantity") * 700, 1.95e-7).cast("int").alias("uv"))
 
 
-@query(f"WITH {SM} SELECT channel, sample, abs(v - 25) AS rect, greatest(10, least(40, v)) AS clipped, round(sample / 32000.0, 9) AS t FROM smp WHERE sample <= 50")
+@query(f"WITH {SM} SELECT channel, sample, abs(v - 25) AS rect, greatest(10, least(40, v)) AS clipped, round(sample / 32000.0, 9) AS t FROM smp")
 def rectify_and_clip(spark, d):
     """Absolute and clamped samples with their time."""
-    s = T.samples(spark, d).where("sample <= 50")
+    s = T.samples(spark, d)
     return s.select("channel", "sample", F.abs(F.col("v") - 25).alias("rect"), X.clip(F.col("v"), 10.0, 40.0).alias("clipped"), F.round(F.col("sample") / 32000.0, 9).alias("t"))
 
 
@@ -56,11 +56,11 @@ def event_codes(spark, d):
     return e.join(F.broadcast(names), "event_type", "left").select("event_id", F.coalesce("code", F.lit(-1)).alias("code"))  # four rows
 
 
-@query(f"WITH {SM} SELECT channel, sample, CAST((CASE WHEN v > 25 THEN 1 ELSE 0 END) + (CASE WHEN v > 35 THEN 2 ELSE 0 END) + (CASE WHEN CAST(v AS INT) % 2 = 1 THEN 4 ELSE 0 END) AS BIGINT) AS code FROM smp WHERE sample <= 100")
+@query(f"WITH {SM} SELECT channel, sample, CAST((CASE WHEN v > 25 THEN 1 ELSE 0 END) + (CASE WHEN v > 35 THEN 2 ELSE 0 END) + (CASE WHEN CAST(v AS INT) % 2 = 1 THEN 4 ELSE 0 END) AS BIGINT) AS code FROM smp")
 def pins_to_code(spark, d):
     """Whole numbers of pin vectors, lowest pin first."""
     pins = [(F.col("v") > 25).cast("int"), (F.col("v") > 35).cast("int"), F.col("v").cast("int") % 2]
-    return T.samples(spark, d).where("sample <= 100").select("channel", "sample", X.bits_to_number(pins).alias("code"))
+    return T.samples(spark, d).select("channel", "sample", X.bits_to_number(pins).alias("code"))
 
 
 @query(f"WITH {S} SELECT spike_id, round((t - 1704067200000) * 1.00001::DOUBLE + 12.5, 3) AS fixed FROM spike")
@@ -126,11 +126,11 @@ def union_first(spark, d):
     return sets.union_first(a, b, ["k"], "nth")
 
 
-@query("WITH a AS (SELECT DISTINCT l_partkey AS k FROM lineitem WHERE l_returnflag = 'R'), b AS (SELECT DISTINCT l_partkey AS k FROM lineitem WHERE l_returnflag = 'A') (SELECT k FROM a EXCEPT SELECT k FROM b) UNION ALL (SELECT k FROM b EXCEPT SELECT k FROM a)")
+@query("WITH a AS (SELECT DISTINCT l_partkey AS k, CAST(l_quantity AS INT) AS q FROM lineitem WHERE l_returnflag = 'R'), b AS (SELECT DISTINCT l_partkey AS k, CAST(l_quantity AS INT) AS q FROM lineitem WHERE l_returnflag = 'A') (SELECT * FROM a EXCEPT SELECT * FROM b) UNION ALL (SELECT * FROM b EXCEPT SELECT * FROM a)")
 def symmetric_difference(spark, d):
-    """Keys of just one of two sets."""
-    x = T.read(spark, d, "lineitem").select(F.col("l_partkey").alias("k"), "l_returnflag")
-    return sets.symmetric_difference(x.where("l_returnflag = 'R'").select("k"), x.where("l_returnflag = 'A'").select("k"), ["k"])
+    """Pairs of part and quantity of just one of two sets."""
+    x = T.read(spark, d, "lineitem").select(F.col("l_partkey").alias("k"), F.col("l_quantity").cast("int").alias("q"), "l_returnflag")
+    return sets.symmetric_difference(x.where("l_returnflag = 'R'").select("k", "q"), x.where("l_returnflag = 'A'").select("k", "q"), ["k", "q"])
 
 
 @query("SELECT coalesce(c.k, s.k) AS k, c.n AS customers, s.n AS suppliers FROM (SELECT c_nationkey AS k, count(*) AS n FROM customer WHERE c_acctbal > 9000 GROUP BY ALL) c FULL JOIN (SELECT s_nationkey AS k, count(*) AS n FROM supplier GROUP BY ALL) s ON c.k = s.k")
@@ -202,10 +202,10 @@ def ragged_rows(spark, d):
     return nested.unpack(packed, "unit").select("unit", "spike_id", "t", F.col("pos").cast("long").alias("pos"))
 
 
-@query("WITH e AS (SELECT vec_id, label, unnest(embedding)::DOUBLE AS v, unnest(range(64)) AS pos FROM embeddings) SELECT vec_id, CAST(label * 64 + pos AS BIGINT) AS col, round(v, 8) AS v FROM e WHERE pos < 4")
+@query("WITH e AS (SELECT vec_id, label, unnest(embedding)::DOUBLE AS v, unnest(range(64)) AS pos FROM embeddings) SELECT vec_id, CAST(label * 64 + pos AS BIGINT) AS col, round(v, 8) AS v FROM e")
 def sparse_matrix(spark, d):
     """Rows, columns and values of a sparse matrix."""
-    e = T.read(spark, d, "embeddings").select("vec_id", "label", F.posexplode("embedding").alias("pos", "v")).where("pos < 4")
+    e = T.read(spark, d, "embeddings").select("vec_id", "label", F.posexplode("embedding").alias("pos", "v"))
     return e.select("vec_id", (F.col("label").cast("long") * 64 + F.col("pos")).alias("col"), F.round(F.col("v").cast("double"), 8).alias("v"))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import models
 from ..operators import signal as S
 from . import tables as T
 from .registry import query
@@ -37,8 +38,8 @@ def multitaper_spectrum(spark, d):
 
 @query()
 def wavelet_power(spark, d):
-    """Power over time at three frequencies of the first trial of each channel."""
-    s = T.samples(spark, d).where("sample <= 256").withColumn("trial", F.lit(0))
+    """Power over time at three frequencies in stretches of 256 samples."""
+    s = T.samples(spark, d).withColumn("trial", F.expr("(sample - 1) div 256"))
     return S.wavelet_power(s, 1000.0, [30.0, 60.0, 120.0]).select("trial", "channel", "freq", "sample", F.round("power", 6).alias("power"))
 
 
@@ -53,6 +54,7 @@ def t_pvalues(spark, d):
 
 @query()
 def cluster_isolation(spark, d):
-    """Isolation distance and L-ratio of waveform clusters in their first four components."""
-    e = T.read(spark, d, "embeddings").select(F.col("label").alias("unit"), F.col("vec_id").alias("spike_id"), F.slice(F.col("embedding").cast("array<double>"), 1, 4).alias("x"))
+    """Isolation distance and L-ratio of waveform clusters in their first four principal components."""
+    e = T.read(spark, d, "embeddings").select(F.col("label").alias("unit"), F.col("vec_id").alias("spike_id"), F.col("embedding").cast("array<double>").alias("x"))
+    e = models.components(e, k=4).select("unit", "spike_id", F.col("pc").alias("x"))
     return S.isolation(e).select("unit", F.round("isolation", 6).alias("isolation"), F.round("l_ratio", 6).alias("l_ratio"))

@@ -29,9 +29,10 @@ def trials_consecutive(spark, d):
     return R.TRIAL_FUNCTIONS["consecutive"](T.events(spark, d), "click", "view", by=["user_id"]).select("event_id", "start", F.col("end").alias("stop"))
 
 
-@query(f"""WITH {T.SAMPLES}, u AS (SELECT channel, sample, v, lag(v) OVER (PARTITION BY channel ORDER BY sample) AS was FROM smp), c AS (SELECT channel, sample, sample - lag(sample) OVER (PARTITION BY channel ORDER BY sample) AS gap FROM u WHERE v >= 40 AND was < 40) SELECT channel, sample FROM c WHERE gap IS NULL OR gap > 3""")
+@query(f"""WITH RECURSIVE {T.SAMPLES}, u AS (SELECT channel, sample, v, lag(v) OVER (PARTITION BY channel ORDER BY sample) AS was FROM smp), c AS (SELECT channel, sample FROM u WHERE v >= 40 AND was < 40),
+ k AS (SELECT channel, min(sample) AS sample FROM c GROUP BY channel UNION ALL SELECT c.channel, min(c.sample) FROM k JOIN c ON c.channel = k.channel AND c.sample > k.sample + 3 GROUP BY c.channel) SELECT channel, sample FROM k""")
 def threshold_crossings(spark, d):
-    """Rises through a threshold after three samples without one."""
+    """Rises through a threshold, none within three samples of the last one kept."""
     return R.crossings(T.samples(spark, d), 40, 3).select("channel", "sample")
 
 
@@ -51,20 +52,21 @@ def choice_probability(spark, d):
     return out.select("bin", "n_pos", "n_neg", F.round("auc", 9).alias("auc"))
 
 
-@query(f"""WITH {T.SPIKES}, {T.SAMPLES}, c AS (SELECT unit % 100 AS channel, depth AS sample, count(*) AS n FROM spike GROUP BY ALL) SELECT s.channel, s.sample, s.v, coalesce(c.n, 0) AS spikes FROM smp s LEFT JOIN c ON c.channel = s.channel AND c.sample = s.sample WHERE s.sample <= 100""")
+@query(f"""WITH {T.SPIKES}, {T.SAMPLES}, c AS (SELECT unit % 100 AS channel, depth AS sample, count(*) AS n FROM spike GROUP BY ALL) SELECT s.channel, s.sample, s.v, coalesce(c.n, 0) AS spikes FROM smp s LEFT JOIN c ON c.channel = s.channel AND c.sample = s.sample""")
 def append_spikes(spark, d):
     """Number of spikes on each sample."""
     s = T.spikes(spark, d).select((F.col("unit") % 100).alias("channel"), (F.col("depth") / 1000.0).alias("t_s"))
-    return R.append_spikes(T.samples(spark, d).where("sample <= 100").select("channel", "sample", "v"), s, 1000.0)
+    return R.append_spikes(T.samples(spark, d).select("channel", "sample", "v"), s, 1000.0)
 
 
-@query(f"""WITH {T.SAMPLES}, m AS (SELECT channel, sample, v, w FROM smp WHERE sample <= 50), p AS (SELECT k * 2 AS plus, k * 2 + 1 AS minus FROM generate_series(0, 4) g(k))
+@query(f"""WITH {T.SAMPLES}, m AS (SELECT channel, sample, v, w FROM smp), p AS (SELECT DISTINCT channel // 2 * 2 AS plus, channel // 2 * 2 + 1 AS minus FROM smp)
  SELECT plus, minus, a.sample AS t, round((a.v - b.v + b.w - a.w) / 2, 6) AS lrp FROM p JOIN m a ON a.channel = plus JOIN m b ON b.channel = minus AND b.sample = a.sample""")
 def lateralized_potential(spark, d):
     """Half the sum of hemispheric differences of channel pairs."""
-    s = T.samples(spark, d).where("sample <= 50")
+    s = T.samples(spark, d)
     side = lambda c: s.select("channel", F.col("sample").alias("t"), F.col(c).alias("v"))
-    pairs = spark.range(5).select((F.col("id") * 2).alias("plus"), (F.col("id") * 2 + 1).alias("minus"))
+    even = F.expr("channel div 2") * 2
+    pairs = s.select(even.alias("plus"), (even + 1).alias("minus")).distinct()
     return R.lateralized(side("v"), side("w"), pairs).select("plus", "minus", "t", F.round("lrp", 6).alias("lrp"))
 
 
@@ -76,17 +78,17 @@ def phase_histogram(spark, d):
     return T.spikes(spark, d).select("unit", F.floor((F.col("t") - lo) * 10 / F.greatest(hi - lo, F.lit(1))).alias("phase")).groupBy("unit", "phase").agg(F.count("*").alias("n"))
 
 
-@query(f"WITH {T.SAMPLES} SELECT channel % 5 AS channel, sample, round(CAST(sum(v * w) AS DOUBLE) / 1000, 6) AS raw FROM smp WHERE sample <= 40 GROUP BY ALL")
+@query(f"WITH {T.SAMPLES} SELECT channel % 5 AS channel, sample, round(CAST(sum(v * w) AS DOUBLE) / 1000, 6) AS raw FROM smp GROUP BY ALL")
 def predicted_raw(spark, d):
     """Summed templates times amplitudes on each channel and sample."""
-    return T.samples(spark, d).where("sample <= 40").groupBy((F.col("channel") % 5).alias("channel"), "sample").agg(F.round(F.sum(F.col("v") * F.col("w")) / 1000, 6).alias("raw"))
+    return T.samples(spark, d).groupBy((F.col("channel") % 5).alias("channel"), "sample").agg(F.round(F.sum(F.col("v") * F.col("w")) / 1000, 6).alias("raw"))
 
 
-@query("SELECT l_orderkey, l_linenumber, l_partkey, round(cos(l_tax) * cos(l_discount), 9) AS w, round(sin(l_tax) * cos(l_discount), 9) AS z FROM lineitem WHERE l_linenumber = 1")
+@query("SELECT l_orderkey, l_linenumber, l_partkey, round(cos(l_tax) * cos(l_discount), 9) AS w, round(sin(l_tax) * cos(l_discount), 9) AS z FROM lineitem")
 def rotation(spark, d):
     """Quaternions of two turns."""
     q = X.euler_to_quaternion(F.col("l_tax") * 2, F.col("l_discount") * 2, F.lit(0.0))
-    return T.read(spark, d, "lineitem").where("l_linenumber = 1").withColumn("q", q).select("l_orderkey", "l_linenumber", "l_partkey", F.round(F.col("q")[0], 9).alias("w"), F.round(F.col("q")[3], 9).alias("z"))
+    return T.read(spark, d, "lineitem").withColumn("q", q).select("l_orderkey", "l_linenumber", "l_partkey", F.round(F.col("q")[0], 9).alias("w"), F.round(F.col("q")[3], 9).alias("z"))
 
 
 @query()
@@ -126,10 +128,3 @@ def spike_triggered_average(spark, d):
     at = spikes.select("event_id", "user_id", "offset", (F.col("t") + F.col("offset")).alias("t"))
     out = I.interpolate_at(at, e.where("event_type = 'error'").select("user_id", "t", "value"), t="t", value="value", by=["user_id"])
     return out.groupBy("offset").agg(F.count("value").alias("n"), F.round(F.avg("value"), 6).alias("mean"))
-
-
-@query()
-def simulated_spikes(spark, d):
-    """Poisson spikes with a refractory time, at each unit's own rate."""
-    units = T.spikes(spark, d).groupBy("unit").agg(F.count("*").alias("n"))
-    return R.simulate(units, 5.0 + F.col("n") % 20, 5).select("unit", "t")

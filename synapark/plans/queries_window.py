@@ -64,44 +64,45 @@ def bit_edges(spark, d):
  SELECT channel, sample, CAST(state AS INT) AS state FROM (SELECT *, lag(state) {OVER}) AS was FROM s) WHERE was IS NOT NULL AND was <> state""")
 def schmitt_trigger(spark, d):
     """Flips of a two-threshold state."""
-    s = T.samples(spark, d).withColumn("state", W.schmitt("v", 10, 40, w()))
-    return W.changes(s.where("state IS NOT NULL"), "state", ORDER, BY).select("channel", "sample", "state")
+    state = F.when(F.col("v") >= 40, 1).when(F.col("v") <= 10, 0)
+    s = W.over_stretches(W.carried(T.samples(spark, d), state, "state"), 1, {"was": lambda x: F.lag("state").over(x)})
+    return s.where("was <> state").select("channel", "sample", "state")
 
 
 @query(f"WITH {T.SAMPLES} SELECT channel, sample, round(avg(v) {OVER} ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING), 9) AS smooth FROM smp")
 def moving_average(spark, d):
     """Box of five samples."""
-    return T.samples(spark, d).select("channel", "sample", F.round(W.moving_average("v", w(), 2), 9).alias("smooth"))
+    return W.over_stretches(T.samples(spark, d), 2, {"smooth": lambda x: F.round(W.moving_average("v", x, 2), 9)}).select("channel", "sample", "smooth")
 
 
 @query(f"WITH {T.SAMPLES} SELECT channel, sample, quantile_cont(v, 0.5) {OVER} ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) AS tonic FROM smp")
 def median_filter(spark, d):
     """Median of five samples."""
-    return T.samples(spark, d).select("channel", "sample", W.median_filter("v", w(), 2).alias("tonic"))
+    return W.over_stretches(T.samples(spark, d), 2, {"tonic": lambda x: W.median_filter("v", x, 2)}).select("channel", "sample", "tonic")
 
 
 @query(f"WITH {T.SAMPLES} SELECT channel, sample, round((max(v) {OVER} ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING) - min(v) {OVER} ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING)) / sqrt(7.0), 9) AS span FROM smp")
 def sliding_range(spark, d):
     """Range of seven samples over the root of their number."""
-    return T.samples(spark, d).select("channel", "sample", F.round(W.sliding_range("v", w(), 3), 9).alias("span"))
+    return W.over_stretches(T.samples(spark, d), 3, {"span": lambda x: F.round(W.sliding_range("v", x, 3), 9)}).select("channel", "sample", "span")
 
 
 @query(f"WITH {T.SAMPLES}, x AS (SELECT *, lag(v) {OVER}) AS a, lead(v) {OVER}) AS b FROM smp) SELECT channel, sample, CASE WHEN a IS NULL THEN b - v WHEN b IS NULL THEN v - a ELSE (b - a) / 2 END AS slope FROM x")
 def gradient(spark, d):
     """Central differences."""
-    return T.samples(spark, d).select("channel", "sample", W.gradient("v", w()).alias("slope"))
+    return W.over_stretches(T.samples(spark, d), 1, {"slope": lambda x: W.gradient("v", x)}).select("channel", "sample", "slope")
 
 
 @query(f"WITH {T.SAMPLES} SELECT channel, sample, round(v - avg(v) OVER (PARTITION BY channel), 9) AS flat0 FROM smp")
 def detrend_constant(spark, d):
     """Samples without their channel's mean."""
-    return T.samples(spark, d).select("channel", "sample", F.round(W.demean("v", BY), 9).alias("flat0"))
+    return W.demeaned(T.samples(spark, d), "v", BY, "flat0").select("channel", "sample", F.round("flat0", 9).alias("flat0"))
 
 
 @query(f"WITH {T.SAMPLES}, r AS (SELECT channel, avg(v) AS mv, avg(sample) AS ms, coalesce(covar_pop(v, sample) / nullif(var_pop(sample), 0), 0) AS k FROM smp GROUP BY channel) SELECT s.channel, s.sample, round(v - mv - k * (sample - ms), 9) AS flat1 FROM smp s JOIN r ON r.channel = s.channel")
 def detrend_linear(spark, d):
     """Samples without their channel's least-squares line."""
-    return T.samples(spark, d).select("channel", "sample", F.round(W.detrend("v", "sample", BY), 9).alias("flat1"))
+    return W.detrended(T.samples(spark, d), "v", "sample", BY, "flat1").select("channel", "sample", F.round("flat1", 9).alias("flat1"))
 
 
 @query(f"WITH {T.SPIKES} SELECT unit, spike_id, CAST(count(*) OVER (PARTITION BY unit ORDER BY t, spike_id) AS BIGINT) AS n, round(sum(ampl) OVER (PARTITION BY unit ORDER BY t, spike_id), 8) AS total FROM spike")
@@ -153,13 +154,15 @@ def intervals_to_samples(spark, d):
 def fill_gaps(spark, d):
     """Artifact samples replaced by the line between their neighbours."""
     g = T.samples(spark, d).withColumn("x", F.when(F.col("v") <= 45, F.col("v")))
-    return g.select("channel", "sample", F.round(W.fill_linear("x", "sample", w()), 9).alias("x"))
+    g = W.fill_gaps(g, "x")
+    return g.select("channel", "sample", F.round("x", 9).alias("x"))
 
 
 @query(f"WITH {T.SAMPLES}, x AS (SELECT *, lag(v) {OVER}) AS a, lead(v) {OVER}) AS b FROM smp) SELECT channel, sample, v FROM x WHERE v > a AND v > b AND v > 40")
 def local_peaks(spark, d):
     """Samples above a threshold and both neighbours."""
-    return W.peaks(T.samples(spark, d), "v", ORDER, BY, 40).select("channel", "sample", "v")
+    near = W.over_stretches(T.samples(spark, d), 1, {"l": lambda x: F.lag("v").over(x), "r": lambda x: F.lead("v").over(x)})
+    return near.where("v > l AND v > r AND v > 40").select("channel", "sample", "v")
 
 
 @query(f"WITH {T.SAMPLES} SELECT channel, sample, v FROM smp WHERE (sample - 5) % 32 = 0")
@@ -198,15 +201,14 @@ def train_test_split(spark, d):
  SELECT channel, sample, round(sum(im) {OVER} ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING), 3) AS psi FROM p""")
 def phase_slope(spark, d):
     """Imaginary part of neighbouring products, summed over a frame."""
-    s = T.samples(spark, d)
-    im = s.select("channel", "sample", (F.col("v") * F.lead("w").over(w()) - F.col("w") * F.lead("v").over(w())).alias("im"))
-    return im.select("channel", "sample", F.round(F.sum("im").over(W.centred(w(), 2)), 3).alias("psi"))
+    made = {"im": lambda x: F.col("v") * F.lead("w").over(x) - F.col("w") * F.lead("v").over(x), "psi": lambda x: F.round(F.sum("im").over(W.centred(x, 2)), 3)}
+    return W.over_stretches(T.samples(spark, d), 3, made).select("channel", "sample", "psi")
 
 
 @query(f"WITH {T.SAMPLES} SELECT channel, sample, round((v - avg(v) OVER (PARTITION BY channel)) / nullif(stddev_pop(v) OVER (PARTITION BY channel), 0), 9) AS z FROM smp")
 def channel_normalise(spark, d):
     """Samples in units of their channel's deviation."""
-    return T.samples(spark, d).select("channel", "sample", F.round(W.normalise("v", BY), 9).alias("z"))
+    return W.normalised(T.samples(spark, d), "v", BY, "z").select("channel", "sample", F.round("z", 9).alias("z"))
 
 
 @query(f"WITH {T.SAMPLES} SELECT channel, sample, v - median(v) OVER (PARTITION BY sample) AS car FROM smp")

@@ -1,4 +1,4 @@
-"""Trials, duplicates, simulations and fits."""
+"""Trials, duplicates and fits."""
 
 import random
 
@@ -21,14 +21,6 @@ def test_duplicates_against_a_loop(spark):
     assert got == want
 
 
-def test_simulation(spark):
-    units = spark.createDataFrame([(1, 20.0), (2, 100.0)], "unit int, rate double")
-    out = R.simulate(units, F.col("rate"), 20)
-    counts = {r["unit"]: r["count"] for r in out.groupBy("unit").count().collect()}
-    assert 300 < counts[1] < 500 and 1300 < counts[2] < 2100
-    assert sorted(out.collect()) == sorted(R.simulate(units, F.col("rate"), 20).collect())  # the same every time
-
-
 def test_random_rows(spark):
     df = spark.range(100).withColumn("g", F.col("id") % 3)
     out = R.random_per_group(df, ["g"], 7, "id")

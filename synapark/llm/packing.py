@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from .common import cut, slices
 from .words import WordCoder
 
+#: Side of an attention tile in tokens.
+TILE = 128
 #: An encoder lives as long as its Python worker, so that words met by one task are known to the next.
 _coders: dict[int, WordCoder] = {}
 
@@ -49,11 +51,21 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = 4096, end_id: int =
     return made.mapInPandas(run, "doc_id long, piece int, start long, length long, ids_crc32 long").withColumn("part", F.spark_partition_id())
 
 
+def tiles(length: int) -> int:
+    """Attention cost of a run: square tiles of ``TILE`` tokens that a causal kernel visits for it.
+
+    A run stands anywhere in its sequence, so it may touch a tile more than it
+    fills; a sequence's triangle of tiles is then made of its runs' triangles.
+    """
+    side = -(-length // TILE) + 1
+    return side * (side + 1) // 2
+
+
 def best_fit(counts: dict[int, int], capacity: int, documents: int, attention: int, weights: tuple[float, float, float]) -> np.ndarray:
     """Plan for ``counts[length]`` runs of each length: rows of length, first run, number, first bin, offset.
 
     Lengths go from long to short. A bin has three residual capacities: tokens,
-    documents and attention cost (the sum of squared lengths). Of the bins in
+    documents and attention cost (``tiles`` of its runs). Of the bins in
     which a run fits on all three, it takes the one whose residual after it has
     the least weighted norm, each residual in parts of its capacity; a bin is
     opened only when none fits. Bins of one history are held as one interval, so
@@ -63,11 +75,11 @@ def best_fit(counts: dict[int, int], capacity: int, documents: int, attention: i
     used, bins = 0, 0
     scale = (capacity, documents, attention)
     out: list[tuple[int, int, int, int, int]] = []
-    if counts and attention < max(counts) ** 2:
+    if counts and attention < tiles(max(counts)):
         raise ValueError("a run alone is beyond the attention capacity")
     for length in sorted(counts, reverse=True):
         left, rank = counts[length], 0
-        need = (length, 1, length * length)
+        need = (length, 1, tiles(length))
         while left:
             if used > state.shape[1] - 3:  # drop full bins, then grow if that freed little
                 live = state[:, :used][:, (state[:3, :used] > 0).all(0)]
@@ -101,16 +113,18 @@ def pack(
     docs: DataFrame,
     vocabulary: str,
     capacity: int = 4096,
-    documents: int = 256,
+    documents: int = 128,
     attention: int | None = None,
-    weights: tuple[float, float, float] = (1.0, 0.01, 0.01),
+    weights: tuple[float, float, float] = (1.0, 0.05, 0.05),
     end_id: int = 1,
 ) -> DataFrame:
     """Pack all documents into sequences of at most ``capacity`` tokens.
 
-    ``documents`` and ``attention`` (sum of squared run lengths; the capacity's
-    square by default) are the other capacities of a sequence. Returns doc_id,
-    piece, start, length, ids_crc32, sequence_id, offset.
+    ``documents`` and ``attention`` (``tiles`` of all runs; by default those of one
+    run that fills the sequence) are the other capacities of a sequence. All three
+    can bind: very many short runs meet the documents', short ones beside a long one
+    the attention's, others the tokens'. Returns doc_id, piece, start, length,
+    ids_crc32, sequence_id, offset.
 
     Texts are encoded once, in a map; only the small rows of runs are written
     down. The plan is made from how many runs there are of each length: at most
@@ -122,7 +136,7 @@ def pack(
     A null text counts as empty; repeated rows are packed each; no rows give
     none; other columns are ignored.
     """
-    attention = attention or capacity * capacity
+    attention = attention or tiles(capacity)
     rows = cut(pieces(docs, vocabulary, capacity, end_id))
     each = rows.groupBy("length", "part").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

@@ -135,20 +135,64 @@ def test_pack(spark):
     assert packing.pack(H.docs(spark).limit(0), WORD_VOCABULARY).count() == 0
 
 
-def test_best_fit():
-    rng = np.random.default_rng(3)
-    lengths = rng.integers(1, 900, 5000)
-    values, counts = np.unique(lengths, return_counts=True)
-    plan = packing.best_fit(dict(zip(values.tolist(), counts.tolist(), strict=True)), 1000, 6, 900_000, (1.0, 0.1, 0.1))
-    fill, docs, cost = np.zeros(len(lengths), int), np.zeros(len(lengths), int), np.zeros(len(lengths), int)
-    for length, _, number, first, offset in plan:
-        bins = slice(first, first + number)
-        assert (fill[bins] == offset).all()
-        fill[bins] += length
-        docs[bins] += 1
-        cost[bins] += length * length
-    assert fill.max() <= 1000 and docs.max() <= 6 and cost.max() <= 900_000
-    assert Counter({int(k): int(plan[plan[:, 0] == k, 2].sum()) for k in values}) == Counter(lengths.tolist())
+def plain_best_fit(lengths, capacity, documents, attention, weights):
+    """Run by run, from long to short, into the fitting bin with the least norm of residuals."""
+
+    def cost(n):
+        return sum(range(1, (n + 127) // 128 + 2))
+
+    bins, scale = [], (capacity, documents, attention)
+    for n in sorted(lengths, reverse=True):
+        need = (n, 1, cost(n))
+        fits = [b for b in bins if all(b[d] >= need[d] for d in range(3))]
+        if fits:
+            best = min(fits, key=lambda b: sum(w * ((b[d] - need[d]) / scale[d]) ** 2 for d, w in enumerate(weights)))
+        else:
+            best = list(scale)
+            bins.append(best)
+        for d in range(3):
+            best[d] -= need[d]
+    return Counter(tuple(s - x for s, x in zip(scale, b, strict=True)) for b in bins)
+
+
+def packed(lengths, capacity, documents, attention, weights=(1.0, 0.05, 0.05)):
+    plan = packing.best_fit(dict(Counter(lengths)), capacity, documents, attention, weights)
+    held = {}
+    for length, _, number, first, offset in plan.tolist():
+        for b in range(first, first + number):
+            tokens, docs, cost = held.get(b, (0, 0, 0))
+            assert tokens == offset
+            held[b] = (tokens + length, docs + 1, cost + packing.tiles(length))
+    assert sum(d for _, d, _ in held.values()) == len(lengths) and sorted(held) == list(range(len(held)))
+    assert all(t <= capacity and d <= documents and c <= attention for t, d, c in held.values())
+    return Counter(held.values())
+
+
+@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("limits", [(4096, 128, 561), (1000, 6, 561), (1000, 50, 60)])
+def test_best_fit_equals_one_by_one(seed, limits):
+    """The plan by lengths is that of a best fit run by run."""
+    rng = np.random.default_rng(seed)
+    lengths = [*rng.integers(1, limits[0], 60).tolist(), *rng.integers(1, 120, 500).tolist()]
+    assert packed(lengths, *limits) == plain_best_fit(lengths, *limits, (1.0, 0.05, 0.05))
+
+
+def test_every_capacity_binds():
+    """With the registered parameters each of the three capacities alone changes the plan, and bounds a bin."""
+    limits = (4096, 128, packing.tiles(4096))
+    tokens = [900] * 40
+    assert packed(tokens, *limits) != packed(tokens, 8192, *limits[1:]) and max(packed(tokens, *limits))[0] > 4096 - 900
+    documents = [5] * 1000
+    assert packed(documents, *limits) != packed(documents, 4096, 10**6, limits[2]) and max(d for _, d, _ in packed(documents, *limits)) == 128
+    attention = [3000] * 3 + [12] * 240
+    assert packed(attention, *limits) != packed(attention, 4096, 128, 10**9) and max(c for _, _, c in packed(attention, *limits)) > limits[2] - 3
+
+
+def test_few_sequences():
+    """Within one in a hundred of the least number that the tokens take."""
+    rng = np.random.default_rng(9)
+    lengths = np.minimum(4096, rng.lognormal(6.4, 1.1, 20_000).astype(int) + 1)
+    assert sum(packed(lengths.tolist(), 4096, 128, packing.tiles(4096)).values()) <= 1.01 * lengths.sum() / 4096 + 1
 
 
 def corpus(n=400):

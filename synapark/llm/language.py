@@ -134,14 +134,13 @@ class Hierarchy:
         return names.tolist(), np.clip(score, 0.0, 1.0)
 
 
-def sample(rows: DataFrame, label: str, most: int) -> DataFrame:
-    """About ``most`` rows of each label, by a hash of doc_id; all where there are fewer."""
+def sampled(rows: DataFrame, label: str, most: int, share: float = 1.0) -> Column:
+    """Whether a row is of about ``most`` of its label, by a hash of doc_id; of fewer rows at most that share."""
     counts = {r[label]: r["n"] for r in rows.groupBy(label).agg(F.count("*").alias("n")).collect()}  # as many rows as labels
     limit: Column = F.lit(0.0)
     for name, n in counts.items():
-        limit = F.when(F.col(label) == name, min(1.0, most / n)).otherwise(limit)
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / 1_000_003.0
-    return rows.where(draw < limit)
+        limit = F.when(F.col(label) == name, min(share, most / n)).otherwise(limit)
+    return F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / 1_000_003.0 < limit
 
 
 def train(docs: DataFrame, folds: int, held: int, most: int) -> Hierarchy | None:
@@ -158,7 +157,7 @@ def train(docs: DataFrame, folds: int, held: int, most: int) -> Hierarchy | None
                 yield pd.DataFrame({"doc_id": batch["doc_id"].iloc[i:j], "lang": batch["lang"].iloc[i:j], "at": at, "value": [r[k] for r, k in zip(rows, at, strict=True)]})
 
     # sparse profiles, at most ``most`` a language (give or take the hash) of BUCKETS values each
-    found = sample(rows, "lang", most).mapInPandas(run, "doc_id long, lang string, at array<int>, value array<float>").toPandas().sort_values("doc_id", kind="stable")
+    found = rows.where(sampled(rows, "lang", most)).mapInPandas(run, "doc_id long, lang string, at array<int>, value array<float>").toPandas().sort_values("doc_id", kind="stable")
     if not len(found):
         return None
     dense = np.zeros((len(found), BUCKETS), np.float32)

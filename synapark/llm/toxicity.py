@@ -10,8 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, slices
-from .language import sample
+from .common import cut, fold, slices
+from .language import sampled
 
 BUCKETS, EMBED, FILTERS, WIDTHS = 1 << 15, 8, 8, (1, 2, 3)
 #: A word's embedding is that of its hash plus those of its first so many bytes, so that
@@ -166,57 +166,57 @@ class Tongues:
 
 
 class Model:
-    """The net and, for each language that a text may look like, the logit that counts as 0.5.
+    """The net, and what tells which language a text looks like."""
 
-    ``share``: how many rows of each label stand behind one of the sample.
-    """
-
-    def __init__(self, texts: list[np.ndarray], parts: np.ndarray, labels: np.ndarray, langs: list[str | None], share: tuple[float, float] = (1.0, 1.0)):
+    def __init__(self, texts: list[np.ndarray], parts: np.ndarray, labels: np.ndarray, langs: list[str | None]):
         self.tongues, self.net = Tongues(texts, parts, langs), Net()
-        spare = np.arange(len(texts)) % 4 == 3
-        learn = np.flatnonzero(~spare)
-        self.net.fit([texts[i] for i in learn], parts, labels[learn])
-        held = [texts[i] for i in np.flatnonzero(spare)]
-        logit = np.concatenate([self.net.logits(held[i : i + 64], parts) for i in range(0, len(held), 64)])
-        tongue, labels = self.tongues.of(held, parts), labels[spare]
-        whole = threshold(logit, labels, share, 0.0)
-        self.cut = np.array([threshold(logit[tongue == k], labels[tongue == k], share, whole) for k in range(len(self.tongues.names))])
-
-    def scores(self, texts: list[np.ndarray], parts: np.ndarray) -> np.ndarray:
-        logit = self.net.logits(texts, parts).astype(float) - self.cut[self.tongues.of(texts, parts)]
-        return 1 / (1 + np.exp(-np.clip(logit, -40, 40)))
-
-
-def threshold(logits: np.ndarray, labels: np.ndarray, share: tuple[float, float], otherwise: float) -> float:
-    """The middle of the widest gap that gives the best F1; ``otherwise`` with under 5 rows of a label."""
-    if min((labels > 0).sum(), (labels == 0).sum()) < 5:
-        return float(otherwise)
-    order = np.argsort(logits)
-    x, y = logits[order], labels[order] > 0
-    right = (y * share[1])[::-1].cumsum()[::-1]  # positives at or above each
-    wrong = (~y * share[0])[::-1].cumsum()[::-1]
-    f1 = 2 * right / (right + wrong + (y * share[1]).sum())
-    middle = np.r_[x[0] - 1, (x[1:] + x[:-1]) / 2]
+        self.net.fit(texts, parts, labels)
+
+
+def threshold(values: np.ndarray, clean: np.ndarray, toxic: np.ndarray) -> float:
+    """Where to cut rising values with so many rows of each label: the middle of the widest gap that gives the best F1."""
+    right, wrong = toxic[::-1].cumsum()[::-1], clean[::-1].cumsum()[::-1]  # at or above each
+    f1 = 2 * right / (right + wrong + toxic.sum())
+    middle = np.r_[values[0] - 1, (values[1:] + values[:-1]) / 2]
     best = np.flatnonzero(f1 >= f1.max() - 1e-9)
-    wide = np.r_[0, np.diff(x)][best]
+    wide = np.r_[0, np.diff(values)][best]
     return float(middle[best[wide.argmax()]])
 
 
-def train(docs: DataFrame, labels: DataFrame, folds: int, held: int, most: int, longest: int) -> Model | None:
-    """The model from about ``most`` labelled documents of either label outside the held-out fold."""
-    marked = labels.where(F.col("toxic").isin(0, 1) & (fold(F.col("doc_id"), folds) != held)).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
-    marked = marked.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    n = {r["toxic"]: r["n"] for r in marked.groupBy("toxic").agg(F.count("*").alias("n")).collect()}  # two rows
-    # about 2 * ``most`` rows of two numbers
-    rows = docs.where(F.col("text").isNotNull()).select("doc_id", "text", "lang").join(F.broadcast(sample(marked, "toxic", most)), "doc_id")
-    rows = rows.where(F.length("text") <= longest)
-    found = rows.toPandas().sort_values("doc_id", kind="stable")
+#: Logits are counted in steps of so much, between these ends.
+STEP, FARTHEST = 0.01, 40.0
+#: Rows of either label that a language needs for a cut of its own.
+LEAST = 5
+
+
+def thresholds(found: pd.DataFrame, tongues: int, share: tuple[float, float]) -> list[float]:
+    """The cut of each language from its counts ``tongue, toxic, step, n``; one cut over all where a language has too few rows.
+
+    ``share``: how many labelled rows stand behind one counted row of each label.
+    """
+
+    def of(rows: pd.DataFrame) -> float | None:
+        if min(rows["n"][rows["toxic"] == k].sum() for k in (0, 1)) < LEAST:
+            return None
+        at = np.unique(rows["step"])
+        counts = [np.bincount(np.searchsorted(at, rows["step"][rows["toxic"] == k]), rows["n"][rows["toxic"] == k] * share[k], len(at)) for k in (0, 1)]
+        return threshold(at * STEP, *counts)
+
+    whole = of(found) or 0.0
+    own = [of(found[found["tongue"] == k]) for k in range(tongues)]
+    return [whole if x is None else x for x in own]
+
+
+def train(docs: DataFrame, marked: DataFrame, longest: int) -> Model | None:
+    """The model from the documents marked for the fit."""
+    # about twice ``most`` rows of two numbers
+    rows = docs.where(F.col("text").isNotNull()).select("doc_id", "text", "lang").join(F.broadcast(marked.where("fit").select("doc_id", "toxic")), "doc_id")
+    found = rows.where(F.length("text") <= longest).toPandas().sort_values("doc_id", kind="stable")
     if found["toxic"].nunique() < 2:
         return None
     known = Numbers()
     texts = hashed(found["text"].tolist(), known)
-    share = tuple(max(1.0, n.get(k, 0) / most) for k in (0, 1))
-    return Model(texts, known.buckets(), found["toxic"].to_numpy(), found["lang"].tolist(), share)
+    return Model(texts, known.buckets(), found["toxic"].to_numpy(), found["lang"].tolist())
 
 
 def score(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0, most: int = 1600, longest: int = 20_000) -> DataFrame:
@@ -225,27 +225,43 @@ def score(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0, mos
     Hashed word embeddings, filters one to three words wide and max pooling over
     the whole text, so one passage in a long document counts. The net learns
     from about ``most`` documents of either label, of at most ``longest`` characters
-    (the documented bounds of the fit), whose crc32(doc_id) modulo ``folds``
-    isn't ``held``. A quarter of those calibrates: each language gets the logit
-    that counts as 0.5, and a text's language is told from its words alone.
-
-    One map after the fit, no shuffle of texts. Null and empty texts have no
-    words and get what the net's bias alone gives. With labels of one kind only
-    every score is 0. Other columns are ignored; repeated rows are each scored.
+    (the documented bounds of the fit; never more than three quarters of a label),
+    whose crc32(doc_id) modulo ``folds`` isn't ``held``. All other labelled
+    documents outside that fold calibrate, long ones too: how many of each label
+    and language have which logit is counted in steps of ``STEP``, and each language
+    gets the logit that counts as 0.5. A text's language is told from its words alone.
+
+    Texts are read in one map and never shuffled; logits are written down, joined
+    with the labels and counted. Null and empty texts have no words and get what
+    the net's bias alone gives. With labels of one kind only every score is 0.
+    Other columns are ignored; repeated rows are each scored; no rows give none.
     """
-    model = train(docs, labels, folds, held, most, longest)
+    marked = labels.where(F.col("toxic").isin(0, 1) & (fold(F.col("doc_id"), folds) != held)).groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
+    marked = cut(marked.withColumn("fit", sampled(marked, "toxic", most, 0.75)))
+    model = train(docs, marked, longest)
     sent = docs.sparkSession.sparkContext.broadcast(model)  # of fixed size
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model, known = sent.value, Numbers()
         for batch in batches:
             texts = [t or "" for t in batch.pop("text")]
-            scores = np.zeros(len(texts))
+            logit, tongue = np.full(len(texts), -np.inf), np.zeros(len(texts), np.int32)
             for i, j in slices(texts, 1_000_000) if model else ():
                 if len(known) > MEMORY:
                     known = Numbers()
                 words = hashed(texts[i:j], known)
-                scores[i:j] = model.scores(words, known.buckets())
-            yield batch.assign(score=scores, predicted=(scores >= 0.5).astype(np.int32))
-
-    return docs.select("doc_id", (fold(F.col("doc_id"), folds) == held).alias("held_out"), "text").mapInPandas(run, "doc_id long, held_out boolean, score double, predicted int")
+                parts = known.buckets()
+                logit[i:j], tongue[i:j] = np.clip(model.net.logits(words, parts), -FARTHEST, FARTHEST), model.tongues.of(words, parts)
+            yield batch.assign(logit=logit, tongue=tongue)
+
+    known = docs.select("doc_id", (fold(F.col("doc_id"), folds) == held).alias("held_out"), "text")
+    known = cut(known.mapInPandas(run, "doc_id long, held_out boolean, logit double, tongue int"))
+    if model is None:
+        return known.select("doc_id", "held_out", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
+    counted = known.join(marked.where(~F.col("fit")), "doc_id").groupBy("tongue", "toxic", F.round(F.col("logit") / STEP).cast("int").alias("step")).agg(F.count("*").alias("n"))
+    n = {r["toxic"]: (r["whole"], r["rest"]) for r in marked.groupBy("toxic").agg(F.count("*").alias("whole"), F.sum(F.when(F.col("fit"), 0).otherwise(1)).alias("rest")).collect()}  # two rows
+    share = tuple(n[k][0] / max(1, n[k][1]) for k in (0, 1))
+    cuts = thresholds(counted.toPandas(), len(model.tongues.names), share)  # two rows a language and step at most
+    shifted = F.col("logit") - F.element_at(F.array(*[F.lit(c) for c in cuts]), F.col("tongue") + 1)
+    scored = 1 / (1 + F.exp(-F.greatest(F.lit(-FARTHEST), F.least(F.lit(FARTHEST), shifted))))
+    return known.select("doc_id", "held_out", scored.alias("score")).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

@@ -239,6 +239,152 @@ def test_toxicity(spark):
     assert {r["score"] for r in toxicity.score(df.limit(3), marks.limit(0)).collect()} == {0.0}
 
 
+def small_net(texts):
+    known = toxicity.Numbers()
+    return toxicity.Net(), toxicity.hashed(texts, known), known.buckets()
+
+
+def test_pooled_activations():
+    """Each filter's largest activation, window by window in a loop."""
+    net, texts, parts = small_net(["a bee sees the seed", "", "alone", "Two WORDS", "the end of the bees, the end"])
+    want = np.zeros((len(texts), len(toxicity.WIDTHS) * toxicity.FILTERS))
+    for t, words in enumerate(texts):
+        embedded = [sum(net.embed[b] for b in parts[w]) for w in words]
+        for n, width in enumerate(toxicity.WIDTHS):
+            for f in range(toxicity.FILTERS):
+                windows = [sum(embedded[i + k] @ net.filters[n][k][:, f] for k in range(width)) for i in range(len(words) - width + 1)]
+                want[t, n * toxicity.FILTERS + f] = max([0.0, *[w + net.shift[n][f] for w in windows]]) if windows else 0.0
+    assert np.allclose(net.pooled(texts, net.tables(net.words(parts))), want, atol=1e-6)
+    assert np.allclose(net.logits(texts, parts), want @ net.out + net.bias[0], atol=1e-6)
+
+
+def test_gradients():
+    """Against the loss's change with each of some parameters."""
+    net, texts, parts = small_net(["a bee sees the seed", "alone here", "Two WORDS more", "the end of the bees, the end"])
+    rng = np.random.default_rng(0)
+    for name in ("embed", "shift", "out", "bias"):
+        setattr(net, name, getattr(net, name) + rng.normal(0, 0.3, getattr(net, name).shape))
+    net.embed[0] = 0
+    labels, weight = np.array([1, 0, 1, 0]), np.array([1.0, 2.0, 0.5, 1.5])
+
+    def loss():
+        logit = net.logits(texts, parts).astype(float)
+        return (weight * (np.log1p(np.exp(logit)) - labels * logit)).sum() / len(labels)
+
+    grads = net.gradients(texts, parts, labels, weight)
+    for held, grad in zip([net.embed, *net.filters, net.shift, net.out, net.bias], grads, strict=True):
+        for at in zip(*[x[rng.permutation(len(np.nonzero(grad)[0]))[:6]] for x in np.nonzero(grad)], strict=True):
+            old, eps = held[at], 2e-3
+            held[at] = old + eps
+            up = loss()
+            held[at] = old - eps
+            down = loss()
+            held[at] = old
+            assert abs((up - down) / (2 * eps) - grad[at]) < 2e-3 + 0.02 * abs(grad[at])
+
+
+def test_thresholds():
+    """The cut of the best F1 among all values, by trying each; a language with few rows takes the whole's."""
+    import pandas as pd
+
+    rng = np.random.default_rng(5)
+    rows = pd.DataFrame({"tongue": rng.integers(0, 3, 300), "toxic": rng.integers(0, 2, 300)})
+    rows["step"] = (rng.normal(0, 60, 300) + 90 * rows["toxic"] + 50 * rows["tongue"]).astype(int)
+    rows = rows[(rows["tongue"] < 2) | (rows.index < 6)].groupby(["tongue", "toxic", "step"]).size().rename("n").reset_index()
+    cuts = toxicity.thresholds(rows, 3, (1.5, 1.0))
+
+    def f1(own, cut):
+        above = own[own["step"] * toxicity.STEP >= cut]
+        right, wrong = above["n"][above["toxic"] == 1].sum(), 1.5 * above["n"][above["toxic"] == 0].sum()
+        return 2 * right / (right + wrong + own["n"][own["toxic"] == 1].sum())
+
+    for own, cut in ((rows[rows["tongue"] == 0], cuts[0]), (rows[rows["tongue"] == 1], cuts[1]), (rows, cuts[2])):
+        assert f1(own, cut) >= max(f1(own, s * toxicity.STEP) for s in range(-300, 400)) - 1e-9
+    assert len(set(cuts)) == 3
+
+
+def test_toxicity_awkward(spark):
+    """Clashing names, nulls, blanks, repeated rows and a long text."""
+    rows = [(k, " ".join([*H.words(k, 60), *(["vileterm"] if k % 4 == 0 else [])]), "en", None, 1, 7, "x", 1.5, "m", "k", 3, "b") for k in range(100, 400)]
+    rows += [(401, " ".join(H.words(1, 9000)) + " vileterm", "en", None, 1, 7, "x", 1.5, "m", "k", 3, "b"), *H.awkward()]
+    marks = spark.createDataFrame([(k, int(k % 4 == 0)) for k in range(100, 400)], "doc_id long, toxic int")
+    out = toxicity.score(H.docs(spark, rows), marks).collect()
+    assert len(out) == len(rows) and all(0 <= r["score"] <= 1 for r in out)
+    by = {r["doc_id"]: r for r in out}
+    assert max(by[k]["score"] for k in (1, 2, 3)) - min(by[k]["score"] for k in (1, 2, 3)) < 1e-5 and abs(by[4]["score"] - by[5]["score"]) < 1e-5 and by[401]["held_out"] == (zlib.crc32(b"401") % 5 == 0)
+    known = [r for r in out if 100 <= (r["doc_id"] or 0) < 400]
+    assert sum(r["predicted"] == (r["doc_id"] % 4 == 0) for r in known) > 0.9 * len(known)
+
+
+def test_votes():
+    """One-versus-one machines: each pair of a family's languages adds its shares, pair by pair in a loop."""
+    rng = np.random.default_rng(2)
+    names = ["de", "en", "nl"]
+    rows, labels = rng.random((90, 12)).astype(np.float32), np.array([names[k % 3] for k in range(90)])
+    rows[np.arange(90), [names.index(x) for x in labels]] += 1
+    pairs = language.Pairs(names, rows, labels)
+    some = rng.random((20, 12)).astype(np.float32)
+    want = np.zeros((20, 3))
+    for a in range(3):
+        for b in range(a + 1, 3):
+            both = np.isin(labels, [names[a], names[b]])
+            machine = language.Machine([names[a], names[b]], rows[both], labels[both])
+            for t in range(20):
+                margin = [4 * (sum(some[t, d] * machine.weights[d, c] for d in range(12)) + machine.bias[c]) for c in range(2)]
+                share = np.exp(margin) / np.exp(margin).sum()
+                want[t, a] += share[0] / 2
+                want[t, b] += share[1] / 2
+    assert np.allclose(pairs.shares(some), want, atol=1e-5)
+    whole = language.Hierarchy(np.concatenate([rows, rows + np.r_[np.zeros(11), 3].astype(np.float32)]), [*labels, *["fi"] * 90])
+    got, score = whole.predict(some)
+    top = whole.top.shares(some)
+    inner = whole.inner["germanic"].shares(some)
+    assert got == ["fi" if t[whole.top.names.index("uralic")] > 0.5 else names[i.argmax()] for t, i in zip(top, inner, strict=True)]
+    assert ((score >= 0) & (score <= 1)).all()
+
+
+def test_machine_step():
+    """The first step of a machine against a loop over rows."""
+    rows, labels = np.array([[1.0, 0.0], [0.0, 1.0], [0.5, 0.5]], np.float32), np.array(["a", "b", "a"])
+    machine = language.Machine(["a", "b"], rows, labels, steps=1)
+    for c, name in enumerate(("a", "b")):
+        target = [1.0 if x == name else -1.0 for x in labels]
+        share = [0.5 / sum(t == s for t in target) for s in target]
+        want = [0.8 * sum(rows[i][d] * share[i] * target[i] * 2 for i in range(3)) for d in range(2)]  # slack is 1 at zero weights
+        assert np.allclose(machine.weights[:, c], want)
+
+
+def judged(text):
+    """The verdict from the words of the docstring: base rules, the whole text's ratio in its band, few chunks outside theirs."""
+    import zstandard
+
+    base = brute_quality(text)[-1]
+    letters = sorted(set(text or ""))
+    codes = (text or "").encode() if len(letters) > 256 or (text or "").isascii() else bytes(letters.index(c) for c in text)
+    if not codes:
+        return 1.0, 0.0, False
+    ratio = lambda x: len(zstandard.ZstdCompressor(level=3).compress(x)) / len(x)
+    pieces = [codes[i : i + 2048] for i in range(0, len(codes), 2048)]
+    pieces = [p for p in pieces if len(p) >= 512] if len(pieces) > 1 else []
+    outside = [not 0.08 <= ratio(p) <= 0.80 for p in pieces]
+    low, high = max((b for b in quality.BANDS if b[0] <= len(codes)))[1:]
+    share = sum(outside) / len(outside) if outside else 0.0
+    return ratio(codes), share, not base and low <= ratio(codes) <= high and share <= 0.34
+
+
+def test_quality_verdict(spark):
+    """Ratio, share of chunks and verdict against the rules one by one."""
+    rng = np.random.default_rng(4)
+    noise = "".join(chr(33 + c) if c < 90 else " " for c in rng.integers(0, 105, 9000))
+    texts = [t for _, t, *_ in H.awkward()] + [" ".join(H.words(k, n, "etaoinshrdlu")) for k, n in ((1, 70), (2, 500), (3, 6000), (4, 20_000))]
+    texts += [noise, noise[:300], texts[-2] + noise, texts[-2] + " same words" * 900, "中文 " * 90, "".join(chr(0x4E00 + c) if c % 3 else " " for c in rng.integers(0, 2000, 3000))]
+    rows = {r["doc_id"]: r for r in quality.quality(H.from_texts(spark, list(enumerate(texts)))).collect()}
+    for i, t in enumerate(texts):
+        ratio, share, kept = judged(t)
+        assert abs(rows[i]["ratio"] - ratio) < 1e-12 and abs(rows[i]["chunks_out"] - share) < 1e-12 and rows[i]["kept"] == kept
+    assert {r["kept"] for r in rows.values()} == {True, False}
+
+
 def test_fold(spark):
     from synapark.llm.common import fold
 

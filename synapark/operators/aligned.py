@@ -78,6 +78,30 @@ def correlogram(a: DataFrame, b: DataFrame, lag: int, width: int, *, same: bool
     return pairs.withColumn("bin", sized.cast("long")).groupBy("unit_a", "unit_b", "bin").agg(F.count("*").alias("n"))
 
 
+def correlogram_norms(counts: DataFrame, spikes: DataFrame, span: DataFrame, width: float) -> DataFrame:
+    """Counts (unit_a, unit_b, bin, n) as rates: ``hz`` by spikes of a and bin width, ``hz2`` by recorded time and width, ``scaled`` by what chance gives.
+
+    ``spikes`` has unit and spikes; ``span`` is one row with the recorded time in the unit of ``width``.
+    """
+    a = spikes.select(F.col("unit").alias("unit_a"), F.col("spikes").alias("_a"))
+    b = spikes.select(F.col("unit").alias("unit_b"), F.col("spikes").alias("_b"))
+    rows = counts.join(a, "unit_a").join(b, "unit_b").join(F.broadcast(span.limit(1)))
+    out = rows.withColumns({"hz": F.col("n") / (F.col("_a") * width), "hz2": F.col("n") / (F.col("span") * width), "scaled": F.col("n") * F.col("span") / (F.lit(width) * F.col("_a") * F.col("_b"))})
+    return out.drop("_a", "_b", "span")
+
+
+def subtract_template(series: DataFrame, marks: DataFrame, before: int, after: int, template: DataFrame | None = None, on: Sequence[str] = ("channel",)) -> DataFrame:
+    """``series`` (.., sample, v) without a template at each mark (.., at); by default the template is the mean around all marks.
+
+    Where windows overlap all their templates go. Samples apart from marks stay as they are.
+    """
+    spread = marks.select(*on, "at", F.explode(F.sequence(F.lit(-before), F.lit(after))).alias("offset")).withColumn("sample", F.col("at") + F.col("offset"))
+    if template is None:
+        template = spread.join(series, [*on, "sample"]).groupBy("offset").agg(F.avg("v").alias("template"))
+    gone = spread.join(template.select("offset", "template"), "offset").groupBy(*on, "sample").agg(F.sum("template").alias("_gone"))
+    return series.join(gone, [*on, "sample"], "left").withColumn("v", F.col("v") - F.coalesce("_gone", F.lit(0.0))).drop("_gone")
+
+
 def triggered(series: DataFrame, events: DataFrame, before: int, after: int, *, every: int = 1, on: Sequence[str] = ()) -> DataFrame:
     """Samples around each event's sample, by exploded offsets and an equi-join: ``offset`` and the sample's columns."""
     spread = events.withColumn("offset", F.explode(F.sequence(F.lit(-before), F.lit(after), F.lit(every)))).withColumn("sample", F.col("at") + F.col("offset"))

@@ -124,3 +124,29 @@ def cycles(points: DataFrame, reference: DataFrame, *, t: str = "t", by: Sequenc
     marks = reference.select(*by, t).distinct()
     found = asof_join(points, marks, t=t, values=[], by=by)
     return found.withColumn("since", F.col(t) - F.col(f"{t}_right"))
+
+
+def fit_clock(to: DataFrame, frm: DataFrame, *, t: str, by: Sequence[str], key: str) -> DataFrame:
+    """The line from one device's time to another's, through their pulses in order: n, slope, offset.
+
+    Only as many pulses as both have count; where some are missing, see ``fit_clock_nearest``.
+    """
+    w = Window.partitionBy(*by).orderBy(t, key)
+    nth = lambda df, name: df.select(*by, F.col(t).alias(name), F.row_number().over(w).alias("_k"))
+    both = nth(to, "_y").join(nth(frm, "_x"), [*by, "_k"])
+    return both.groupBy(*by).agg(F.count("*").alias("n"), F.regr_slope("_y", "_x").alias("slope"), F.regr_intercept("_y", "_x").alias("offset"))
+
+
+def fit_clock_nearest(to: DataFrame, frm: DataFrame, *, t: str, by: Sequence[str], rounds: int = 8) -> DataFrame:
+    """The same where pulses are missing: each round pairs every pulse under the last line with its nearest, and fits through those pairs.
+
+    Starts from slope 1 and the offset of the first pulses; the slope stays between 0.5 and 1.5.
+    """
+    first = lambda df, name: df.groupBy(*by).agg(F.min(t).alias(name))
+    line = first(to, "_a").join(first(frm, "_b"), list(by)).select(*by, F.lit(1.0).alias("slope"), (F.col("_a") - F.col("_b")).alias("offset"))
+    for _ in range(rounds):
+        moved = frm.join(line, list(by)).select(*by, F.col(t).alias("_x"), (F.col(t) * F.col("slope") + F.col("offset")).alias(t))
+        pairs = nearest(moved, to, t=t, by=by)
+        slope = F.greatest(F.lit(0.5), F.least(F.lit(1.5), F.coalesce(F.regr_slope("nearest", "_x"), F.lit(1.0))))
+        line = pairs.groupBy(*by).agg(slope.alias("slope"), F.avg("nearest").alias("_m"), F.avg("_x").alias("_n")).select(*by, "slope", (F.col("_m") - F.col("slope") * F.col("_n")).alias("offset"))
+    return line

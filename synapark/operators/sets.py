@@ -32,3 +32,11 @@ def symmetric_difference(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> Dat
     """Keys of just one of the two, in one aggregate."""
     both = a.select(*keys, F.lit(1).alias("_s")).unionByName(b.select(*keys, F.lit(2).alias("_s")))
     return both.groupBy(*keys).agg(F.countDistinct("_s").alias("_n")).where("_n = 1").drop("_n")
+
+
+def match(a: DataFrame, b: DataFrame, label: str, order_a: str, order_b: str) -> DataFrame:
+    """Labels of both lists with their places (from 1) in each, in the order of the first list."""
+    from pyspark.sql import Window
+
+    place = lambda df, order, name: df.select(label, F.row_number().over(Window.partitionBy(label).orderBy(order)).alias("_k"), F.col(order).alias(name))
+    return place(a, order_a, "at_a").join(place(b, order_b, "at_b"), [label, "_k"]).drop("_k")

@@ -7,10 +7,10 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .windows import stretches
+from .windows import STRETCH, stretches
 
 
 def butter(order: int, cut: float | tuple[float, float], kind: str = "low") -> np.ndarray:
@@ -396,3 +396,204 @@ def isolation(features: DataFrame) -> DataFrame:
     nth = F.row_number().over(Window.partitionBy("target").orderBy("d2"))
     near = near.withColumn("k", nth).join(there, "target").where("k = nth").select("target", F.col("d2").alias("isolation"))
     return whole.join(near, "target", "left").select(F.col("target").alias("unit"), "isolation", "l_ratio", "separation")
+
+
+def welch(x: np.ndarray, rate: float, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """One-sided power density over Hamming windows that overlap by half, each without its mean's share of the whole."""
+    size = min(size, len(x))
+    window = 0.54 - 0.46 * np.cos(2 * np.pi * np.arange(size) / max(1, size - 1))
+    step = max(1, size - size // 2)
+    parts = np.stack([x[at : at + size] for at in range(0, len(x) - size + 1, step)])
+    power = (np.abs(np.fft.rfft(parts * window, axis=1)) ** 2).mean(0) / (rate * (window**2).sum())
+    power[1 : len(power) - (1 - size % 2)] *= 2
+    return np.fft.rfftfreq(size, 1 / rate), power
+
+
+def band_power(samples: DataFrame, rate: float, bands: dict[str, tuple[float, float]], clip: int, size: int, value: str = "v") -> DataFrame:
+    """Mean power density of each channel in bands (low, high], and its variance, over clips of ``clip`` samples: channel, band, power, var, clips.
+
+    A clip is one task's work; what is left at the end of a channel is no clip.
+    """
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        x = pdf.sort_values("sample", kind="stable")[value].to_numpy(float)
+        freq, power = welch(x - x.mean(), rate, size)
+        rows = [(name, float(power[(freq > low) & (freq <= high)].mean()) if ((freq > low) & (freq <= high)).any() else None) for name, (low, high) in bands.items()]
+        return pd.DataFrame(rows, columns=["band", "power"]).assign(channel=pdf["channel"].iloc[0])[["channel", "band", "power"]]
+
+    rows = samples.withColumn("_clip", F.expr(f"(sample - 1) div {clip}"))
+    whole = rows.groupBy("channel", "_clip").agg(F.count("*").alias("_n")).where(F.col("_n") == clip).drop("_n")
+    kind = samples.schema["channel"].dataType.simpleString()
+    each = rows.join(whole, ["channel", "_clip"]).select("channel", "_clip", "sample", value).groupBy("channel", "_clip").applyInPandas(run, f"channel {kind}, band string, power double")
+    return each.groupBy("channel", "band").agg(F.avg("power").alias("power"), F.var_samp("power").alias("var"), F.count("*").alias("clips"))
+
+
+def sliding_spectrum(trials: DataFrame, rate: float, window: int, step: int, tapers: int = 1, value: str = "v") -> DataFrame:
+    """Multitaper power in windows along each trial and channel: trial, channel, at (first sample), freq, power."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("sample", kind="stable")
+        x, sample = pdf[value].to_numpy(float), pdf["sample"].to_numpy()
+        bank = np.hanning(window + 2)[1:-1][None] if tapers == 1 else sine_tapers(window, tapers)
+        bank = bank / np.sqrt((bank**2).sum(1, keepdims=True))
+        at = np.arange(0, max(0, len(x) - window + 1), step)
+        if not len(at):
+            return pd.DataFrame({"trial": [], "channel": [], "at": [], "freq": [], "power": []}).astype(object)
+        parts = np.stack([x[a : a + window] for a in at])
+        parts = parts - parts.mean(1, keepdims=True)
+        power = (np.abs(np.fft.rfft(parts[:, None] * bank[None], axis=2)) ** 2).mean(1)
+        freq = np.fft.rfftfreq(window, 1 / rate)
+        return pd.DataFrame({"trial": pdf["trial"].iloc[0], "channel": pdf["channel"].iloc[0], "at": np.repeat(sample[at], len(freq)), "freq": np.tile(freq, len(at)), "power": power.ravel()})
+
+    kind = trials.schema
+    return trials.select("trial", "channel", "sample", value).groupBy("trial", "channel").applyInPandas(run, f"trial {kind['trial'].dataType.simpleString()}, channel {kind['channel'].dataType.simpleString()}, at long, freq double, power double")
+
+
+def resample_filter(up: int, down: int, half: int = 10) -> np.ndarray:
+    """A low-pass for rate changes: a sinc under a Kaiser window (beta 5) of ``half`` samples of the slower rate to each side."""
+    wide = max(up, down)
+    t = np.arange(-half * wide, half * wide + 1)
+    h = np.sinc(t / wide) / wide * np.kaiser(len(t), 5.0)
+    return up * h / h.sum()
+
+
+def resampled(samples: DataFrame, up: int, down: int, value: str = "v", size: int = STRETCH) -> DataFrame:
+    """Each channel at ``up / down`` of its rate, low-passed first: channel, sample (from 0 on the new grid, for input samples from 0), value.
+
+    New sample k stands at old place k * down / up and is a sum of the kernel over
+    old samples near it; every stretch makes its own ones out of itself and a halo.
+    Past the ends stand zeros.
+    """
+    h = resample_filter(up, down)
+    reach = len(h) // 2  # on the grid of up times the old rate
+    halo = reach // up + 2
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("sample", kind="stable")
+        sample, x, own = pdf["sample"].to_numpy(np.int64), pdf[value].to_numpy(float), pdf["own"].to_numpy()
+        low, high = sample[own].min(), sample[own].max()
+        k = np.arange(-(-low * up // down), -(-(high + 1) * up // down))  # places low <= k * down / up < high + 1
+        place = k * down  # on the fine grid
+        first = -(-(place - reach) // up)
+        near = first[:, None] + np.arange(2 * reach // up + 1)[None]
+        lag = place[:, None] - near * up
+        weight = np.where(np.abs(lag) <= reach, h[np.clip(lag + reach, 0, len(h) - 1)], 0.0)
+        at = near - sample[0]
+        held = np.where((at >= 0) & (at < len(x)), x[np.clip(at, 0, len(x) - 1)], 0.0)
+        return pd.DataFrame({"channel": pdf["channel"].iloc[0], "sample": k, value: (weight * held).sum(1)})
+
+    rows = stretches(samples.select("channel", "sample", F.col(value).cast("double").alias(value)), size, halo)
+    return rows.groupBy("channel", "part").applyInPandas(run, f"channel {samples.schema['channel'].dataType.simpleString()}, sample long, {value} double")
+
+
+def gappy_spectrum(trials: DataFrame, rate: float, value: str = "v") -> DataFrame:
+    """Fourier coefficients of trials with missing samples: each frequency's sine and cosine fitted to the samples there are. trial, channel, freq, re, im.
+
+    Without gaps this is the Fourier transform over the number of samples, twice for all but the first and last frequency.
+    """
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("sample", kind="stable")
+        x = pdf[value].to_numpy(float)
+        there, t = np.isfinite(x), np.arange(len(x))
+        rows = []
+        for k in range(len(x) // 2 + 1):
+            turn = 2 * np.pi * k * t[there] / len(x)
+            base = np.stack([np.cos(turn), np.sin(turn)], 1)
+            a, b = np.linalg.lstsq(base, x[there], rcond=None)[0] if there.any() else (np.nan, np.nan)
+            rows.append((k * rate / len(x), a, -b))
+        return pd.DataFrame(rows, columns=["freq", "re", "im"]).assign(trial=pdf["trial"].iloc[0], channel=pdf["channel"].iloc[0])[["trial", "channel", "freq", "re", "im"]]
+
+    kind = trials.schema
+    return trials.select("trial", "channel", "sample", F.col(value).cast("double").alias(value)).groupBy("trial", "channel").applyInPandas(run, f"trial {kind['trial'].dataType.simpleString()}, channel {kind['channel'].dataType.simpleString()}, freq double, re double, im double")
+
+
+def normal_quantile(p: Column) -> Column:
+    """The standard normal value below which a share ``p`` lies."""
+
+    @F.pandas_udf("double")
+    def run(p: pd.Series) -> pd.Series:
+        from statistics import NormalDist
+
+        inverse = NormalDist().inv_cdf
+        unique, where = np.unique(p.to_numpy(float), return_inverse=True)
+        return pd.Series(np.array([inverse(x) if 0 < x < 1 else np.nan for x in unique])[where])
+
+    return run(p)
+
+
+def digamma(x: float) -> float:
+    """The logarithmic derivative of the gamma function, by its series from 6 on."""
+    low = 0.0
+    while x < 6:
+        low, x = low - 1 / x, x + 1
+    return low + np.log(x) - 1 / (2 * x) - 1 / (12 * x**2) + 1 / (120 * x**4) - 1 / (252 * x**6)
+
+
+def copula_information(df: DataFrame, x: str, y: str, by: list[str], key: str) -> DataFrame:
+    """Bits that two numbers share under a Gaussian copula, with the bias of few rows taken out: by, n, bits.
+
+    Ranks over n + 1 become normal values; their correlation r gives -log2(1 - r^2) / 2.
+    """
+    n = F.count("*").over(Window.partitionBy(*by))
+    share = lambda c: F.row_number().over(Window.partitionBy(*by).orderBy(c, key)) / (n + 1)
+    rows = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).withColumns({"_a": share(x), "_b": share(y)})
+    rows = rows.withColumns({"_a": normal_quantile(F.col("_a")), "_b": normal_quantile(F.col("_b"))})
+    out = rows.groupBy(*by).agg(F.count("*").alias("n"), F.corr("_a", "_b").alias("_r"))
+
+    @F.pandas_udf("double")
+    def bias(n: pd.Series) -> pd.Series:
+        # of the entropies of two single normals less that of the pair, in nats
+        half = lambda n, d: sum(digamma((n - k) / 2) for k in range(1, d + 1)) / 2 + d * (np.log(2) - np.log(n - 1)) / 2
+        return pd.Series([2 * half(k, 1) - half(k, 2) if k > 3 else np.nan for k in n.astype(float)])
+
+    return out.select(*by, "n", ((-F.log(1 - F.col("_r") * F.col("_r")) / 2 - bias(F.col("n"))) / np.log(2)).alias("bits"))
+
+
+def bayes_factor(t: str, n: str, df: str, scale: float = float(np.sqrt(2) / 2)) -> Column:
+    """How much likelier a t is with an effect than without, under a Cauchy prior of ``scale`` on the effect size.
+
+    ``n`` is the (effective) number of rows: pairs, or n1 * n2 / (n1 + n2).
+    The integral over the effect's variance is taken on a fixed grid of its logarithm.
+    """
+
+    @F.pandas_udf("double")
+    def run(t: pd.Series, n: pd.Series, v: pd.Series) -> pd.Series:
+        t, n, v = (x.to_numpy(float)[:, None] for x in (t, n, v))
+        u = np.linspace(-18, 18, 4001)
+        g = np.exp(u)[None]
+        # the inverse gamma(1/2, 1/2) density of g, times g for the logarithm
+        prior = np.exp(-0.5 * np.log(2 * np.pi) - 0.5 * np.log(g) - 1 / (2 * g))
+        spread = 1 + n * g * scale**2
+        with np.errstate(all="ignore"):
+            ratio = np.exp(-0.5 * np.log(spread) - (v + 1) / 2 * (np.log1p(t**2 / (spread * v)) - np.log1p(t**2 / v)))
+        return pd.Series(np.trapezoid(ratio * prior, u, axis=1))
+
+    return run(F.col(t).cast("double"), F.col(n).cast("double"), F.col(df).cast("double"))
+
+
+def multivariate_f(df: DataFrame, y: str, subject: str, level: str) -> DataFrame:
+    """Repeated-measures F by the multivariate way: f, df1, df2 of the levels' differences to the first, over complete subjects.
+
+    The differences' mean and covariance are sums over subjects; Hotelling's statistic is made of those few numbers.
+    """
+    cells = df.groupBy(subject, level).agg(F.avg(y).alias("_y"))
+    names = [r[0] for r in cells.select(level).distinct().orderBy(level).collect()]  # one row a level
+    wide = cells.groupBy(subject).pivot(level, names).agg(F.first("_y")).toDF(subject, *[f"_{k}" for k in range(len(names))]).dropna()
+    k = len(names) - 1
+    delta = wide.select(*[(F.col(f"_{i + 1}") - F.col("_0")).alias(f"d{i}") for i in range(k)])
+    sums = delta.agg(F.count("*").alias("n"), *[F.avg(f"d{i}").alias(f"m{i}") for i in range(k)], *[F.covar_samp(f"d{i}", f"d{j}").alias(f"c{i}_{j}") for i in range(k) for j in range(k)])
+
+    def run(batches):
+        for pdf in batches:
+            rows = []
+            for _, r in pdf.iterrows():
+                n, m = int(r["n"]), np.array([r[f"m{i}"] for i in range(k)], float)
+                if n <= k:
+                    rows.append((None, k, n - k))
+                    continue
+                cov = np.array([[r[f"c{i}_{j}"] for j in range(k)] for i in range(k)], float)
+                rows.append((float(n * m @ np.linalg.pinv(cov) @ m * (n - k) / ((n - 1) * k)), k, n - k))
+            yield pd.DataFrame(rows, columns=["f", "df1", "df2"])
+
+    return sums.mapInPandas(run, "f double, df1 long, df2 long")

@@ -32,13 +32,18 @@ def paired_t(delta: str) -> list[Column]:
 
 
 def cohens_d(x: str, first: Column) -> Column:
-    """Difference of means over the pooled deviation (divisor n1 + n2 - 2)."""
+    """Difference of means over the pooled deviation (divisor n1 + n2 - 1)."""
     a, b = sides(x, first)
     n1, n2 = F.count(a), F.count(b)
-    pooled = safe((n1 - 1) * F.var_samp(a) + (n2 - 1) * F.var_samp(b), (n1 + n2 - 2).cast("double"))
+    pooled = safe((n1 - 1) * F.var_samp(a) + (n2 - 1) * F.var_samp(b), (n1 + n2 - 1).cast("double"))
     return safe(F.avg(a) - F.avg(b), F.sqrt(pooled))
 
 
+def paired_d(delta: str) -> Column:
+    """Mean over deviation of the differences within pairs."""
+    return safe(F.avg(delta), F.stddev_samp(delta))
+
+
 def pooled_difference(x: str, first: Column) -> list[Column]:
     """Difference of means; difference of sums over the root of the number."""
     a, b = sides(x, first)
@@ -59,6 +64,38 @@ def regression_t(y: str, x: str) -> list[Column]:
     return [slope.alias("slope"), safe(slope, F.sqrt(safe(rest, (n - 2).cast("double")) / F.nullif(F.regr_sxx(y, x), F.lit(0.0)))).alias("t"), (n - 2).alias("df")]
 
 
+def blocked_regression_t(df: DataFrame, y: str, x: str, block: str, by: Sequence[str]) -> DataFrame:
+    """Slope of y on x with a constant for each block, and its t with n - blocks - 1 degrees of freedom.
+
+    A block's constant takes its means out, so sums of products within blocks say all.
+    """
+    rows = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+    cells = rows.groupBy(*by, block).agg(F.count("*").alias("n"), F.regr_sxx(y, x).alias("xx"), F.regr_syy(y, x).alias("yy"), F.regr_sxy(y, x).alias("xy"))
+    out = cells.groupBy(*by).agg(F.sum("n").alias("n"), F.count("*").alias("blocks"), *[F.sum(c).alias(c) for c in ("xx", "yy", "xy")])
+    slope, df_ = safe(F.col("xy"), F.col("xx")), F.col("n") - F.col("blocks") - 1
+    rest = F.col("yy") - slope * F.col("xy")
+    return out.select(*by, slope.alias("slope"), safe(slope, F.sqrt(safe(safe(rest, df_.cast("double")), F.col("xx")))).alias("t"), df_.alias("df"))
+
+
+def rank_sum(df: DataFrame, x: str, positive: Column, by: Sequence[str]) -> DataFrame:
+    """``ranked_auc`` with the rank sum's z, variance less ties."""
+    ties = df.groupBy(*by, x).agg(F.count("*").alias("n"), F.sum(positive.cast("long")).alias("p"))
+    rank = F.sum("n").over(Window.partitionBy(*by).orderBy(x)) - (F.col("n") - 1) / 2
+    cube = F.col("n").cast("double") * F.col("n") * F.col("n") - F.col("n")
+    out = ties.withColumns({"_rank": rank, "_tie": cube}).groupBy(*by).agg(
+        F.sum(F.col("_rank") * F.col("p")).alias("_r"), F.sum("p").alias("n_pos"), F.sum(F.col("n") - F.col("p")).alias("n_neg"), F.sum("_tie").alias("_t")
+    )
+    a, b, n = F.col("n_pos").cast("double"), F.col("n_neg").cast("double"), (F.col("n_pos") + F.col("n_neg")).cast("double")
+    u = F.col("_r") - a * (a + 1) / 2
+    spread = a * b / 12 * (n + 1 - safe(F.col("_t"), n * (n - 1)))
+    return out.select(*by, "n_pos", "n_neg", safe(u, a * b).alias("auc"), safe(u - a * b / 2, F.sqrt(spread)).alias("z"))
+
+
+def family_wise(p: str, q: float, by: Sequence[str]) -> Column:
+    """Whether p holds at rate q for all of a family together (Bonferroni)."""
+    return F.col(p) <= F.lit(q) / F.count("*").over(Window.partitionBy(*by))
+
+
 def one_way(df: DataFrame, x: str, group: str, by: Sequence[str] = ()) -> DataFrame:
     """One-way analysis of variance: SS and df of effect and error, F, eta squared, omega squared."""
     cells = df.where(F.col(x).isNotNull()).groupBy(*by, group).agg(F.count("*").alias("n"), F.avg(x).alias("m"), F.var_pop(x).alias("v"))

@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Trial functions by name: each takes a table of events and gives trials.
@@ -82,6 +82,89 @@ def lateralized(left: DataFrame, right: DataFrame, pairs: DataFrame) -> DataFram
 
 
 def random_per_group(df: DataFrame, by: Sequence[str], n: int, key: str, seed: int = 1) -> DataFrame:
-    """At most ``n`` rows of each group, by a hash of the key: the same rows every time."""
-    w = Window.partitionBy(*by).orderBy(F.xxhash64(F.col(key), F.lit(seed)), key)
+    """At most ``n`` rows of each group, by a digest of the key: the same rows every time and on every engine."""
+    w = Window.partitionBy(*by).orderBy(F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}"))), key)
     return df.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= n).drop("_n")
+
+
+def nth_of(df: DataFrame, by: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
+    """The n-th row of each group."""
+    return df.withColumn("_n", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("_n") == n).drop("_n")
+
+
+#: Trials that a named condition takes: what it needs, and that none were aborted.
+MASKS: dict[str, str] = {
+    "correct": "correct AND NOT aborted",
+    "incorrect": "incorrect AND NOT aborted",
+    "omission": "omission AND NOT aborted",
+    "allInitiated": "NOT aborted",
+}
+
+
+def by_condition(trials: DataFrame, masks: dict[str, str | Column]) -> DataFrame:
+    """Each trial once for every condition that takes it, as ``mask``; the user's own conditions, SQL or columns, are further entries."""
+    named = F.array_compact(F.array(*[F.when(F.coalesce(F.expr(test) if isinstance(test, str) else test, F.lit(False)), F.lit(name)) for name, test in masks.items()]))
+    return trials.withColumn("mask", F.explode(named))
+
+
+def resolve_duplicates(spikes: DataFrame, window: float, *, by: Sequence[str] = ("channel",), t: str = "t", key: str = "spike_id") -> DataFrame:
+    """Spikes of a channel (unit, template, ampl) without their duplicates within ``window``.
+
+    Of two such spikes of one template the smaller goes, of different templates the
+    one whose unit has fewer spikes; the later goes on a tie. A spike that has gone
+    removes no other. Silences longer than the window part the groups.
+    """
+    size = spikes.groupBy("unit").agg(F.count("*").alias("_size"))
+    w = Window.partitionBy(*by).orderBy(t, key)
+    rows = spikes.join(size, "unit").withColumn("_new", F.coalesce((F.col(t) - F.lag(t).over(w) > window).cast("int"), F.lit(1)))
+    rows = rows.withColumn("_burst", F.sum("_new").over(w)).drop("_new").withColumn("_n", F.count("*").over(Window.partitionBy(*by, "_burst")))
+
+    def keep(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values([t, key], kind="stable")
+        at, ampl, template, size = (pdf[c].to_numpy() for c in (t, "ampl", "template", "_size"))
+        kept = np.ones(len(pdf), bool)
+        for i in range(len(pdf)):
+            j = i + 1
+            while kept[i] and j < len(pdf) and at[j] - at[i] <= window:
+                if kept[j]:
+                    first, second = (ampl[i], ampl[j]) if template[i] == template[j] else (size[i], size[j])
+                    kept[j if second <= first else i] = False
+                j += 1
+        return pdf[kept].drop(columns=["_burst", "_size"])
+
+    alone = rows.where("_n = 1").select(*spikes.columns)
+    crowded = rows.where("_n > 1").drop("_n").groupBy(*by, "_burst").applyInPandas(keep, spikes.join(size, "unit").drop("_size").schema)
+    return alone.unionByName(crowded.select(*spikes.columns))
+
+
+def events_to_trials(events: DataFrame, *, sample: str = "sample", duration: str = "duration", offset: str = "offset") -> DataFrame:
+    """Events as trials from ``start`` to ``end`` (the last sample, at least one long) with their offset; other columns stay."""
+    size = F.greatest(F.lit(1), F.coalesce(duration, F.lit(1)))
+    return events.withColumns({"start": F.col(sample), "end": F.col(sample) + size - 1, "offset": F.coalesce(F.col(offset), F.lit(0))}).drop(sample, duration)
+
+
+def trials_to_events(trials: DataFrame, kind: str = "trial") -> DataFrame:
+    """Trials (start, end, offset) as events with sample, duration, offset and type."""
+    return trials.withColumns({"sample": F.col("start"), "duration": F.col("end") - F.col("start") + 1, "type": F.lit(kind)}).drop("start", "end")
+
+
+def artifacts_to_trials(artifacts: DataFrame) -> DataFrame:
+    """Intervals (start, end) as trials of offset 0."""
+    return artifacts.withColumn("offset", F.lit(0))
+
+
+def digital_events(pins: DataFrame, skip: int, span: int, *, low_pins: int = 4, gap: int = 2) -> DataFrame:
+    """Codes of pulses on digital lines (sample, pin from 1, v): onset sample, ``standard`` code of the low pins, ``extra`` of the others.
+
+    What was up before all pins were first down is left out. A pulse begins where a
+    pin is up for the first time in more than ``gap`` samples; its code is read over
+    ``span`` further samples from ``skip`` after that on, so that bouncing doesn't count.
+    """
+    up = pins.groupBy("sample").agg(F.bit_or(F.expr("CASE WHEN v <> 0 THEN shiftleft(1, pin - 1) ELSE 0 END")).alias("code"))
+    quiet = up.where("code = 0").agg(F.min("sample").alias("_quiet"))
+    on = up.where("code <> 0").join(F.broadcast(quiet)).where("_quiet IS NULL OR sample > _quiet").drop("_quiet")  # one row
+    onsets = on.withColumn("_was", F.lag("sample").over(Window.orderBy("sample"))).where(F.col("_was").isNull() | (F.col("sample") - F.col("_was") > gap)).select(F.col("sample").alias("onset"))
+    reach = onsets.select("onset", F.explode(F.sequence(F.col("onset") + skip, F.col("onset") + skip + span)).alias("sample"))
+    code = reach.join(on, "sample", "left").groupBy("onset").agg(F.bit_or(F.coalesce("code", F.lit(0))).alias("code"))
+    mask = (1 << low_pins) - 1
+    return code.select(F.col("onset").alias("sample"), F.col("code").bitwiseAND(mask).alias("standard"), F.col("code").bitwiseAND(~mask).alias("extra"))

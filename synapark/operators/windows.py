@@ -108,6 +108,37 @@ def median_filter(x: str, w: WindowSpec, half: int) -> Column:
     return F.percentile(F.col(x), F.lit(0.5)).over(centred(w, half))
 
 
+def kernel_smooth(x: str, w: WindowSpec, kernel: Sequence[float], before: Column | None = None, after: Column | None = None) -> Column:
+    """Weighted mean under a kernel of odd length; past the ends stand ``before`` and ``after``, or nothing (weights are then made up to one)."""
+    half = len(kernel) // 2
+    total, weight = F.lit(0.0), F.lit(0.0)
+    for k, share in enumerate(kernel):
+        near = F.lag(x, half - k).over(w) if k <= half else F.lead(x, k - half).over(w)
+        near = F.coalesce(near, before if k < half else after) if before is not None and k != half else near
+        total, weight = total + F.coalesce(near * share, F.lit(0.0)), weight + F.when(near.isNotNull(), share).otherwise(0.0)
+    return total / weight
+
+
+def running_total(df: DataFrame, x: Column, name: str, by: Sequence[str] = ("channel",), order: str = "sample", size: int = STRETCH) -> DataFrame:
+    """Sum of x up to each row: inside a stretch, on top of the stretches before it."""
+    rows = df.withColumns({"_x": x, "_part": F.floor(F.col(order) / size)})
+    own = F.sum("_x").over(ordered([*by, "_part"], [order]).rowsBetween(Window.unboundedPreceding, 0))
+    sums = rows.groupBy(*by, "_part").agg(F.sum("_x").alias("_s"))
+    past = F.coalesce(F.sum("_s").over(ordered(by, ["_part"]).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    sums = sums.select(*by, "_part", past.alias("_past"))
+    return rows.withColumn("_own", own).join(sums, [*by, "_part"]).withColumn(name, F.col("_own") + F.col("_past")).drop("_x", "_part", "_own", "_past")
+
+
+def positions(df: DataFrame, order: Sequence[str], name: str = "position") -> DataFrame:
+    """Place of each row in the order of the whole table, from 0: rows are dealt by ranges and counted within them, and only ranges are summed in one place."""
+    ranged = df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()).sortWithinPartitions(*order)
+    rows = ranged.withColumn("_k", F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1)
+    counts = rows.groupBy("_part").agg(F.count("*").alias("_c"))
+    before = F.coalesce(F.sum("_c").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    counts = counts.select("_part", before.alias("_before"))
+    return rows.join(F.broadcast(counts), "_part").withColumn(name, F.col("_before") + F.col("_k")).drop("_part", "_k", "_before")  # a row a partition
+
+
 def sliding_range(x: str, w: WindowSpec, half: int) -> Column:
     """max - min of an odd window, over the root of its width; the ends have shorter windows."""
     frame = centred(w, half)

@@ -26,7 +26,7 @@ def isi_histogram(spark, d):
     return x.groupBy("unit", F.when(F.col("isi") == 200 * H, 199).otherwise(F.expr(f"isi div {H}")).cast("long").alias("bin")).agg(F.count("*").alias("n"))
 
 
-@query(f"WITH {ISI}, p AS (SELECT *, lag(isi) OVER (PARTITION BY unit ORDER BY t, spike_id) AS was FROM isi) SELECT unit, count(isi) AS n, round(stddev_samp(isi) / avg(isi), 9) AS cv, round(2 * avg(abs(isi - was) / nullif(isi + was, 0)), 9) AS cv2, round(avg(CASE WHEN isi < {6 * H} THEN 1.0 ELSE 0.0 END) , 9) AS short FROM p WHERE isi IS NOT NULL GROUP BY unit")
+@query(f"WITH {ISI}, p AS (SELECT *, lag(isi) OVER (PARTITION BY unit ORDER BY t, spike_id) AS was FROM isi) SELECT unit, count(isi) AS n, round(stddev_samp(isi) / avg(isi), 9) AS cv, round(2 * avg(abs(isi - was)) / nullif(avg((isi + was) / 2), 0), 9) AS cv2, round(avg(CASE WHEN isi < {6 * H} THEN 1.0 ELSE 0.0 END) , 9) AS short FROM p WHERE isi IS NOT NULL GROUP BY unit")
 def isi_properties(spark, d):
     """Variation of a unit's intervals, and the share of short ones."""
     x = isi(spark, d)
@@ -34,7 +34,7 @@ def isi_properties(spark, d):
     return p.groupBy("unit").agg(
         F.count("isi").alias("n"),
         F.round(F.stddev_samp("isi") / F.avg("isi"), 9).alias("cv"),
-        F.round(2 * F.avg(F.abs(F.col("isi") - F.col("was")) / F.nullif(F.col("isi") + F.col("was"), F.lit(0))), 9).alias("cv2"),
+        F.round(2 * F.avg(F.abs(F.col("isi") - F.col("was"))) / F.nullif(F.avg((F.col("isi") + F.col("was")) / 2), F.lit(0.0)), 9).alias("cv2"),
         F.round(F.avg((F.col("isi") < 6 * H).cast("double")), 9).alias("short"),
     )
 
@@ -246,13 +246,6 @@ def dft_filter(spark, d):
     return T.samples(spark, d).join(fit, "channel").select("channel", "sample", F.round(F.col("v") - F.col("a") * c - F.col("b") * s, 7).alias("clean"))
 
 
-@query(f"""WITH {SM}, r AS (SELECT channel % 8 AS channel, sample % 64 AS freq, avg(v) AS p FROM smp GROUP BY ALL) SELECT channel, freq, round(p / max(p) OVER (PARTITION BY freq), 9) AS rel FROM r""")
-def laminar_profile(spark, d):
-    """Power of each channel relative to the largest at its frequency."""
-    r = T.samples(spark, d).groupBy((F.col("channel") % 8).alias("channel"), (F.col("sample") % 64).alias("freq")).agg(F.avg("v").alias("p"))
-    return r.select("channel", "freq", F.round(F.col("p") / F.max("p").over(Window.partitionBy("freq")), 9).alias("rel"))
-
-
 @query(f"""WITH {C}, m AS (SELECT session, block, avg(x) AS r FROM cond GROUP BY ALL), v AS (SELECT session, sum(r * cos(2 * pi() * block / 5)) AS a, sum(r * sin(2 * pi() * block / 5)) AS b, sum(r) AS s, min(r) AS lo, max(r) AS hi FROM m GROUP BY session) SELECT session, round(sqrt(a * a + b * b) / s, 9) AS osi, round(1 - lo / hi, 9) AS di FROM v""")
 def orientation_tuning(spark, d):
     """Selectivity over block directions."""

@@ -84,7 +84,7 @@ def dependent_regression_t(spark, d):
 
 
 @query(f"""WITH {C}, g AS (SELECT block, count(*) FILTER (outcome = 'F') AS n1, count(*) FILTER (outcome <> 'F') AS n2, avg(x) FILTER (outcome = 'F') AS m1, avg(x) FILTER (outcome <> 'F') AS m2, var_samp(x) FILTER (outcome = 'F') AS v1, var_samp(x) FILTER (outcome <> 'F') AS v2, sum(x) FILTER (outcome = 'F') AS s1, sum(x) FILTER (outcome <> 'F') AS s2 FROM cond GROUP BY block)
- SELECT block, round((m1 - m2) / sqrt(((n1 - 1) * v1 + (n2 - 1) * v2) / (n1 + n2 - 2)), 8) AS d, round(m1 - m2, 8) AS diff, round((s1 - s2) / sqrt(n1 + n2), 3) AS pooled FROM g""")
+ SELECT block, round((m1 - m2) / sqrt(((n1 - 1) * v1 + (n2 - 1) * v2) / (n1 + n2 - 1)), 8) AS d, round(m1 - m2, 8) AS diff, round((s1 - s2) / sqrt(n1 + n2), 3) AS pooled FROM g""")
 def effect_size(spark, d):
     """Cohen's d, difference of means and pooled difference by block."""
     first = F.col("outcome") == "F"

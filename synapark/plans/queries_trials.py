@@ -112,14 +112,6 @@ def waveform_clusters(spark, d):
     return models.clusters(e, 10).select("vec_id", "cluster")
 
 
-@query()
-def regressed_out(spark, d):
-    """Samples without what they have of the mean over channels."""
-    s = T.samples(spark, d)
-    ref = s.groupBy("sample").agg(F.avg("v").alias("common"))
-    return models.regress_out(s.select("channel", "sample", "v"), ref, ["common"]).select("channel", "sample", F.round("v", 6).alias("v"))
-
-
 @query()
 def spike_triggered_average(spark, d):
     """Interpolated track around each unit's spikes, by hour of offset."""

@@ -16,12 +16,15 @@ SLICE_BYTES = 2_000_000
 def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder and cut its lineage.
 
-    The folder is the session's ``spark.checkpoint.dir``; only where none is set
-    (tests on one machine) a temporary one is made.
+    The folder is the session's ``spark.checkpoint.dir``. Only where none is set and
+    all tasks run on this machine, as in tests, is a temporary one made; on a
+    cluster other machines would not see it, so there that is an error.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         named = context.getConf().get("spark.checkpoint.dir")
+        if named is None and not context.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="synapark-checkpoint-"))
     return df.checkpoint()
 
@@ -36,6 +39,12 @@ def sized(df: DataFrame, rows: int = 50_000) -> DataFrame:
     return held.coalesce(max(1, -(-held.count() // rows)))
 
 
+def spread(df: DataFrame, limit: int, size: Column) -> DataFrame:
+    """``df``, written down, in partitions of about ``limit`` bytes by the sum of ``size`` where it has more of them."""
+    held = cut(df)
+    return held.coalesce(max(1, -(-(held.agg(F.sum(size)).first()[0] or 0) // limit)))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -7,16 +7,18 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, mix64, sized, slices
+from .common import cut, mix64, sized, slices, spread
 from .components import components
 
 #: Words of a shingle; links need 100 * intersection >= PERCENT * union.
 WORDS, PERCENT = 5, 75
 #: Bands of so many coordinates each: a pair at the threshold is missed with a chance of (1 - 0.75^5)^50, about 1e-6.
 BANDS, ROWS = 50, 5
+#: Bytes of sets that a partition holds about.
+SET_BYTES = 16 << 20
 #: Size of the permuted universe.
 UNIVERSE = 1 << 20
 
@@ -92,6 +94,7 @@ def _sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame(
                 {
                     "doc_id": batch["doc_id"].iloc[i:j].to_numpy(),
+                    "mark": batch["mark"].iloc[i:j].to_numpy(),
                     "n": [len(s) for s in sets],
                     "key_a": [k[0] for k in keys],
                     "key_b": [k[1] for k in keys],
@@ -110,8 +113,8 @@ def _shingles(texts: pd.Series) -> pd.Series:
 
 def verify(sets: DataFrame, pairs: DataFrame) -> DataFrame:
     """Those of the pairs ``a, b`` whose full sets overlap enough: a's set goes to where b's is."""
-    lead = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("found").alias("lead")), "a")
-    both = lead.join(sets.select(F.col("doc_id").alias("b"), "found"), "b")
+    lead = pairs.join(sets.select(F.col("node").alias("a"), F.col("found").alias("lead")), "a")
+    both = lead.join(sets.select(F.col("node").alias("b"), "found"), "b")
     both = both.select("a", "b", F.size("found").alias("x"), F.size("lead").alias("y"), F.size(F.array_intersect("found", "lead")).alias("same"))
     return both.where(F.col("same") * 100 >= (F.col("x") + F.col("y") - F.col("same")) * PERCENT).select("a", "b").distinct()
 
@@ -119,31 +122,84 @@ def verify(sets: DataFrame, pairs: DataFrame) -> DataFrame:
 def prefix_pairs(sets: DataFrame) -> DataFrame:
     """Pairs of different components that may overlap enough, by prefix and positional filtering.
 
-    ``sets`` has doc_id, component, found. With elements ordered from rare to
+    ``sets`` has node, component, found. With elements ordered from rare to
     common, two sets of n and m elements that overlap by 3/7 (n + m), which is
     what a Jaccard similarity of 3/4 takes, have their first common element so
     early in both that as many can follow. Elements that a set shares with no
     other make up most of those places in edited copies, so pairs below the
     threshold mostly never meet.
     """
-    rows = sets.select("doc_id", "component", F.size("found").alias("n"), F.explode("found").alias("x"))
+    rows = sets.select("node", "component", F.size("found").alias("n"), F.explode("found").alias("x"))
     often = rows.groupBy("x").agg(F.count("*").alias("often"), F.min("component").alias("low"), F.max("component").alias("high"))
     often = often.select("x", "often", (F.col("low") < F.col("high")).alias("mixed"))
-    placed = rows.join(often, "x").groupBy("doc_id", "component", "n").agg(F.sort_array(F.collect_list(F.struct("often", "x", "mixed"))).alias("own"))
+    placed = rows.join(often, "x").groupBy("node", "component", "n").agg(F.sort_array(F.collect_list(F.struct("often", "x", "mixed"))).alias("own"))
     # a set of n reaches 3/4 of its size at the least, and 6/7 with a set that is no smaller
-    probe = placed.select("doc_id", "component", "n", F.posexplode(F.slice("own", 1, F.col("n") - F.ceil(F.col("n") * 3 / 4).cast("int") + 1)).alias("at", "e")).where("e.mixed")
-    index = placed.select("doc_id", "component", "n", F.posexplode(F.slice("own", 1, F.col("n") - F.ceil(F.col("n") * 6 / 7).cast("int") + 1)).alias("at", "e")).where("e.mixed")
-    probe = probe.select(F.col("e.x").alias("x"), *[F.col(c).alias(f"{c}_p") for c in ("doc_id", "component", "n", "at")])
-    index = index.select(F.col("e.x").alias("x"), *[F.col(c).alias(f"{c}_i") for c in ("doc_id", "component", "n", "at")])
+    probe = placed.select("node", "component", "n", F.posexplode(F.slice("own", 1, F.col("n") - F.ceil(F.col("n") * 3 / 4).cast("int") + 1)).alias("at", "e")).where("e.mixed")
+    index = placed.select("node", "component", "n", F.posexplode(F.slice("own", 1, F.col("n") - F.ceil(F.col("n") * 6 / 7).cast("int") + 1)).alias("at", "e")).where("e.mixed")
+    probe = probe.select(F.col("e.x").alias("x"), *[F.col(c).alias(f"{c}_p") for c in ("node", "component", "n", "at")])
+    index = index.select(F.col("e.x").alias("x"), *[F.col(c).alias(f"{c}_i") for c in ("node", "component", "n", "at")])
     needed = F.ceil((F.col("n_p") + F.col("n_i")) * 3 / 7)
     found = probe.join(index, "x").where(
         (F.col("component_p") != F.col("component_i"))
-        & ((F.col("n_i") < F.col("n_p")) | ((F.col("n_i") == F.col("n_p")) & (F.col("doc_id_i") < F.col("doc_id_p"))))
+        & ((F.col("n_i") < F.col("n_p")) | ((F.col("n_i") == F.col("n_p")) & (F.col("node_i") < F.col("node_p"))))
         & (F.col("n_i") * 100 >= F.col("n_p") * PERCENT)
         & (F.col("n_p") - F.col("at_p") >= needed)
         & (F.col("n_i") - F.col("at_i") >= needed)
     )
-    return found.select(F.least("doc_id_p", "doc_id_i").alias("a"), F.greatest("doc_id_p", "doc_id_i").alias("b")).distinct()
+    return found.select(F.least("node_p", "node_i").alias("a"), F.greatest("node_p", "node_i").alias("b")).distinct()
+
+
+def _components(docs: DataFrame) -> DataFrame:
+    """doc_id, mark (hash of the text), n, component_id of every row; see ``near_duplicates``."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), "text")
+    rows = cut(docs.mapInPandas(_sketch, "doc_id long, mark long, n long, key_a long, key_b long, bands array<long>"))
+    able = rows.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
+    classes = able.groupBy("n", "key_a", "key_b").agg(F.min(F.struct("doc_id", "mark")).alias("rep"))
+    # numbered in the order of their first documents, so that the least number stands for the smallest doc_id
+    classes = sized(classes.select("n", "key_a", "key_b", F.col("rep.doc_id").alias("rep"), F.col("rep.mark").alias("mark")).orderBy("rep").withColumn("node", F.monotonically_increasing_id()))
+    named = classes.select(F.col("rep").alias("doc_id"), "mark", "node")
+    members = able.join(named, ["doc_id", "mark"]).select("node", F.explode("bands").alias("bucket"))
+    shared = members.groupBy("bucket").agg(F.min("node").alias("least"), F.max("node").alias("most"), F.count("*").alias("size")).where("least < most").select("bucket", "size")
+    members = sized(members.join(shared, "bucket").distinct(), 200_000)
+    popular = sized(members.groupBy("node").agg(F.sum("size").alias("fame")).join(classes.select("node", "n", F.col("rep").alias("doc_id"), "mark"), "node"))
+    texts = docs.join(popular.select("doc_id", "mark", "node"), ["doc_id", "mark"]).dropDuplicates(["doc_id", "mark"])
+    sets = spread(texts.select("node", F.pandas_udf(_shingles, "array<long>")("text").alias("found")), SET_BYTES, 8 * F.size("found"))
+
+    # a bucket's most popular member, the first of equals
+    ranked = members.join(popular.select("node", "n", "fame"), "node").select("bucket", "node", "n", F.struct("fame", (-F.col("node")).alias("neg"), F.col("n").alias("n_top")).alias("rank"))
+    tops = ranked.groupBy("bucket").agg(F.max("rank").alias("top"))
+    ranked = sized(ranked.select("bucket", "node", "n").join(tops, "bucket").select("bucket", "node", "n", "top"), 200_000)
+    near = f"100 * least(top.n_top, n) >= {PERCENT} * greatest(top.n_top, n)"
+    other, pair = (-F.col("top.neg")), [F.least(-F.col("top.neg"), "node").alias("a"), F.greatest(-F.col("top.neg"), "node").alias("b")]
+
+    first = ranked.where(other != F.col("node")).groupBy("node", "n").agg(F.max("top").alias("top")).where(near)
+    first = sized(first.select(*pair).distinct())
+    links = sized(verify(sets, first))
+    known = components(links).withColumnRenamed("node", "of")
+
+    def now(rows: DataFrame) -> DataFrame:
+        return rows.join(known, rows["node"] == known["of"], "left").select(*rows.columns, F.coalesce("component", "node").alias("component"))
+
+    def mixed(rows: DataFrame) -> DataFrame:
+        many = rows.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket")
+        return rows.join(many, "bucket", "left_semi")
+
+    ranked = sized(mixed(now(ranked)), 200_000)
+    lead = ranked.where(other == F.col("node")).select("bucket", F.col("component").alias("of_top"))
+    second = ranked.join(lead, "bucket").where("component <> of_top").where(near).select(*pair).distinct()
+    links = sized(links.unionByName(verify(sets, second.join(first, ["a", "b"], "left_anti"))))
+    known = components(links).withColumnRenamed("node", "of")
+
+    rest = mixed(now(ranked.drop("component").where(other != F.col("node"))))
+    rest = rest.select("node", "component").distinct().join(sets, "node")
+    third = prefix_pairs(spread(rest, SET_BYTES, 8 * F.size("found")))
+    known = components(links.unionByName(verify(sets, sized(third)))).withColumnRenamed("node", "of")
+
+    tops = classes.join(known, classes["node"] == known["of"], "left").select("n", "key_a", "key_b", F.coalesce("component", "node").alias("top"))
+    tops = tops.join(classes.select(F.col("node").alias("top"), F.col("rep").alias("component_id")), "top").drop("top")
+    linked = able.select("doc_id", "mark", "n", "key_a", "key_b").join(tops, ["n", "key_a", "key_b"])
+    alone = rows.where((F.col("n") == 0) | F.col("doc_id").isNull()).withColumn("component_id", F.col("doc_id"))
+    return linked.select("doc_id", "mark", "n", "component_id").unionByName(alone.select("doc_id", "mark", "n", "component_id"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -170,51 +226,25 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     A text that is null, empty or white space has an empty set and links with
     nothing, and so does a row whose doc_id is null; repeated rows are of one
-    class; no rows give none; other columns are ignored.
+    class, and different texts of one doc_id are apart, each row with its own
+    component; no rows give none; other columns are ignored.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = cut(docs.mapInPandas(_sketch, "doc_id long, n long, key_a long, key_b long, bands array<long>"))
-    able = rows.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
-    classes = sized(able.groupBy("n", "key_a", "key_b").agg(F.min("doc_id").alias("rep")))
-    members = able.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select("doc_id", F.explode("bands").alias("bucket"))
-    shared = members.groupBy("bucket").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.count("*").alias("size")).where("least < most").select("bucket", "size")
-    members = sized(members.join(shared, "bucket").distinct(), 200_000)
-    popular = sized(members.groupBy("doc_id").agg(F.sum("size").alias("fame")).join(able.select("doc_id", "n").distinct(), "doc_id"))
-    texts = docs.where(F.col("doc_id").isNotNull())
-    sets = sized(texts.join(popular, "doc_id").select("doc_id", F.pandas_udf(_shingles, "array<long>")("text").alias("found")), 4_000)
+    return _components(docs).select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
-    # a bucket's most popular member, the smallest id of equals
-    ranked = members.join(popular, "doc_id").select("bucket", "doc_id", "n", F.struct("fame", (-F.col("doc_id")).alias("neg"), F.col("n").alias("n_top")).alias("rank"))
-    tops = ranked.groupBy("bucket").agg(F.max("rank").alias("top"))
-    ranked = sized(ranked.select("bucket", "doc_id", "n").join(tops, "bucket").select("bucket", "doc_id", "n", "top"), 200_000)
-    near = f"100 * least(top.n_top, n) >= {PERCENT} * greatest(top.n_top, n)"
-    other, pair = (-F.col("top.neg")), [F.least(-F.col("top.neg"), "doc_id").alias("a"), F.greatest(-F.col("top.neg"), "doc_id").alias("b")]
 
-    first = ranked.where(other != F.col("doc_id")).groupBy("doc_id", "n").agg(F.max("top").alias("top")).where(near)
-    first = sized(first.select(*pair).distinct())
-    links = sized(verify(sets, first))
-    known = components(links)
+def keep_first(docs: DataFrame) -> DataFrame:
+    """``docs`` without the near-duplicates of documents with a smaller doc_id: one document of each group stays.
 
-    def now(rows: DataFrame) -> DataFrame:
-        return rows.join(known, rows["doc_id"] == known["node"], "left").select(*rows.columns, F.coalesce("component", "doc_id").alias("component"))
-
-    def mixed(rows: DataFrame) -> DataFrame:
-        many = rows.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket")
-        return rows.join(many, "bucket", "left_semi")
-
-    ranked = sized(mixed(now(ranked)), 200_000)
-    lead = ranked.where(other == F.col("doc_id")).select("bucket", F.col("component").alias("of_top"))
-    second = ranked.join(lead, "bucket").where("component <> of_top").where(near).select(*pair).distinct()
-    links = sized(links.unionByName(verify(sets, second.join(first, ["a", "b"], "left_anti"))))
-    known = components(links)
-
-    rest = mixed(now(ranked.drop("component").where(other != F.col("doc_id"))))
-    rest = rest.select("doc_id", "component").distinct().join(sets, "doc_id")
-    third = prefix_pairs(sized(rest, 4_000))
-    known = components(links.unionByName(verify(sets, sized(third))))
-
-    named = classes.join(known, classes["rep"] == known["node"], "left").select("n", "key_a", "key_b", F.coalesce("component", "rep").alias("component_id"))
-    linked = able.select("doc_id", "n", "key_a", "key_b").join(named, ["n", "key_a", "key_b"])
-    alone = rows.where((F.col("n") == 0) | F.col("doc_id").isNull()).withColumn("component_id", F.col("doc_id"))
-    out = linked.select("doc_id", "n", "component_id").unionByName(alone.select("doc_id", "n", "component_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    Rows go by doc_id and text, so another text of the same doc_id stays where it
+    has no near-duplicate itself; of equal texts of one doc_id one row stays, and of
+    different near-duplicate texts of one doc_id all that are like none before.
+    Rows with a null doc_id or no words stay. Columns stay as they are.
+    """
+    own = docs.columns
+    mark = next(n for n in ("mark", *(f"mark_{k}" for k in range(len(own) + 1))) if n not in {c.lower() for c in own})
+    found = _components(docs).withColumnRenamed("mark", mark)
+    gone = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id", mark).distinct()
+    left = docs.withColumn(mark, F.xxhash64("text")).join(gone, ["doc_id", mark], "left_anti")
+    first = F.row_number().over(Window.partitionBy("doc_id", mark).orderBy("doc_id"))
+    nth = f"{mark}_nth"
+    return left.withColumn(nth, first).where(F.col("doc_id").isNull() | (F.col(nth) == 1)).select(*[F.col(f"`{n}`") for n in own])

@@ -65,11 +65,30 @@ def test_near_duplicates_awkward(spark):
     assert minhash.near_duplicates(H.docs(spark).limit(0)).count() == 0
 
 
+def test_keep_first(spark):
+    """The text of a doc_id that is no near-duplicate stays; of repeated rows one does."""
+    x, y = (" ".join(H.words(k, 40)) for k in (1, 2))
+    texts = [(1, x), (2, x), (2, y), (2, y), (3, y + " more"), (4, None), (5, " "), (None, x), (None, x)]
+    got = sorted(((r["doc_id"], r["text"]) for r in minhash.keep_first(H.from_texts(spark, texts)).collect()), key=str)
+    assert got == sorted([(1, x), (2, y), (4, None), (5, " "), (None, x), (None, x)], key=str)
+    out = minhash.keep_first(H.docs(spark))
+    assert out.columns == H.docs(spark).columns and sorted(str(r["doc_id"]) for r in out.collect()) == sorted(str(i) for i in (1, 2, 3, 4, 6, 9, 10, 11, 12, 13, 14, None, 15, 16))
+    assert minhash.keep_first(H.docs(spark).limit(0)).count() == 0
+
+
+def test_near_duplicates_of_repeated_rows(spark):
+    """Rows of one doc_id and text count once in every round."""
+    texts = near_texts()
+    rows = minhash.near_duplicates(H.from_texts(spark, texts + texts[::3])).collect()
+    want = H.near_components(texts)
+    assert len(rows) == len(texts) + len(texts[::3]) and all((r["n_shingles"], r["component_id"]) == want[r["doc_id"]] for r in rows)
+
+
 def test_prefix_pairs(spark):
     """The prefix filter names every pair at the threshold."""
     texts = near_texts()
     sets = {i: s for i, s in zip([i for i, _ in texts], minhash.shingle_sets([t for _, t in texts]), strict=True)}
-    df = spark.createDataFrame([(i, i, s.tolist()) for i, s in sets.items()], "doc_id long, component long, found array<long>")
+    df = spark.createDataFrame([(i, i, s.tolist()) for i, s in sets.items()], "node long, component long, found array<long>")
     got = {(r["a"], r["b"]) for r in minhash.prefix_pairs(df).collect()}
     want = {(a, b) for a in sets for b in sets if a < b and 100 * len(np.intersect1d(sets[a], sets[b])) >= 75 * len(np.union1d(sets[a], sets[b]))}
     assert want <= got

@@ -63,16 +63,48 @@ def tone(x: str, sample: str, period: float) -> Column:
 
 
 def pad(name: str, n: int, kind: str = "mirror") -> Column:
-    """An array with ``n`` values before and after: ``zero``, ``edge``, ``mirror`` or ``mean``."""
+    """An array with ``n`` values before and after: ``zero``, ``nan``, ``edge``, ``mirror``, ``mean`` or ``localmean`` (of the n values next to the end); ``remove`` takes n away at both ends."""
     x = F.col(name)
+    mean = lambda a: F.aggregate(a, F.lit(0.0), lambda s, v: s + v) / F.size(a)
+    if kind == "remove":
+        return F.slice(x, n + 1, F.greatest(F.lit(0), F.size(x) - 2 * n))
     if kind == "mirror":
         return F.concat(F.reverse(F.slice(x, 2, n)), x, F.reverse(F.slice(x, F.size(x) - n, F.lit(n))))
     if kind == "edge":
         return F.concat(F.array_repeat(F.element_at(x, 1), n), x, F.array_repeat(F.element_at(x, -1), n))
-    value = F.lit(0.0) if kind == "zero" else F.aggregate(x, F.lit(0.0), lambda s, v: s + v) / F.size(x)
+    if kind == "localmean":
+        return F.concat(F.array_repeat(mean(F.slice(x, 1, n)), n), x, F.array_repeat(mean(F.slice(x, -n, n)), n))
+    value = {"zero": F.lit(0.0), "nan": F.lit(float("nan")), "mean": mean(x)}[kind]
     return F.concat(F.array_repeat(value, n), x, F.array_repeat(value, n))
 
 
+def scale_motion(x: Column, bits: int, largest: float) -> Column:
+    """Signed sensor counts in units of the sensor's range."""
+    return x / F.lit(float(1 << (bits - 1))) * largest
+
+
+def scale_audio(x: Column, bits: int, signed: bool) -> Column:
+    """Audio counts from 0 to 1 over the type's range."""
+    low = 1.0 - (1 << (bits - 1)) if signed else 0.0
+    high = float(1 << (bits - 1)) if signed else float(1 << bits)
+    return (x - low) / (high - low)
+
+
+def superlet_order(freq: Column, low: Column, high: Column, least: int, most: int) -> Column:
+    """Order of a superlet, linear over the frequencies from ``least`` to ``most``."""
+    return F.lit(least) + F.round(F.lit(most - least) * (freq - low) / F.nullif(high - low, F.lit(0.0))).cast("int")
+
+
+def gaussian_cut(x: Column, height: float, middle: float, sigma: float, cut: float) -> Column:
+    """A normal curve that is 0 below ``cut``."""
+    return F.when(x < cut, 0.0).otherwise(height * F.exp(-F.pow(x - middle, 2.0) / (2 * sigma**2)))
+
+
+def evenly(first: Column, n: Column, rate: float) -> Column:
+    """Times in ms of sample ``n`` (from 0) of a stream that began at ``first``."""
+    return first + n * (1000.0 / rate)
+
+
 def euler_to_quaternion(yaw: Column, pitch: Column, roll: Column) -> Column:
     """Unit quaternion (w, x, y, z) of turns about z, then y, then x, in radians."""
     cy, sy, cp, sp, cr, sr = F.cos(yaw / 2), F.sin(yaw / 2), F.cos(pitch / 2), F.sin(pitch / 2), F.cos(roll / 2), F.sin(roll / 2)

@@ -146,7 +146,9 @@ def fit_clock_nearest(to: DataFrame, frm: DataFrame, *, t: str, by: Sequence[str
     line = first(to, "_a").join(first(frm, "_b"), list(by)).select(*by, F.lit(1.0).alias("slope"), (F.col("_a") - F.col("_b")).alias("offset"))
     for _ in range(rounds):
         moved = frm.join(line, list(by)).select(*by, F.col(t).alias("_x"), (F.col(t) * F.col("slope") + F.col("offset")).alias(t))
-        pairs = nearest(moved, to, t=t, by=by)
+        pairs = nearest(moved, to, t=t, by=by).withColumn("_far", F.abs("gap"))
+        # a pulse whose partner is missing lies far from any other
+        pairs = pairs.withColumn("_usual", F.percentile("_far", F.lit(0.5)).over(Window.partitionBy(*by))).where("_far <= 3 * _usual")
         slope = F.greatest(F.lit(0.5), F.least(F.lit(1.5), F.coalesce(F.regr_slope("nearest", "_x"), F.lit(1.0))))
         line = pairs.groupBy(*by).agg(slope.alias("slope"), F.avg("nearest").alias("_m"), F.avg("_x").alias("_n")).select(*by, "slope", (F.col("_m") - F.col("slope") * F.col("_n")).alias("offset"))
     return line

@@ -471,6 +471,8 @@ def resampled(samples: DataFrame, up: int, down: int, value: str = "v", size: in
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("sample", kind="stable")
         sample, x, own = pdf["sample"].to_numpy(np.int64), pdf[value].to_numpy(float), pdf["own"].to_numpy()
+        if not own.any():  # the halo of a stretch that there isn't
+            return pdf[:0][["channel", "sample", value]]
         low, high = sample[own].min(), sample[own].max()
         k = np.arange(-(-low * up // down), -(-(high + 1) * up // down))  # places low <= k * down / up < high + 1
         place = k * down  # on the fine grid

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
 #: Bytes that a task reads, unless the option ``rangebytes`` says otherwise.
 RANGE = 64 << 20
@@ -128,26 +128,21 @@ class Written(WriterCommitMessage):
     path: str
 
 
-class FlatWriter(DataSourceWriter):
-    """Rows (sample, channel, v) in the order in which they come, one file a task: sort before."""
+class FlatWriter(DataSourceArrowWriter):
+    """Values of rows (sample, channel, v) in the order in which they come, one file a task: sort before."""
 
     def __init__(self, options: dict):
         self.path, self.dtype = options["path"], np.dtype(options.get("dtype", "<i2"))
 
-    def write(self, rows):
+    def write(self, batches):
         from pyspark import TaskContext
 
         system, inner = place(self.path)
         system.create_dir(inner, recursive=True)
         target = f"{inner}/part-{TaskContext.get().partitionId():05d}.bin"
         with system.open_output_stream(target) as out:
-            held = []
-            for row in rows:
-                held.append(row["v"])
-                if len(held) >= 1 << 16:
-                    out.write(np.array(held).astype(self.dtype).tobytes())
-                    held = []
-            out.write(np.array(held).astype(self.dtype).tobytes())
+            for batch in batches:
+                out.write(batch.column("v").to_numpy(zero_copy_only=False).astype(self.dtype).tobytes())
         return Written(target)
 
     def commit(self, messages):
@@ -207,6 +202,8 @@ class BlockReader(DataSourceReader):
             head = read_bytes(path, 0, min(size, 1 << 20))
             starts = block_starts(head)
             if not starts:
+                if size:
+                    raise ValueError(f"{path} has no block in its first {len(head)} bytes")
                 continue
             step = block_header(head[starts[0] : starts[0] + HEADER_BYTES])["size"] or size
             for start in range(starts[0], size, step * self.blocks):
@@ -215,7 +212,10 @@ class BlockReader(DataSourceReader):
 
     def read(self, part: Range) -> Iterator[tuple]:
         raw = read_bytes(part.path, part.start, part.size) if part.size else b""
-        for k, start in enumerate(block_starts(raw)):
+        starts = block_starts(raw)
+        if raw and (not starts or starts[0] != 0):
+            raise ValueError(f"{part.path} has blocks of different sizes: none begins at {part.start}")
+        for k, start in enumerate(starts):
             header = block_header(raw[start : start + HEADER_BYTES])
             if self.stream in header["parts"]:
                 at, size = header["parts"][self.stream]
@@ -266,36 +266,45 @@ class NpyReader(DataSourceReader):
         out = []
         for path, _ in files(self.path):
             if path.endswith(".npy"):
-                dtype, fortran, shape, at = self.header(path)
+                dtype, _, shape, at = self.header(path)
                 rows = shape[0] if shape else 1
-                width = dtype.itemsize * int(np.prod(shape[1:], dtype=np.int64))
-                step = rows if fortran and len(shape) > 1 else max(1, self.range // max(1, width))
-                out += [Range(path, first, min(step, rows - first), at) for first in range(0, rows, max(1, step))]
+                step = max(1, self.range // max(1, dtype.itemsize * int(np.prod(shape[1:], dtype=np.int64))))
+                out += [Range(path, first, min(step, rows - first), at) for first in range(0, rows, step)]
         return out or [Range("", 0, 0)]
 
-    def read(self, part: Range) -> Iterator[tuple]:
+    def read(self, part: Range) -> Iterator[pa.RecordBatch]:
         if not part.size:
             return
         dtype, fortran, shape, at = self.header(part.path)
-        rest = shape[1:]
-        width = dtype.itemsize * int(np.prod(rest, dtype=np.int64))
+        wide = int(np.prod(shape[1:], dtype=np.int64))
         if fortran and len(shape) > 1:
-            rows = np.frombuffer(read_bytes(part.path, at), dtype).reshape(shape, order="F")
+            # a column's rows stand together: the range's piece of each, then columns in the order of rows
+            pieces = [np.frombuffer(read_bytes(part.path, at + (k * shape[0] + part.start) * dtype.itemsize, part.size * dtype.itemsize), dtype) for k in range(wide)]
+            rows = np.stack(pieces, 1).reshape(part.size, *shape[:0:-1]).transpose(0, *range(len(shape) - 1, 0, -1))
         else:
-            rows = np.frombuffer(read_bytes(part.path, at + part.start * width, part.size * width), dtype).reshape(part.size, *rest)
-        for k, row in enumerate(np.asarray(rows, float).reshape(part.size, -1)):
-            yield part.path, part.start + k, row.tolist()
+            width = dtype.itemsize * wide
+            rows = np.frombuffer(read_bytes(part.path, at + part.start * width, part.size * width), dtype)
+        rows = rows.reshape(part.size, wide)
+        if dtype.kind == "u" and dtype.itemsize == 8 and len(rows) and rows.max(initial=0) > np.iinfo(np.int64).max:
+            raise ValueError(f"{part.path} has numbers beyond 64 bits with a sign")
+        kind = {"b": bool, "i": np.int64, "u": np.int64}.get(dtype.kind, float)
+        for first in range(0, part.size, step := max(1, (1 << 18) // max(1, wide))):
+            some = rows[first : first + step].astype(kind)
+            value = pa.ListArray.from_arrays(np.arange(len(some) + 1, dtype=np.int32) * wide, pa.array(some.ravel()))
+            yield pa.RecordBatch.from_arrays([pa.array([part.path] * len(some)), pa.array(part.start + first + np.arange(len(some))), value], ["file", "row", "value"])
 
 
 class NpySource(DataSource):
-    """``npy``: file, row number and the row's values as doubles."""
+    """``npy``: file, row number and the row's values: whole numbers as long, flags as boolean, others as double, by the first file's type."""
 
     @classmethod
     def name(cls):
         return "npy"
 
     def schema(self):
-        return "file string, row long, value array<double>"
+        first = next((p for p, _ in files(self.options["path"]) if p.endswith(".npy")), None)
+        kind = NpyReader.header(first)[0].kind if first else "f"
+        return f"file string, row long, value array<{ {'b': 'boolean', 'i': 'long', 'u': 'long'}.get(kind, 'double') }>"
 
     def reader(self, schema):
         return NpyReader(self.options)

@@ -9,11 +9,16 @@ from pyspark.sql import functions as F
 GROUPS = {"noise": 0, "mua": 1, "good": 2, "unsorted": 3}
 
 
-def listing(spark: SparkSession, path: str) -> DataFrame:
-    """Files below a path: subject and session from the last two folders, name, size. Contents aren't read."""
+def listing(spark: SparkSession, path: str, subjects: list[str] | None = None, sessions: list[str] | None = None, least: int = 1) -> DataFrame:
+    """Files below a path: subject and session from the last two folders, name, size. Contents aren't read.
+
+    ``subjects`` and ``sessions`` keep those named (all by default), ``least`` those subjects whose name has so many characters.
+    """
     rows = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length", "modificationTime")
     parts = F.split("path", "/")
-    return rows.select("path", "length", "modificationTime", F.element_at(parts, -3).alias("subject"), F.element_at(parts, -2).alias("session"), F.element_at(parts, -1).alias("name"))
+    rows = rows.select("path", "length", "modificationTime", F.element_at(parts, -3).alias("subject"), F.element_at(parts, -2).alias("session"), F.element_at(parts, -1).alias("name")).where(F.length("subject") >= least)
+    rows = rows if subjects is None else rows.where(F.col("subject").isin(subjects))
+    return rows if sessions is None else rows.where(F.col("session").isin(sessions))
 
 
 def formats(listed: DataFrame) -> DataFrame:
@@ -69,6 +74,7 @@ def write_metrics(metrics: DataFrame, path: str, key: str = "unit") -> None:
     """Measures as Parquet, and each as a table of its own for viewers."""
     numbers = metrics.select(key, *[F.col(c).cast("double").alias(c) for c in metrics.columns if c != key])
     numbers.write.mode("overwrite").parquet(f"{path}/metrics.parquet")
+    numbers = metrics.sparkSession.read.parquet(f"{path}/metrics.parquet")  # measured once
     for c in numbers.columns:
         if c != key:
             numbers.select(F.col(key).alias("cluster_id"), c).coalesce(1).write.mode("overwrite").csv(f"{path}/cluster_{c}.tsv", sep="\t", header=True)  # a row a unit

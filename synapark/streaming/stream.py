@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..operators.signal import run_sections, steady
+from ..operators.signal import run_sections, steady, welch
 
 
 def blocks(stream: DataFrame, size: str, late: str = "0 seconds", by: tuple[str, ...] = ("channel",), value: str = "v", ts: str = "ts") -> DataFrame:
@@ -101,12 +101,17 @@ def adaptive_threshold(stream: DataFrame, kept: int = 100, factor: float = 0.5)
 
     def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         rows = pd.concat(list(batches)).sort_values("sample", kind="stable")
-        ring = list(state.get[0]) if state.exists else []
-        out = []
-        for v in rows["v"].to_numpy(float).tolist():
-            ring = [*ring, v][-kept:]
-            mean, sd = float(np.mean(ring)), float(np.std(ring))
-            out.append(float(v > mean + factor * sd) - float(v < mean - factor * sd))
+        ring = np.array(state.get[0] if state.exists else [], float)
+        x = rows["v"].to_numpy(float)
+        both = np.r_[ring, x]
+        middle = both.mean() if len(both) else 0.0
+        sums, squares = (np.r_[0.0, np.cumsum(v)] for v in (both - middle, (both - middle) ** 2))
+        end = len(ring) + 1 + np.arange(len(x))
+        start = np.maximum(0, end - kept)
+        mean = (sums[end] - sums[start]) / (end - start)
+        sd = np.sqrt(np.maximum(0.0, (squares[end] - squares[start]) / (end - start) - mean**2))
+        out = (x - middle > mean + factor * sd).astype(float) - (x - middle < mean - factor * sd)
+        ring = both[-kept:].tolist()
         state.update((ring,))
         yield pd.DataFrame({"channel": key[0], "sample": rows["sample"].to_numpy(), "v": out})
 
@@ -115,3 +120,33 @@ def adaptive_threshold(stream: DataFrame, kept: int = 100, factor: float = 0.5)
 
 def filter_and_decimate(stream: DataFrame, sos: np.ndarray, factor: int) -> DataFrame:
     return every_nth(online_filter(stream, sos), factor)
+
+
+def power_estimate(stream: DataFrame, rate: float, block: int, band: tuple[float, float]) -> DataFrame:
+    """Mean power density in a band (low, high] of every ``block`` samples of a channel, and the largest so far.
+
+    What doesn't fill a block waits as state, less than a block a channel. ``sample`` is the block's first.
+    """
+
+    def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        rows = pd.concat(list(batches)).sort_values("sample", kind="stable")
+        first, held, largest = state.get if state.exists else (int(rows["sample"].iloc[0]), [], 0.0)
+        x = np.r_[np.array(held, float), rows["v"].to_numpy(float)]
+        out = []
+        for at in range(0, len(x) - block + 1, block):
+            part = x[at : at + block]
+            freq, power = welch(part - part.mean(), rate, block)
+            inside = power[(freq > band[0]) & (freq <= band[1])]
+            value = float(inside.mean()) if len(inside) else 0.0
+            largest = max(largest, value)
+            out.append((key[0], first + at, value, largest))
+        done = len(out) * block
+        state.update((first + done, x[done:].tolist(), largest))
+        yield pd.DataFrame(out, columns=["channel", "sample", "power", "largest"])
+
+    return stream.groupBy("channel").applyInPandasWithState(run, f"channel {stream.schema['channel'].dataType.simpleString()}, sample long, power double, largest double", "first long, held array<double>, largest double", "append", GroupStateTimeout.NoTimeout)
+
+
+def after(stream: DataFrame, last: int, by: str = "sample") -> DataFrame:
+    """Events behind a sample that was handled before; within one query the checkpoint's offsets keep that place."""
+    return stream.where(F.col(by) > last)

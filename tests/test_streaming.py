@@ -79,3 +79,22 @@ def test_triggered(spark, source, tmp_path):
     triggers = stream(spark, folder).where("channel = 0 AND sample % 50 = 20").select(F.col("sample").alias("trigger"), F.col("ts").alias("at"))
     got = run(spark, R.triggered(stream(spark, folder), triggers, 2, 3), tmp_path, "trigger_out")
     assert got.groupBy("trigger").count().where("count = 10").count() == 4
+
+
+def test_power_estimate(spark, source, tmp_path):
+    """Blocks go on across batches; the largest so far never falls."""
+    x, folder = source
+    got = run(spark, R.power_estimate(stream(spark, folder), 100.0, 30, (5.0, 20.0)), tmp_path, "power_out").orderBy("channel", "sample").toPandas()
+    for c in range(2):
+        own = got[got["channel"] == c]
+        want = []
+        for at in range(0, 180, 30):
+            part = x[c, at : at + 30]
+            freq, power = S.welch(part - part.mean(), 100.0, 30)
+            want.append(power[(freq > 5) & (freq <= 20)].mean())
+        assert own["sample"].tolist() == list(range(0, 180, 30)) and np.allclose(own["power"], want) and np.allclose(own["largest"], np.maximum.accumulate(want))
+
+
+def test_after(spark, source, tmp_path):
+    got = run(spark, R.after(stream(spark, source[1]), 150).select("channel", "sample"), tmp_path, "after_out")
+    assert got.agg(F.min("sample")).first()[0] == 151 and got.count() == 98

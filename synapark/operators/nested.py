@@ -44,8 +44,56 @@ def cast_checked(x: Column, kind: str) -> Column:
     return F.when(lost, F.raise_error(F.concat(F.lit("value changes as " + kind + ": "), x.cast("string"))).cast(kind)).otherwise(to)
 
 
-def add_rows(table: DataFrame, rows: DataFrame) -> DataFrame:
-    return table.unionByName(rows, allowMissingColumns=True)
+def add_rows(table: DataFrame, rows: DataFrame, key: str | None = None) -> DataFrame:
+    """Rows appended by name, nulls where either side lacks a column; with ``key`` new rows without one get the next numbers."""
+    if key is None:
+        return table.unionByName(rows, allowMissingColumns=True)
+    last = table.agg(F.coalesce(F.max(key) + 1, F.lit(0)).alias("_next"))
+    rows = rows if key in rows.columns else rows.withColumn(key, F.lit(None).cast("long"))
+    numbered = rows.withColumn("_k", F.row_number().over(Window.partitionBy(F.col(key).isNull()).orderBy(F.monotonically_increasing_id())) - 1)  # a few new rows
+    numbered = numbered.join(F.broadcast(last)).withColumn(key, F.coalesce(key, (F.col("_next") + F.col("_k")).cast("long"))).drop("_k", "_next")
+    return table.unionByName(numbered, allowMissingColumns=True)
+
+
+def get_rows(table: DataFrame, key: str, wanted: Sequence[int]) -> DataFrame:
+    """The rows of some keys, ragged columns (arrays, and arrays of arrays) as they are."""
+    return table.where(F.col(key).isin(list(wanted)))
+
+
+def decode_doubly_ragged(data: Column, inner: Column, outer: Column) -> Column:
+    """Slices of slices of a flat array: ``inner`` bounds the data, ``outer`` the inner slices."""
+    return decode_ragged(decode_ragged(data, inner), outer)
+
+
+def with_index(df: DataFrame, column: str, target: str) -> DataFrame:
+    """Marks ``column`` as the cumulative index of ``target``."""
+    return df.withMetadata(column, {**df.schema[column].metadata, "indexes": target})
+
+
+def index_of(df: DataFrame, column: str) -> str | None:
+    """The column that was marked as index of ``column``, or null."""
+    return next((f.name for f in df.schema.fields if f.metadata.get("indexes") == column), None)
+
+
+def check_heights(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The rows, failing where array columns of one row differ in length."""
+    sizes = F.array(*[F.size(c) for c in columns])
+    bad = F.array_max(sizes) != F.array_min(sizes)
+    first = columns[0]
+    return df.withColumn(first, F.when(bad, F.raise_error(F.lit("columns of different heights")).cast(df.schema[first].dataType)).otherwise(F.col(first)))
+
+
+def fits_shape(name: str, shapes: Sequence[Sequence[int | None]]) -> Column:
+    """Whether a (nested) array has one of the shapes; null stands for any length, and all inner arrays must agree."""
+
+    def fits(x: Column, shape: Sequence[int | None]) -> Column:
+        here = F.lit(True) if shape[0] is None else F.size(x) == shape[0]
+        return here if len(shape) == 1 else here & F.forall(x, lambda y: fits(y, shape[1:]))
+
+    out = F.lit(False)
+    for shape in shapes:
+        out = out | fits(F.col(name), shape)
+    return F.coalesce(out, F.lit(False))
 
 
 def flatten(df: DataFrame, sep: str = ".") -> DataFrame:

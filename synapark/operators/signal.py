@@ -141,10 +141,17 @@ def per_stretch(samples: DataFrame, f: Callable[[np.ndarray], np.ndarray], value
     return rows.groupBy("channel", "part").applyInPandas(run, f"channel {samples.schema['channel'].dataType.simpleString()}, sample long, {value} double")
 
 
-def filtered(samples: DataFrame, rate: float, cut: float | tuple[float, float], kind: str = "low", order: int = 6, value: str = "v", halo_s: float = 1.0, size: int = 1 << 16) -> DataFrame:
-    """Zero-phase Butterworth over each channel."""
+def filtered(
+    samples: DataFrame, rate: float, cut: float | tuple[float, float], kind: str = "low", order: int = 6, value: str = "v", halo_s: float = 1.0, size: int = STRETCH, direction: str = "twopass"
+) -> DataFrame:
+    """Butterworth over each channel: ``twopass`` (zero phase), ``onepass`` (causal) or ``onepass-reverse``.
+
+    A stretch's halo, ``halo_s`` to each side, has to outlast the filter's ringing.
+    """
     sos = butter(order, np.array(cut) / (rate / 2) if np.ndim(cut) else float(cut) / (rate / 2), kind)
-    return per_stretch(samples, lambda x: zero_phase(sos, x), value, size, max(1, int(halo_s * rate)))
+    once = lambda x: run_sections(sos, x, steady(sos, x[0]))[0] if len(x) else x
+    run = {"twopass": lambda x: zero_phase(sos, x), "onepass": once, "onepass-reverse": lambda x: once(x[::-1])[::-1]}[direction]
+    return per_stretch(samples, run, value, size, max(1, int(halo_s * rate)))
 
 
 def analytic(x: np.ndarray) -> np.ndarray:
@@ -196,6 +203,21 @@ def sine_tapers(n: int, k: int) -> np.ndarray:
     return np.stack([np.sqrt(2 / (n + 1)) * np.sin(np.pi * j * at / (n + 1)) for j in range(1, k + 1)])
 
 
+def alpha_taper(n: int, f: float) -> np.ndarray:
+    """A taper that rises as an alpha function and ends at the last of n samples."""
+    t = np.arange(-n + 1, 1) * f
+    return -1.25 * t * np.exp(1 + 1.25 * t)
+
+
+def sine_tapers_scaled(n: int, k: float) -> np.ndarray:
+    """2 k sine tapers, the higher ones weaker, as a parabola has it."""
+    many = round(2 * k)
+    if not 0 < many <= n:
+        raise ValueError("k is from 1 / 2 to n / 2")
+    weight = np.sqrt(1 - (np.arange(many) / max(1, many - 1)) ** 2)
+    return sine_tapers(n, many) * weight[:, None]
+
+
 def spectrum(trials: DataFrame, rate: float, tapers: int = 1, value: str = "v") -> DataFrame:
     """Multitaper power of each trial and channel: columns trial, channel, freq, power."""
 
@@ -229,6 +251,20 @@ def wavelet_power(trials: DataFrame, rate: float, freqs: list[float], width: flo
     return trials.groupBy("trial", "channel").applyInPandas(run, f"trial {kind['trial'].dataType.simpleString()}, channel {kind['channel'].dataType.simpleString()}, freq double, sample long, power double")
 
 
+def superlet_power(trials: DataFrame, rate: float, freqs: list[float], orders: list[int], cycles: float = 3.0, value: str = "v") -> DataFrame:
+    """Power under superlets: the geometric mean over wavelets of 1..order times ``cycles``: trial, channel, freq, sample, power.
+
+    ``orders`` has one order a frequency; more of them make the resolution in frequency finer.
+    """
+    parts = None
+    for f, order in zip(freqs, orders, strict=True):
+        for k in range(1, order + 1):
+            one = wavelet_power(trials, rate, [f], cycles * k, value).withColumn("_w", F.lit(1.0 / order))
+            parts = one if parts is None else parts.unionByName(one)
+    mean = F.exp(F.sum(F.log(F.greatest(F.col("power"), F.lit(1e-300))) * F.col("_w")))
+    return parts.groupBy("trial", "channel", "freq", "sample").agg(mean.alias("power"))
+
+
 def beta_shares(x: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The regularised incomplete beta function, by a continued fraction."""
     from math import lgamma

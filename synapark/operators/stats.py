@@ -188,3 +188,18 @@ def wpli(im: str, debiased: bool = False) -> Column:
 def kurtosis(x: str) -> Column:
     """Fourth standardised moment (3 for a normal distribution)."""
     return F.kurtosis(x) + 3
+
+
+def orthogonal_power_correlation(a_re: str, a_im: str, b_re: str, b_im: str) -> Column:
+    """Correlation of log powers of two signals, each time with one of them less what it shares in phase with the other; the mean of both ways.
+
+    Standardised by the sample deviation and averaged over rows.
+    """
+    power = lambda re, im: F.col(re) * F.col(re) + F.col(im) * F.col(im)
+    cross = F.col(b_im) * F.col(a_re) - F.col(b_re) * F.col(a_im)  # imaginary part of b times the conjugate of a
+    logs = lambda x: F.log10(F.nullif(x, F.lit(0.0)))
+    pa, pb = power(a_re, a_im), power(b_re, b_im)
+    x, y = logs(pa), logs(cross * cross / F.nullif(pa, F.lit(0.0)))
+    u, v = logs(pb), logs(cross * cross / F.nullif(pb, F.lit(0.0)))
+    n = F.count("*")
+    return (F.corr(x, y) + F.corr(u, v)) / 2 * (n - 1) / n

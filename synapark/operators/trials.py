@@ -168,3 +168,41 @@ def digital_events(pins: DataFrame, skip: int, span: int, *, low_pins: int = 4,
     code = reach.join(on, "sample", "left").groupBy("onset").agg(F.bit_or(F.coalesce("code", F.lit(0))).alias("code"))
     mask = (1 << low_pins) - 1
     return code.select(F.col("onset").alias("sample"), F.col("code").bitwiseAND(mask).alias("standard"), F.col("code").bitwiseAND(~mask).alias("extra"))
+
+
+def pair_by_counts(a: DataFrame, b: DataFrame, by: Sequence[str], counts: Sequence[str], key: str = "trial") -> DataFrame:
+    """Trials of two conditions paired by like spike counts: by, ``<key>_a``, ``<key>_b``, cost (summed differences).
+
+    Greedy: the closest pair of trials left is taken next (the first of equals), then
+    two pairs swap partners as long as that lowers their cost. A group's trials,
+    hundreds at most, are one task's work; what one side has too many of stays out.
+    """
+    kind = a.schema[key].dataType.simpleString()
+    fields = ", ".join(f"{c} {a.schema[c].dataType.simpleString()}" for c in by) + f", {key}_a {kind}, {key}_b {kind}, cost double"
+
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if not len(left) or not len(right):
+            return pd.DataFrame(columns=[f.split()[0] for f in fields.split(", ")], dtype=object)
+        left, right = left.sort_values(key, kind="stable"), right.sort_values(key, kind="stable")
+        far = np.abs(left[list(counts)].to_numpy(float)[:, None] - right[list(counts)].to_numpy(float)[None]).sum(2)
+        open_, link = far.copy(), []
+        for _ in range(min(far.shape)):
+            i, j = divmod(int(open_.argmin()), far.shape[1])
+            open_[i], open_[:, j] = np.inf, np.inf
+            link.append([i, j])
+        moved = True
+        while moved:
+            moved = False
+            for p in range(len(link)):
+                for q in range(p + 1, len(link)):
+                    (i, j), (k, n) = link[p], link[q]
+                    if far[i, n] + far[k, j] < far[i, j] + far[k, n]:
+                        link[p][1], link[q][1], moved = n, j, True
+        link = sorted(link)
+        out = pd.DataFrame({f"{key}_a": left[key].to_numpy()[[i for i, _ in link]], f"{key}_b": right[key].to_numpy()[[j for _, j in link]], "cost": [far[i, j] for i, j in link]})
+        return pd.concat([pd.DataFrame({c: [left[c].iloc[0]] * len(out) for c in by}), out], axis=1)
+
+    names = [*by, key, *counts]
+    # both may come from one table; the rename by hand keeps their columns apart
+    a, b = (df.toDF(*[f"_{c}" for c in names]).toDF(*names) for df in (a.select(*names), b.select(*names)))
+    return a.groupBy(*by).cogroup(b.groupBy(*by)).applyInPandas(run, fields)

@@ -70,7 +70,7 @@ def trial_aligned_condition(spark, d):
 def event_aligned_series(spark, d):
     """Voltage around every error's sample, every fourth sample of the window, scaled."""
     s, e = T.samples(spark, d), marks(spark, d)
-    return A.triggered(s, e, 8, 8, every=4, on=["channel"]).groupBy("channel", "offset").agg(F.count("*").alias("n"), F.round(F.avg(F.col("v") * 0.5), 9).alias("mean"))
+    return A.triggered(s, e, 8, 8, every=4, on=["channel"]).groupBy("channel", F.col("offset").cast("long").alias("offset")).agg(F.count("*").alias("n"), F.round(F.avg(F.col("v") * 0.5), 9).alias("mean"))
 
 
 @query(f"""WITH {T.TRIALS}, e AS (SELECT subject, start AS pos, 1 AS step FROM trial UNION ALL SELECT subject, stop, -1 FROM trial), g AS (SELECT subject, pos, sum(step) AS step FROM e GROUP BY ALL),
@@ -259,7 +259,7 @@ def since_last_event(spark, d):
 def event_triggered_average(spark, d):
     """Mean trace and its standard error around every error's sample."""
     s, e = T.samples(spark, d), marks(spark, d)
-    return A.triggered(s, e, 3, 3, on=["channel"]).groupBy("offset").agg(F.count("*").alias("n"), F.round(F.avg("v"), 9).alias("mean"), F.round(F.stddev_samp("v") / F.sqrt(F.count("*")), 9).alias("sem"))
+    return A.triggered(s, e, 3, 3, on=["channel"]).groupBy(F.col("offset").cast("long").alias("offset")).agg(F.count("*").alias("n"), F.round(F.avg("v"), 9).alias("mean"), F.round(F.stddev_samp("v") / F.sqrt(F.count("*")), 9).alias("sem"))
 
 
 @query(f"""WITH {T.SAMPLES}, p AS (SELECT channel, sample AS pos FROM smp WHERE v > 49), k AS (SELECT channel, pos, row_number() OVER (PARTITION BY channel ORDER BY pos) AS nth FROM p)

@@ -310,3 +310,81 @@ def regressed_out(spark, d):
     s = T.samples(spark, d)
     ref = s.groupBy("sample").agg(F.avg("v").alias("common"))
     return models.regress_out(s.select("channel", "sample", "v"), ref, ["common"]).select("channel", "sample", F.round("v", 6).alias("v"))
+
+
+@query(f"""WITH {SM}, p AS (SELECT a.channel, a.v AS ar, a.w / 1000 - 50 AS ai, b.v - 20 AS br, b.w / 1000 - 40 AS bi FROM smp a JOIN smp b ON b.channel = a.channel + 1 AND b.sample = a.sample), c AS (SELECT channel, log10(nullif(ar * ar + ai * ai, 0)) AS x, log10(nullif(pow(bi * ar - br * ai, 2) / (ar * ar + ai * ai), 0)) AS y, log10(nullif(br * br + bi * bi, 0)) AS u, log10(nullif(pow(bi * ar - br * ai, 2) / (br * br + bi * bi), 0)) AS z FROM p)
+ SELECT channel, round((corr(x, y) + corr(u, z)) / 2 * (count(*) - 1) / count(*), 7) AS c FROM c GROUP BY channel""")
+def power_correlation(spark, d):
+    """Orthogonalised correlation of power between neighbouring channels."""
+    s = T.samples(spark, d)
+    a = s.select("channel", "sample", F.col("v").alias("ar"), (F.col("w") / 1000 - 50).alias("ai"))
+    b = s.select((F.col("channel") - 1).alias("channel"), "sample", (F.col("v") - 20).alias("br"), (F.col("w") / 1000 - 40).alias("bi"))
+    return a.join(b, ["channel", "sample"]).groupBy("channel").agg(F.round(S.orthogonal_power_correlation("ar", "ai", "br", "bi"), 7).alias("c"))
+
+
+@query(f"""WITH {T.EVENTS}, {SM}, e AS (SELECT DISTINCT user_id % 100 AS channel, depth AS pos FROM ev WHERE event_type = 'error' AND depth > 4), h AS (SELECT DISTINCT e.channel, pos + o AS sample FROM e, generate_series(-2, 2) g(o)), g AS (SELECT s.channel, s.sample, CASE WHEN h.sample IS NULL THEN v END AS x FROM smp s LEFT JOIN h ON h.channel = s.channel AND h.sample = s.sample),
+ f AS (SELECT *, last_value(x IGNORE NULLS) {OVER} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS x0, last_value(CASE WHEN x IS NOT NULL THEN sample END IGNORE NULLS) {OVER} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS s0,
+ first_value(x IGNORE NULLS) {OVER} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS x1, first_value(CASE WHEN x IS NOT NULL THEN sample END IGNORE NULLS) {OVER} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS s1 FROM g)
+ SELECT channel, sample, round(coalesce(x, x0 + (sample - s0)::DOUBLE / (s1 - s0) * (x1 - x0)), 8) AS v FROM f""")
+def spike_interpolated(spark, d):
+    """Samples around each mark replaced by the line between what lies on both sides."""
+    s = T.samples(spark, d).select("channel", "sample", "v")
+    gone = marks(spark, d).where("at > 4").select("channel", F.explode(F.sequence(F.col("at") - 2, F.col("at") + 2)).alias("sample")).distinct().withColumn("gone", F.lit(True))
+    held = s.join(gone, ["channel", "sample"], "left").select("channel", "sample", F.when(F.col("gone").isNull(), F.col("v")).alias("v"))
+    return W.fill_gaps(held, "v").select("channel", "sample", F.round("v", 8).alias("v"))
+
+
+@query(f"""WITH {SP}, o AS (SELECT unit, avg(ampl) AS obs FROM spike WHERE spike_id % 2 = 0 GROUP BY unit), q AS (SELECT unit, k, avg(ampl) AS perm FROM spike, generate_series(1, 50) g(k) WHERE (spike_id * 7919 + k * 104729) % 1000 < 500 GROUP BY ALL), x AS (SELECT k, max(perm) AS hi, min(perm) AS lo FROM q GROUP BY k)
+ SELECT unit, round(least(avg(CASE WHEN hi >= obs THEN 1.0 ELSE 0.0 END), avg(CASE WHEN lo <= obs THEN 1.0 ELSE 0.0 END)), 9) AS p FROM o, x GROUP BY unit""")
+def randomisation_corrected(spark, d):
+    """Two-sided share of relabellings whose outermost unit lies at or beyond each unit's own mean."""
+    s = T.spikes(spark, d)
+    obs = s.where("spike_id % 2 = 0").groupBy("unit").agg(F.avg("ampl").alias("obs"))
+    perm = s.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(50)))).where("(spike_id * 7919 + k * 104729) % 1000 < 500").groupBy("unit", "k").agg(F.avg("ampl").alias("perm"))
+    ends = perm.groupBy("k").agg(F.max("perm").alias("hi"), F.min("perm").alias("lo"))
+    hit = obs.join(F.broadcast(ends))  # a row a relabelling
+    share = lambda c: F.avg(c.cast("double"))
+    return hit.groupBy("unit").agg(F.round(F.least(share(F.col("hi") >= F.col("obs")), share(F.col("lo") <= F.col("obs"))), 9).alias("p"))
+
+
+@query(f"WITH {SP}, m AS (SELECT unit % 10 AS grp, depth // 20 AS x, CAST(floor(ampl / 40) AS BIGINT) AS y, count(*) AS n FROM spike GROUP BY ALL), z AS (SELECT grp, avg(n) AS m, stddev_samp(n) AS s FROM m GROUP BY grp) SELECT m.grp, x, y, n, round((n - m) / nullif(s, 0), 8) AS z, n = max(n) OVER (PARTITION BY m.grp) AS peak FROM m JOIN z ON z.grp = m.grp")
+def field_peaks(spark, d):
+    """Counts by place of the stimulus against the map's mean and deviation, and where they peak."""
+    m = T.spikes(spark, d).groupBy((F.col("unit") % 10).alias("grp"), F.expr("depth div 20").alias("x"), F.floor(F.col("ampl") / 40).alias("y")).agg(F.count("*").alias("n"))
+    w = Window.partitionBy("grp")
+    return m.select("grp", "x", "y", "n", F.round((F.col("n") - F.avg("n").over(w)) / F.nullif(F.stddev_samp("n").over(w), F.lit(0.0)), 8).alias("z"), (F.col("n") == F.max("n").over(w)).alias("peak"))
+
+
+@query()
+def decay_constants(spark, d):
+    """Exponential decay of the peak over the distance from the first channel."""
+    from ..operators import units as U
+
+    a = T.samples(spark, d).groupBy("channel").agg((F.max("v") - F.min("v") + 50 - F.col("channel") % 10 * 3).alias("n"))
+    p = a.select(F.expr("channel div 10").alias("unit"), (F.col("channel") % 10).alias("bin"), "n")
+    return U.acg_time_constants(p, 1.0).select("unit", F.round("tau_rise", 4).alias("tau"))
+
+
+@query()
+def superlets(spark, d):
+    """Power under superlets of rising order in stretches of 256 samples."""
+    s = T.samples(spark, d).withColumn("trial", F.expr("(sample - 1) div 256"))
+    x = G.superlet_power(s, 1000.0, [40.0, 90.0], [1, 3])
+    return x.select("trial", "channel", "freq", "sample", F.round("power", 6).alias("power"))
+
+
+@query()
+def spike_spectrum(spark, d):
+    """Spectrum of the 33 samples around each mark."""
+    found = A.triggered(T.samples(spark, d), marks(spark, d).distinct(), 16, 16, on=["channel"])
+    trials = found.select((F.col("channel") * 1000000 + F.col("at")).alias("trial"), "channel", "sample", "v")
+    whole = trials.groupBy("trial").agg(F.count("*").alias("n")).where("n = 33").select("trial")
+    return G.spectrum(trials.join(whole, "trial"), 1000.0, 3).select("trial", "channel", F.round("freq", 4).alias("freq"), F.round("power", 5).alias("power"))
+
+
+@query()
+def paired_trials(spark, d):
+    """Trials of two outcomes paired by price and block within sessions."""
+    c = T.conditions(spark, d).select("session", "trial", "outcome", "block", (F.col("x") / 1000).alias("x"))
+    side = lambda o: c.where(F.col("outcome") == o).drop("outcome")
+    return R.pair_by_counts(side("F"), side("O"), ["session"], ["x", "block"]).select("session", "trial_a", "trial_b", F.round("cost", 6).alias("cost"))

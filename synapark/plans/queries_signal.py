@@ -23,7 +23,7 @@ def signal_envelope(spark, d):
     return S.hilbert(T.samples(spark, d), "abs").select("channel", "sample", F.round("v", 6).alias("v"))
 
 
-@query()
+@query(f"WITH {T.SAMPLES}, k AS (SELECT o, exp(-0.5 * pow(o / 5.0::DOUBLE, 2)) AS kw FROM generate_series(-15, 15) g(o)), z AS (SELECT sum(kw) AS z FROM k) SELECT s.channel, s.sample, round(sum(b.v * kw) / any_value(z), 6) AS v FROM smp s CROSS JOIN k CROSS JOIN z JOIN smp b ON b.channel = s.channel AND b.sample = s.sample + o GROUP BY s.channel, s.sample")
 def signal_gaussian_rate(spark, d):
     """Samples under a normal kernel."""
     return S.gaussian_rate(T.samples(spark, d), 5.0).select("channel", "sample", F.round("v", 6).alias("v"))

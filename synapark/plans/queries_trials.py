@@ -112,11 +112,13 @@ def waveform_clusters(spark, d):
     return models.clusters(e, 10).select("vec_id", "cluster")
 
 
-@query()
+@query(f"""WITH {T.EVENTS}, p AS (SELECT user_id, t, avg(value) AS value FROM ev WHERE event_type = 'error' GROUP BY ALL), c AS (SELECT event_id, user_id, o * {H} AS "offset", t + o * {H} AS t FROM ev, generate_series(-2, 2) g(o) WHERE event_type = 'click'),
+ a AS (SELECT c.*, p.t AS t0, p.value AS v0 FROM c ASOF LEFT JOIN p ON c.user_id = p.user_id AND c.t >= p.t), b AS (SELECT a.*, p.t AS t1, p.value AS v1 FROM a ASOF LEFT JOIN p ON a.user_id = p.user_id AND a.t <= p.t),
+ i AS (SELECT "offset", CASE WHEN t0 = t1 THEN v0 ELSE v0 + (t - t0) / (t1 - t0)::DOUBLE * (v1 - v0) END AS value FROM b) SELECT "offset", count(value) AS n, round(avg(value), 6) AS mean FROM i GROUP BY "offset" """)
 def spike_triggered_average(spark, d):
     """Interpolated track around each unit's spikes, by hour of offset."""
     e = T.events(spark, d)
-    spikes = e.where("event_type = 'click'").select("event_id", "user_id", F.explode(F.array(*[F.lit(k * H) for k in (-2, -1, 0, 1, 2)])).alias("offset"), "t")
+    spikes = e.where("event_type = 'click'").select("event_id", "user_id", F.explode(F.array(*[F.lit(k * H).cast("long") for k in (-2, -1, 0, 1, 2)])).alias("offset"), "t")
     at = spikes.select("event_id", "user_id", "offset", (F.col("t") + F.col("offset")).alias("t"))
     out = I.interpolate_at(at, e.where("event_type = 'error'").select("user_id", "t", "value"), t="t", value="value", by=["user_id"])
     return out.groupBy("offset").agg(F.count("value").alias("n"), F.round(F.avg("value"), 6).alias("mean"))

@@ -319,3 +319,63 @@ def test_digital_events(spark):
     pins = spark.createDataFrame([(s, p, int((s, p) in up)) for s, p, _ in rows], "sample long, pin int, v int")
     got = sorted(tuple(r) for r in R.digital_events(pins, 4, 4).collect())
     assert got == [(20, 5, 64), (40, 8, 0)]
+
+
+def test_pairs_by_counts(spark):
+    rng = np.random.default_rng(13)
+    a = [(g, k, float(rng.integers(0, 20)), float(rng.integers(0, 9))) for g in (1, 2) for k in range(6)]
+    b = [(g, 100 + k, float(rng.integers(0, 20)), float(rng.integers(0, 9))) for g in (1, 3) for k in range(8)]
+    names = "session int, trial int, x double, y double"
+    got = R.pair_by_counts(spark.createDataFrame(a, names), spark.createDataFrame(b, names), ["session"], ["x", "y"]).collect()
+    assert {r["session"] for r in got} == {1} and len({r["trial_a"] for r in got}) == len({r["trial_b"] for r in got}) == 6
+    at = {(g, k): np.array(v) for g, k, *v in a + b}
+    cost = lambda i, j: np.abs(at[1, i] - at[1, j]).sum()
+    assert all(r["cost"] == cost(r["trial_a"], r["trial_b"]) for r in got)
+    pairs = [(r["trial_a"], r["trial_b"]) for r in got]
+    assert all(cost(i, n) + cost(k, j) >= cost(i, j) + cost(k, n) for i, j in pairs for k, n in pairs)
+
+
+def test_directions_of_a_filter(spark):
+    x = np.random.default_rng(14).normal(size=900)
+    sos = S.butter(2, 0.1)
+    one = S.run_sections(sos, x, S.steady(sos, x[0]))[0]
+    back = S.run_sections(sos, x[::-1], S.steady(sos, x[-1]))[0][::-1]
+    for direction, want in (("onepass", one), ("onepass-reverse", back)):
+        got = series(S.filtered(recording(spark, x), 1000.0, 50.0, "low", 2, halo_s=0.25, size=300, direction=direction))
+        assert np.allclose(got, want, atol=1e-6)
+
+
+def test_tapers():
+    a = S.alpha_taper(50, 0.1)
+    assert a[-1] == 0 and a.max() <= 1 + 1e-9 and a.argmax() == 41
+    s = S.sine_tapers_scaled(64, 2)
+    assert s.shape == (4, 64) and np.allclose((s**2).sum(1), 1 - (np.arange(4) / 3) ** 2)
+    with pytest.raises(ValueError):
+        S.sine_tapers_scaled(4, 3)
+
+
+def test_superlets(spark):
+    t = np.arange(400)
+    df = recording(spark, np.sin(2 * np.pi * 50 * t / 1000)).withColumn("trial", F.lit(0))
+    one = S.wavelet_power(df, 1000.0, [50.0], 3.0).orderBy("sample").toPandas()["power"].to_numpy()
+    two = S.wavelet_power(df, 1000.0, [50.0], 6.0).orderBy("sample").toPandas()["power"].to_numpy()
+    got = S.superlet_power(df, 1000.0, [50.0], [2]).orderBy("sample").toPandas()["power"].to_numpy()
+    assert np.allclose(got, np.sqrt(one * two))
+
+
+def test_nested_tables(spark):
+    from synapark.operators import nested as N
+
+    table = spark.createDataFrame([(0, "a"), (1, "b")], "id long, name string")
+    got = sorted(tuple(r) for r in N.add_rows(table, spark.createDataFrame([("c",), ("d",)], "name string").coalesce(1), "id").select("id", "name").collect())
+    assert got == [(0, "a"), (1, "b"), (2, "c"), (3, "d")]
+    assert [r["name"] for r in N.get_rows(table, "id", [1]).collect()] == ["b"]
+    marked = N.with_index(spark.createDataFrame([([1, 2, 3, 4, 5], [2, 5], [1, 2])], "data array<int>, inner array<int>, outer array<int>"), "inner", "data")
+    assert N.index_of(marked, "data") == "inner" and N.index_of(marked, "outer") is None
+    assert marked.select(N.decode_doubly_ragged(F.col("data"), F.col("inner"), F.col("outer")).alias("x")).first()["x"] == [[[1, 2]], [[3, 4, 5]]]
+    cube = spark.createDataFrame([([[1, 2], [3, 4]],), ([[1, 2], [3]],), (None,)], "x array<array<int>>")
+    assert [r[0] for r in cube.select(N.fits_shape("x", [(None, 2), (3,)])).collect()] == [True, False, False]
+    even = spark.createDataFrame([([1], [2]), ([1, 2], [3])], "a array<int>, b array<int>")
+    assert N.check_heights(even.limit(1), ["a", "b"]).count() == 1
+    with pytest.raises(Exception, match="different heights"):
+        N.check_heights(even, ["a", "b"]).collect()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,10 +15,20 @@ from synapark.llm.queries import WORD_VOCABULARY
 ORACLE_SQL = None
 
 
-def _shortened(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """The columns of ``docs`` with n_chars brought up to date, without documents of which nothing is left."""
+#: Columns that stages know; others may bear any name and are passed through.
+KNOWN = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def _shortened(docs: DataFrame, stage: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The columns of ``docs`` after a stage that shortens texts, with n_chars brought up to date, without documents of which nothing is left.
+
+    Columns that stages don't know have names of their own meanwhile, so that none clashes.
+    """
+    apart = docs.toDF(*[n if n in KNOWN else f"extra_{k}" for k, n in enumerate(docs.columns)])
+    found = stage(apart)
     rows = found.where((F.col("n_removed") == 0) | (F.length("text") > 0))
-    return rows.select(*[F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType).alias(n) if n == "n_chars" else F.col(f"`{n}`") for n in docs.columns])
+    chars = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
+    return rows.select(*[chars.cast(apart.schema[n].dataType).alias(n) if n == "n_chars" else F.col(n) for n in apart.columns]).toDF(*docs.columns)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,7 +38,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the blocks of lines that earlier ones have."""
-    return _shortened(docs, lines.dedup_lines(docs))
+    return _shortened(docs, lines.dedup_lines)
 
 
 def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +48,7 @@ def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the bytes of long strings that start earlier."""
-    return _shortened(docs, suffixes.dedup_substrings(docs))
+    return _shortened(docs, suffixes.dedup_substrings)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

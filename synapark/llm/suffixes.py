@@ -16,7 +16,7 @@ from .common import cut, mix64, slices
 #: Bytes of a repeated string, of the pieces whose hashes are compared, and pieces in a string.
 LENGTH, PIECE = 100, 20
 WINDOW = LENGTH - PIECE + 1
-#: An anchor with more than so many different contexts is settled by hashes of whole strings instead.
+#: An anchor with more than so many different contexts is parted by the bytes beside it before its contexts are merged.
 CROWD = 50_000
 #: Bytes of a shard, and of contexts merged in one go (more only for one anchor's).
 SHARD, MERGED = 1 << 14, 60_000
@@ -103,9 +103,20 @@ def _repeated(frame: pd.DataFrame) -> np.ndarray:
 
 
 ORDER = ["piece", "context", "doc_id", "place"]
-#: ``reach``: bytes before the anchor and bytes from it on of its context; ``context`` null marks a span to remove.
+#: ``reach``: width of the anchor, bytes before it and bytes from it on of its context; ``context`` null marks a span to remove.
 ANCHORS = "piece long, context long, doc_id long, place long, reach long"
-_REACH = 20
+_REACH, _WIDTH = 20, 40
+_PART = (1 << _REACH) - 1
+
+
+def _combined(rows: pd.DataFrame) -> pd.DataFrame:
+    """Anchors sorted, of equal ones the first; the others become spans to remove."""
+    rows = rows.sort_values(ORDER, kind="stable")
+    again = _repeated(rows)
+    if again.any():
+        rows["context"] = rows["context"].astype("Int64").mask(again)
+        rows.loc[again, "piece"] = rows.loc[again, "doc_id"]  # spans go anywhere
+    return rows
 
 
 def _places(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -119,56 +130,72 @@ def _places(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             digest = xxhash.xxh3_64_intdigest
             found = (digest(data[t][a:b], p & 0xFF) for t, a, b, p in zip(text.tolist(), first.tolist(), ends.tolist(), (offset - first).tolist(), strict=True))
             context = np.fromiter(found, np.uint64, len(text)).view(np.int64)
-            parts.append(pd.DataFrame({"piece": piece, "context": context, "doc_id": doc[text], "place": (mark[text] << _OFFSET) | offset, "reach": ((offset - first) << _REACH) | (ends - offset)}))
-        if not parts:
-            continue
-        rows = pd.concat(parts, ignore_index=True).sort_values(ORDER, kind="stable")
-        again = _repeated(rows)
-        if again.any():
-            rows["context"] = rows["context"].astype("Int64").mask(again)
-            rows.loc[again, "piece"] = rows.loc[again, "doc_id"]  # spans go anywhere
-        yield rows
+            parts.append(pd.DataFrame({"piece": piece, "context": context, "doc_id": doc[text], "place": (mark[text] << _OFFSET) | offset, "reach": (PIECE << _WIDTH) | ((offset - first) << _REACH) | (ends - offset)}))
+        if parts:
+            yield _combined(pd.concat(parts, ignore_index=True))
 
 
-#: What is found about a document: spans to remove, and contexts that have to be compared; offsets and lengths are packed.
-FOUND = "doc_id long, mark long, span long, piece long, crowded boolean"
+#: What is found about a document: spans to remove, and contexts that have to be compared (``piece``) or parted first (``reach``); offsets and lengths are packed.
+FOUND = "doc_id long, mark long, span long, piece long, reach long"
 
 
 def _meet(crowd: int):
-    """Over anchors sorted by ``ORDER``: spans to remove, and the contexts of anchors that have several."""
+    """Over anchors sorted by ``ORDER``: spans to remove, and the contexts of anchors that have several.
+
+    Holds one anchor's rows until it has more than ``crowd`` different contexts;
+    what comes of it then goes on at once, to be parted.
+    """
 
-    def settle_hashes(rows: pd.DataFrame) -> pd.DataFrame:
-        span = rows["context"].isna().to_numpy()
-        again = _repeated(rows.assign(context=rows["context"].fillna(0).astype("int64"))) & ~span
+    def settle(rows: pd.DataFrame, before: tuple | None, crowded: bool) -> pd.DataFrame:
+        context = rows["context"]
+        span = context.isna().to_numpy()
+        again = _repeated(rows.assign(context=context.fillna(0).astype("int64"))) & ~span
+        if before is not None and len(rows) and not span[0]:
+            again[0] = (rows["piece"].iloc[0], context.iloc[0]) == before
         alone = ~span & ~again
         piece = rows["piece"].to_numpy()
         _, which, many = np.unique(piece[alone], return_inverse=True, return_counts=True)
         asked = np.zeros(len(rows), bool)
-        asked[np.flatnonzero(alone)[many[which] > 1]] = True
-        crowded = np.zeros(len(rows), bool)
-        crowded[np.flatnonzero(alone)[many[which] > crowd]] = True
+        asked[np.flatnonzero(alone)[(many[which] > 1) | crowded]] = True
         keep = span | again | asked
         place, reach = rows["place"].to_numpy(), rows["reach"].to_numpy()
-        before, after = reach >> _REACH, reach & ((1 << _REACH) - 1)
-        out = pd.DataFrame({"doc_id": rows["doc_id"].to_numpy(), "mark": place >> _OFFSET, "span": ((place & _LOW) - before) << _PACK | (before + after)})
+        start, after = (reach >> _REACH) & _PART, reach & _PART
+        out = pd.DataFrame({"doc_id": rows["doc_id"].to_numpy(), "mark": place >> _OFFSET, "span": ((place & _LOW) - start) << _PACK | (start + after)})
         out["piece"] = pd.array(np.where(asked, piece, 0), dtype="Int64")
         out.loc[~asked, "piece"] = pd.NA
-        out["crowded"] = crowded
+        out["reach"] = pd.array(np.where(asked & crowded, reach, 0), dtype="Int64")
+        out.loc[~(asked & crowded), "reach"] = pd.NA
         return out[keep]
 
+    def contexts(rows: pd.DataFrame) -> int:
+        return int((~_repeated(rows.assign(context=rows["context"].fillna(0).astype("int64"))) & rows["context"].notna().to_numpy()).sum())
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[pd.DataFrame] = []
+        held: pd.DataFrame | None = None
+        crowded, before = None, None  # the anchor that is being passed on, and its last context
         for batch in batches:
-            held.append(batch)
-            piece = batch["piece"].to_numpy()
-            if piece[-1] == held[0]["piece"].iloc[0]:
+            rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
+            piece = rows["piece"].to_numpy()
+            head = int(np.searchsorted(piece, crowded, side="right")) if crowded is not None else 0
+            if head:
+                yield settle(rows.iloc[:head], before, True)
+                last = rows.iloc[head - 1]
+                before = (last["piece"], last["context"]) if not pd.isna(last["context"]) else before
+                rows, piece = rows.iloc[head:], piece[head:]
+            if not len(rows):
+                held = None
                 continue
-            rows = pd.concat(held, ignore_index=True)
-            last = int(np.searchsorted(rows["piece"].to_numpy(), piece[-1]))
-            yield settle_hashes(rows.iloc[:last])
-            held = [rows.iloc[last:]]
-        if held:
-            yield settle_hashes(pd.concat(held, ignore_index=True))
+            crowded, before = None, None
+            tail = int(np.searchsorted(piece, piece[-1]))
+            if tail:
+                yield settle(rows.iloc[:tail], None, False)
+            held = rows.iloc[tail:]
+            if contexts(held) > crowd:
+                yield settle(held, None, True)
+                last = held.iloc[-1]
+                crowded, before, held = piece[-1], (last["piece"], last["context"]), None
+        if held is not None:
+            yield settle(held, None, False)
 
     return run
 
@@ -328,8 +355,13 @@ def _settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield settle(pd.concat(held, ignore_index=True))
 
 
-def _crowds(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Two hashes of every string of a crowded anchor, and its place."""
+def _parted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Contexts of crowded anchors under wider ones: the anchor with the bytes behind it, for strings that have those, else with the bytes before it.
+
+    A string of LENGTH bytes has at least half of what its anchor lacks on one side,
+    so equal strings stay together; an anchor of LENGTH bytes has one string.
+    """
+    digest = xxhash.xxh3_64_intdigest
     for batch in batches:
         rows = []
         for doc, mark, text, asked in zip(batch["doc_id"], batch["mark"], batch["text"], batch["crowds"], strict=True):
@@ -337,12 +369,21 @@ def _crowds(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 continue
             data, high = text.encode("utf-8", "replace"), int(mark) << _OFFSET
             for s in asked:
-                start, size = s["span"] >> _PACK, s["span"] & _SIZE
-                for k in range(start, start + size - LENGTH + 1):
-                    digest = hashlib.blake2b(data[k : k + LENGTH], digest_size=16).digest()
-                    rows.append((int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True), doc, high | k))
+                start, size, reach = s["span"] >> _PACK, s["span"] & _SIZE, s["reach"]
+                width, end = reach >> _WIDTH, start + size
+                at = start + ((reach >> _REACH) & _PART)
+                wide = (width + LENGTH + 1) // 2
+                turn = at - (LENGTH - wide)  # strings from here on have the bytes behind
+                sides = ((max(start, turn), end, at, wide), (start, min(end, turn - 1 + LENGTH), turn - 1, width + LENGTH + 1 - wide))
+                for side, (low, top, place, span) in enumerate(sides):
+                    if top - low >= LENGTH:
+                        own = digest(data[place : place + span], seed=2 * width + side)
+                        rows.append((own, digest(data[low:top], seed=(place - low) & 0xFF), doc, high | place, (span << _WIDTH) | ((place - low) << _REACH) | (top - place)))
         if rows:
-            yield pd.DataFrame(rows, columns=["hash_a", "hash_b", "doc_id", "place"])
+            found = pd.DataFrame(rows, columns=["piece", "context", "doc_id", "place", "reach"])
+            for c in ("piece", "context"):
+                found[c] = found[c].to_numpy(np.uint64).view(np.int64)
+            yield _combined(found)
 
 
 def _remove(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -375,13 +416,14 @@ def dedup_substrings(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
 
     First winnowing: a string's anchor is its piece of least hash, so equal strings
     meet under equal anchors, and anchors that occur once go. The strings of an
-    anchor make up its context; by two hashes, of 128 bits together, equal contexts
-    settle at once: all but the first are repeats as a whole. Where an anchor has
-    several contexts, their bytes are fetched and cut into shards of bounded size,
-    whose Burrows-Wheeler transforms are merged by interleave refinement
-    (``merge``); its intervals of LENGTH equal bytes are the repeated strings. An
-    anchor of over ``crowd`` contexts isn't gathered: its strings are compared by
-    128-bit hashes in an aggregate that Spark combines before the shuffle.
+    anchor make up its context. Equal contexts, told by two hashes of 128 bits
+    together, are one: all but the first are repeats as a whole, and the first
+    stands for them in what follows. Where an anchor has several contexts, their
+    bytes are fetched and cut into shards of bounded size, whose Burrows-Wheeler
+    transforms are merged by interleave refinement (``merge``); its intervals of
+    LENGTH equal bytes are the repeated strings. An anchor of over ``crowd``
+    contexts isn't gathered: it is parted by the bytes beside it, round by round,
+    until its contexts are few enough to merge, or of one string.
 
     Returns the columns of ``docs`` with the text shortened (a character of
     which bytes are cut off goes), and n_bytes, n_removed, n_spans, kept_sha256
@@ -389,34 +431,35 @@ def dedup_substrings(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     stays null and counts as empty; null ids take no part; equal rows are one
     document; no rows give none.
     """
+    if crowd < 1:
+        raise ValueError("an anchor of the whole length has one context")
     taken = ("n_bytes", "n_removed", "n_spans", "kept_sha256", "mark", "found")
     own = [n for n in docs.columns if n.lower() not in taken]
     keyed = docs.select(*[F.col(f"`{n}`") for n in own], (F.xxhash64("text") % _MARKS + _MARKS).bitwiseAND(_MARKS - 1).alias("mark"))
     able = keyed.where(F.col("doc_id").isNotNull() & (F.octet_length("text") >= LENGTH)).select(F.col("doc_id").cast("long").alias("doc_id"), "mark", "text")
-    marked = able.mapInPandas(_places, ANCHORS)
-    met = marked.repartition("piece").sortWithinPartitions(*ORDER).mapInPandas(_meet(crowd), FOUND)
-    asked = F.struct("span", "piece")
-    # a document has at most as many anchors as bytes
-    met = cut(
-        met.groupBy("doc_id", "mark").agg(
-            F.collect_list(F.when(F.col("piece").isNull(), F.col("span"))).alias("known"),
-            F.collect_list(F.when(F.col("piece").isNotNull() & ~F.col("crowded"), asked)).alias("asked"),
-            F.collect_list(F.when(F.col("crowded"), asked)).alias("crowds"),
+    anchors = able.mapInPandas(_places, ANCHORS)
+    found = None
+    while True:
+        met = anchors.repartition("piece").sortWithinPartitions(*ORDER).mapInPandas(_meet(crowd), FOUND)
+        asked = F.struct("span", "piece")
+        # a document has at most as many anchors as bytes
+        met = cut(
+            met.groupBy("doc_id", "mark").agg(
+                F.collect_list(F.when(F.col("piece").isNull(), F.col("span"))).alias("known"),
+                F.collect_list(F.when(F.col("piece").isNotNull() & F.col("reach").isNull(), asked)).alias("asked"),
+                F.collect_list(F.when(F.col("reach").isNotNull(), F.struct("span", "reach"))).alias("crowds"),
+            )
         )
-    )
-    again = met.select("doc_id", "mark", F.explode("known").alias("span"))
-    quiet = met.select("doc_id", "mark", "asked").where(F.size("asked") > 0)
-    # an outer join like the last one below, so that Spark shuffles the texts once for both
-    contexts = keyed.join(quiet, ["doc_id", "mark"], "left").mapInPandas(_contexts, "piece long, own binary, doc_id long, place long")
-    found = contexts.repartition("piece").sortWithinPartitions("piece").mapInPandas(_settle, "doc_id long, mark long, span long")
-    found = found.unionByName(again)
-    if not met.where(F.size("crowds") > 0).isEmpty():
+        again = met.select("doc_id", "mark", F.explode("known").alias("span"))
+        quiet = met.select("doc_id", "mark", "asked").where(F.size("asked") > 0)
+        # an outer join like the last one below, so that Spark shuffles the texts once for both
+        contexts = keyed.join(quiet, ["doc_id", "mark"], "left").mapInPandas(_contexts, "piece long, own binary, doc_id long, place long")
+        settled = contexts.repartition("piece").sortWithinPartitions("piece").mapInPandas(_settle, "doc_id long, mark long, span long").unionByName(again)
+        found = settled if found is None else found.unionByName(settled)
         few = met.select("doc_id", "mark", "crowds").where(F.size("crowds") > 0)
-        strings = cut(keyed.join(few, ["doc_id", "mark"]).mapInPandas(_crowds, "hash_a long, hash_b long, doc_id long, place long"))
-        first = strings.groupBy("hash_a", "hash_b").agg(F.min(F.struct("doc_id", "place")).alias("first"))
-        later = strings.join(first, ["hash_a", "hash_b"]).where(F.struct("doc_id", "place") != F.col("first"))
-        span = F.shiftleft(F.col("place").bitwiseAND(_LOW), _PACK).bitwiseOR(F.lit(LENGTH))
-        found = found.unionByName(later.select("doc_id", F.shiftright("place", _OFFSET).alias("mark"), span.alias("span")))
+        if few.isEmpty():
+            break
+        anchors = cut(keyed.select("doc_id", "mark", "text").join(few, ["doc_id", "mark"]).mapInPandas(_parted, ANCHORS))
     found = found.groupBy("doc_id", "mark").agg(F.collect_list("span").alias("found"))
     joined = keyed.join(found, ["doc_id", "mark"], "left")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema if f.name not in ("mark", "found"))

@@ -192,6 +192,21 @@ def test_substrings(spark, crowd):
     assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in rows} == want and len(rows) == len(texts)
 
 
+def test_substrings_of_a_crowded_anchor(spark, monkeypatch):
+    """A passage in very many surroundings, some of them shared, over several Arrow batches."""
+    rng = random.Random(4)
+    passage = "".join(H.words(3, 30))[:105]
+    near = ["".join(H.words(50 + k, 14)) for k in range(4)]
+    texts = [(k, rng.choice(near)[-rng.randint(1, 60) :] + passage[: rng.randint(60, 105)] + rng.choice(near)[: rng.randint(1, 60)] + f"{k}") for k in range(160)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 50)
+    try:
+        want = H.repeated_bytes(texts)
+        rows = suffixes.dedup_substrings(H.from_texts(spark, texts), 5).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in rows} == want
+
+
 def test_substrings_awkward(spark):
     rows = suffixes.dedup_substrings(H.docs(spark)).collect()
     assert len(rows) == len(H.awkward()) and rows[0].asDict().keys() >= {"Bucket", "shard", "kept", "n_spans"}

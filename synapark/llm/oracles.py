@@ -37,3 +37,20 @@ e AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER
 k AS (SELECT doc_id, count(*) AS n, sum(CASE WHEN gone THEN 1 ELSE 0 END) AS r, sum(CASE WHEN head THEN 1 ELSE 0 END) AS m, string_agg(CASE WHEN gone THEN '' ELSE x END, '' ORDER BY p) AS rest FROM e GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n, 0) AS n_bytes, CAST(coalesce(r, 0) AS BIGINT) AS n_removed, CAST(coalesce(m, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(rest, ''))) AS kept_sha256 FROM documents d LEFT JOIN k ON k.doc_id = d.doc_id
 """
+
+DIVERGENCE = """
+WITH d AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w, row_number() OVER () AS i FROM documents),
+t AS (SELECT lang, source, i, unnest(w) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS whole FROM t GROUP BY lang, term HAVING count(DISTINCT i) >= 30),
+v AS (SELECT lang, count(*) AS v, sum(whole) AS total FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM t JOIN k USING (lang, term) GROUP BY ALL),
+n AS (SELECT lang, source, sum(n) AS n FROM c GROUP BY ALL),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, 1 + (CAST(1000000000 AS HUGEINT) * (coalesce(c.n, 0) + 5)) // (coalesce(n.n, 0) + 5 * v.v) AS p, 1 + (CAST(1000000000 AS HUGEINT) * (k.whole + 5)) // (v.total + 5 * v.v) AS q
+  FROM g JOIN k ON k.lang = g.lang JOIN v ON v.lang = g.lang LEFT JOIN n ON n.lang = g.lang AND n.source = g.source LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+s AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+f AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q),
+r AS (SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM f)
+SELECT lang, source, part, item, value, CAST(rank AS INT) AS rank FROM r WHERE part = 'pair' OR rank <= 50
+"""

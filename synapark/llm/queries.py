@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, covertree, language, lines, minhash, oracles, packing, quality, sharding, suffixes, toxicity
+from . import bpe, covertree, divergence, language, lines, minhash, oracles, packing, personal, quality, runs, sharding, suffixes, toxicity
 from .common import table
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -56,9 +56,22 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.runs_of(table(spark, sf_dir, "documents"))
+
+
+def op12_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.personal(table(spark, sf_dir, "documents"))
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_sharding, op2_covertree, op3_toxicity, op4_packing, op5_bpe, op6_lines, op7_suffixes, op8_quality, op9_language, op10_minhash)}
+    every = (op1_sharding, op2_covertree, op3_toxicity, op4_packing, op5_bpe, op6_lines, op7_suffixes, op8_quality, op9_language, op10_minhash, op11_runs, op12_personal, op13_divergence)
+    return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_sharding": oracles.SHARDING, "op2_covertree": oracles.COVER_TREE, "op7_suffixes": oracles.SUFFIXES, "op10_minhash": oracles.MINHASH}
+    return {"op1_sharding": oracles.SHARDING, "op2_covertree": oracles.COVER_TREE, "op7_suffixes": oracles.SUFFIXES, "op10_minhash": oracles.MINHASH, "op13_divergence": oracles.DIVERGENCE}

@@ -15,7 +15,7 @@ from .common import mix64
 
 #: Characters of a block that is deleted; holders of a run of lines up to which it is rare.
 BLOCK_CHARS, RARE = 50, 8
-#: Lines of pairs that are looked at in one go; bounds the temporaries.
+#: Lines that are looked at in one go; bounds the temporaries.
 SLICE_LINES = 500_000
 #: Base of the rolling hash of runs, and its inverse modulo 2**64.
 BASE = 0x9E3779B97F4A7C15
@@ -69,26 +69,45 @@ def increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
-def blocks(earlier: list[int], later: list[int], chars: list[int], least: int = BLOCK_CHARS) -> list[list[int]]:
-    """Runs of the later one's lines that are aligned in step and have enough characters."""
-    out: list[list[int]] = []
-    last = (-2, -2)
-    for i, j in patience(earlier, later):
-        if (i, j) == (last[0] + 1, last[1] + 1):
-            out[-1].append(j)
+def chains(ids: list[int]) -> list[list[int]]:
+    """Places of a sequence parted into rising chains, each place in the chain whose last id is the greatest below its own."""
+    tails: list[int] = []  # of the chains, rising
+    ends: list[list[int]] = []
+    for k, x in enumerate(ids):
+        at = bisect_left(tails, x)
+        if at:
+            tails[at - 1] = x
+            ends[at - 1].append(k)
         else:
-            out.append([j])
-        last = (i, j)
-    return [run for run in out if sum(chars[j] for j in run) >= least]
+            tails.insert(0, x)
+            ends.insert(0, [k])
+    return ends
 
 
-def least_runs(codes: np.ndarray, chars: np.ndarray, sizes: np.ndarray, least: int = BLOCK_CHARS) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The shortest run of ``least`` characters from each line on, and up to each: its document, start, end and hash.
+def blocks(earlier: np.ndarray, later: np.ndarray, sizes: np.ndarray) -> list[tuple[int, int]]:
+    """Spans of the later document's lines that are aligned with the earlier one, from the runs that both have.
+
+    ``earlier`` and ``later``: where a shared run of so many lines (``sizes``) begins.
+    Patience aligns the two orders of runs; what it leaves, since it stands in
+    crossed order or repeatedly, is aligned again, in as many rising chains as it takes.
+    """
+    earlier, later, sizes = (np.asarray(x, np.int64) for x in (earlier, later, sizes))
+    order = np.lexsort((sizes, later))
+    _, ids = np.unique(earlier << _PACK | sizes, return_inverse=True)
+    ids = ids[order].tolist()
+    met = [j for _, j in patience(list(range(max(ids, default=-1) + 1)), ids)]
+    left = sorted(set(range(len(ids))) - set(met))
+    aligned = [met, *[[left[k] for k in chain] for chain in chains([ids[j] for j in left])]]
+    return [(int(later[order[j]]), int(later[order[j]] + sizes[order[j]])) for chain in aligned for j in chain]
+
+
+def least_runs(codes: list[np.ndarray], chars: np.ndarray, sizes: np.ndarray, least: int = BLOCK_CHARS) -> tuple[np.ndarray, ...]:
+    """The shortest run of ``least`` characters from each line on, and up to each: its document, start, end, and a hash for each of the lines' ``codes``.
 
     Documents of ``sizes`` lines lie behind one another. Every longer block
     consists of such runs, and has the same ones wherever it stands.
     """
-    n = len(codes)
+    n = len(chars)
     total = np.r_[0, np.cumsum(chars, dtype=np.int64)]
     row = np.repeat(np.arange(len(sizes)), sizes)
     last = np.cumsum(sizes, dtype=np.int64)
@@ -101,9 +120,9 @@ def least_runs(codes: np.ndarray, chars: np.ndarray, sizes: np.ndarray, least: i
     with np.errstate(over="ignore"):
         up = np.cumprod(np.r_[np.uint64(1), np.full(n, BASE, np.uint64)], dtype=np.uint64)
         down = np.cumprod(np.r_[np.uint64(1), np.full(n, BACK, np.uint64)], dtype=np.uint64)
-        prefix = np.r_[np.uint64(0), np.cumsum(codes.view(np.uint64) * up[:-1], dtype=np.uint64)]
-        found = mix64((prefix[e] - prefix[s]) * down[s] + (e - s).astype(np.uint64))
-    return np.r_[row[fore], row[back]], s, e, found
+        prefixes = [np.r_[np.uint64(0), np.cumsum(own.view(np.uint64) * up[:-1], dtype=np.uint64)] for own in codes]
+        found = [mix64((prefix[e] - prefix[s]) * down[s] + (e - s).astype(np.uint64)) for prefix in prefixes]
+    return np.r_[row[fore], row[back]], s, e, *found
 
 
 def _flat(column: pd.Series) -> tuple[np.ndarray, np.ndarray]:
@@ -114,63 +133,40 @@ def _flat(column: pd.Series) -> tuple[np.ndarray, np.ndarray]:
 _PACK = 31
 #: Tasks that a run of very many holders is met in.
 SALTS = 64
+_HELD = "doc_id long, mark long, salt int, run long, check long, size int, starts array<int>"
 
 
 def _runs(least: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Hash of every shortest run of a document, once each."""
+        """Hashes of every shortest run of a document, once each, with its lines and all places where it begins."""
         for batch in batches:
-            if len(batch):
-                codes, sizes = _flat(batch["codes"])
-                row, _, _, found = least_runs(codes, _flat(batch["chars"])[0], sizes, least)
-                order = np.lexsort((found, row))
-                row, found = row[order], found[order]
-                fresh = np.r_[True, (row[1:] != row[:-1]) | (found[1:] != found[:-1])][: len(row)]
-                row, found = row[fresh], found[fresh]
-                doc = batch["doc_id"].to_numpy()[row]
+            total = np.cumsum([len(x) for x in batch["codes"]])
+            for _, part in batch.groupby(total // SLICE_LINES, sort=False):
+                codes, sizes = _flat(part["codes"])
+                row, s, e, found, check = least_runs([codes, _flat(part["checks"])[0]], _flat(part["chars"])[0], sizes, least)
+                order = np.lexsort((s, found, row))
+                row, s, e, found, check = row[order], s[order], e[order], found[order], check[order]
+                fresh = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (found[1:] != found[:-1])][: len(row)])
+                begin = np.cumsum(sizes) - sizes
+                starts = np.split((s - begin[row]).astype(np.int32), fresh[1:])
+                row, found, check, size = row[fresh], found[fresh], check[fresh], (e - s)[fresh]
+                doc = part["doc_id"].to_numpy()[row]
                 salt = (mix64(doc.astype(np.int64).view(np.uint64)) % np.uint64(SALTS)).astype(np.int32)
-                yield pd.DataFrame({"doc_id": doc, "mark": batch["mark"].to_numpy()[row], "salt": salt, "run": found.view(np.int64)})
+                own = {"doc_id": doc, "mark": part["mark"].to_numpy()[row], "salt": salt, "run": found.view(np.int64), "check": check.view(np.int64)}
+                yield pd.DataFrame(own | {"size": size.astype(np.int32), "starts": starts[: len(fresh)]})
 
     return run
 
 
-def _spans(gone: np.ndarray) -> list[int]:
-    edge = np.diff(np.r_[0, gone.astype(np.int8), 0])
-    start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    return (start << _PACK | (end - start)).tolist()
-
-
-def _align(least: int):
-    """Lines of the later one of each pair that the earlier one has in blocks of enough characters.
-
-    Patience alignment finds blocks in step; runs that it leaves out (crossed or
-    repeated) are then aligned by themselves.
-    """
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            size = np.array([len(x) + len(y) for x, y in zip(batch["later"], batch["earlier"], strict=True)], np.int64)
-            for _, part in batch.groupby(np.cumsum(size) // SLICE_LINES, sort=False):
-                later, sizes = _flat(part["later"])
-                first = np.cumsum(sizes) - sizes
-                gone = np.zeros(len(later), bool)
-                for at, b, chars, a in zip(first.tolist(), part["later"], part["chars"], part["earlier"], strict=True):
-                    gone[[at + j for block in blocks(a.tolist(), b.tolist(), chars.tolist(), least) for j in block]] = True
-                row, s, e, found = least_runs(later, _flat(part["chars"])[0], sizes, least)
-                left = np.r_[0, np.cumsum(~gone)]
-                open_ = left[e] > left[s]
-                row, s, e, found = row[open_], s[open_], e[open_], found[open_]
-                earlier, theirs = _flat(part["earlier"])
-                there, _, _, known = least_runs(earlier, _flat(part["earlier_chars"])[0], theirs, least)
-                hit = np.isin(mix64(found ^ mix64(row.astype(np.uint64))), mix64(known ^ mix64(there.astype(np.uint64))))
-                edge = np.zeros(len(later) + 1, np.int64)
-                np.add.at(edge, s[hit], 1)
-                np.add.at(edge, e[hit], -1)
-                gone |= np.cumsum(edge)[:-1] > 0
-                spans = [_spans(gone[at : at + n]) for at, n in zip(first.tolist(), sizes.tolist(), strict=True)]
-                yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy(), "mark": part["mark"].to_numpy(), "spans": spans})
-
-    return run
+def _align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Spans of the later one of each pair that alignment finds in the earlier one."""
+    for batch in batches:
+        spans = []
+        for a, b, sizes in zip(batch["a"], batch["b"], batch["size"], strict=True):
+            found = np.array(blocks(a, b, sizes), np.int64).reshape(-1, 2)
+            edge = np.unique(found[:, 0] << _PACK | (found[:, 1] - found[:, 0]))
+            spans.append(edge.tolist())
+        yield batch[["doc_id", "mark"]].assign(spans=spans)
 
 
 def _flags(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -198,14 +194,16 @@ def dedup_lines(docs: DataFrame, least: int = BLOCK_CHARS, rare: int = RARE) ->
     has the whole run, so no other can add to it, and a run that very many share
     still adds one pair a document, never all pairs of the group.
 
-    Pairs are aligned by patience diff over the hashes of their lines, and aligned
+    Pairs are aligned by patience diff over the runs that both have, and aligned
     common blocks go from the later one (larger doc_id; rows that share a doc_id
-    come in the order of their text's hash). Runs of a pair that patience leaves
-    out, since they stand in crossed order or repeatedly, are then aligned by
-    themselves. The first holder keeps its own lines.
+    come in the order of their text's hash). Runs that patience leaves
+    out, since they stand in crossed order or repeatedly, are then aligned among
+    themselves until none is left. The first holder keeps its own lines.
 
-    Pairing and alignment move line hashes of 8 bytes; texts are shuffled once,
-    to take the lines out. Lines are paired by one hash and compared by another.
+    What moves is a row for each run of a document, with its places: a pair has the
+    places of the runs it shares and no more, however long its documents are.
+    Texts are shuffled once, to take the lines out. Runs meet by one hash and
+    are compared by another.
 
     Returns the columns of ``docs`` with ``text`` shortened, and n_lines,
     n_removed and n_blocks (rows of removed lines), which replace columns of those
@@ -216,20 +214,22 @@ def dedup_lines(docs: DataFrame, least: int = BLOCK_CHARS, rare: int = RARE) ->
     lines = F.split("text", "\n", -1)
     marked = docs.select(*[F.col(f"`{n}`") for n in own], F.xxhash64("text").alias("mark"))
     able = marked.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "mark", "text")
-    chars = F.transform(lines, lambda x: F.length(x)).alias("chars")
-    arrays = able.select("doc_id", "mark", F.transform(lines, lambda x: F.xxhash64(x, F.lit(1))).alias("later"), chars).dropDuplicates(["doc_id", "mark"])
-    coded = able.select("doc_id", "mark", F.transform(lines, lambda x: F.xxhash64(x)).alias("codes"), chars)
-    holder = F.struct("doc_id", "mark")
-    runs = coded.mapInPandas(_runs(least), "doc_id long, mark long, salt int, run long")
+    hashes = [F.transform(lines, lambda x: F.xxhash64(x)).alias("codes"), F.transform(lines, lambda x: F.xxhash64(x, F.lit(1))).alias("checks")]
+    coded = able.select("doc_id", "mark", *hashes, F.transform(lines, lambda x: F.length(x)).alias("chars"))
+    holder = F.struct("doc_id", "mark", "check", F.element_at("starts", 1).alias("a"))
+    runs = coded.mapInPandas(_runs(least), _HELD)
     # combined before it is shuffled; the salts say in which tasks a run's holders are
-    shared = runs.groupBy("run").agg(F.min(holder).alias("first"), F.max(holder).alias("final"), F.count("*").alias("held"), F.collect_set("salt").alias("salts")).where("first < final")
-    met = runs.join(shared.select("run", "first", "held", F.explode("salts").alias("salt")), ["run", "salt"]).where(holder != F.col("first"))
-    few = met.where(F.col("held").between(3, rare)).groupBy("run").agg(F.collect_set(holder).alias("holders"))
-    few = few.select(F.explode("holders").alias("later"), "holders").select("later.*", F.explode(F.filter("holders", lambda x: x < F.col("later"))).alias("first"))
-    pairs = met.select("doc_id", "mark", "first").unionByName(few).distinct()
-    earlier = arrays.select(F.struct("doc_id", "mark").alias("first"), F.col("later").alias("earlier"), F.col("chars").alias("earlier_chars"))
-    both = pairs.join(arrays, ["doc_id", "mark"]).join(earlier, "first").select("doc_id", "mark", "later", "chars", "earlier", "earlier_chars")
-    found = both.mapInPandas(_align(least), "doc_id long, mark long, spans array<long>").select("doc_id", "mark", F.explode("spans").alias("span"))
+    shared = runs.groupBy("run").agg(F.min(holder).alias("first"), F.count("*").alias("held"), F.collect_set("salt").alias("salts")).where("held > 1")
+    met = runs.join(shared.select("run", "first", "held", F.explode("salts").alias("salt")), ["run", "salt"])
+    met = met.where((F.col("doc_id") != F.col("first.doc_id")) | (F.col("mark") != F.col("first.mark")))
+    few = met.where(F.col("held").between(3, rare)).groupBy("run").agg(F.collect_set(holder).alias("holders"), F.collect_set(F.struct("doc_id", "mark", "check", "size", "starts")).alias("later"))
+    few = few.select(F.explode("later").alias("later"), "holders").select("later.*", F.explode(F.filter("holders", lambda x: F.struct(x["doc_id"], x["mark"]) < F.struct(F.col("later.doc_id"), F.col("later.mark")))).alias("first"))
+    columns = ["doc_id", "mark", "check", "size", "starts", "first"]
+    pairs = met.select(*columns).unionByName(few.select(*columns)).where(F.col("check") == F.col("first.check"))
+    pairs = pairs.select("doc_id", "mark", "size", F.col("first.doc_id").alias("first_id"), F.col("first.mark").alias("first_mark"), F.col("first.a").alias("a"), F.explode("starts").alias("b"))
+    # a document's own runs at most
+    pairs = pairs.groupBy("doc_id", "mark", "first_id", "first_mark").agg(F.collect_set(F.struct("a", "b", "size")).alias("x")).select("doc_id", "mark", "x.a", "x.b", "x.size")
+    found = pairs.mapInPandas(_align, "doc_id long, mark long, spans array<long>").select("doc_id", "mark", F.explode("spans").alias("span"))
     # a document has no more spans than pairs of its lines
     found = found.groupBy("doc_id", "mark").agg(F.collect_set("span").alias("spans"))
     found = found.mapInPandas(_flags, "doc_id long, mark long, flags array<boolean>, n_removed long, n_blocks long")

@@ -226,13 +226,22 @@ def test_merge_orders_like_a_sort():
 
 
 def brute_all_lines(texts):
-    """Without the lines of every run of enough characters that any earlier document has."""
-    out, held = {}, set()
+    """Each document laid in step beside every earlier one, at every offset: equal rows of lines with enough characters go."""
+    out, earlier = {}, []
     for i, t in sorted(texts):
         own = t.split("\n")
-        runs = {(s, e): tuple(own[s:e]) for s in range(len(own)) for e in range(s + 1, len(own) + 1) if sum(map(len, own[s:e])) >= lines.BLOCK_CHARS}
-        gone = {k for (s, e), run in runs.items() if run in held for k in range(s, e)}
-        held |= set(runs.values())
+        gone = set()
+        for other in earlier:
+            for offset in range(-len(own), len(other)):
+                row = []
+                for j in range(len(own) + 1):
+                    if j < len(own) and 0 <= j + offset < len(other) and own[j] == other[j + offset]:
+                        row.append(j)
+                    else:
+                        if sum(len(own[k]) for k in row) >= lines.BLOCK_CHARS:
+                            gone |= set(row)
+                        row = []
+        earlier.append(own)
         out[i] = ("\n".join(x for k, x in enumerate(own) if k not in gone), len(gone))
     return out
 
@@ -283,6 +292,31 @@ def test_lines_awkward(spark):
     assert lines.dedup_lines(H.docs(spark).limit(0)).count() == 0
 
 
+def test_alignment_decides(spark, monkeypatch):
+    """What alignment doesn't find stays, though documents share it."""
+    texts = [(k, "\n".join(" ".join(H.words(j, 12)) for j in (1, 2, 3 + k))) for k in range(4)]
+    assert [r["n_removed"] for r in lines.dedup_lines(H.from_texts(spark, texts)).orderBy("doc_id").collect()] == [0, 2, 2, 2]
+    held = spark.createDataFrame([(1, 0, [0, 1], [0, 1], [1, 1])], "doc_id long, mark long, a array<int>, b array<int>, size array<int>").toPandas()
+    assert [len(x) for x in next(lines._align(iter([held])))["spans"]] == [2]
+    monkeypatch.setattr(lines, "blocks", lambda *_: [])
+    assert [len(x) for x in next(lines._align(iter([held])))["spans"]] == [0]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_blocks(seed):
+    """Crossed, repeated and in step: each shared run is aligned once, and chains rise."""
+    rng = np.random.default_rng(seed)
+    earlier, sizes = rng.integers(0, 30, 60), np.ones(60, np.int64)
+    later = rng.permutation(60)
+    assert sorted(lines.blocks(earlier, later, sizes)) == [(k, k + 1) for k in range(60)]
+    ids = rng.integers(0, 25, 80).tolist()
+    parts = lines.chains(ids)
+    assert sorted(k for c in parts for k in c) == list(range(80)) and all(ids[a] < ids[b] and a < b for c in parts for a, b in zip(c, c[1:], strict=False))
+    assert len(lines.chains(list(range(50)))) == 1 and len(lines.chains(list(range(50))[::-1])) == 50
+    n = 100_000  # crossed throughout, in far less than the square
+    assert len(lines.blocks(np.arange(n)[::-1], np.arange(n), np.ones(n, np.int64))) == n
+
+
 def test_patience():
     assert lines.patience([1, 2, 3, 4], [1, 9, 3, 4]) == [(0, 0), (2, 2), (3, 3)]
     assert lines.patience([5, 5, 7, 5], [8, 7, 8]) == [(2, 1)]

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,7 +23,7 @@ FAMILIES = {
     "semitic": ("ar", "he", "mt", "am"),
 }
 BUCKETS = 4096
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 
 #: ASCII letters in lower case; other ASCII becomes a space; bytes of other scripts stay.
 _FOLDED = np.full(256, 32, np.uint8)
@@ -134,18 +134,21 @@ class Hierarchy:
         return names.tolist(), np.clip(score, 0.0, 1.0)
 
 
-def sampled(rows: DataFrame, label: str, most: int, share: float = 1.0) -> Column:
-    """Whether a row is of about ``most`` of its label, by a hash of doc_id; of fewer rows at most that share."""
+def sampled(rows: DataFrame, label: str, most: int, mark: Column, share: float = 1.0) -> Column:
+    """Whether a row is of about ``most`` of its label, by its mark; of fewer at most that share. ``rows`` has each mark of a label once."""
     counts = {r[label]: r["n"] for r in rows.groupBy(label).agg(F.count("*").alias("n")).collect()}  # as many rows as labels
     limit: Column = F.lit(0.0)
     for name, n in counts.items():
         limit = F.when(F.col(label) == name, min(share, most / n)).otherwise(limit)
-    return F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / 1_000_003.0 < limit
+    return F.pmod(mark, F.lit(1_000_003)) / 1_000_003.0 < limit
 
 
 def train(docs: DataFrame, folds: int, held: int, most: int) -> Hierarchy | None:
     """The models from about ``most`` documents of each language outside the held-out fold."""
-    rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(F.col("doc_id"), folds) != held)).select("doc_id", "text", "lang")
+    rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(F.col("doc_id"), folds) != held)).select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
+    # rows that are equal count once, those that share only their id each: the fit's size then keeps to its bound
+    rows = rows.withColumn("mark", F.xxhash64("doc_id", "text"))
+    drawn = rows.where(sampled(rows.select("lang", "mark").distinct(), "lang", most, F.col("mark"))).groupBy("lang", "mark").agg(F.min("doc_id").alias("doc_id"), F.min("text").alias("text"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -154,10 +157,10 @@ def train(docs: DataFrame, folds: int, held: int, most: int) -> Hierarchy | None
             for i, j in slices(texts, 400_000):
                 rows = profile(texts[i:j])
                 at = [np.flatnonzero(r).astype(np.int32) for r in rows]
-                yield pd.DataFrame({"doc_id": batch["doc_id"].iloc[i:j], "lang": batch["lang"].iloc[i:j], "at": at, "value": [r[k] for r, k in zip(rows, at, strict=True)]})
+                yield pd.DataFrame({"mark": batch["mark"].iloc[i:j], "doc_id": batch["doc_id"].iloc[i:j], "lang": batch["lang"].iloc[i:j], "at": at, "value": [r[k] for r, k in zip(rows, at, strict=True)]})
 
     # sparse profiles, at most ``most`` a language (give or take the hash) of BUCKETS values each
-    found = rows.where(sampled(rows, "lang", most)).mapInPandas(run, "doc_id long, lang string, at array<int>, value array<float>").toPandas().sort_values("doc_id", kind="stable")
+    found = drawn.mapInPandas(run, "mark long, doc_id long, lang string, at array<int>, value array<float>").toPandas().sort_values(["doc_id", "mark"], kind="stable")
     if not len(found):
         return None
     dense = np.zeros((len(found), BUCKETS), np.float32)
@@ -176,9 +179,10 @@ def identify(docs: DataFrame, folds: int = 4, held: int = 2, most: int = 1000) -
     fit), whose crc32(doc_id) modulo ``folds`` isn't ``held``.
 
     Returns doc_id, held_out, lang_pred, score (0 to 1). A text that is null or
-    has no letter is ``und`` with score 0, and so is every text if there was
-    nothing to learn from. One map after the fit: no shuffle of texts. Other
-    columns are ignored; repeated rows are each predicted; no rows give none.
+    has no letter (category L: numbers, marks and signs are none) is ``und`` with score 0, and so is every text if there was
+    nothing to learn from. One map after the fit: no shuffle of texts but those
+    drawn. Of equal shares the language first in the alphabet wins. Other columns are
+    ignored; repeated rows are each predicted, and count once in the fit; no rows give none.
     """
     model = train(docs, folds, held, most)
     sent = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS weights a language

@@ -36,7 +36,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = 4096, end_id: int =
         for batch in batches:
             texts = [t or "" for t in batch["text"]]
             names = batch["doc_id"].tolist()
-            for i, j in slices(texts):
+            for i, j in slices(texts, 1_000_000):
                 ids, counts = coder.encode(texts[i:j])
                 ends = np.cumsum(counts)
                 rows = []
@@ -113,30 +113,31 @@ def pack(
     docs: DataFrame,
     vocabulary: str,
     capacity: int = 4096,
-    documents: int = 128,
+    documents: int | None = None,
     attention: int | None = None,
     weights: tuple[float, float, float] = (1.0, 0.05, 0.05),
     end_id: int = 1,
 ) -> DataFrame:
     """Pack all documents into sequences of at most ``capacity`` tokens.
 
-    ``documents`` and ``attention`` (``tiles`` of all runs; by default those of one
-    run that fills the sequence) are the other capacities of a sequence. All three
-    can bind: very many short runs meet the documents', short ones beside a long one
-    the attention's, others the tokens'. Returns doc_id, piece, start, length,
-    ids_crc32, sequence_id, offset.
+    ``documents`` and ``attention`` (``tiles`` of all runs) are the other capacities
+    of a sequence. By default they are what a sequence of any mix of runs may take,
+    so that they cost no sequence and only weigh in the choice of a bin; tighter
+    ones bind. Returns doc_id, piece, start, length, ids_crc32, sequence_id, offset.
+    Runs of one length take their places by doc_id and piece within a partition,
+    and by partition; equal ones in any order.
 
     Texts are encoded once, in a map; only the small rows of runs are written
     down. The plan is made from how many runs there are of each length: at most
     ``capacity`` figures, whatever the corpus. Each run then takes its place in
     the plan by its rank among the runs of its length, counted per partition and
     offset by the partitions before it, so no length is gathered in one task.
-    The plan has at most capacity * (documents + 1) rows.
+    The plan has a row for each length and state of a bin that it meets, not for each run.
 
     A null text counts as empty; repeated rows are packed each; no rows give
     none; other columns are ignored.
     """
-    attention = attention or tiles(capacity)
+    documents, attention = documents or capacity, attention or capacity * tiles(1)  # no run costs more a token than the shortest
     rows = cut(pieces(docs, vocabulary, capacity, end_id))
     each = rows.groupBy("length", "part").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

@@ -58,15 +58,34 @@ def dup_lines(data: bytes) -> int:
     return found
 
 
-def coded(text: str, data: bytes) -> bytes:
-    """A byte for each character, so that a script's bytes a character don't count; ``data``, the text in UTF-8, where it is ASCII or has over 256 different ones."""
+#: Characters that have a byte of their own in texts of over 256 different ones, and those of two bytes.
+PLAIN, WIDE = 248, 1792
+#: From so many different characters on the upper limits rise, up to ``OPEN`` at twice as many: compression can't tell prose of a large alphabet from noise.
+KINDS, OPEN = 128, 1.25
+
+
+def coded(text: str, data: bytes) -> tuple[bytes, int]:
+    """A byte for each character, so that a script's bytes a character don't count, and how many different characters there are (0: few).
+
+    ASCII text is its own code. Of more than 256 different characters the most
+    frequent keep one byte and the others take two or four.
+    """
     if len(data) == len(text):
-        return data
+        return data, 0
     points = np.frombuffer(text.encode("utf-32-le", "replace"), "<u4")
-    seen = np.zeros(int(points.max()) + 1, bool)
-    seen[points] = True
-    number = np.cumsum(seen) - 1
-    return number.astype(np.uint8)[points].tobytes() if number[-1] < 256 else data
+    count = np.bincount(points)
+    kinds = np.flatnonzero(count)
+    if len(kinds) <= 256:
+        return (np.cumsum(count > 0) - 1).astype(np.uint8)[points].tobytes(), len(kinds)
+    order = kinds[np.argsort(-count[kinds], kind="stable")]
+    plain, rank = np.sort(order[:PLAIN]), np.arange(len(order) - PLAIN)
+    code, width = np.zeros((len(count), 4), np.uint8), np.ones(len(count), np.int64)
+    code[plain, 0] = np.arange(len(plain))
+    wide = order[PLAIN:]
+    far = rank >= WIDE
+    width[wide] = np.where(far, 4, 2)
+    code[wide] = np.stack([np.where(far, 255, PLAIN + rank // 256), np.where(far, rank >> 16, rank % 256), rank >> 8 & 255, rank & 255], 1)
+    return code[points][np.arange(4) < width[points][:, None]].tobytes(), len(kinds)
 
 
 def judge(text: str | None, packer: zstandard.ZstdCompressor) -> tuple:
@@ -78,16 +97,17 @@ def judge(text: str | None, packer: zstandard.ZstdCompressor) -> tuple:
     repeats = repeat_words(words)
     base = len(words) < 50 or 100 * repeats > 50 * len(words)
     ratio, out = 1.0, 0.0
-    codes = coded(text, data)
+    codes, kinds = coded(text, data)
+    open_ = min(1.0, max(0.0, kinds / KINDS - 1))
     if data:
         ratio = len(packer.compress(codes)) / len(codes)
         chunks = [codes[i : i + CHUNK_BYTES] for i in range(0, len(codes), CHUNK_BYTES)]
         if len(chunks) > 1:
             chunks = [c for c in chunks if len(c) >= CHUNK_BYTES // 4]
             each = [len(packer.compress(c)) / len(c) for c in chunks]
-            out = sum(not CHUNK_LOW <= x <= CHUNK_HIGH for x in each) / len(each)
+            out = sum(not CHUNK_LOW <= x <= CHUNK_HIGH + open_ * (OPEN - CHUNK_HIGH) for x in each) / len(each)
     low, high = next((lo, hi) for least, lo, hi in reversed(BANDS) if len(codes) >= least)
-    kept = not base and low <= ratio <= high and out <= CHUNK_SHARE
+    kept = not base and low <= ratio <= high + open_ * max(0.0, OPEN - high) and out <= CHUNK_SHARE
     return len(data), len(words), len(text) - white, symbols, dup_lines(data), repeats, base, ratio, out, kept
 
 
@@ -108,7 +128,9 @@ def quality(docs: DataFrame) -> DataFrame:
     its length (``BANDS``), and at most ``CHUNK_SHARE`` of the fixed chunks
     outside theirs: below is repetitive, above incompressible. Ratios are taken
     over one code a character, which makes them alike for alphabets of one, two
-    or three bytes; texts of over 256 different characters keep their UTF-8 bytes.
+    or three bytes. Of texts of over 256 different characters the most frequent 248
+    have such a code and the rest a wider one. From 128 different characters on the
+    upper limits rise with their number, until none is left at 256.
 
     One narrow map: rows stay where they were read and no group is gathered.
     Null and empty texts count nothing and aren't kept; a row of the input gives

@@ -211,7 +211,9 @@ def train(docs: DataFrame, marked: DataFrame, longest: int) -> Model | None:
     """The model from the documents marked for the fit."""
     # about twice ``most`` rows of two numbers
     rows = docs.where(F.col("text").isNotNull()).select("doc_id", "text", "lang").join(F.broadcast(marked.where("fit").select("doc_id", "toxic")), "doc_id")
-    found = rows.where(F.length("text") <= longest).toPandas().sort_values("doc_id", kind="stable")
+    # one text of a document, so that an id of very many rows doesn't fill the sample
+    rows = rows.where(F.length("text") <= longest).groupBy("doc_id").agg(F.min(F.struct("text", "lang", "toxic")).alias("x")).select("doc_id", "x.*")
+    found = rows.toPandas().sort_values("doc_id", kind="stable")
     if found["toxic"].nunique() < 2:
         return None
     known = Numbers()
@@ -225,7 +227,8 @@ def score(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0, mos
     Hashed word embeddings, filters one to three words wide and max pooling over
     the whole text, so one passage in a long document counts. The net learns
     from about ``most`` documents of either label, of at most ``longest`` characters
-    (the documented bounds of the fit; never more than three quarters of a label),
+    (the documented bounds of the fit; never more than three quarters of a label; of
+    rows that share an id one text),
     whose crc32(doc_id) modulo ``folds`` isn't ``held``. All other labelled
     documents outside that fold calibrate, long ones too: how many of each label
     and language have which logit is counted in steps of ``STEP``, and each language
@@ -237,7 +240,7 @@ def score(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0, mos
     Other columns are ignored; repeated rows are each scored; no rows give none.
     """
     marked = labels.where(F.col("toxic").isin(0, 1) & (fold(F.col("doc_id"), folds) != held)).groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-    marked = cut(marked.withColumn("fit", sampled(marked, "toxic", most, 0.75)))
+    marked = cut(marked.withColumn("fit", sampled(marked, "toxic", most, F.xxhash64("doc_id"), 0.75)))
     model = train(docs, marked, longest)
     sent = docs.sparkSession.sparkContext.broadcast(model)  # of fixed size
 

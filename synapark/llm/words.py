@@ -19,8 +19,8 @@ SPACE, LETTER, NUMBER, OTHER = range(4)
 ENDINGS = ("s", "t", "m", "d", "re", "ve", "ll")
 #: Texts of these characters alone; their classes are the same in every edition of Unicode tables.
 PLAIN = re.compile("[\0-\u052f]*")
-#: Words that are remembered, at about 60 bytes each.
-MEMORY = 1_500_000
+#: Bytes of the arrays of remembered words, beyond which they are forgotten.
+MEMORY = 32_000_000
 
 
 @lru_cache(maxsize=1)
@@ -59,6 +59,9 @@ class WordCoder:
         self.lengths = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.int32)
 
+    def held(self) -> int:
+        return sum(x.nbytes for x in (self.hashes, self.index, self.starts, self.lengths, self.ids))
+
     @staticmethod
     def normal(text: str) -> str:
         return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
@@ -112,7 +115,7 @@ class WordCoder:
         with np.errstate(over="ignore"):
             hashes = np.add.reduceat(mixed, np.searchsorted(solid, first))
         unique, sample, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.hashes) > MEMORY:
+        if self.held() > MEMORY:
             self.forget()
         at = np.minimum(np.searchsorted(self.hashes, unique), max(0, len(self.hashes) - 1))
         fresh = np.flatnonzero(self.hashes[at] != unique) if len(self.hashes) else np.arange(len(unique))

@@ -101,7 +101,7 @@ def divergence(docs: DataFrame, least: int = 30, smooth: int = 5, top: int = 50,
     in_block = Window.partitionBy("lang", "term_block").orderBy("term")
     kept = cut(whole.join(sizes, "lang").withColumn("term_block", part).withColumn("col", F.row_number().over(in_block) - 1))
     own = counts.join(kept, ["lang", "term"]).select("lang", "source", "term", "n", "whole", "all", "v", "term_block", "col")
-    every = named.select("lang", "source").distinct()
+    every = cut(named.select("lang", "source").distinct())  # a row a group, before groups are numbered
     totals = own.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     blocks = kept.groupBy("lang").agg(F.max("v").alias("v"), F.max("all").alias("all"))
     number = F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .intervals import band_join, range_join
+from .intervals import range_join
 
 
 def align(spikes: DataFrame, events: DataFrame, before: float, after: float, *, t: str = "t", t0: str = "t0", closed: str = "left", on: Sequence[str] = ()) -> DataFrame:
@@ -61,21 +63,73 @@ def hopping(aligned: DataFrame, keys: Sequence[str], low: float, high: float, st
     return spread.groupBy(*keys, "bin").agg(F.count("*").alias("n"))
 
 
-def correlogram(a: DataFrame, b: DataFrame, lag: int, width: int, *, same: bool = False) -> DataFrame:
-    """Counts of t_b - t_a by unit pair and bin, for |t_b - t_a| <= lag; ``same`` leaves out a spike with itself.
+def gap_edges(lag: float, width: float) -> tuple[np.ndarray, np.ndarray, int]:
+    """Gaps at which bins end, which of them belong to the bin below, and the outermost bin's number.
 
-    Columns: ``unit, spike_id, t`` on both sides. Stretches of ``lag`` make it an
-    equi-join, and counts are combined before they are shuffled by pair.
+    The middle bin is centred on 0, and bins mirror each other: those of positive
+    gaps hold their lower edge, those of negative ones their upper edge.
     """
-    left = a.select(F.col("unit").alias("unit_a"), F.col("spike_id").alias("id_a"), F.col("t").alias("t_a"))
-    right = b.select(F.col("unit").alias("unit_b"), F.col("spike_id").alias("id_b"), F.col("t").alias("t_b"))
-    pairs = band_join(left, right, lag)
-    if same:
-        pairs = pairs.where("unit_a = unit_b AND id_a <> id_b")
-    gap = F.col("t_b") - F.col("t_a")
-    # the middle bin is centred on 0, so that the correlogram of (b, a) mirrors that of (a, b)
-    sized = F.signum(gap) * F.floor((F.abs(gap) + width / 2) / width)
-    return pairs.withColumn("bin", sized.cast("long")).groupBy("unit_a", "unit_b", "bin").agg(F.count("*").alias("n"))
+    most = int((lag + width / 2) // width)
+    inner = np.arange(1, most + 1) * width - width / 2
+    edges = np.r_[-lag, -inner[::-1], inner, lag]
+    return edges, np.r_[False, np.ones(most, bool), np.zeros(most, bool), True], most
+
+
+def correlogram(a: DataFrame, b: DataFrame, lag: float, width: float, *, pairs: str = "all", size: float | None = None) -> DataFrame:
+    """Counts of t_b - t_a by unit pair and bin, for |t_b - t_a| <= lag: ``unit_a, unit_b, bin, n``.
+
+    Columns: ``unit, spike_id, t`` on both sides. ``pairs``: ``all``, ``same`` (a unit
+    with itself) or ``upper`` (unit_a <= unit_b); a spike is never paired with itself.
+
+    A task holds a stretch of time (``size``, four lags unless given) of both
+    trains, ``b`` with a halo of a lag, and finds for each spike how far each bin
+    reaches in the other unit's sorted times by binary search: no pair of spikes is
+    ever made. What is shuffled are the spikes, once with halos, and a
+    stretch's counts.
+    """
+    size = float(size or 4 * lag)
+    edges, right, most = gap_edges(float(lag), float(width))
+
+    def search(times: np.ndarray, at: np.ndarray) -> np.ndarray:
+        out = np.empty((len(at), len(edges)), np.int64)
+        for side in (False, True):
+            some = np.flatnonzero(right == side)
+            out[:, some] = np.searchsorted(times, at[:, None] + edges[some], "right" if side else "left")
+        return np.diff(out, axis=1)
+
+    def count(pdf: pd.DataFrame) -> pd.DataFrame:
+        own, other = pdf[pdf["own"]], pdf[~pdf["own"]].sort_values(["unit", "t"], kind="stable")
+        if not len(own) or not len(other):
+            return pd.DataFrame({"unit_a": [], "unit_b": [], "bin": [], "n": []})
+        own = own.sort_values("unit", kind="stable")
+        ua, first = np.unique(own["unit"].to_numpy(), return_index=True)
+        ub, begin = np.unique(other["unit"].to_numpy(), return_index=True)
+        ta, tb = own["t"].to_numpy(), other["t"].to_numpy()
+        ids_a, ids_b = own["spike_id"].to_numpy(), other["spike_id"].to_numpy()
+        out = []
+        for x, i, j in zip(ua.tolist(), first, np.r_[first[1:], len(own)], strict=True):
+            for y, p, q in zip(ub.tolist(), begin, np.r_[begin[1:], len(other)], strict=True):
+                if (pairs == "same" and x != y) or (pairs == "upper" and x > y):
+                    continue
+                n = np.zeros(len(edges) - 1, np.int64)
+                for k in range(i, j, 20_000):  # bounds the places held
+                    n += search(tb[p:q], ta[k : min(j, k + 20_000)]).sum(0)
+                if x == y:
+                    n[most] -= np.isin(ids_a[i:j], ids_b[p:q]).sum()
+                some = np.flatnonzero(n)
+                out.append(pd.DataFrame({"unit_a": x, "unit_b": y, "bin": some - most, "n": n[some]}))
+        return pd.concat(out) if out else pd.DataFrame({"unit_a": [], "unit_b": [], "bin": [], "n": []})
+
+    def side(df: DataFrame, own: bool) -> DataFrame:
+        low, high = (F.col("t") - lag, F.col("t") + lag) if not own else (F.col("t"), F.col("t"))
+        parts = F.sequence(F.floor(low / size).cast("long"), F.floor(high / size).cast("long"))
+        keys = ["unit", "part"] if pairs == "same" else ["part"]
+        return df.select("unit", "spike_id", "t", F.explode(parts).alias("part"), F.lit(own).alias("own")).select(*keys, *[c for c in ("unit", "spike_id", "t", "own") if c not in keys])
+
+    rows = side(a, True).unionByName(side(b, False))
+    unit = a.schema["unit"].dataType.simpleString()
+    counts = rows.groupBy(*(["unit", "part"] if pairs == "same" else ["part"])).applyInPandas(count, f"unit_a {unit}, unit_b {unit}, bin long, n long")
+    return counts.groupBy("unit_a", "unit_b", "bin").agg(F.sum("n").alias("n"))
 
 
 def correlogram_norms(counts: DataFrame, spikes: DataFrame, span: DataFrame, width: float) -> DataFrame:
@@ -106,3 +160,13 @@ def triggered(series: DataFrame, events: DataFrame, before: int, after: int, *,
     """Samples around each event's sample, by exploded offsets and an equi-join: ``offset`` and the sample's columns."""
     spread = events.withColumn("offset", F.explode(F.sequence(F.lit(-before), F.lit(after), F.lit(every)))).withColumn("sample", F.col("at") + F.col("offset"))
     return spread.join(series, [*on, "sample"])
+
+
+def predict(spikes: DataFrame, templates: DataFrame) -> DataFrame:
+    """``channel, sample, raw``: the sum of all spikes' templates times their amplitudes.
+
+    Spikes: template, at, ampl; templates: template, channel, offset, w. A spike is
+    its template's samples, which are summed where they were made before they move; samples that no template reaches aren't made.
+    """
+    spread = spikes.join(templates, "template").select("channel", (F.col("at") + F.col("offset")).alias("sample"), (F.col("ampl") * F.col("w")).alias("_w"))
+    return spread.groupBy("channel", "sample").agg(F.sum("_w").alias("raw"))

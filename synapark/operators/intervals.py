@@ -54,44 +54,58 @@ def band_join(a: DataFrame, b: DataFrame, lag: float, *, t_a: str = "t_a", t_b:
     return left.join(right, [*on, _BUCKET]).where(F.abs(F.col(t_b) - F.col(t_a)) <= lag).drop(_BUCKET)
 
 
-def asof_join(left: DataFrame, right: DataFrame, *, t: str, values: Sequence[str], by: Sequence[str] = (), direction: str = "backward") -> DataFrame:
+def asof_join(left: DataFrame, right: DataFrame, *, t: str, values: Sequence[str], by: Sequence[str] = (), direction: str = "backward", width: float | None = None) -> DataFrame:
     """Each left row with ``values`` of the last right row at or before it (``forward``: first at or after).
 
-    A union ordered in time carries the right row along: one shuffle on ``by``
-    and no pair of rows is ever formed. The right row's time is ``<t>_right``.
+    A union ordered in time carries the right row along, and no pair of rows is
+    ever formed. With ``width`` it does so inside stretches of that much time, and
+    the last right row of a stretch goes on to those behind it by one row a stretch:
+    no task holds a whole ``by`` group, whatever its length. Without it a group is one
+    window. The right row's time is ``<t>_right``.
     """
-    side = "_side"
+    side, back = "_side", direction == "backward"
     held = F.struct(F.col(t).alias(f"{t}_right"), *[F.col(v) for v in values])
     kept = [c for c in left.columns]
     # of equal times the right row comes first backward, last forward
-    first = 0 if direction == "backward" else 1
+    first = 0 if back else 1
     l = left.select(*kept, F.lit(1 - first).alias(side), F.lit(None).cast(right.select(held.alias("x")).schema["x"].dataType).alias("_held"))
     r = right.select(*[F.col(c) if c in (t, *by) else F.lit(None).cast(left.schema[c].dataType).alias(c) for c in kept], F.lit(first).alias(side), held.alias("_held"))
-    l, r = l.withColumn("_left", F.lit(True)), r.withColumn("_left", F.lit(False))
-    frame = Window.partitionBy(*by).orderBy(t, side)
-    if direction == "backward":
+    rows = l.withColumn("_left", F.lit(True)).unionByName(r.withColumn("_left", F.lit(False)))
+    if width is not None:
+        rows = rows.withColumn("_part", bucket(F.col(t), width))
+    keys = [*by, "_part"] if width is not None else list(by)
+    frame = Window.partitionBy(*keys).orderBy(t, side)
+    if back:
         found = F.last("_held", ignorenulls=True).over(frame.rowsBetween(Window.unboundedPreceding, 0))
     else:
         found = F.first("_held", ignorenulls=True).over(frame.rowsBetween(0, Window.unboundedFollowing))
-    out = l.unionByName(r).withColumn("_found", found).where("_left")
-    return out.select(*kept, "_found.*")
-
-
-def interpolate_at(at: DataFrame, track: DataFrame, *, t: str, value: str, by: Sequence[str] = ()) -> DataFrame:
+    out = rows.withColumn("_found", found).where("_left")
+    if width is None:
+        return out.select(*kept, "_found.*")
+    # of equal times that which the window would take as well: the greatest row, or the least
+    edge = r.withColumn("_part", bucket(F.col(t), width)).groupBy(*by, "_part").agg((F.max if back else F.min)("_held").alias("_edge"))
+    parts = rows.select(*by, "_part").distinct().join(edge, [*by, "_part"], "left")
+    over = Window.partitionBy(*by).orderBy("_part")
+    past = F.last("_edge", ignorenulls=True).over(over.rowsBetween(Window.unboundedPreceding, -1)) if back else F.first("_edge", ignorenulls=True).over(over.rowsBetween(1, Window.unboundedFollowing))
+    parts = parts.select(*by, "_part", past.alias("_past"))
+    return out.join(parts, [*by, "_part"], "left").withColumn("_found", F.coalesce("_found", "_past")).select(*kept, "_found.*")
+
+
+def interpolate_at(at: DataFrame, track: DataFrame, *, t: str, value: str, by: Sequence[str] = (), width: float | None = None) -> DataFrame:
     """``value`` of a track, linear between its two neighbours; null outside. Equal times count once, by their mean."""
     once = track.groupBy(*by, t).agg(F.avg(value).alias(value))
-    low = asof_join(at, once, t=t, values=[value], by=by).withColumnsRenamed({f"{t}_right": "_t0", value: "_v0"})
-    both = asof_join(low, once, t=t, values=[value], by=by, direction="forward").withColumnsRenamed({f"{t}_right": "_t1", value: "_v1"})
+    low = asof_join(at, once, t=t, values=[value], by=by, width=width).withColumnsRenamed({f"{t}_right": "_t0", value: "_v0"})
+    both = asof_join(low, once, t=t, values=[value], by=by, direction="forward", width=width).withColumnsRenamed({f"{t}_right": "_t1", value: "_v1"})
     share = (F.col(t) - F.col("_t0")) / (F.col("_t1") - F.col("_t0"))
     found = F.when(F.col("_t0") == F.col("_t1"), F.col("_v0")).otherwise(F.col("_v0") + share * (F.col("_v1") - F.col("_v0")))
     return both.withColumn(value, found).drop("_t0", "_t1", "_v0", "_v1")
 
 
-def nearest(a: DataFrame, b: DataFrame, *, t: str, by: Sequence[str] = ()) -> DataFrame:
+def nearest(a: DataFrame, b: DataFrame, *, t: str, by: Sequence[str] = (), width: float | None = None) -> DataFrame:
     """Signed distance of each row to the nearest time in ``b`` (the earlier one on a tie)."""
     times = b.select(*by, t).distinct()
-    low = asof_join(a, times, t=t, values=[], by=by).withColumnRenamed(f"{t}_right", "_low")
-    both = asof_join(low, times, t=t, values=[], by=by, direction="forward").withColumnRenamed(f"{t}_right", "_high")
+    low = asof_join(a, times, t=t, values=[], by=by, width=width).withColumnRenamed(f"{t}_right", "_low")
+    both = asof_join(low, times, t=t, values=[], by=by, direction="forward", width=width).withColumnRenamed(f"{t}_right", "_high")
     down, up = F.col(t) - F.col("_low"), F.col("_high") - F.col(t)
     best = F.when(up.isNull() | (down <= up), F.col("_low")).otherwise(F.col("_high"))
     return both.withColumn("nearest", best).withColumn("gap", F.col(t) - F.col("nearest")).drop("_low", "_high")
@@ -119,10 +133,10 @@ def expand(ranges: DataFrame, *, start: str = "start", end: str = "end", name: s
     return ranges.withColumn(name, F.explode(F.sequence(F.col(start), F.col(end)))).drop(start, end)
 
 
-def cycles(points: DataFrame, reference: DataFrame, *, t: str = "t", by: Sequence[str] = ()) -> DataFrame:
+def cycles(points: DataFrame, reference: DataFrame, *, t: str = "t", by: Sequence[str] = (), width: float | None = None) -> DataFrame:
     """Which reference interval each point is in, with its time since the interval began."""
     marks = reference.select(*by, t).distinct()
-    found = asof_join(points, marks, t=t, values=[], by=by)
+    found = asof_join(points, marks, t=t, values=[], by=by, width=width)
     return found.withColumn("since", F.col(t) - F.col(f"{t}_right"))
 
 
@@ -148,7 +162,7 @@ def fit_clock_nearest(to: DataFrame, frm: DataFrame, *, t: str, by: Sequence[str
         moved = frm.join(line, list(by)).select(*by, F.col(t).alias("_x"), (F.col(t) * F.col("slope") + F.col("offset")).alias(t))
         pairs = nearest(moved, to, t=t, by=by).withColumn("_far", F.abs("gap"))
         # a pulse whose partner is missing lies far from any other
-        pairs = pairs.withColumn("_usual", F.percentile("_far", F.lit(0.5)).over(Window.partitionBy(*by))).where("_far <= 3 * _usual")
+        pairs = pairs.join(pairs.groupBy(*by).agg(F.percentile("_far", F.lit(0.5)).alias("_usual")), list(by)).where("_far <= 3 * _usual")
         slope = F.greatest(F.lit(0.5), F.least(F.lit(1.5), F.coalesce(F.regr_slope("nearest", "_x"), F.lit(1.0))))
         line = pairs.groupBy(*by).agg(slope.alias("slope"), F.avg("nearest").alias("_m"), F.avg("_x").alias("_n")).select(*by, "slope", (F.col("_m") - F.col("slope") * F.col("_n")).alias("offset"))
     return line

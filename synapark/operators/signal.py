@@ -165,25 +165,23 @@ def analytic(x: np.ndarray) -> np.ndarray:
     return np.fft.ifft(np.fft.fft(x) * weight)
 
 
-def hilbert(samples: DataFrame, kind: str = "abs", value: str = "v", size: int = 1 << 16, halo: int = 4096) -> DataFrame:
-    """Envelope (``abs``), phase (``angle``, ``unwrap``) or parts (``real``, ``imag``, ``absreal``, ``absimag``) of the analytic signal.
+def hilbert(trials: DataFrame, kind: str = "abs", value: str = "v", by: tuple[str, ...] = ("channel",), longest: int = 1 << 20) -> DataFrame:
+    """Envelope (``abs``), phase (``angle``, ``unwrap``) or parts (``real``, ``imag``, ``absreal``, ``absimag``) of the analytic signal of whole trials.
 
-    The transform of a stretch sees ``halo`` samples to each side; what lies
-    further adds about 1 / (pi * halo) of its size to the imaginary part. An
-    unwrapped phase goes on across stretches: whole turns between neighbours are
-    summed over the stretches before.
+    One transform a trial (``by``), so no edge shows inside it; a trial of over
+    ``longest`` samples is refused: recordings go through ``fir.hilbert``. A value
+    that isn't there leaves nothing of its trial, as the transform mixes all.
     """
     take = {"abs": np.abs, "angle": np.angle, "real": np.real, "imag": np.imag, "absreal": lambda z: np.abs(np.real(z)), "absimag": lambda z: np.abs(np.imag(z)), "unwrap": lambda z: np.unwrap(np.angle(z))}[kind]
-    out = per_stretch(samples, lambda x: take(analytic(x)), value, size, halo)
-    if kind != "unwrap":
-        return out
-    turn = 2 * np.pi
-    parts = out.withColumn("part", F.floor(F.col("sample") / size))
-    edges = parts.groupBy("channel", "part").agg(F.min_by(value, "sample").alias("first"), F.max_by(value, "sample").alias("last"))
-    w = Window.partitionBy("channel").orderBy("part")
-    edges = edges.withColumn("add", F.coalesce(F.round((F.lag("last").over(w) - F.col("first")) / turn), F.lit(0.0)) * turn)
-    edges = edges.select("channel", "part", F.sum("add").over(w).alias("add"))
-    return parts.join(edges, ["channel", "part"]).select("channel", "sample", (F.col(value) + F.col("add")).alias(value))
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        if len(pdf) > longest:
+            raise ValueError(f"a trial of {len(pdf)} samples; fir.hilbert takes recordings")
+        pdf = pdf.sort_values("sample", kind="stable")
+        return pdf.assign(**{value: take(analytic(pdf[value].to_numpy(float)))})
+
+    rows = trials.select(*by, F.col("sample").cast("long").alias("sample"), F.col(value).cast("double").alias(value))
+    return rows.groupBy(*by).applyInPandas(run, rows.schema)
 
 
 def gaussian_rate(samples: DataFrame, sigma: float, value: str = "v", size: int = 1 << 16) -> DataFrame:

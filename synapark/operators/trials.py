@@ -6,8 +6,11 @@ from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.functions import udtf
+from pyspark.sql.types import StructType
+from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult
 
 #: Trial functions by name: each takes a table of events and gives trials.
 TRIAL_FUNCTIONS: dict[str, Callable[..., DataFrame]] = {}
@@ -44,28 +47,68 @@ def crossings(samples: DataFrame, threshold: float, refractory: int, *, by: Sequ
     return drop_duplicates_within(up, refractory, by=by, t="sample", key="sample")
 
 
-def drop_duplicates_within(spikes: DataFrame, window: float, *, by: Sequence[str] = ("channel",), t: str = "t", key: str = "spike_id") -> DataFrame:
+def _chain(t: np.ndarray, window: float) -> np.ndarray:
+    """For each time the place of the first one further away than ``window``."""
+    return np.searchsorted(t, t + window, "right")
+
+
+def drop_duplicates_within(spikes: DataFrame, window: float, *, by: Sequence[str] = ("channel",), t: str = "t", key: str = "spike_id", width: float | None = None) -> DataFrame:
     """Of spikes on a channel closer than ``window`` to the last kept one, none; in the order of time and key.
 
-    Which spike is kept depends on the one before, but never across a silence
-    longer than the window: bursts between silences are the groups, not channels.
+    Which spike is kept depends on the one kept before, however far back that goes.
+    Each stretch of time (``width``, a thousand windows unless given) works out, for
+    every spike that may be its first kept one, which is the next stretch's; only
+    those few, which lie in a stretch's first window, are followed channel by
+    channel; then each stretch keeps what its first one leads to. No task holds
+    more of a channel than a stretch, or a window of every stretch.
     """
-    w = Window.partitionBy(*by).orderBy(t, key)
-    gap = spikes.withColumn("_new", F.coalesce((F.col(t) - F.lag(t).over(w) > window).cast("int"), F.lit(1)))
-    burst = gap.withColumn("_burst", F.sum("_new").over(w)).drop("_new")
+    width = float(width or 1000 * window)
+    if width < window:
+        raise ValueError("a stretch has to be as wide as the window")
+    here = F.floor(F.col(t) / width).cast("long")
+    rows = spikes.withColumn("_part", here)
+    names = spikes.columns
+    kinds = "".join(f"`{c}` {spikes.schema[c].dataType.simpleString()}, " for c in by)
+    place = [*by, "_part"]
+
+    def leads(pdf: pd.DataFrame) -> pd.DataFrame:
+        """Where each spike of a stretch's first window, and its first spike, leads to in the stretches behind: the least time that is allowed there."""
+        at = np.sort(pdf[t].to_numpy(float))
+        at = at[np.r_[True, np.diff(at) > 0]]  # of equal times the first is kept, and none of the others ever
+        after, last = _chain(at, window), np.arange(len(at))
+        for i in range(len(at) - 1, -1, -1):
+            last[i] = last[after[i]] if after[i] < len(at) else i
+        first = np.searchsorted(at, max(at[0], pdf["_part"].iloc[0] * width) + window, "right")
+        first = min(len(at), int(first) + 1)  # the first one behind that window too, where none in it is free
+        return pd.DataFrame({**{c: [pdf[c].iloc[0]] * first for c in place}, "entry": at[:first], "free": at[last[:first]] + window})[[*place, "entry", "free"]]
+
+    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
+        """The first kept time of each stretch of a channel, if it has one."""
+        pdf = pdf.sort_values(["_part", "entry"], kind="stable")
+        part, entry, free = (pdf[c].to_numpy() for c in ("_part", "entry", "free"))
+        cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True])
+        out, least = [], -np.inf
+        for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+            k = i + np.searchsorted(entry[i:j], least, "right") if np.isfinite(least) else i
+            if k < j:
+                out.append((part[i], entry[k]))
+                least = free[k]
+        found = pd.DataFrame(out, columns=["_part", "_first"])
+        return found.assign(**{c: [pdf[c].iloc[0]] * len(found) for c in by})[[*place, "_first"]]
 
     def keep(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values([t, key], kind="stable")
-        kept, last = [], -np.inf
-        for x in pdf[t].to_numpy(float):
-            kept.append(x - last > window)
-            last = x if kept[-1] else last
-        return pdf[kept].drop(columns="_burst")
+        at = pdf[t].to_numpy(float)
+        after, kept = _chain(at, window), []
+        k = int(np.searchsorted(at, pdf["_first"].iloc[0], "left"))
+        while k < len(at):
+            kept.append(k)
+            k = int(after[k])
+        return pdf.iloc[kept][names]
 
-    single = F.count("*").over(Window.partitionBy(*by, "_burst"))
-    marked = burst.withColumn("_n", single)
-    alone = marked.where("_n = 1").drop("_n", "_burst")
-    return alone.unionByName(marked.where("_n > 1").drop("_n").groupBy(*by, "_burst").applyInPandas(keep, spikes.schema).select(*alone.columns))
+    leading = rows.select(*place, t).groupBy(*place).applyInPandas(leads, f"{kinds}_part long, entry double, free double")
+    firsts = leading.groupBy(*by).applyInPandas(walk, f"{kinds}_part long, _first double")
+    return rows.join(firsts, place).groupBy(*place).applyInPandas(keep, spikes.schema)
 
 
 def append_spikes(samples: DataFrame, spikes: DataFrame, rate: float, *, on: Sequence[str] = ("channel",)) -> DataFrame:
@@ -206,3 +249,59 @@ def pair_by_counts(a: DataFrame, b: DataFrame, by: Sequence[str], counts: Sequen
     # both may come from one table; the rename by hand keeps their columns apart
     a, b = (df.toDF(*[f"_{c}" for c in names]).toDF(*names) for df in (a.select(*names), b.select(*names)))
     return a.groupBy(*by).cogroup(b.groupBy(*by)).applyInPandas(run, fields)
+
+
+class TriggeredTrials:
+    """A trial function as a table function: trials from a kind of event to the next one of another kind, a partition's events in order.
+
+    In SQL, once ``register_trial_functions`` has made it known::
+
+        SELECT * FROM trials_from(TABLE(events) PARTITION BY subject ORDER BY (t), 'view', 'purchase', longest => 5000, copy => 'value')
+
+    The table needs ``event_type`` and ``t``; ``subject`` names the column that is
+    handed on as the trial's, and the columns listed in ``copy`` come with the opening
+    event, with their types: the result's schema follows from the arguments. A new opening event
+    takes the place of one that waits; ``longest`` drops longer trials.
+    """
+
+    @staticmethod
+    def analyze(events: AnalyzeArgument, first: AnalyzeArgument, then: AnalyzeArgument, longest: AnalyzeArgument | None = None, subject: AnalyzeArgument | None = None, copy: AnalyzeArgument | None = None) -> AnalyzeResult:
+        known = {f.name: f.dataType for f in events.dataType.fields}
+        missing = {"event_type", "t"} - known.keys()
+        names = [n.strip() for n in str(copy.value).split(",")] if copy is not None and copy.value else []
+        who = str(subject.value) if subject is not None and subject.value else None
+        missing |= {n for n in [*names, *([who] if who else [])] if n not in known}
+        if missing:
+            raise ValueError(f"the table has no {', '.join(sorted(missing))}")
+        schema = StructType()
+        if who:
+            schema = schema.add(who, known[who])
+        schema = schema.add("nth", "long").add("start", known["t"]).add("end", known["t"])
+        for n in names:
+            schema = schema.add(n, known[n])
+        return AnalyzeResult(schema=schema)
+
+    def __init__(self):
+        self.waits: tuple | None = None
+        self.nth = 0
+
+    def eval(self, events: Row, first: str, then: str, longest: float | None = None, subject: str | None = None, copy: str | None = None):
+        kind, at = events["event_type"], events["t"]
+        if kind == then and self.waits is not None:
+            start, copied = self.waits
+            self.waits = None
+            if longest is None or at - start <= longest:
+                self.nth += 1
+                yield (*([events[subject]] if subject else []), self.nth, start, at, *copied)
+        if kind == first:
+            self.waits = (at, [events[n.strip()] for n in copy.split(",")] if copy else [])
+
+    def terminate(self):
+        self.waits = None
+        return
+        yield
+
+
+def register_trial_functions(spark: SparkSession) -> None:
+    """Makes ``trials_from`` known to SQL."""
+    spark.udtf.register("trials_from", udtf(TriggeredTrials))

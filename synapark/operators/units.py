@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import windows as W
+from .graph import written
 
 
 def prominent(x: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -232,3 +233,26 @@ def all_properties(spikes: DataFrame, acg: DataFrame, waves: DataFrame, *, width
     for part in (grid, acg_landmarks(acg), acg_time_constants(acg, width), waved):
         out = out.join(part, "unit", "left")
     return out.withColumnsRenamed({"unit": "cluster_id"}).withColumn("phy_id", F.col("cluster_id") - 1)
+
+
+def separable(maps: DataFrame, by: Sequence[str] = ("unit",), x: str = "x", y: str = "y", value: str = "v", doublings: int = 6) -> tuple[DataFrame, DataFrame]:
+    """The product of one profile along ``x`` and one along ``y`` that is nearest to each map: (by, x, u) of length one, and (by, y, w) with the map's strength.
+
+    Power iteration over aggregates: the products of the map's rows, once summed, are
+    squared ``doublings`` times, which stands for 2**doublings steps; the column of
+    the largest diagonal is then the profile. The sign is that of its largest element.
+    """
+    rows = maps.select(*by, F.col(x).alias("i"), F.col(y).alias("j"), F.col(value).cast("double").alias("v")).where("v IS NOT NULL")
+    other = rows.select(*by, F.col("i").alias("k"), "j", F.col("v").alias("z"))
+    gram = rows.join(other, [*by, "j"]).groupBy(*by, "i", "k").agg(F.sum(F.col("v") * F.col("z")).alias("g"))
+    for _ in range(doublings + 1):
+        trace = gram.groupBy(*by).agg(F.sum(F.when(F.col("i") == F.col("k"), F.col("g"))).alias("_t"))
+        gram = written(gram.join(trace, list(by)).where("_t > 0").select(*by, "i", "k", (F.col("g") / F.col("_t")).alias("g")))
+        last, right = gram, gram.select(*by, F.col("i").alias("k"), F.col("k").alias("m"), F.col("g").alias("h"))
+        gram = gram.join(right, [*by, "k"]).groupBy(*by, "i", "m").agg(F.sum(F.col("g") * F.col("h")).alias("g")).withColumnRenamed("m", "k")
+    peak = last.where("i = k").groupBy(*by).agg(F.max_by("i", F.struct("g", "i")).alias("k"))
+    column = last.join(peak, [*by, "k"])
+    size = column.groupBy(*by).agg(F.sqrt(F.sum(F.col("g") * F.col("g"))).alias("_s"))
+    along_x = column.join(size, list(by)).select(*by, "i", (F.col("g") / F.col("_s")).alias("u"))
+    along_y = rows.join(along_x, [*by, "i"]).groupBy(*by, "j").agg(F.sum(F.col("v") * F.col("u")).alias("w"))
+    return along_x.withColumnRenamed("i", x), along_y.withColumnRenamed("j", y)

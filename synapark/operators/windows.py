@@ -21,10 +21,10 @@ STRETCH = 1 << 16
 
 
 def stretches(samples: DataFrame, size: int, halo: int, order: str = "sample") -> DataFrame:
-    """Each sample in its stretch, and in neighbours' halos: ``part``, ``own`` says whether it is its stretch."""
+    """Each sample in its stretch, and in the halos of as many stretches as reach it: ``part``, ``own`` says whether it is its stretch."""
     here = F.floor(F.col(order) / size).cast("long")
-    inside = F.pmod(F.col(order), F.lit(size))
-    parts = F.array_compact(F.array(here, F.when((inside < halo) & (here > 0), here - 1), F.when(inside >= size - halo, here + 1)))
+    low, high = F.floor((F.col(order) - halo) / size).cast("long"), F.floor((F.col(order) + halo) / size).cast("long")
+    parts = F.sequence(F.greatest(low, F.least(here, F.lit(0).cast("long"))), high)
     return samples.withColumn("part", F.explode(parts)).withColumn("own", F.col("part") == F.floor(F.col(order) / size))
 
 
@@ -64,10 +64,14 @@ def demeaned(df: DataFrame, x: str, by: Sequence[str], name: str) -> DataFrame:
 
 
 def detrended(df: DataFrame, x: str, t: str, by: Sequence[str], name: str, order: int = 1) -> DataFrame:
-    """x without its group's least-squares polynomial: power sums by group, a small system each, joined back.
+    """x without its group's least-squares polynomial: sums by group, a small system each, joined back.
 
-    Times are taken from -1 to 1 within a group, which keeps the sums well apart.
+    A line is one aggregate. For more, times are taken from -1 to 1 within a group,
+    which keeps the power sums well apart.
     """
+    if order == 1:
+        known = df.where(F.col(x).isNotNull()).groupBy(*by).agg(F.avg(x).alias("_m"), F.avg(t).alias("_c"), F.coalesce(F.regr_slope(x, t), F.lit(0.0)).alias("_k"))
+        return df.join(known, list(by), "left").withColumn(name, F.col(x) - F.col("_m") - F.col("_k") * (F.col(t) - F.col("_c"))).drop("_m", "_c", "_k")
     import numpy as np
     import pandas as pd
 

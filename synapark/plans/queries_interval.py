@@ -11,6 +11,7 @@ from . import tables as T
 from .registry import query
 
 H = T.HOUR
+LONG = 30 * 24 * H
 
 
 def marks(spark, d):
@@ -93,22 +94,14 @@ def points_within_ranges(spark, d):
 def cross_correlogram(spark, d):
     """Counts of spike pairs by units and minute of lag, up to ten minutes."""
     s = T.spikes(spark, d)
-    left = s.select(F.col("unit").alias("unit_a"), F.col("spike_id").alias("id_a"), F.col("t").alias("t_a"))
-    right = s.select(F.col("unit").alias("unit_b"), F.col("spike_id").alias("id_b"), F.col("t").alias("t_b"))
-    pairs = I.band_join(left, right, 600_000).where("unit_a <= unit_b AND NOT (unit_a = unit_b AND id_a = id_b)")
-    gap = F.col("t_b") - F.col("t_a")
-    return pairs.groupBy("unit_a", "unit_b", (F.signum(gap) * F.floor((F.abs(gap) + 30000.0) / 60000)).cast("long").alias("bin")).agg(F.count("*").alias("n"))
+    return A.correlogram(s, s, 600_000, 60_000, pairs="upper", size=24 * H)
 
 
 @query(f"WITH {T.SPIKES} SELECT a.unit AS unit_a, b.unit AS unit_b, CAST(sign(b.t - a.t) * floor((abs(b.t - a.t) + {H}/2.0) / {H}) AS BIGINT) AS bin, count(*) AS n FROM spike a JOIN spike b ON a.unit = b.unit AND a.spike_id <> b.spike_id AND b.t BETWEEN a.t - {12 * H} AND a.t + {12 * H} GROUP BY ALL")
 def auto_correlogram(spark, d):
     """Auto-correlogram of each unit in hours, without the spike itself."""
     s = T.spikes(spark, d)
-    left = s.select("unit", F.col("spike_id").alias("id_a"), F.col("t").alias("t_a"))
-    right = s.select("unit", F.col("spike_id").alias("id_b"), F.col("t").alias("t_b"))
-    pairs = I.band_join(left, right, 12 * H, on=["unit"]).where("id_a <> id_b")
-    gap = F.col("t_b") - F.col("t_a")
-    return pairs.groupBy(F.col("unit").alias("unit_a"), F.col("unit").alias("unit_b"), (F.signum(gap) * F.floor((F.abs(gap) + H / 2) / H)).cast("long").alias("bin")).agg(F.count("*").alias("n"))
+    return A.correlogram(s, s, 12 * H, H, pairs="same", size=10 * 24 * H)
 
 
 @query(f"""WITH {T.SPIKES}, c AS (SELECT a.unit, abs(b.t - a.t) AS gap FROM spike a JOIN spike b ON a.unit = b.unit AND b.t > a.t AND b.t <= a.t + {100 * H})
@@ -128,7 +121,7 @@ def asof_backward(spark, d):
     e = T.events(spark, d)
     left = e.where("event_type = 'purchase'").select("event_id", "user_id", "t")
     right = e.where("event_type = 'view'").select("user_id", "t", "value")
-    return I.asof_join(left, right, t="t", values=["value"], by=["user_id"]).select("event_id", "t_right", "value")
+    return I.asof_join(left, right, t="t", values=["value"], by=["user_id"], width=LONG).select("event_id", "t_right", "value")
 
 
 @query(f"""WITH {T.EVENTS}, v AS (SELECT user_id, t, value FROM ev WHERE event_type = 'view'), c AS (SELECT event_id, user_id, t FROM ev WHERE event_type = 'purchase')
@@ -138,7 +131,7 @@ def asof_forward(spark, d):
     e = T.events(spark, d)
     left = e.where("event_type = 'purchase'").select("event_id", "user_id", "t")
     right = e.where("event_type = 'view'").select("user_id", "t", "value")
-    return I.asof_join(left, right, t="t", values=["value"], by=["user_id"], direction="forward").select("event_id", "t_right", "value")
+    return I.asof_join(left, right, t="t", values=["value"], by=["user_id"], width=LONG, direction="forward").select("event_id", "t_right", "value")
 
 
 @query(f"""WITH {T.EVENTS}, p AS (SELECT user_id, t, avg(value) AS value FROM ev WHERE event_type = 'error' GROUP BY ALL), c AS (SELECT event_id, user_id, t FROM ev WHERE event_type = 'click'),
@@ -149,7 +142,7 @@ def position_interpolation(spark, d):
     e = T.events(spark, d)
     at = e.where("event_type = 'click'").select("event_id", "user_id", "t")
     track = e.where("event_type = 'error'").select("user_id", "t", "value")
-    return I.interpolate_at(at, track, t="t", value="value", by=["user_id"]).select("event_id", F.round("value", 9).alias("value"))
+    return I.interpolate_at(at, track, t="t", value="value", by=["user_id"], width=LONG).select("event_id", F.round("value", 9).alias("value"))
 
 
 @query(f"""WITH {T.EVENTS}, b AS (SELECT DISTINCT user_id, t FROM ev WHERE event_type = 'signup'), a AS (SELECT event_id, user_id, t FROM ev WHERE event_type = 'purchase'),
@@ -159,7 +152,7 @@ def nearest_event(spark, d):
     """Signed distance of each purchase to its user's nearest signup."""
     e = T.events(spark, d)
     a = e.where("event_type = 'purchase'").select("event_id", "user_id", "t")
-    return I.nearest(a, e.where("event_type = 'signup'").select("user_id", "t"), t="t", by=["user_id"]).select("event_id", "gap")
+    return I.nearest(a, e.where("event_type = 'signup'").select("user_id", "t"), t="t", by=["user_id"], width=LONG).select("event_id", "gap")
 
 
 @query(f"""WITH {T.EVENTS}, p AS (SELECT user_id, event_id, t, lead(event_type) OVER (PARTITION BY user_id ORDER BY t, event_id) AS nxt, event_type FROM ev)
@@ -251,7 +244,7 @@ def binned_array(spark, d):
 def since_last_event(spark, d):
     """Time since the user's last signup for every click."""
     e = T.events(spark, d)
-    return I.cycles(e.where("event_type = 'click'").select("event_id", "user_id", "t"), e.where("event_type = 'signup'"), by=["user_id"]).select("event_id", "since")
+    return I.cycles(e.where("event_type = 'click'").select("event_id", "user_id", "t"), e.where("event_type = 'signup'"), by=["user_id"], width=LONG).select("event_id", "since")
 
 
 @query(f"""WITH {T.EVENTS}, {T.SAMPLES}, e AS (SELECT user_id % 100 AS channel, depth AS pos FROM ev WHERE event_type = 'error'), x AS (SELECT e.channel, o AS "offset", pos, v FROM e, generate_series(-3, 3) g(o) JOIN smp s ON s.channel = e.channel AND s.sample = pos + o)

@@ -334,19 +334,6 @@ def spike_interpolated(spark, d):
     return W.fill_gaps(held, "v").select("channel", "sample", F.round("v", 8).alias("v"))
 
 
-@query(f"""WITH {SP}, o AS (SELECT unit, avg(ampl) AS obs FROM spike WHERE spike_id % 2 = 0 GROUP BY unit), q AS (SELECT unit, k, avg(ampl) AS perm FROM spike, generate_series(1, 50) g(k) WHERE (spike_id * 7919 + k * 104729) % 1000 < 500 GROUP BY ALL), x AS (SELECT k, max(perm) AS hi, min(perm) AS lo FROM q GROUP BY k)
- SELECT unit, round(least(avg(CASE WHEN hi >= obs THEN 1.0 ELSE 0.0 END), avg(CASE WHEN lo <= obs THEN 1.0 ELSE 0.0 END)), 9) AS p FROM o, x GROUP BY unit""")
-def randomisation_corrected(spark, d):
-    """Two-sided share of relabellings whose outermost unit lies at or beyond each unit's own mean."""
-    s = T.spikes(spark, d)
-    obs = s.where("spike_id % 2 = 0").groupBy("unit").agg(F.avg("ampl").alias("obs"))
-    perm = s.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(50)))).where("(spike_id * 7919 + k * 104729) % 1000 < 500").groupBy("unit", "k").agg(F.avg("ampl").alias("perm"))
-    ends = perm.groupBy("k").agg(F.max("perm").alias("hi"), F.min("perm").alias("lo"))
-    hit = obs.join(F.broadcast(ends))  # a row a relabelling
-    share = lambda c: F.avg(c.cast("double"))
-    return hit.groupBy("unit").agg(F.round(F.least(share(F.col("hi") >= F.col("obs")), share(F.col("lo") <= F.col("obs"))), 9).alias("p"))
-
-
 @query(f"WITH {SP}, m AS (SELECT unit % 10 AS grp, depth // 20 AS x, CAST(floor(ampl / 40) AS BIGINT) AS y, count(*) AS n FROM spike GROUP BY ALL), z AS (SELECT grp, avg(n) AS m, stddev_samp(n) AS s FROM m GROUP BY grp) SELECT m.grp, x, y, n, round((n - m) / nullif(s, 0), 8) AS z, n = max(n) OVER (PARTITION BY m.grp) AS peak FROM m JOIN z ON z.grp = m.grp")
 def field_peaks(spark, d):
     """Counts by place of the stimulus against the map's mean and deviation, and where they peak."""

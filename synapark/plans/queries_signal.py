@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import models
+from ..operators import fir, models
 from ..operators import signal as S
 from . import tables as T
 from .registry import query
@@ -17,9 +17,38 @@ def signal_bandpass(spark, d):
     return out.select("channel", "sample", F.round("v", 6).alias("v"))
 
 
+NEAR = "n AS (SELECT channel, max(sample) AS n FROM smp GROUP BY channel)"
+JOINED = "smp s JOIN n USING (channel) CROSS JOIN k JOIN smp b ON b.channel = s.channel AND b.sample = greatest(1, least(n.n, s.sample + o))"
+
+
+@query(f"""WITH {T.SAMPLES}, {NEAR}, r AS (SELECT o, (CASE WHEN o = 0 THEN 0.2 ELSE sin(0.2 * pi() * o) / (pi() * o) END) * (0.54 + 0.46 * cos(0.2 * pi() * o)) AS w FROM generate_series(-5, 5) g(o)), k AS (SELECT o, w / sum(w) OVER () AS kw FROM r)
+ SELECT s.channel, s.sample, round(sum(b.v * kw), 7) AS v FROM {JOINED} GROUP BY s.channel, s.sample""")
+def fir_lowpass(spark, d):
+    """Every channel below a tenth of its rate, by a windowed sinc of 11 taps."""
+    taps = fir.sinc_kernel(1000.0, 100.0, "low", 10)
+    return fir.filtered(T.samples(spark, d), taps).select("channel", "sample", F.round("v", 7).alias("v"))
+
+
+@query(f"""WITH {T.SAMPLES}, {NEAR}, r AS (SELECT o, (CASE WHEN o = 0 THEN 0.2 ELSE sin(0.2 * pi() * o) / (pi() * o) END) * (0.42 + 0.5 * cos(0.2 * pi() * o) + 0.08 * cos(0.4 * pi() * o)) AS a, (CASE WHEN o = 0 THEN 0.5 ELSE sin(0.5 * pi() * o) / (pi() * o) END) * (0.42 + 0.5 * cos(0.2 * pi() * o) + 0.08 * cos(0.4 * pi() * o)) AS c FROM generate_series(-5, 5) g(o)),
+ k AS (SELECT o, c / sum(c) OVER () - a / sum(a) OVER () AS kw FROM r)
+ SELECT s.channel, s.sample, round(sum(b.v * kw), 7) AS v FROM {JOINED} GROUP BY s.channel, s.sample""")
+def fir_bandpass(spark, d):
+    """Every channel between a tenth and a quarter of its rate."""
+    taps = fir.sinc_kernel(1000.0, (100.0, 250.0), "band", 10, window="blackman")
+    return fir.filtered(T.samples(spark, d), taps).select("channel", "sample", F.round("v", 7).alias("v"))
+
+
+@query(f"""WITH {T.SAMPLES}, {NEAR}, k AS (SELECT o, CASE WHEN o % 2 = 0 THEN 0.0 ELSE 2.0 / (pi() * o) * (0.54 + 0.46 * cos(pi() * o / 15)) END AS kw FROM generate_series(-15, 15) g(o)),
+ h AS (SELECT s.channel, s.sample, any_value(s.v) AS x, sum(b.v * -kw) AS y FROM {JOINED} GROUP BY s.channel, s.sample)
+ SELECT channel, sample, round(sqrt(x * x + y * y), 7) AS v FROM h""")
+def fir_envelope(spark, d):
+    """Envelope of every channel, its quarter turn by a filter of 31 taps."""
+    return fir.hilbert(T.samples(spark, d), "abs", half=15).select("channel", "sample", F.round("v", 7).alias("v"))
+
+
 @query()
 def signal_envelope(spark, d):
-    """Envelope of the analytic signal of every channel."""
+    """Envelope of the analytic signal of every channel, a trial each."""
     return S.hilbert(T.samples(spark, d), "abs").select("channel", "sample", F.round("v", 6).alias("v"))
 
 

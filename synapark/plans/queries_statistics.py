@@ -117,17 +117,6 @@ def false_discovery(spark, d):
     return out.groupBy("family").agg(F.count("*").alias("n"), F.sum(F.col("kept").cast("long")).alias("n_kept"))
 
 
-@query(f"""WITH {T.SPIKES}, o AS (SELECT unit, avg(ampl) AS obs FROM spike WHERE spike_id % 2 = 0 GROUP BY unit), q AS (SELECT unit, k, avg(ampl) AS perm FROM spike, generate_series(1, 20) g(k) WHERE (spike_id * 7919 + k * 104729) % 1000 < 500 GROUP BY ALL)
- SELECT q.unit, round(avg(CASE WHEN perm >= obs THEN 1.0 ELSE 0.0 END), 9) AS p_high, round(avg(CASE WHEN perm <= obs THEN 1.0 ELSE 0.0 END), 9) AS p_low FROM q JOIN o ON o.unit = q.unit GROUP BY q.unit""")
-def randomisation_p(spark, d):
-    """Share of relabelled means at or beyond the observed one."""
-    s = T.spikes(spark, d)
-    obs = s.where("spike_id % 2 = 0").groupBy("unit").agg(F.avg("ampl").alias("obs"))
-    perm = s.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(20)))).where("(spike_id * 7919 + k * 104729) % 1000 < 500").groupBy("unit", "k").agg(F.avg("ampl").alias("perm"))
-    hit = perm.join(obs, "unit")
-    return hit.groupBy("unit").agg(F.round(F.avg((F.col("perm") >= F.col("obs")).cast("double")), 9).alias("p_high"), F.round(F.avg((F.col("perm") <= F.col("obs")).cast("double")), 9).alias("p_low"))
-
-
 Z = "z AS (SELECT user_id, event_id, event_type, cos(value) * depth AS re, sin(value) * depth AS im FROM ev WHERE depth > 0)"
 
 

@@ -78,10 +78,14 @@ def phase_histogram(spark, d):
     return T.spikes(spark, d).select("unit", F.floor((F.col("t") - lo) * 10 / F.greatest(hi - lo, F.lit(1))).alias("phase")).groupBy("unit", "phase").agg(F.count("*").alias("n"))
 
 
-@query(f"WITH {T.SAMPLES} SELECT channel % 5 AS channel, sample, round(CAST(sum(v * w) AS DOUBLE) / 1000, 6) AS raw FROM smp GROUP BY ALL")
+@query("""WITH f AS (SELECT label AS template, min(vec_id) AS vec_id FROM embeddings GROUP BY label), w AS (SELECT template, embedding FROM f JOIN embeddings USING (vec_id)), t AS (SELECT template, CAST(k // 16 AS INT) AS channel, CAST(k % 16 AS INT) AS o, CAST(embedding[k + 1] AS DOUBLE) AS w FROM w, generate_series(0, 63) g(k)),
+ s AS (SELECT user_id % 10 AS template, epoch_us(ts) // 60000000 AS mark, value FROM events WHERE event_type IN ('click', 'view')) SELECT channel, mark + o AS sample, round(sum(value * w), 6) AS raw FROM s JOIN t ON t.template = s.template GROUP BY ALL""")
 def predicted_raw(spark, d):
-    """Summed templates times amplitudes on each channel and sample."""
-    return T.samples(spark, d).groupBy((F.col("channel") % 5).alias("channel"), "sample").agg(F.round(F.sum(F.col("v") * F.col("w")) / 1000, 6).alias("raw"))
+    """What each channel records where every spike is its template times its amplitude: sixteen samples on four channels a template."""
+    e = T.read(spark, d, "embeddings").select(F.col("label").alias("template"), "vec_id", "embedding").groupBy("template").agg(F.min_by("embedding", "vec_id").alias("e"))
+    waves = e.select("template", F.posexplode("e").alias("k", "w")).select("template", F.expr("CAST(k DIV 16 AS INT)").alias("channel"), (F.col("k") % 16).alias("offset"), F.col("w").cast("double").alias("w"))
+    spikes = T.spikes(spark, d).select((F.col("unit") % 10).alias("template"), F.expr("t DIV 60000").alias("at"), "ampl")
+    return A.predict(spikes, waves).select("channel", "sample", F.round("raw", 6).alias("raw"))
 
 
 @query("SELECT l_orderkey, l_linenumber, l_partkey, round(cos(l_tax) * cos(l_discount), 9) AS w, round(sin(l_tax) * cos(l_discount), 9) AS z FROM lineitem")
@@ -120,5 +124,5 @@ def spike_triggered_average(spark, d):
     e = T.events(spark, d)
     spikes = e.where("event_type = 'click'").select("event_id", "user_id", F.explode(F.array(*[F.lit(k * H).cast("long") for k in (-2, -1, 0, 1, 2)])).alias("offset"), "t")
     at = spikes.select("event_id", "user_id", "offset", (F.col("t") + F.col("offset")).alias("t"))
-    out = I.interpolate_at(at, e.where("event_type = 'error'").select("user_id", "t", "value"), t="t", value="value", by=["user_id"])
+    out = I.interpolate_at(at, e.where("event_type = 'error'").select("user_id", "t", "value"), t="t", value="value", by=["user_id"], width=30 * 24 * T.HOUR)
     return out.groupBy("offset").agg(F.count("value").alias("n"), F.round(F.avg("value"), 6).alias("mean"))

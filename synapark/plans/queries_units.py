@@ -45,7 +45,7 @@ ACG_SQL = f"""{S}, c AS (SELECT a.unit, CAST(sign(b.t - a.t) * floor((abs(b.t -
 def acg(spark, d):
     """Auto-correlograms on the whole grid of 50 bins of four hours to each side."""
     s = T.spikes(spark, d)
-    pairs = A.correlogram(s, s, 202 * H - 1, 4 * H, same=True).select(F.col("unit_a").alias("unit"), "bin", "n")
+    pairs = A.correlogram(s, s, 202 * H - 1, 4 * H, pairs="same").select(F.col("unit_a").alias("unit"), "bin", "n")
     return A.fill(pairs, A.grid(s.select("unit").distinct(), "bin", -50, 50), ["unit", "bin"], "n")
 
 
@@ -126,12 +126,12 @@ def unit_waveform(spark, d):
     return e.select(F.col("label").alias("unit"), "vec_id", F.round(F.element_at("embedding", 1).cast("double"), 7).alias("first"), F.round(F.element_at("embedding", 64).cast("double"), 7).alias("last"))
 
 
-@query(f"""WITH RECURSIVE {SM}, n AS (SELECT channel, sample, channel * 1000000 + sample AS id FROM smp WHERE v > 45), h AS (SELECT a.id AS a, b.id AS b FROM n a JOIN n b ON a.channel = b.channel AND b.sample = a.sample + 1 UNION ALL SELECT a.id, b.id FROM n a JOIN n b ON a.sample = b.sample AND b.channel = a.channel + 1),
+@query(f"""WITH RECURSIVE {SM}, n AS (SELECT channel, sample, (channel::BIGINT << 40) + sample AS id FROM smp WHERE v > 45), h AS (SELECT a.id AS a, b.id AS b FROM n a JOIN n b ON a.channel = b.channel AND b.sample = a.sample + 1 UNION ALL SELECT a.id, b.id FROM n a JOIN n b ON a.sample = b.sample AND b.channel = a.channel + 1),
  e AS (SELECT a, b FROM h UNION ALL SELECT b, a FROM h), r AS (SELECT id AS node, id AS reached FROM n UNION SELECT r.node, e.b FROM r JOIN e ON e.a = r.reached) SELECT node, min(reached) AS cluster FROM r GROUP BY node""")
 def neighbour_clusters(spark, d):
     """Large samples joined over neighbouring samples and channels."""
     n = T.samples(spark, d).where("v > 45").select("channel", "sample")
-    name = F.col("channel") * 1000000 + F.col("sample")
+    name = F.shiftleft(F.col("channel").cast("long"), 40) + F.col("sample")  # room for 2**40 samples a channel
     near = n.select(name.alias("a"), F.explode(F.array(F.struct("channel", (F.col("sample") + 1).alias("sample")), F.struct((F.col("channel") + 1).alias("channel"), "sample"))).alias("x")).select("a", "x.*")
     edges = near.join(n, ["channel", "sample"]).select("a", name.alias("b"))
     return graph.connected(n.select(name.alias("node")), edges)

@@ -74,6 +74,26 @@ def test_correlogram_mirrors(spark):
     assert got and all(got.get((b, a, -k)) == n for (a, b, k), n in got.items())
 
 
+@pytest.mark.parametrize("pairs", ["all", "same", "upper"])
+def test_correlogram_counts(spark, pairs):
+    """Against every pair of spikes, on bin edges too, in stretches of several sizes."""
+    rng = random.Random(5)
+    rows = [(rng.randint(0, 3), k, rng.randint(-300, 900)) for k in range(250)]
+    s = spark.createDataFrame(rows, "unit int, spike_id long, t long")
+    for lag, width in ((100, 10), (95, 7), (3, 10)):
+        want = {}
+        for ua, ia, ta in rows:
+            for ub, ib, tb in rows:
+                gap = tb - ta
+                if abs(gap) <= lag and ia != ib and (pairs == "all" or (ua == ub if pairs == "same" else ua <= ub)):
+                    k = (1 if gap >= 0 else -1) * int((abs(gap) + width / 2) // width)
+                    want[ua, ub, k] = want.get((ua, ub, k), 0) + 1
+        for size in (lag, 10 * lag, None):
+            got = {(r["unit_a"], r["unit_b"], r["bin"]): r["n"] for r in A.correlogram(s, s, lag, width, pairs=pairs, size=size).collect()}
+            assert got == want
+    assert A.correlogram(s.limit(0), s, 10, 2).count() == 0 and A.correlogram(s, s.limit(0), 10, 2).count() == 0
+
+
 def test_psth_of_known_spikes(spark):
     """A unit with spikes at fixed places has counts in their bins alone."""
     at = np.linspace(0.1, 0.9, 9)
@@ -92,6 +112,13 @@ def test_asof_and_nearest_against_numpy(spark):
     assert back == {int(x): (int(b[b <= x].max()) if (b <= x).any() else None) for x in a}
     near = {r["t"]: abs(r["gap"]) for r in I.nearest(left, right, t="t").collect()}
     assert near == {int(x): int(np.abs(b - x).min()) for x in a}
+    for width in (7, 90, 5000):  # the same in stretches of time
+        for direction in ("backward", "forward"):
+            one = I.asof_join(left, right, t="t", values=["v"], direction=direction).collect()
+            assert sorted(one) == sorted(I.asof_join(left, right, t="t", values=["v"], direction=direction, width=width).collect())
+        assert near == {r["t"]: abs(r["gap"]) for r in I.nearest(left, right, t="t", width=width).collect()}
+    keyed = lambda df: df.withColumn("k", F.col("t") % 3)
+    assert sorted(I.asof_join(keyed(left), keyed(right), t="t", values=["v"], by=["k"]).collect()) == sorted(I.asof_join(keyed(left), keyed(right), t="t", values=["v"], by=["k"], width=50).collect())
     lerp = {r["t"]: r["v"] for r in I.interpolate_at(left, right.withColumn("v", F.col("v") * 2), t="t", value="v").collect()}
     assert all(v is None if x < b[0] or x > b[-1] else abs(v - 2 * x) < 1e-9 for x, v in lerp.items())
 

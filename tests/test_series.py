@@ -7,6 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from synapark.operators import fir as X
 from synapark.operators import graph
 from synapark.operators import intervals as I
 from synapark.operators import signal as S
@@ -55,10 +56,89 @@ def test_filter_over_stretches(spark):
 def test_unwrapped_phase_over_stretches(spark):
     t = np.arange(2000)
     x = np.cos(2 * np.pi * t / 50)
-    got = series(S.hilbert(recording(spark, x), "unwrap", size=300, halo=150))
+    got = series(X.hilbert(recording(spark, x), "unwrap", half=150, size=300))
     assert np.abs(np.diff(got)[200:-200] - 2 * np.pi / 50).max() < 0.02 and abs((got[1800] - got[200]) - 1600 * 2 * np.pi / 50) < 0.1
 
 
+def test_hilbert_of_trials(spark):
+    """The analytic signal of a whole trial; one that lacks a value has none, one too long is refused."""
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=400).cumsum()
+    spectrum = np.fft.fft(x)
+    spectrum[201:] = 0
+    spectrum[1:200] *= 2
+    for kind, want in (("abs", np.abs(np.fft.ifft(spectrum))), ("real", x), ("unwrap", np.unwrap(np.angle(np.fft.ifft(spectrum))))):
+        assert np.allclose(series(S.hilbert(recording(spark, x), kind)), want)
+    holed = recording(spark, x).withColumn("v", F.when(F.col("sample") != 7, F.col("v")))
+    assert np.isnan(series(S.hilbert(holed))).all()
+    with pytest.raises(Exception, match="fir.hilbert"):
+        S.hilbert(recording(spark, x), longest=399).collect()
+
+
+def direct(x, taps):
+    """Each sample's sum over the taps, the ends going on."""
+    half = len(taps) // 2
+    long = np.pad(x, half, mode="edge")
+    return np.array([sum(taps[::-1] * long[i : i + len(taps)]) for i in range(len(x))])
+
+
+def test_sinc_kernels():
+    """Unit gain where it passes, half at the cuts, little where it stops, order from the transition."""
+    rate = 1000.0
+    gain = lambda taps, f: abs(np.sum(taps * np.exp(-2j * np.pi * f / rate * np.arange(len(taps)))))
+    for window, ripple in (("hann", 0.016), ("hamming", 0.007), ("blackman", 0.001)):
+        for kind, cut, passes, stops in (("low", 60.0, (0, 40), (80, 300)), ("high", 60.0, (80, 500), (0, 40)), ("band", (60.0, 120.0), (85, 95), (0, 40, 140)), ("stop", (60.0, 120.0), (0, 40, 140), (85, 95))):
+            taps = X.sinc_kernel(rate, cut, kind, transition=40.0, window=window)
+            assert len(taps) == X.even_order(rate, 40.0, window) + 1 and np.allclose(taps, taps[::-1])
+            assert all(abs(gain(taps, f) - 1) < ripple for f in passes) and all(gain(taps, f) < ripple for f in stops)
+            assert all(abs(gain(taps, f) - 0.5) < 0.02 for f in np.atleast_1d(cut))
+            scaled = X.sinc_kernel(rate, cut, kind, 40, window=window, scaled="pass")
+            assert abs(gain(scaled, {"low": 0, "high": 500, "stop": 0, "band": 90}[kind]) - 1) < 1e-12
+    kaiser = X.sinc_kernel(rate, 60.0, "low", X.even_order(rate, 40.0, "kaiser", 0.001), window="kaiser", beta=X.kaiser_beta(0.001))
+    assert all(abs(gain(kaiser, f) - 1) < 0.0015 for f in (0, 40)) and all(gain(kaiser, f) < 0.0015 for f in (80, 200))
+    for bad in ((600.0, "low", 10), (60.0, "low", 11), (60.0, "band", 10)):
+        with pytest.raises(ValueError):
+            X.sinc_kernel(rate, *bad)
+
+
+@pytest.mark.parametrize("taps", [1, 5, 31, 33, 301])
+def test_overlap_save(taps):
+    rng = np.random.default_rng(taps)
+    for n in (taps - 1, taps, 700, 5000):
+        x, k = rng.normal(size=n).cumsum(), rng.normal(size=taps)
+        assert np.allclose(X.overlap_save(x, k), np.convolve(x, k, "valid") if n >= taps else [], atol=1e-9)
+
+
+@pytest.mark.parametrize("direction", ["zerophase", "onepass", "reverse", "twopass"])
+def test_fir_knows_no_stretch(spark, direction):
+    """A random walk in stretches of any size, shorter than the filter too, gives what the whole channel gives."""
+    x = np.random.default_rng(2).normal(size=3000).cumsum()
+    taps = X.sinc_kernel(1000.0, (20.0, 45.0), "band", transition=20.0) + np.linspace(0, 0.002, 167)[: X.even_order(1000.0, 20.0) + 1]
+    idle = np.zeros(len(taps) - 1)
+    want = direct(x, {"zerophase": taps, "onepass": np.r_[idle, taps], "reverse": np.r_[taps[::-1], idle], "twopass": np.convolve(taps, taps[::-1])}[direction])
+    for size in (100, 700, 1 << 16):
+        assert np.abs(series(X.filtered(recording(spark, x), taps, size=size, direction=direction)) - want).max() < 1e-9
+
+
+def test_fir_hilbert_knows_no_stretch(spark):
+    x = np.random.default_rng(3).normal(size=2500).cumsum()
+    whole = series(X.hilbert(recording(spark, x), "abs", half=200))
+    assert np.allclose(whole, np.abs(x + 1j * direct(x, X.hilbert_kernel(200))), atol=1e-9)
+    assert all(np.abs(series(X.hilbert(recording(spark, x), "abs", half=200, size=size)) - whole).max() < 1e-9 for size in (64, 500, 1111))
+    t = np.arange(4000)
+    wave = np.cos(2 * np.pi * 0.05 * t) * (1 + 0.3 * np.cos(2 * np.pi * t / 2000))
+    assert np.abs(series(X.hilbert(recording(spark, wave), "abs", half=200, size=900))[300:-300] - (1 + 0.3 * np.cos(2 * np.pi * t / 2000))[300:-300]).max() < 5e-3
+
+
+def test_fir_gaps(spark):
+    """Only what a missing value reaches is missing."""
+    x = np.random.default_rng(4).normal(size=1000)
+    holed = recording(spark, x).withColumn("v", F.when(F.col("sample") != 400, F.col("v")))
+    got = series(X.filtered(holed, X.sinc_kernel(1000.0, 50.0, order=60), size=300))
+    want = direct(x, X.sinc_kernel(1000.0, 50.0, order=60))
+    assert np.isnan(got[370:431]).all() and np.allclose(np.delete(got, range(370, 431)), np.delete(want, range(370, 431)))
+
+
 def test_windows_over_stretches(spark):
     x = np.random.default_rng(2).normal(size=500)
     gaps = np.where(x > 1, np.nan, x)

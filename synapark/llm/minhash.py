@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -119,6 +120,10 @@ def verify(sets: DataFrame, pairs: DataFrame) -> DataFrame:
     return both.where(F.col("same") * 100 >= (F.col("x") + F.col("y") - F.col("same")) * PERCENT).select("a", "b").distinct()
 
 
+#: Sets that share an element beyond which they meet in this many tasks.
+CROWD, SALTS = 2_000, 64
+
+
 def prefix_pairs(sets: DataFrame) -> DataFrame:
     """Pairs of different components that may overlap enough, by prefix and positional filtering.
 
@@ -127,7 +132,9 @@ def prefix_pairs(sets: DataFrame) -> DataFrame:
     what a Jaccard similarity of 3/4 takes, have their first common element so
     early in both that as many can follow. Elements that a set shares with no
     other make up most of those places in edited copies, so pairs below the
-    threshold mostly never meet.
+    threshold mostly never meet. Sets meet by an element and a class of sizes, since
+    neither is smaller than 3/4 of the other, and those of an element that very many
+    share in several tasks: no task has all sets of one element.
     """
     rows = sets.select("node", "component", F.size("found").alias("n"), F.explode("found").alias("x"))
     often = rows.groupBy("x").agg(F.count("*").alias("often"), F.min("component").alias("low"), F.max("component").alias("high"))
@@ -136,10 +143,15 @@ def prefix_pairs(sets: DataFrame) -> DataFrame:
     # a set of n reaches 3/4 of its size at the least, and 6/7 with a set that is no smaller
     probe = placed.select("node", "component", "n", F.posexplode(F.slice("own", 1, F.col("n") - F.ceil(F.col("n") * 3 / 4).cast("int") + 1)).alias("at", "e")).where("e.mixed")
     index = placed.select("node", "component", "n", F.posexplode(F.slice("own", 1, F.col("n") - F.ceil(F.col("n") * 6 / 7).cast("int") + 1)).alias("at", "e")).where("e.mixed")
-    probe = probe.select(F.col("e.x").alias("x"), *[F.col(c).alias(f"{c}_p") for c in ("node", "component", "n", "at")])
-    index = index.select(F.col("e.x").alias("x"), *[F.col(c).alias(f"{c}_i") for c in ("node", "component", "n", "at")])
+    class_of = lambda n: F.floor(F.log(n) / math.log(4 / 3) + 1e-9)
+    crowd = F.col("e.often") > CROWD
+    probe = probe.withColumn("class", F.explode(F.sequence(F.floor(F.log(F.col("n") * 0.75) / math.log(4 / 3) - 1e-9), class_of(F.col("n")))))
+    probe = probe.withColumn("salt", F.explode(F.when(crowd, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))))
+    index = index.withColumn("class", class_of(F.col("n"))).withColumn("salt", F.when(crowd, F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")).otherwise(F.lit(0)))
+    probe = probe.select("class", "salt", F.col("e.x").alias("x"), *[F.col(c).alias(f"{c}_p") for c in ("node", "component", "n", "at")])
+    index = index.select("class", "salt", F.col("e.x").alias("x"), *[F.col(c).alias(f"{c}_i") for c in ("node", "component", "n", "at")])
     needed = F.ceil((F.col("n_p") + F.col("n_i")) * 3 / 7)
-    found = probe.join(index, "x").where(
+    found = probe.join(index, ["x", "class", "salt"]).where(
         (F.col("component_p") != F.col("component_i"))
         & ((F.col("n_i") < F.col("n_p")) | ((F.col("n_i") == F.col("n_p")) & (F.col("node_i") < F.col("node_p"))))
         & (F.col("n_i") * 100 >= F.col("n_p") * PERCENT)

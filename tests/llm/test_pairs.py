@@ -94,6 +94,22 @@ def test_prefix_pairs(spark):
     assert want <= got
 
 
+def test_prefix_pairs_of_one_stock(spark, monkeypatch):
+    """Texts of all sizes assembled from one stock of lines: every shingle is common, and elements are crowded."""
+    monkeypatch.setattr(minhash, "CROWD", 5)
+    rng = random.Random(14)
+    stock = [" ".join(H.words(900 + k, 7)) for k in range(9)]
+    texts = [" ".join(rng.sample(stock, rng.randint(1, 9))) for _ in range(60)]
+    texts += [" ".join(stock[:n]) for n in range(3, 10)] + [" ".join([*stock, *H.words(5, n)]) for n in (1, 4, 9, 17, 18, 19, 20, 21, 22, 23)]
+    sets = dict(enumerate(minhash.shingle_sets(texts)))
+    df = spark.createDataFrame([(i, i, s.tolist()) for i, s in sets.items()], "node long, component long, found array<long>")
+    got = {(r["a"], r["b"]) for r in minhash.prefix_pairs(df).collect()}
+    want = {(a, b) for a in sets for b in sets if a < b and 100 * len(np.intersect1d(sets[a], sets[b])) >= 75 * len(np.union1d(sets[a], sets[b]))}
+    assert want <= got and len(want) > 10
+    rows = minhash.near_duplicates(H.from_texts(spark, list(enumerate(texts)))).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows} == H.near_components(list(enumerate(texts)))
+
+
 @pytest.mark.parametrize("leaf", [1024, 16])
 def test_vectors(spark, leaf, monkeypatch):
     monkeypatch.setattr(covertree, "LEAF", leaf)

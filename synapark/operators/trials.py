@@ -12,6 +12,8 @@ from pyspark.sql.functions import udtf
 from pyspark.sql.types import StructType
 from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult
 
+from .graph import written
+
 #: Trial functions by name: each takes a table of events and gives trials.
 TRIAL_FUNCTIONS: dict[str, Callable[..., DataFrame]] = {}
 
@@ -150,34 +152,51 @@ def by_condition(trials: DataFrame, masks: dict[str, str | Column]) -> DataFrame
     return trials.withColumn("mask", F.explode(named))
 
 
-def resolve_duplicates(spikes: DataFrame, window: float, *, by: Sequence[str] = ("channel",), t: str = "t", key: str = "spike_id") -> DataFrame:
+def resolve_duplicates(spikes: DataFrame, window: float, *, by: Sequence[str] = ("channel",), t: str = "t", key: str = "spike_id", width: float | None = None) -> DataFrame:
     """Spikes of a channel (unit, template, ampl) without their duplicates within ``window``.
 
     Of two such spikes of one template the smaller goes, of different templates the
     one whose unit has fewer spikes; the later goes on a tie. A spike that has gone
-    removes no other. Silences longer than the window part the groups.
+    removes no other. Pairs are taken in the order of their first spikes' time and key.
+
+    Stretches of time (``width``, a thousand windows unless given) are worked on side by side,
+    each with the next one's first window; what it takes there is told to the next
+    one, and they go on until nothing new is told. A stretch's end seldom
+    depends on its beginning, so that is after two or three rounds; no task holds more than a stretch.
     """
+    width = float(width or 1000 * window)
+    if width < window:
+        raise ValueError("a stretch has to be as wide as the window")
     size = spikes.groupBy("unit").agg(F.count("*").alias("_size"))
-    w = Window.partitionBy(*by).orderBy(t, key)
-    rows = spikes.join(size, "unit").withColumn("_new", F.coalesce((F.col(t) - F.lag(t).over(w) > window).cast("int"), F.lit(1)))
-    rows = rows.withColumn("_burst", F.sum("_new").over(w)).drop("_new").withColumn("_n", F.count("*").over(Window.partitionBy(*by, "_burst")))
+    here = F.floor(F.col(t) / width).cast("long")
+    place = [*by, "_part"]
+    near = F.when(F.col(t) <= here * width + window, F.array(here - 1, here)).otherwise(F.array(here))
+    rows = spikes.join(size, "unit").select(*by, t, key, "ampl", "template", "_size", here.alias("_home"), F.explode(near).alias("_part"))
+    rows = written(rows.withColumn("_own", F.col("_part") == F.col("_home")).drop("_home"))
+    kinds = "".join(f"`{c}` {rows.schema[c].dataType.simpleString()}, " for c in [*place, t, key])
 
-    def keep(pdf: pd.DataFrame) -> pd.DataFrame:
+    def decide(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values([t, key], kind="stable")
-        at, ampl, template, size = (pdf[c].to_numpy() for c in (t, "ampl", "template", "_size"))
-        kept = np.ones(len(pdf), bool)
-        for i in range(len(pdf)):
+        at, ampl, template, size, own = (pdf[c].to_numpy() for c in (t, "ampl", "template", "_size", "_own"))
+        kept = ~pdf["_gone"].to_numpy(bool)
+        for i in np.flatnonzero(own):
             j = i + 1
             while kept[i] and j < len(pdf) and at[j] - at[i] <= window:
                 if kept[j]:
                     first, second = (ampl[i], ampl[j]) if template[i] == template[j] else (size[i], size[j])
                     kept[j if second <= first else i] = False
                 j += 1
-        return pdf[kept].drop(columns=["_burst", "_size"])
-
-    alone = rows.where("_n = 1").select(*spikes.columns)
-    crowded = rows.where("_n > 1").drop("_n").groupBy(*by, "_burst").applyInPandas(keep, spikes.join(size, "unit").drop("_size").schema)
-    return alone.unionByName(crowded.select(*spikes.columns))
+        return pdf[[*place, t, key, "_own"]].assign(_kept=kept)
+
+    told = rows.limit(0).select(*place, t, key)
+    while True:
+        marked = rows.join(told.withColumn("_told", F.lit(True)), [*place, t, key], "left").withColumn("_gone", F.coalesce("_told", F.lit(False)) & F.col("_own")).drop("_told")
+        found = written(marked.groupBy(*place).applyInPandas(decide, f"{kinds}_own boolean, _kept boolean"))
+        new = found.where(~F.col("_own") & ~F.col("_kept")).select(*by, (F.col("_part") + 1).alias("_part"), t, key)
+        if new.exceptAll(told).isEmpty() and told.exceptAll(new).isEmpty():
+            break
+        told = written(new)
+    return spikes.join(found.where("_own AND _kept").select(*by, t, key), [*by, t, key], "left_semi").select(*spikes.columns)
 
 
 def events_to_trials(events: DataFrame, *, sample: str = "sample", duration: str = "duration", offset: str = "offset") -> DataFrame:

@@ -112,6 +112,25 @@ def median_filter(x: str, w: WindowSpec, half: int) -> Column:
     return F.percentile(F.col(x), F.lit(0.5)).over(centred(w, half))
 
 
+def padded_median(df: DataFrame, x: str, half: int, name: str, by: Sequence[str] = ("channel",), order: str = "sample", pad: int | None = None, size: int = STRETCH) -> DataFrame:
+    """Median of ``half`` values to each side, where past both ends of a channel stands the mean of the ``pad`` values next to that end (``half`` unless given, half the channel at most).
+
+    Samples are numbered without gaps. The two means are an aggregate; medians are taken in stretches with halos.
+    """
+    pad = half if pad is None else pad
+    ends = df.groupBy(*by).agg(F.min(order).alias("_lo"), F.max(order).alias("_hi"))
+    rows = df.join(ends, list(by)).withColumn("_p", F.least(F.lit(pad), F.floor((F.col("_hi") - F.col("_lo") + 1) / 2)))
+    means = rows.groupBy(*by).agg(F.avg(F.when(F.col(order) < F.col("_lo") + F.col("_p"), F.col(x))).alias("_left"), F.avg(F.when(F.col(order) > F.col("_hi") - F.col("_p"), F.col(x))).alias("_right"))
+    both = over_stretches(rows.join(means, list(by)), half, {"_near": lambda w: F.collect_list(x).over(centred(w, half))}, by, order, size)
+    short = lambda gap: F.greatest(F.lit(0), F.lit(half) - gap).cast("int")
+    whole = F.concat("_near", F.array_repeat("_left", short(F.col(order) - F.col("_lo"))), F.array_repeat("_right", short(F.col("_hi") - F.col(order))))
+    # a channel of one value has no ends to take means of
+    values = F.sort_array(F.filter(whole, lambda v: v.isNotNull()))
+    at = (F.size(values) / 2).cast("int")
+    middle = F.when(F.size(values) % 2 == 1, F.get(values, at)).otherwise((F.get(values, at) + F.get(values, at - 1)) / 2)
+    return both.withColumn(name, middle).drop("_lo", "_hi", "_p", "_left", "_right", "_near")
+
+
 def kernel_smooth(x: str, w: WindowSpec, kernel: Sequence[float], before: Column | None = None, after: Column | None = None) -> Column:
     """Weighted mean under a kernel of odd length; past the ends stand ``before`` and ``after``, or nothing (weights are then made up to one)."""
     half = len(kernel) // 2

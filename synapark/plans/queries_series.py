@@ -364,7 +364,7 @@ def superlets(spark, d):
 def spike_spectrum(spark, d):
     """Spectrum of the 33 samples around each mark."""
     found = A.triggered(T.samples(spark, d), marks(spark, d).distinct(), 16, 16, on=["channel"])
-    trials = found.select((F.col("channel") * 1000000 + F.col("at")).alias("trial"), "channel", "sample", "v")
+    trials = found.select((F.shiftleft(F.col("channel").cast("long"), 40) + F.col("at")).alias("trial"), "channel", "sample", "v")
     whole = trials.groupBy("trial").agg(F.count("*").alias("n")).where("n = 33").select("trial")
     return G.spectrum(trials.join(whole, "trial"), 1000.0, 3).select("trial", "channel", F.round("freq", 4).alias("freq"), F.round("power", 5).alias("power"))
 

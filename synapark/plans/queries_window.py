@@ -81,6 +81,15 @@ def median_filter(spark, d):
     return W.over_stretches(T.samples(spark, d), 2, {"tonic": lambda x: W.median_filter("v", x, 2)}).select("channel", "sample", "tonic")
 
 
+@query(f"""WITH {T.SAMPLES}, n AS (SELECT channel, max(sample) AS n FROM smp GROUP BY channel), e AS (SELECT channel, n, avg(v) FILTER (sample <= 4) AS l, avg(v) FILTER (sample > n - 4) AS r FROM smp JOIN n USING (channel) GROUP BY ALL),
+ x AS (SELECT s.channel, s.sample, CASE WHEN s.sample + o < 1 THEN l WHEN s.sample + o > n THEN r ELSE b.v END AS v FROM smp s JOIN e ON e.channel = s.channel CROSS JOIN generate_series(-4, 4) g(o) LEFT JOIN smp b ON b.channel = s.channel AND b.sample = s.sample + o)
+ SELECT channel, sample, round(median(v), 8) AS tonic FROM x GROUP BY ALL""")
+def median_filter_padded(spark, d):
+    """Running median of nine samples, each end going on with the mean of the four samples next to it."""
+    out = W.padded_median(T.samples(spark, d).select("channel", "sample", "v"), "v", 4, "tonic")
+    return out.select("channel", "sample", F.round("tonic", 8).alias("tonic"))
+
+
 @query(f"WITH {T.SAMPLES} SELECT channel, sample, round((max(v) {OVER} ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING) - min(v) {OVER} ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING)) / sqrt(7.0), 9) AS span FROM smp")
 def sliding_range(spark, d):
     """Range of seven samples over the root of their number."""

@@ -95,9 +95,12 @@ def write_array(df: DataFrame, value: str, order: list[str], path: str, dtype: s
     ordered.write.format("npy_file").mode("append").option("path", path).option("dtype", dtype).option("rows", rows).option("tail", "x".join(map(str, tail))).save()
 
 
-def write_table(df: DataFrame, path: str, sep: str = "\t") -> None:
-    """A small table (a row a unit) as one text file of that name, sorted by its first column."""
-    rows = df.orderBy(df.columns[0]).toPandas()  # a row a unit
+def write_table(df: DataFrame, path: str, sep: str = "\t", most: int = 1_000_000) -> None:
+    """A small table (a row a unit, ``most`` of them) as one text file of that name, sorted by its first column."""
+    rows = df.limit(most + 1).toPandas()
+    if len(rows) > most:
+        raise ValueError(f"over {most} rows for one file")
+    rows = rows.sort_values(df.columns[0], kind="stable")
     write_text(path, rows.to_csv(sep=sep, index=False, lineterminator="\n"))
 
 

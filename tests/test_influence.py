@@ -281,6 +281,26 @@ def test_duplicates_over_stretches(spark, width):
     assert got == want
 
 
+@pytest.mark.parametrize("width", [None, 10, 45, 4000])
+def test_resolved_over_stretches(spark, width):
+    """Larger spikes and busier units win, pair after pair along a channel, wherever stretches end."""
+    rng = random.Random(4)
+    rows = [(c, k, t, rng.randrange(5), rng.randrange(3), float(rng.randrange(9))) for c in range(2) for k, t in enumerate(sorted(rng.randrange(500) for _ in range(140)))]
+    df = spark.createDataFrame(rows, "channel int, spike_id long, t long, unit int, template int, ampl double")
+    sizes = pd.Series([r[3] for r in rows]).value_counts()
+    want = set()
+    for c in range(2):
+        own = [r for r in rows if r[0] == c]
+        kept = [True] * len(own)
+        for i, j in itertools.combinations(range(len(own)), 2):
+            if kept[i] and kept[j] and own[j][2] - own[i][2] <= 9:
+                a, b = (own[i][5], own[j][5]) if own[i][4] == own[j][4] else (sizes[own[i][3]], sizes[own[j][3]])
+                kept[j if b <= a else i] = False
+        want |= {r[:2] for r, k in zip(own, kept, strict=True) if k}
+    got = R.resolve_duplicates(df, 9, width=width)
+    assert {(r["channel"], r["spike_id"]) for r in got.collect()} == want and got.columns == df.columns
+
+
 def test_table_function(spark):
     rows = [(s, k, kind, 10 * k, float(k)) for s in range(2) for k, kind in enumerate("abbcaabcb")]
     spark.createDataFrame(rows, "subject int, k int, event_type string, t long, v double").createOrReplaceTempView("some_events")

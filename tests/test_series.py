@@ -130,6 +130,16 @@ def test_fir_hilbert_knows_no_stretch(spark):
     assert np.abs(series(X.hilbert(recording(spark, wave), "abs", half=200, size=900))[300:-300] - (1 + 0.3 * np.cos(2 * np.pi * t / 2000))[300:-300]).max() < 5e-3
 
 
+def test_padded_median(spark):
+    x = np.random.default_rng(6).normal(size=400)
+    long = np.r_[np.full(6, x[:6].mean()), x, np.full(6, x[-6:].mean())]
+    want = [np.median(long[k : k + 13]) for k in range(400)]
+    for size in (50, 1 << 16):
+        assert np.allclose(series(W.padded_median(recording(spark, x), "v", 6, "m", size=size), "m"), want)
+    assert series(W.padded_median(recording(spark, x[:1]), "v", 6, "m"), "m").tolist() == [x[0]]
+    assert np.allclose(series(W.padded_median(recording(spark, x[:3]), "v", 6, "m"), "m"), [np.median(np.r_[np.full(6 - k, x[0]), x[:3], np.full(4 + k, x[2])]) for k in range(3)])
+
+
 def test_fir_gaps(spark):
     """Only what a missing value reaches is missing."""
     x = np.random.default_rng(4).normal(size=1000)

@@ -162,6 +162,16 @@ def positions(df: DataFrame, order: Sequence[str], name: str = "position") -> Da
     return rows.join(F.broadcast(counts), "_part").withColumn(name, F.col("_before") + F.col("_k")).drop("_part", "_k", "_before")  # a row a partition
 
 
+def numbered(df: DataFrame, by: Sequence[str], order: Sequence[str], part: Column, name: str = "sample") -> DataFrame:
+    """Number of each row in the order of its group, from 1. ``part`` rises with the order: rows are counted inside a part, on top of the parts before it, so no task sorts a whole group."""
+    rows = df.withColumn("_part", part)
+    counts = rows.groupBy(*by, "_part").agg(F.count("*").alias("_c"))
+    before = F.coalesce(F.sum("_c").over(ordered(by, ["_part"]).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    counts = counts.select(*by, "_part", before.alias("_before"))
+    inside = F.row_number().over(ordered([*by, "_part"], order))
+    return rows.withColumn("_k", inside).join(counts, [*by, "_part"]).withColumn(name, (F.col("_before") + F.col("_k")).cast("long")).drop("_part", "_k", "_before")
+
+
 def sliding_range(x: str, w: WindowSpec, half: int) -> Column:
     """max - min of an odd window, over the root of its width; the ends have shorter windows."""
     frame = centred(w, half)

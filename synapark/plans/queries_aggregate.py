@@ -133,8 +133,10 @@ def amplitude_depth_map(spark, d):
 
 @query(f"WITH {SM}, m AS (SELECT channel, v, v - median(v) OVER (PARTITION BY channel) AS r FROM smp WHERE sample <= 320) SELECT channel, round(sqrt(avg(v * v)), 8) AS rms, median(abs(r)) AS mad FROM m GROUP BY channel")
 def rms_and_mad(spark, d):
-    """Root mean square and median deviation of each channel's first samples."""
-    m = T.samples(spark, d).where("sample <= 320").withColumn("r", F.abs(F.col("v") - F.percentile("v", F.lit(0.5)).over(Window.partitionBy("channel"))))
+    """Root mean square and median deviation of each channel's first 320 samples; that noise is measured on a recording's beginning is the feature."""
+    first = T.samples(spark, d).where("sample <= 320")
+    middle = first.groupBy("channel").agg(F.percentile("v", F.lit(0.5)).alias("m"))
+    m = first.join(middle, "channel").withColumn("r", F.abs(F.col("v") - F.col("m")))
     return m.groupBy("channel").agg(F.round(F.sqrt(F.avg(F.col("v") * F.col("v"))), 8).alias("rms"), F.median("r").alias("mad"))
 
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.windows import numbered
+
 HOUR = 3_600_000
 
 
@@ -40,11 +42,10 @@ def trials(spark: SparkSession, d: str, kind: str = "signup", half: int = 6 * HO
 
 
 def samples(spark: SparkSession, d: str) -> DataFrame:
-    """Line items as a recording: channel, sample number, voltage."""
-    from pyspark.sql import Window
-
-    order = Window.partitionBy("l_suppkey").orderBy("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
-    return read(spark, d, "lineitem").select(F.col("l_suppkey").alias("channel"), F.row_number().over(order).cast("long").alias("sample"), F.col("l_quantity").alias("v"), F.col("l_extendedprice").alias("w"))
+    """Line items as a recording: channel, sample number, voltage. Samples are counted month by month, so that no task sorts a whole channel."""
+    rows = read(spark, d, "lineitem").select("l_suppkey", "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity")
+    rows = numbered(rows, ["l_suppkey"], ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"], F.year("l_shipdate") * 12 + F.month("l_shipdate"))
+    return rows.select(F.col("l_suppkey").alias("channel"), "sample", F.col("l_quantity").alias("v"), F.col("l_extendedprice").alias("w"))
 
 
 def conditions(spark: SparkSession, d: str) -> DataFrame:

@@ -469,3 +469,12 @@ def test_nested_tables(spark):
     assert N.check_heights(even.limit(1), ["a", "b"]).count() == 1
     with pytest.raises(Exception, match="different heights"):
         N.check_heights(even, ["a", "b"]).collect()
+
+
+def test_numbered_by_parts(spark):
+    """Counted part by part, as over the whole group."""
+    rng = np.random.default_rng(9)
+    rows = [(int(c), int(t), k) for k, (c, t) in enumerate(zip(rng.integers(0, 3, 300), rng.integers(0, 40, 300), strict=True))]
+    got = W.numbered(spark.createDataFrame(rows, "c int, t long, k int"), ["c"], ["t", "k"], F.floor(F.col("t") / 7)).collect()
+    want = {k: 1 + sum((b, j) < (t, k) for d, b, j in rows if d == c) for c, t, k in rows}
+    assert {r["k"]: r["sample"] for r in got} == want

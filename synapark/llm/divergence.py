@@ -14,6 +14,8 @@ from .common import cut
 
 #: Groups and terms of a block: a task holds two dense blocks of groups by terms.
 GROUPS, TERMS = 256, 2048
+#: Tasks that a language's terms are dealt to while they are numbered.
+SALTS = 32
 #: Terms of a task's dictionaries before they are handed on.
 HELD = 400_000
 #: Letters stay, A-Z in lower case, and so do bytes of other scripts; all else is a space.
@@ -99,7 +101,9 @@ def divergence(docs: DataFrame, least: int = 30, smooth: int = 5, top: int = 50,
     sizes = whole.groupBy("lang").agg(F.count("*").alias("v"), F.sum("whole").alias("all"))
     part = F.pmod(F.xxhash64("term"), F.greatest(F.lit(1), F.ceil(F.col("v") / terms)))
     in_block = Window.partitionBy("lang", "term_block").orderBy("term")
-    kept = cut(whole.join(sizes, "lang").withColumn("term_block", part).withColumn("col", F.row_number().over(in_block) - 1))
+    salt = F.pmod(F.xxhash64("term", F.lit(1)), F.lit(SALTS)).cast("int").alias("salt")  # so that no task gets all terms of a language
+    sizes = sizes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    kept = cut(whole.select("*", salt).join(sizes, ["lang", "salt"]).drop("salt").withColumn("term_block", part).withColumn("col", F.row_number().over(in_block) - 1))
     own = counts.join(kept, ["lang", "term"]).select("lang", "source", "term", "n", "whole", "all", "v", "term_block", "col")
     every = cut(named.select("lang", "source").distinct())  # a row a group, before groups are numbered
     totals = own.groupBy("lang", "source").agg(F.sum("n").alias("total"))

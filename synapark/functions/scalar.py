@@ -114,3 +114,16 @@ def euler_to_quaternion(yaw: Column, pitch: Column, roll: Column) -> Column:
 def axis_remap(x: Column, y: Column, z: Column) -> list[Column]:
     """From x-right, y-forward, z-up to north-east-down."""
     return [y, x, -z]
+
+
+def iso_micros(text: Column) -> Column:
+    """Microseconds since 1970 in UTC of an ISO 8601 time: a date, ``T`` or a space, hours and minutes, seconds with any fraction if there are any, and ``Z``, an offset (+hh, +hhmm, +hh:mm) or nothing, which is taken as UTC. Null where it isn't one."""
+    form = r"^\s*(\d{4}-\d{2}-\d{2})[T ](\d{2}):?(\d{2})(?::?(\d{2})(?:[.,](\d+))?)?\s*(?:([Zz])|([+-])(\d{2}):?(\d{2})?)?\s*$"
+    part = lambda k: F.regexp_extract(text, form, k)
+    number = lambda k: F.coalesce(part(k).try_cast("long"), F.lit(0).cast("long"))
+    day = F.unix_date(part(1).try_cast("date")).cast("long")
+    clock = number(2) * 3600 + number(3) * 60 + number(4)
+    zone = (number(8) * 3600 + number(9) * 60) * F.when(part(7) == "-", -1).otherwise(1)
+    micros = F.rpad(F.substring(part(5), 1, 6), 6, "0").try_cast("long")
+    sound = F.regexp_like(text, F.lit(form)) & (number(2) < 24) & (number(3) < 60) & (number(4) <= 60) & (number(8) < 24) & (number(9) < 60)
+    return F.when(sound, (day * 86_400 + clock - zone) * 1_000_000 + F.coalesce(micros, F.lit(0)))

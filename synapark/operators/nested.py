@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
+
+from .graph import written
+from .intervals import asof_join
+from .windows import positions, running_total
 
 
 def ragged_index(rows: DataFrame, key: str) -> DataFrame:
@@ -108,3 +115,42 @@ def flatten(df: DataFrame, sep: str = ".") -> DataFrame:
         return out
 
     return df.select(*[F.col(p).alias(p.replace("`", "").replace(".", sep)) for p in walk(df.schema, "")])
+
+
+@dataclass
+class Dynamic:
+    """A table in columns: ``rows`` (id and the columns that have one value a row, and ``<name>_index``, where each row's values of a ragged column end), ``data`` (k, value) of each ragged column, and ``schema``."""
+
+    rows: DataFrame
+    data: dict[str, DataFrame]
+    schema: str
+
+
+def to_dynamic(df: DataFrame, order: Sequence[str]) -> Dynamic:
+    """A table in columns, its rows in an order; columns of arrays become flat values with cumulative ends.
+
+    Ids and ends are prefix counts over ranges: nothing is sorted or summed in one place. An array that is
+    null is stored as an empty one, as the form has no null.
+    """
+    ragged = [f.name for f in df.schema.fields if isinstance(f.dataType, ArrayType)]
+    rows = written(positions(df, order, "id"))
+    data = {}
+    for name in ragged:
+        size = F.greatest(F.lit(0), F.coalesce(F.size(name), F.lit(0))).cast("long")
+        rows = running_total(rows, size, f"{name}_index", by=[], order="id").withColumn(f"{name}_index", F.col(f"{name}_index").cast("long"))
+    for name in ragged:
+        first = F.col(f"{name}_index") - F.size(name)
+        data[name] = rows.select(first.alias("_first"), F.posexplode(name).alias("_pos", "value")).select((F.col("_first") + F.col("_pos")).alias("k"), "value")
+    return Dynamic(rows.drop(*ragged), data, df.schema.json())
+
+
+def from_dynamic(table: Dynamic, width: int = 1 << 16) -> DataFrame:
+    """The table again, with its columns' order and types; ids are dropped. Values find their row by an as-of join over stretches of ``width`` values."""
+    schema = StructType.fromJson(json.loads(table.schema))
+    out = table.rows
+    for name, data in table.data.items():
+        ends = out.where(F.col(f"{name}_index") > 0).groupBy(F.col(f"{name}_index").alias("_end")).agg(F.min("id").alias("_owner"))  # rows without values end where the one before does
+        found = asof_join(data.select((F.col("k") + 1).alias("_end"), "k", "value"), ends, t="_end", values=["_owner"], direction="forward", width=width)
+        lists = found.groupBy(F.col("_owner").alias("id")).agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "value"))), lambda e: e["value"]).alias(name))
+        out = out.join(lists, "id", "left").withColumn(name, F.coalesce(name, F.array().cast(schema[name].dataType)))
+    return out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])

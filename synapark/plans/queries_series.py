@@ -342,6 +342,15 @@ def field_peaks(spark, d):
     return m.select("grp", "x", "y", "n", F.round((F.col("n") - F.avg("n").over(w)) / F.nullif(F.stddev_samp("n").over(w), F.lit(0.0)), 8).alias("z"), (F.col("n") == F.max("n").over(w)).alias("peak"))
 
 
+@query("""SELECT event_id, CASE event_id % 4 WHEN 0 THEN epoch_us(ts) WHEN 1 THEN epoch_us(ts) // 1000000 * 1000000 - 5400000000 WHEN 2 THEN epoch_us(ts) // 60000000 * 60000000 + 18000000000 ELSE epoch_us(ts) // 1000 * 1000 END AS micros FROM events""")
+def zoned_times(spark, d):
+    """Times written with and without seconds, fractions and zones, read back as microseconds in UTC."""
+    shape = lambda form, zone: F.concat(F.date_format("ts", form), F.lit(zone))
+    k = F.col("event_id") % 4
+    text = F.when(k == 0, shape("yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "Z")).when(k == 1, shape("yyyy-MM-dd HH:mm:ss", "+01:30")).when(k == 2, shape("yyyy-MM-dd'T'HH:mm", "-0500")).otherwise(shape("yyyy-MM-dd'T'HH:mm:ss.SSS", ""))
+    return T.read(spark, d, "events").select("event_id", X.iso_micros(text).alias("micros"))
+
+
 @query()
 def decay_constants(spark, d):
     """Exponential decay of the peak over the distance from the first channel."""

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from synapark.functions import scalar as X
+from synapark.operators import nested as N
 from synapark.operators import units as U
 from synapark.plans import catalog
 from synapark.plans import tables as T
@@ -56,3 +57,30 @@ def test_small_tables(spark, tmp_path):
     assert (tmp_path / "params.py").read_text() == "dat_path = 'a.bin'\nn_channels_dat = 4\nhp_filtered = False\n"
     with pytest.raises(ValueError, match="over 5 rows"):
         K.write_table(spark.range(6), str(tmp_path / "x.tsv"), most=5)
+
+
+def test_iso_micros(spark):
+    day = 19_782 * 86_400_000_000  # 2024-02-29
+    cases = {
+        "2024-02-29T12:30:05Z": day + 45_005_000_000, "2024-02-29 12:30:05.5+02:00": day + 37_805_500_000, "2024-02-29T12:30-0530": day + 64_800_000_000, "2024-02-29T123005,1234567": day + 45_005_123_456,
+        "2024-02-29T00:15+01": day - 2_700_000_000, " 2024-02-29T00:00:00z ": day, "2023-02-29T00:00": None, "2024-02-29T24:00": None, "2024-02-29": None, "2024-02-29T12:30:05 CET": None, "": None, None: None,
+    }
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate(cases)], "k int, t string").select("k", X.iso_micros(F.col("t")).alias("m")).orderBy("k").collect()
+    assert [r["m"] for r in rows] == list(cases.values())
+
+
+def test_dynamic_round_trip(spark):
+    """Ragged columns as flat values and ends, and back with every type; several tasks and stretches."""
+    rng = np.random.default_rng(3)
+    rows = [(int(k), float(k) / 3, rng.integers(0, 9, int(n)).tolist(), [f"u{j}" for j in range(int(m))], bool(k % 2)) for k, n, m in zip(range(300), rng.integers(0, 4, 300), rng.integers(0, 3, 300), strict=True)]
+    df = spark.createDataFrame(rows, "k int, x double, spikes array<int>, tags array<string>, good boolean").repartition(5)
+    table = N.to_dynamic(df, ["k"])
+    held = table.rows.orderBy("id").collect()
+    assert [r["spikes_index"] for r in held] == np.cumsum([len(r[2]) for r in rows]).tolist() and [r["id"] for r in held] == list(range(300))
+    flat = [r["value"] for r in table.data["tags"].orderBy("k").collect()]
+    assert flat == [t for r in rows for t in r[3]] and "spikes" not in table.rows.columns
+    for width in (7, 1 << 16):
+        back = N.from_dynamic(table, width)
+        assert back.dtypes == df.dtypes and sorted(tuple(r) for r in back.collect()) == sorted((a, b, c, d, e) for a, b, c, d, e in rows)
+    none = N.from_dynamic(N.to_dynamic(spark.createDataFrame([(1, None), (2, [])], "k int, v array<long>"), ["k"]))
+    assert sorted(tuple(r) for r in none.collect()) == [(1, []), (2, [])]

@@ -75,6 +75,12 @@ def gap_edges(lag: float, width: float) -> tuple[np.ndarray, np.ndarray, int]:
     return edges, np.r_[False, np.ones(most, bool), np.zeros(most, bool), True], most
 
 
+#: Pairs of spikes that a task looks at in one go, and places of a search.
+LOOKED_AT = 1 << 20
+#: Parts that units are dealt to where each is only counted with itself.
+SHARES = 16
+
+
 def correlogram(a: DataFrame, b: DataFrame, lag: float, width: float, *, pairs: str = "all", size: float | None = None) -> DataFrame:
     """Counts of t_b - t_a by unit pair and bin, for |t_b - t_a| <= lag: ``unit_a, unit_b, bin, n``.
 
@@ -82,53 +88,80 @@ def correlogram(a: DataFrame, b: DataFrame, lag: float, width: float, *, pairs:
     with itself) or ``upper`` (unit_a <= unit_b); a spike is never paired with itself.
 
     A task holds a stretch of time (``size``, four lags unless given) of both
-    trains, ``b`` with a halo of a lag, and finds for each spike how far each bin
-    reaches in the other unit's sorted times by binary search: no pair of spikes is
-    ever made. What is shuffled are the spikes, once with halos, and a
-    stretch's counts.
+    trains, ``b`` with a halo of a lag, sorted. Binary search finds which spikes lie
+    within the lag of each; where these are few their bins are counted, some at a
+    time; where they are more than the bins of all units, it finds how far each bin
+    reaches in each unit's times instead. No pair of spikes is ever a row: what is
+    shuffled are the spikes, once with halos, and a stretch's counts.
     """
     size = float(size or 4 * lag)
     edges, right, most = gap_edges(float(lag), float(width))
-
-    def search(times: np.ndarray, at: np.ndarray) -> np.ndarray:
-        out = np.empty((len(at), len(edges)), np.int64)
-        for side in (False, True):
-            some = np.flatnonzero(right == side)
-            out[:, some] = np.searchsorted(times, at[:, None] + edges[some], "right" if side else "left")
-        return np.diff(out, axis=1)
+    below, above, bins = edges[1 : most + 1], edges[most + 1 : -1], len(edges) - 1
+    columns = ["unit_a", "unit_b", "bin", "n"]
+
+    def reaches(times: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Spikes of one train in each bin, over all of another."""
+        n = np.zeros(bins, np.int64)
+        step = max(1, LOOKED_AT // len(edges))
+        for k in range(0, len(at), step):
+            out = np.empty((len(at[k : k + step]), len(edges)), np.int64)
+            for side in (False, True):
+                some = np.flatnonzero(right == side)
+                out[:, some] = np.searchsorted(times, at[k : k + step, None] + edges[some], "right" if side else "left")
+            n += np.diff(out, axis=1).sum(0)
+        return n
 
     def count(pdf: pd.DataFrame) -> pd.DataFrame:
-        own, other = pdf[pdf["own"]], pdf[~pdf["own"]].sort_values(["unit", "t"], kind="stable")
-        if not len(own) or not len(other):
-            return pd.DataFrame({"unit_a": [], "unit_b": [], "bin": [], "n": []})
-        own = own.sort_values("unit", kind="stable")
-        ua, first = np.unique(own["unit"].to_numpy(), return_index=True)
-        ub, begin = np.unique(other["unit"].to_numpy(), return_index=True)
-        ta, tb = own["t"].to_numpy(), other["t"].to_numpy()
-        ids_a, ids_b = own["spike_id"].to_numpy(), other["spike_id"].to_numpy()
-        out = []
-        for x, i, j in zip(ua.tolist(), first, np.r_[first[1:], len(own)], strict=True):
-            for y, p, q in zip(ub.tolist(), begin, np.r_[begin[1:], len(other)], strict=True):
-                if (pairs == "same" and x != y) or (pairs == "upper" and x > y):
-                    continue
-                n = np.zeros(len(edges) - 1, np.int64)
-                for k in range(i, j, 20_000):  # bounds the places held
-                    n += search(tb[p:q], ta[k : min(j, k + 20_000)]).sum(0)
-                if x == y:
-                    n[most] -= np.isin(ids_a[i:j], ids_b[p:q]).sum()
-                some = np.flatnonzero(n)
-                out.append(pd.DataFrame({"unit_a": x, "unit_b": y, "bin": some - most, "n": n[some]}))
-        return pd.concat(out) if out else pd.DataFrame({"unit_a": [], "unit_b": [], "bin": [], "n": []})
+        units, code = np.unique(pdf["unit"].to_numpy(), return_inverse=True)
+        pdf = pdf.assign(code=code)
+        by = ["code", "t"] if pairs == "same" else ["t"]
+        own, other = (pdf[pdf["own"] == side].sort_values(by, kind="stable") for side in (True, False))
+        ca, cb, ta, tb, ia, ib = (df[c].to_numpy() for c in ("code", "t", "spike_id") for df in (own, other))
+        if not len(ta) or not len(tb):
+            return pd.DataFrame({c: [] for c in columns})
+        if pairs == "same":
+            lo, hi = np.zeros(len(ta), np.int64), np.zeros(len(ta), np.int64)
+            cut_a, cut_b = (np.searchsorted(c, np.arange(len(units) + 1)) for c in (ca, cb))
+            for i, j, p, q in zip(cut_a[:-1], cut_a[1:], cut_b[:-1], cut_b[1:], strict=True):
+                lo[i:j], hi[i:j] = p + np.searchsorted(tb[p:q], ta[i:j] - lag, "left"), p + np.searchsorted(tb[p:q], ta[i:j] + lag, "right")
+        else:
+            lo, hi = np.searchsorted(tb, ta - lag, "left"), np.searchsorted(tb, ta + lag, "right")
+        near, found = np.cumsum(hi - lo), []
+        if near[-1] <= len(ta) * len(edges) * (1 if pairs == "same" else len(np.unique(cb))):
+            i = 0
+            while i < len(ta):
+                j = max(i + 1, int(np.searchsorted(near, (near[i - 1] if i else 0) + LOOKED_AT, "right")))
+                many = hi[i:j] - lo[i:j]
+                x = np.repeat(np.arange(i, j), many)
+                y = np.arange(len(x)) - np.repeat(np.cumsum(many) - many - lo[i:j], many)
+                keep = (ca[x] != cb[y]) | (ia[x] != ib[y])
+                x, y = (x[keep], y[keep]) if pairs != "upper" else (x[keep & (ca[x] <= cb[y])], y[keep & (ca[x] <= cb[y])])
+                gap = tb[y] - ta[x]
+                at = np.searchsorted(below, gap, "left") + np.searchsorted(above, gap, "right")
+                found.append(np.unique((ca[x] * len(units) + cb[y]) * bins + at, return_counts=True))
+                i = j
+        else:
+            first, second = ({k: train[c == k] for k in np.unique(c).tolist()} for train, c in ((ta, ca), (tb, cb)))
+            for x, at in first.items():
+                for y, times in second.items():
+                    if pairs == "all" or x == y or (pairs == "upper" and x < y):
+                        n = reaches(times, at)
+                        if x == y:
+                            n[most] -= np.isin(ia[ca == x], ib[cb == y]).sum()
+                        found.append(((x * len(units) + y) * bins + np.arange(bins), n))
+        key, which = np.unique(np.concatenate([f[0] for f in found] or [np.zeros(0, np.int64)]), return_inverse=True)
+        n = np.bincount(which, np.concatenate([f[1] for f in found] or [np.zeros(0)]), len(key)).astype(np.int64)
+        key, n = key[n > 0], n[n > 0]
+        return pd.DataFrame({"unit_a": units[key // bins // len(units)], "unit_b": units[key // bins % len(units)], "bin": key % bins - most, "n": n})
 
     def side(df: DataFrame, own: bool) -> DataFrame:
-        low, high = (F.col("t") - lag, F.col("t") + lag) if not own else (F.col("t"), F.col("t"))
-        parts = F.sequence(F.floor(low / size).cast("long"), F.floor(high / size).cast("long"))
-        keys = ["unit", "part"] if pairs == "same" else ["part"]
-        return df.select("unit", "spike_id", "t", F.explode(parts).alias("part"), F.lit(own).alias("own")).select(*keys, *[c for c in ("unit", "spike_id", "t", "own") if c not in keys])
+        low, high = (F.col("t"), F.col("t")) if own else (F.col("t") - lag, F.col("t") + lag)
+        parts = F.explode(F.sequence(F.floor(low / size).cast("long"), F.floor(high / size).cast("long")))
+        share = F.pmod(F.xxhash64("unit"), F.lit(SHARES)) if pairs == "same" else F.lit(0).cast("long")
+        return df.select("unit", "spike_id", "t", parts.alias("part"), share.alias("share"), F.lit(own).alias("own"))
 
-    rows = side(a, True).unionByName(side(b, False))
     unit = a.schema["unit"].dataType.simpleString()
-    counts = rows.groupBy(*(["unit", "part"] if pairs == "same" else ["part"])).applyInPandas(count, f"unit_a {unit}, unit_b {unit}, bin long, n long")
+    counts = side(a, True).unionByName(side(b, False)).groupBy("part", "share").applyInPandas(count, f"unit_a {unit}, unit_b {unit}, bin long, n long")
     return counts.groupBy("unit_a", "unit_b", "bin").agg(F.sum("n").alias("n"))
 
 

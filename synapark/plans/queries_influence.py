@@ -69,7 +69,7 @@ def granger_spectrum(spark, d):
 @query(f"""WITH {T.SAMPLES}, {PAIR}, v AS (SELECT supplier, trial % 2 = 0 AS one, avg(x * x) AS p, avg(x * y) AS q, avg(y * y) AS r FROM d GROUP BY ALL),
  c AS (SELECT a.supplier, a.p AS p1, a.q AS q1, a.r AS r1, a.p + b.p AS p, a.q + b.q AS q, a.r + b.r AS r FROM v a JOIN v b ON b.supplier = a.supplier AND a.one AND NOT b.one),
  k AS (SELECT *, p * r - q * q AS k2, p1 * r + p * r1 - 2 * q * q1 AS k1, p1 * r1 - q1 * q1 AS k0 FROM c)
- SELECT supplier, 0 AS filter, round((k1 + sqrt(k1 * k1 - 4 * k2 * k0)) / (2 * k2), 9) AS share, 1.0 AS whole FROM k UNION ALL SELECT supplier, 1, round((k1 - sqrt(k1 * k1 - 4 * k2 * k0)) / (2 * k2), 9), 1.0 FROM k""")
+ SELECT supplier, 0 AS filter, round((k1 + sqrt(k1 * k1 - 4 * k2 * k0)) / (2 * k2), 9) AS share, 1.0::DOUBLE AS whole FROM k UNION ALL SELECT supplier, 1, round((k1 - sqrt(k1 * k1 - 4 * k2 * k0)) / (2 * k2), 9), 1.0::DOUBLE FROM k""")
 def spatial_patterns(spark, d):
     """The share of variance in even trials of the two spatial filters, taken from their outputs."""
     rows = pair(spark, d).withColumn("one", F.expr("trial % 2 = 0"))
@@ -124,10 +124,10 @@ GRID = f"""val AS (SELECT l_orderkey % 97 AS obs, l_linenumber * 100 + month(l_s
  w AS (SELECT k, sg, feature, feature AS cluster FROM o UNION SELECT o.k, o.sg, o.feature, w.cluster FROM w JOIN o ON o.k = w.k AND o.sg = w.sg AND abs(o.feature - w.feature) IN (1, 100)),
  c AS (SELECT k, sg, feature, min(cluster) AS cluster FROM w GROUP BY ALL), m AS (SELECT k, sg, cluster, count(*) AS size, round(sum(t), 6) AS mass FROM c JOIN o USING (k, sg, feature) GROUP BY ALL),
  b AS (SELECT k, sg, max(abs(mass)) AS most FROM m WHERE k > 0 GROUP BY ALL)
- SELECT m.cluster, m.sg AS sign, m.size, round(m.mass, 6) AS mass, round(count(b.k) / {DRAWS}.0, 9) AS p FROM m LEFT JOIN b ON b.sg = m.sg AND b.most >= abs(m.mass) WHERE m.k = 0 GROUP BY ALL""")
+ SELECT CAST(m.cluster AS INT) AS cluster, m.sg AS sign, m.size, round(m.mass, 6) AS mass, round(count(b.k) / {DRAWS}.0, 9) AS p FROM m LEFT JOIN b ON b.sg = m.sg AND b.most >= abs(m.mass) WHERE m.k = 0 GROUP BY ALL""")
 def cluster_permutation(spark, d):
     """Sets of neighbouring line numbers and months whose prices differ between two halves of the orders, by their mass among relabelled ones."""
-    feature = F.col("l_linenumber") * 100 + F.month("l_shipdate")
+    feature = (F.col("l_linenumber") * 100 + F.month("l_shipdate")).cast("int")
     values = T.read(spark, d, "lineitem").groupBy((F.col("l_orderkey") % 97).alias("obs"), feature.alias("feature")).agg(F.avg("l_extendedprice").alias("x"))
     labels = values.select("obs", F.expr("obs % 2 = 0").alias("label")).distinct()
     near = values.select(F.col("feature").alias("a")).distinct().select("a", F.explode(F.array(F.col("a") + 1, F.col("a") + 100)).alias("b"))
@@ -154,7 +154,7 @@ def ward_clusters(spark, d):
 
 
 @query()
-def receptive_field(spark, d):
+def separable_field(spark, d):
     """The profiles along depth and amplitude that make up most of each group's map."""
     m = T.spikes(spark, d).groupBy((F.col("unit") % 10).alias("unit"), F.expr("depth div 20").alias("x"), F.floor(F.col("ampl") / 40).alias("y")).agg(F.count("*").alias("v"))
     u, w = U.separable(m)

@@ -74,13 +74,15 @@ def test_correlogram_mirrors(spark):
     assert got and all(got.get((b, a, -k)) == n for (a, b, k), n in got.items())
 
 
+@pytest.mark.parametrize("looked_at", [1 << 20, 7])
 @pytest.mark.parametrize("pairs", ["all", "same", "upper"])
-def test_correlogram_counts(spark, pairs):
-    """Against every pair of spikes, on bin edges too, in stretches of several sizes."""
+def test_correlogram_counts(spark, pairs, looked_at, monkeypatch):
+    """Against every pair of spikes, on bin edges too, in stretches of several sizes, with few and with many near."""
+    monkeypatch.setattr(A, "LOOKED_AT", looked_at)
     rng = random.Random(5)
     rows = [(rng.randint(0, 3), k, rng.randint(-300, 900)) for k in range(250)]
     s = spark.createDataFrame(rows, "unit int, spike_id long, t long")
-    for lag, width in ((100, 10), (95, 7), (3, 10)):
+    for lag, width in ((100, 10), (95, 190), (3, 10)):
         want = {}
         for ua, ia, ta in rows:
             for ub, ib, tb in rows:
@@ -88,7 +90,7 @@ def test_correlogram_counts(spark, pairs):
                 if abs(gap) <= lag and ia != ib and (pairs == "all" or (ua == ub if pairs == "same" else ua <= ub)):
                     k = (1 if gap >= 0 else -1) * int((abs(gap) + width / 2) // width)
                     want[ua, ub, k] = want.get((ua, ub, k), 0) + 1
-        for size in (lag, 10 * lag, None):
+        for size in (37, 10 * lag, None):
             got = {(r["unit_a"], r["unit_b"], r["bin"]): r["n"] for r in A.correlogram(s, s, lag, width, pairs=pairs, size=size).collect()}
             assert got == want
     assert A.correlogram(s.limit(0), s, 10, 2).count() == 0 and A.correlogram(s, s.limit(0), 10, 2).count() == 0

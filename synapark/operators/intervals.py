@@ -83,8 +83,7 @@ def asof_join(left: DataFrame, right: DataFrame, *, t: str, values: Sequence[str
     if width is None:
         return out.select(*kept, "_found.*")
     # of equal times that which the window would take as well: the greatest row, or the least
-    edge = r.withColumn("_part", bucket(F.col(t), width)).groupBy(*by, "_part").agg((F.max if back else F.min)("_held").alias("_edge"))
-    parts = rows.select(*by, "_part").distinct().join(edge, [*by, "_part"], "left")
+    parts = rows.groupBy(*by, "_part").agg((F.max if back else F.min)("_held").alias("_edge"))
     over = Window.partitionBy(*by).orderBy("_part")
     past = F.last("_edge", ignorenulls=True).over(over.rowsBetween(Window.unboundedPreceding, -1)) if back else F.first("_edge", ignorenulls=True).over(over.rowsBetween(1, Window.unboundedFollowing))
     parts = parts.select(*by, "_part", past.alias("_past"))

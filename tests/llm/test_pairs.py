@@ -94,9 +94,8 @@ def test_prefix_pairs(spark):
     assert want <= got
 
 
-def test_prefix_pairs_of_one_stock(spark, monkeypatch):
-    """Texts of all sizes assembled from one stock of lines: every shingle is common, and elements are crowded."""
-    monkeypatch.setattr(minhash, "CROWD", 5)
+def test_prefix_pairs_of_one_stock(spark):
+    """Texts of all sizes assembled from one stock of lines: every shingle is common."""
     rng = random.Random(14)
     stock = [" ".join(H.words(900 + k, 7)) for k in range(9)]
     texts = [" ".join(rng.sample(stock, rng.randint(1, 9))) for _ in range(60)]

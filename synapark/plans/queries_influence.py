@@ -145,11 +145,11 @@ def silhouette(spark, d):
 
 @query()
 def ward_clusters(spark, d):
-    """Ward clusters of the labels' mean vectors."""
+    """Ward clusters of the labels' mean vectors, where labels up to three apart are neighbours."""
     e = T.read(spark, d, "embeddings").select("label", F.posexplode("embedding").alias("k", "v")).groupBy("label", "k").agg(F.avg("v").alias("v"))
     means = e.groupBy(F.col("label").cast("long").alias("id")).agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "v"))), lambda x: x["v"]).alias("x"))
     ids = means.select(F.col("id").alias("a"))
-    near = ids.join(ids.select(F.col("a").alias("b")), F.col("a") < F.col("b"))  # pairs of labels, the neighbourhood asked for
+    near = ids.select("a", F.explode(F.array(*[F.col("a") + k for k in (1, 2, 3)])).alias("b")).join(ids.select(F.col("a").alias("b")), "b", "left_semi")
     return M.ward(means, near, 4)
 
 

@@ -12,6 +12,7 @@ FOLDER = "/root/testdata/sf0.001"
 #: Queries whose pairs of rows would grow with the square of the rows.
 NO_PAIRS = [
     "events_in_trials",
+    "binned_array",
 ]
 
 

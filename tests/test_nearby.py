@@ -13,6 +13,7 @@ FOLDER = "/root/testdata/sf0.001"
 NO_PAIRS = [
     "events_in_trials",
     "binned_array",
+    "padded_interaction_join",
 ]
 
 

@@ -14,6 +14,7 @@ NO_PAIRS = [
     "events_in_trials",
     "binned_array",
     "padded_interaction_join",
+    "aligned_rate",
 ]
 
 

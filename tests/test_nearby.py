@@ -15,6 +15,8 @@ NO_PAIRS = [
     "binned_array",
     "padded_interaction_join",
     "aligned_rate",
+    "psth",
+    "psth_by_depth",
 ]
 
 

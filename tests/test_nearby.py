@@ -17,6 +17,7 @@ NO_PAIRS = [
     "aligned_rate",
     "psth",
     "psth_by_depth",
+    "points_within_ranges",
 ]
 
 

@@ -18,6 +18,7 @@ NO_PAIRS = [
     "psth",
     "psth_by_depth",
     "points_within_ranges",
+    "psth_centers",
 ]
 
 

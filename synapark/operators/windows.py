@@ -231,6 +231,24 @@ def hazen(values: Column, p: float) -> Column:
     return F.when(n > 0, a + (b - a) * F.least(F.lit(1.0), F.greatest(F.lit(0.0), at - F.floor(at))))
 
 
+def quantiles(df: DataFrame, x: str, by: Sequence[str], shares: dict[str, float]) -> DataFrame:
+    """Percentiles of a group's values, linear between neighbours: a column for each name of ``shares``.
+
+    Bit for bit those of DuckDB, whose build multiplies and adds with one rounding:
+    ``percentile`` rounds twice, and a value that lies on the edge of a bin may then fall to the other side.
+    """
+    rows = df.where(F.col(x).isNotNull()).select(*by, x, (F.row_number().over(ordered(by, [x])) - 1).alias("_k"), F.count("*").over(Window.partitionBy(*by)).alias("_n"))
+    at = {name: (F.col("_n") - 1) * F.lit(float(p)) for name, p in shares.items()}
+    nth = lambda k: F.max(F.when(F.col("_k") == k, F.col(x).cast("double")))
+    found = rows.groupBy(*by, "_n").agg(*[c for n, q in at.items() for c in (nth(F.floor(q)).alias(f"_{n}0"), nth(F.ceil(q)).alias(f"_{n}1"))])
+
+    def between(name: str) -> Column:
+        a, b, d = F.col(f"_{name}0"), F.col(f"_{name}1"), at[name] - F.floor(at[name])
+        return F.when(d == 0, a).otherwise(F.reflect(F.lit("java.lang.Math"), F.lit("fma"), a, 1 - d, b * d).cast("double"))
+
+    return found.select(*by, *[between(name).alias(name) for name in shares])
+
+
 def first_n(by: Sequence[str], order: Sequence[str], n: int) -> Column:
     return F.row_number().over(ordered(by, order)) <= n
 

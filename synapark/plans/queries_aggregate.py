@@ -218,9 +218,11 @@ def unit_properties(spark, d):
 def quantile_color(spark, d):
     """Twenty bins of amplitude between a unit's outer deciles."""
     s = T.spikes(spark, d)
-    q = s.groupBy("unit").agg(F.percentile("ampl", F.lit(0.1)).alias("lo"), F.percentile("ampl", F.lit(0.9)).alias("hi"))
+    q = W.quantiles(s, "ampl", ["unit"], {"lo": 0.1, "hi": 0.9})
     bin_ = F.floor((F.col("ampl") - F.col("lo")) / F.nullif((F.col("hi") - F.col("lo")) / 20, F.lit(0.0)))
-    return s.join(q, "unit").select("spike_id", F.coalesce(F.greatest(F.lit(0), F.least(F.lit(19), bin_)), F.lit(0)).cast("long").alias("color"))
+    # greatest and least pass over nulls, so a unit of equal deciles is told first
+    color = F.when(F.col("hi") == F.col("lo"), 0).otherwise(F.greatest(F.lit(0), F.least(F.lit(19), bin_)))
+    return s.join(q, "unit", "left").where("unit IS NOT NULL").select("spike_id", color.cast("long").alias("color"))
 
 
 CYCLES = SM + ", whole AS (SELECT *, count(*) OVER (PARTITION BY channel) // 20 * 20 AS last FROM smp)"

@@ -245,3 +245,28 @@ def test_pushdown(spark):
     text = plan(catalog.queries()["event_filter"](spark, "/root/testdata/sf0.001"))
     assert "PushedFilters: [" in text and "event_type" in text.split("PushedFilters")[1]
     assert "p_name" not in plan(catalog.queries()["unit_type"](spark, "/root/testdata/sf0.001"))
+
+
+def test_quantiles_bit_for_bit(spark):
+    """As DuckDB has them, also where percentile's two roundings differ; a unit of one spike has color 0."""
+    import duckdb
+
+    rng = random.Random(9)
+    rows = [(g, round(rng.uniform(0, 200), 2)) for g in range(200) for _ in range(rng.randint(1, 60))] + [(0, None)]
+    df = spark.createDataFrame(rows, "g long, v double")
+    got = {r["g"]: (r["lo"], r["hi"]) for r in W.quantiles(df, "v", ["g"], {"lo": 0.1, "hi": 0.9}).collect()}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE x (g BIGINT, v DOUBLE)")
+    con.executemany("INSERT INTO x VALUES (?, ?)", rows)
+    want = {g: (lo, hi) for g, lo, hi in con.execute("SELECT g, quantile_cont(v, 0.1), quantile_cont(v, 0.9) FROM x GROUP BY g").fetchall()}
+    assert got == want
+
+
+def test_quantile_color_of_a_single_spike(spark, tmp_path):
+    from synapark.plans import catalog
+
+    rows = [(1, "2024-01-01 00:00:00", 1, "click", 5.0, "1"), (2, "2024-01-01 00:00:01", 2, "view", 1.0, "1"), (3, "2024-01-01 00:00:02", 2, "view", 9.0, "1")]
+    df = spark.createDataFrame(rows, "event_id long, ts string, user_id long, event_type string, value double, props string").withColumn("ts", F.col("ts").cast("timestamp"))
+    df.write.parquet(f"{tmp_path}/events.parquet")
+    got = {r["spike_id"]: r["color"] for r in catalog.queries()["quantile_color"](spark, str(tmp_path)).collect()}
+    assert got == {1: 0, 2: 0, 3: 19}

@@ -83,3 +83,23 @@ def test_units_of_bins(spark):
                 want.setdefault((i, (at - t + 9) // 7), []).append(u)
     got = N.held_bins(o, spark.createDataFrame(rows, "unit long, at long, was long"), -9, 7, 3).collect()
     assert {(r["i"], r["bin"]): (r["units"], r["n"]) for r in got} == {k: (len(set(v)), len(v)) for k, v in want.items()}
+
+
+@pytest.mark.parametrize("handed", [1 << 20, 5])
+def test_every_unit(spark, handed, monkeypatch):
+    """Units without rows nearby, without a name, rows without a time, and pieces smaller than the units."""
+    monkeypatch.setattr(N, "HANDED", handed)
+    own, others, o, _ = tables(spark, 4)
+    rows = [(u, at) for u, (_, _, at) in enumerate(others)] + [(u % 9, at) for u, (_, _, at) in enumerate(others)] + [(None, 5)]
+    got = N.every_unit(o, spark.createDataFrame(rows, "unit long, at long"), -9, 4, key="i", size=17).collect()
+    want = {}
+    for i, t in own:
+        for u in {u for u, _ in rows}:
+            gaps = [at - t for v, at in rows if v == u and u is not None and at is not None and t is not None and -9 <= at - t < 4]
+            want[u, i] = (len(gaps), sum(gaps))
+    assert len(got) == len(want) and {(r["unit"], r["i"]): (r["n"], r["total"]) for r in got} == want
+
+
+def test_spikes_to_trials_joins_no_pairs(spark):
+    text = catalog.queries()["spikes_to_trials"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in text and "HashJoin" not in text

@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from synapark.operators import aligned as A
 from synapark.operators import nearby as N
 from synapark.plans import catalog
 
@@ -103,3 +104,22 @@ def test_every_unit(spark, handed, monkeypatch):
 def test_spikes_to_trials_joins_no_pairs(spark):
     text = catalog.queries()["spikes_to_trials"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in text and "HashJoin" not in text
+
+
+@pytest.mark.parametrize("looked_at", [1 << 20, 7])
+@pytest.mark.parametrize("pairs", ["all", "upper"])
+def test_sparse_correlogram(spark, pairs, looked_at, monkeypatch):
+    """As the other form, in one share and in many, in pieces that end inside a unit; counts are not shuffled."""
+    monkeypatch.setattr(A, "LOOKED_AT", looked_at)
+    rng = random.Random(6)
+    s = spark.createDataFrame([(rng.randint(0, 12), k, rng.randint(-300, 900)) for k in range(250)], "unit int, spike_id long, t long")
+    for lag, width in ((100, 10), (95, 190)):
+        want = sorted(map(tuple, A.correlogram(s, s, lag, width, pairs=pairs).collect()))
+        for shares in (1, 4, None):
+            out = A.sparse_correlogram(s, s, lag, width, pairs=pairs, shares=shares)
+            assert sorted(map(tuple, out.collect())) == want
+    assert "HashAggregate" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_cross_correlogram_sums_no_counts(spark):
+    assert "HashAggregate" not in catalog.queries()["cross_correlogram"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()

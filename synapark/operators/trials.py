@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import udtf
@@ -240,13 +242,9 @@ def pair_by_counts(a: DataFrame, b: DataFrame, by: Sequence[str], counts: Sequen
     hundreds at most, are one task's work; what one side has too many of stays out.
     """
     kind = a.schema[key].dataType.simpleString()
-    fields = ", ".join(f"{c} {a.schema[c].dataType.simpleString()}" for c in by) + f", {key}_a {kind}, {key}_b {kind}, cost double"
+    fields = ", ".join(f"`{c}` {a.schema[c].dataType.simpleString()}" for c in by) + f", {key}_a {kind}, {key}_b {kind}, cost double"
 
-    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame(columns=[f.split()[0] for f in fields.split(", ")], dtype=object)
-        left, right = left.sort_values(key, kind="stable"), right.sort_values(key, kind="stable")
-        far = np.abs(left[list(counts)].to_numpy(float)[:, None] - right[list(counts)].to_numpy(float)[None]).sum(2)
+    def pair(far: np.ndarray) -> list[tuple[int, int]]:
         open_, link = far.copy(), []
         for _ in range(min(far.shape)):
             i, j = divmod(int(open_.argmin()), far.shape[1])
@@ -260,14 +258,34 @@ def pair_by_counts(a: DataFrame, b: DataFrame, by: Sequence[str], counts: Sequen
                     (i, j), (k, n) = link[p], link[q]
                     if far[i, n] + far[k, j] < far[i, j] + far[k, n]:
                         link[p][1], link[q][1], moved = n, j, True
-        link = sorted(link)
-        out = pd.DataFrame({f"{key}_a": left[key].to_numpy()[[i for i, _ in link]], f"{key}_b": right[key].to_numpy()[[j for _, j in link]], "cost": [far[i, j] for i, j in link]})
-        return pd.concat([pd.DataFrame({c: [left[c].iloc[0]] * len(out) for c in by}), out], axis=1)
-
-    names = [*by, key, *counts]
-    # both may come from one table; the rename by hand keeps their columns apart
-    a, b = (df.toDF(*[f"_{c}" for c in names]).toDF(*names) for df in (a.select(*names), b.select(*names)))
-    return a.groupBy(*by).cogroup(b.groupBy(*by)).applyInPandas(run, fields)
+        return sorted((i, j) for i, j in link)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Group by group, from the batch's flat columns: a small group costs no frame of its own."""
+        for batch in batches:
+            ends, flat = [], []
+            for side in (0, 1):
+                rows = batch.column(f"_s{side}")
+                ends.append(np.r_[0, np.cumsum(pa.compute.list_value_length(rows).to_numpy())])
+                fields_ = rows.flatten().flatten()
+                flat.append((fields_[0], np.stack([f.to_numpy(zero_copy_only=False).astype(float) for f in fields_[1:]], 1)))
+            group, left, right, cost = [], [], [], []
+            for g in range(len(batch)):
+                (i, j), (p, q) = ends[0][g : g + 2], ends[1][g : g + 2]
+                if i < j and p < q:
+                    far = np.abs(flat[0][1][i:j, None] - flat[1][1][None, p:q]).sum(2)
+                    for m, n in pair(far):
+                        group.append(g)
+                        left.append(i + m)
+                        right.append(p + n)
+                        cost.append(far[m, n])
+            at = [pa.array(np.array(x, np.int64)) for x in (group, left, right)]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c).take(at[0]) for c in by], flat[0][0].take(at[1]), flat[1][0].take(at[2]), pa.array(np.array(cost, float))], names=[*by, f"{key}_a", f"{key}_b", "cost"])
+
+    values = F.struct(key, *[F.col(c).cast("double").alias(f"_c{k}") for k, c in enumerate(counts)]).alias("_row")
+    both = a.select(*by, F.lit(0).alias("_side"), values).unionByName(b.select(*by, F.lit(1).alias("_side"), values))
+    sides = [F.array_sort(F.collect_list(F.when(F.col("_side") == k, F.col("_row")))).alias(f"_s{k}") for k in (0, 1)]
+    return both.groupBy(*by).agg(*sides).mapInArrow(run, fields)
 
 
 class TriggeredTrials:

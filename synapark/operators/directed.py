@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .signal import analytic
+from .signal import analytic, over_trials
 
 
 def vectors(samples: DataFrame, channels: Sequence, keys: Sequence[str], value: str = "v", channel: str = "channel") -> DataFrame:
@@ -265,17 +265,18 @@ def phase_linearity(trials: DataFrame, keys: Sequence[str], rate: float, band: f
     steady phase difference below ``least``, as common sources make, doesn't count. Trials are whole: ``keys`` name one.
     """
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        z = np.apply_along_axis(analytic, 1, np.stack(pdf.sort_values(t, kind="stable")[x].to_numpy()).astype(float).T)
-        freq = np.fft.fftfreq(z.shape[1], 1 / rate)
-        out = []
-        for a in range(len(z)):
-            spectra = np.fft.fft(z[a] * z[a + 1 :].conj(), axis=1)
+    def made(rows: np.ndarray, at: np.ndarray) -> dict[str, np.ndarray]:
+        z = analytic(rows.transpose(2, 0, 1))
+        freq, out = np.fft.fftfreq(z.shape[2], 1 / rate), []
+        pairs = [(a, b) for a in range(len(z)) for b in range(a + 1, len(z))]
+        for a, b in pairs:
+            spectra = np.fft.fft(z[a] * z[b].conj(), axis=1)
             spectra[:, 0] *= np.abs(np.angle(spectra[:, 0])) > least
             power = np.abs(spectra) ** 2
             with np.errstate(invalid="ignore"):
-                share = power[:, np.abs(freq) < band].sum(1) / power.sum(1)
-            out += [(*[pdf[c].iloc[0] for c in keys], a, b, v) for b, v in enumerate(share.tolist(), a + 1)]
-        return pd.DataFrame(out, columns=[*keys, "a", "b", "value"])
+                out.append(power[:, np.abs(freq) < band].sum(1) / power.sum(1))
+        shape = (len(rows), len(pairs))
+        ends = np.array(pairs, np.int32).reshape(-1, 2)
+        return {"a": np.broadcast_to(ends[:, 0], shape), "b": np.broadcast_to(ends[:, 1], shape), "value": np.stack(out, 1) if out else np.zeros(shape)}
 
-    return trials.groupBy(*keys).applyInPandas(run, f"{_kinds(trials, keys)}a int, b int, value double")
+    return over_trials(trials, made, "a int, b int, value double", x, keys, t)

@@ -15,6 +15,7 @@ from pyspark.sql.types import StructType
 from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult
 
 from .graph import written
+from .windows import dealt
 
 #: Trial functions by name: each takes a table of events and gives trials.
 TRIAL_FUNCTIONS: dict[str, Callable[..., DataFrame]] = {}
@@ -44,10 +45,10 @@ def consecutive(events: DataFrame, first: str, then: str, *, kind: str = "event_
 
 
 @trial_function
-def crossings(samples: DataFrame, threshold: float, refractory: int, *, by: Sequence[str] = ("channel",)) -> DataFrame:
+def crossings(samples: DataFrame, threshold: float, refractory: int, *, by: Sequence[str] = ("channel",), tasks: int | None = None) -> DataFrame:
     """Samples at which a signal rises through a threshold, without those within ``refractory`` of the last one kept."""
     w = Window.partitionBy(*by).orderBy("sample")
-    up = samples.withColumn("_was", F.lag("v").over(w)).where((F.col("v") >= threshold) & (F.col("_was") < threshold)).drop("_was")
+    up = dealt(samples, tasks, *by).withColumn("_was", F.lag("v").over(w)).where((F.col("v") >= threshold) & (F.col("_was") < threshold)).drop("_was")
     return drop_duplicates_within(up, refractory, by=by, t="sample", key="sample")
 
 

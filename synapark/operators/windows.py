@@ -20,6 +20,11 @@ def centred(w: WindowSpec, half: int) -> WindowSpec:
 STRETCH = 1 << 16
 
 
+def dealt(df: DataFrame, tasks: int | None, *keys: str) -> DataFrame:
+    """Rows by keys in so many tasks, where a number that grows with the rows is known: with the session's fixed number each task would hold ever more."""
+    return df if tasks is None else df.repartition(tasks, *keys)
+
+
 def stretches(samples: DataFrame, size: int, halo: int, order: str = "sample") -> DataFrame:
     """Each sample in its stretch, and in the halos of as many stretches as reach it: ``part``, ``own`` says whether it is its stretch."""
     here = F.floor(F.col(order) / size).cast("long")
@@ -28,24 +33,24 @@ def stretches(samples: DataFrame, size: int, halo: int, order: str = "sample") -
     return samples.withColumn("part", F.explode(parts)).withColumn("own", F.col("part") == F.floor(F.col(order) / size))
 
 
-def over_stretches(samples: DataFrame, half: int, made: dict[str, Callable[[WindowSpec], Column]], by: Sequence[str] = ("channel",), order: str = "sample", size: int = STRETCH) -> DataFrame:
+def over_stretches(samples: DataFrame, half: int, made: dict[str, Callable[[WindowSpec], Column]], by: Sequence[str] = ("channel",), order: str = "sample", size: int = STRETCH, tasks: int | None = None) -> DataFrame:
     """Columns over frames that reach ``half`` samples to each side, one after the other, in stretches with halos: no task sorts a whole channel.
 
     Samples of a channel are numbered without gaps.
     """
-    rows = stretches(samples, size, half, order)
+    rows = dealt(stretches(samples, size, half, order), tasks, *by, "part")
     for name, build in made.items():
         rows = rows.withColumn(name, build(ordered([*by, "part"], [order])))
     return rows.where("own").drop("part", "own")
 
 
-def carried(df: DataFrame, x: Column, name: str, by: Sequence[str] = ("channel",), order: str = "sample", forward: bool = False, size: int = STRETCH) -> DataFrame:
+def carried(df: DataFrame, x: Column, name: str, by: Sequence[str] = ("channel",), order: str = "sample", forward: bool = False, size: int = STRETCH, tasks: int | None = None) -> DataFrame:
     """``x`` of the last row at or before each that has one (``forward``: of the next one), stretch by stretch.
 
     A stretch's last value goes on to the stretches behind it by a window over
     stretches, of which a channel has few.
     """
-    rows = df.withColumns({"_x": x, "_part": F.floor(F.col(order) / size)})
+    rows = dealt(df.withColumns({"_x": x, "_part": F.floor(F.col(order) / size)}), tasks, *by, "_part")
     inside, over = ordered([*by, "_part"], [order]), ordered(by, ["_part"])
     pair = F.when(F.col("_x").isNotNull(), F.struct(order, F.col("_x").alias("x")))
     if forward:
@@ -112,16 +117,17 @@ def median_filter(x: str, w: WindowSpec, half: int) -> Column:
     return F.percentile(F.col(x), F.lit(0.5)).over(centred(w, half))
 
 
-def padded_median(df: DataFrame, x: str, half: int, name: str, by: Sequence[str] = ("channel",), order: str = "sample", pad: int | None = None, size: int = STRETCH) -> DataFrame:
+def padded_median(df: DataFrame, x: str, half: int, name: str, by: Sequence[str] = ("channel",), order: str = "sample", pad: int | None = None, size: int = STRETCH, tasks: int | None = None) -> DataFrame:
     """Median of ``half`` values to each side, where past both ends of a channel stands the mean of the ``pad`` values next to that end (``half`` unless given, half the channel at most).
 
     Samples are numbered without gaps. The two means are an aggregate; medians are taken in stretches with halos.
     """
     pad = half if pad is None else pad
     ends = df.groupBy(*by).agg(F.min(order).alias("_lo"), F.max(order).alias("_hi"))
+    df = dealt(df, tasks, *by)  # the ends, and what is joined to them, stay there
     rows = df.join(ends, list(by)).withColumn("_p", F.least(F.lit(pad), F.floor((F.col("_hi") - F.col("_lo") + 1) / 2)))
     means = rows.groupBy(*by).agg(F.avg(F.when(F.col(order) < F.col("_lo") + F.col("_p"), F.col(x))).alias("_left"), F.avg(F.when(F.col(order) > F.col("_hi") - F.col("_p"), F.col(x))).alias("_right"))
-    both = over_stretches(rows.join(means, list(by)), half, {"_near": lambda w: F.collect_list(x).over(centred(w, half))}, by, order, size)
+    both = over_stretches(rows.join(means, list(by)), half, {"_near": lambda w: F.collect_list(x).over(centred(w, half))}, by, order, size, tasks)
     short = lambda gap: F.greatest(F.lit(0), F.lit(half) - gap).cast("int")
     whole = F.concat("_near", F.array_repeat("_left", short(F.col(order) - F.col("_lo"))), F.array_repeat("_right", short(F.col("_hi") - F.col(order))))
     # a channel of one value has no ends to take means of
@@ -162,14 +168,14 @@ def positions(df: DataFrame, order: Sequence[str], name: str = "position") -> Da
     return rows.join(F.broadcast(counts), "_part").withColumn(name, F.col("_before") + F.col("_k")).drop("_part", "_k", "_before")  # a row a partition
 
 
-def numbered(df: DataFrame, by: Sequence[str], order: Sequence[str], part: Column, name: str = "sample") -> DataFrame:
+def numbered(df: DataFrame, by: Sequence[str], order: Sequence[str], part: Column, name: str = "sample", tasks: int | None = None) -> DataFrame:
     """Number of each row in the order of its group, from 1. ``part`` rises with the order: rows are counted inside a part, on top of the parts before it, so no task sorts a whole group."""
     rows = df.withColumn("_part", part)
     counts = rows.groupBy(*by, "_part").agg(F.count("*").alias("_c"))
     before = F.coalesce(F.sum("_c").over(ordered(by, ["_part"]).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     counts = counts.select(*by, "_part", before.alias("_before"))
     inside = F.row_number().over(ordered([*by, "_part"], order))
-    return rows.withColumn("_k", inside).join(counts, [*by, "_part"]).withColumn(name, (F.col("_before") + F.col("_k")).cast("long")).drop("_part", "_k", "_before")
+    return dealt(rows, tasks, *by, "_part").withColumn("_k", inside).join(counts, [*by, "_part"]).withColumn(name, (F.col("_before") + F.col("_k")).cast("long")).drop("_part", "_k", "_before")
 
 
 def sliding_range(x: str, w: WindowSpec, half: int) -> Column:
@@ -213,10 +219,10 @@ def forward_or(code: str, t: str, span: int, by: Sequence[str]) -> Column:
     return F.bit_or(F.col(code)).over(Window.partitionBy(*by).orderBy(t).rangeBetween(0, span))
 
 
-def fill_gaps(df: DataFrame, x: str, by: Sequence[str] = ("channel",), order: str = "sample", size: int = STRETCH) -> DataFrame:
+def fill_gaps(df: DataFrame, x: str, by: Sequence[str] = ("channel",), order: str = "sample", size: int = STRETCH, tasks: int | None = None) -> DataFrame:
     """Nulls of x by the line between the nearest values on both sides; the ends stay null. Stretch by stretch, see ``carried``."""
     pair = F.when(F.col(x).isNotNull(), F.struct(F.col(order).alias("t"), F.col(x).alias("x")))
-    both = carried(carried(df, pair, "_low", by, order, size=size), pair, "_high", by, order, forward=True, size=size)
+    both = carried(carried(df, pair, "_low", by, order, size=size, tasks=tasks), pair, "_high", by, order, forward=True, size=size)  # both by the same keys
     line = F.col("_low.x") + (F.col(order) - F.col("_low.t")) / (F.col("_high.t") - F.col("_low.t")) * (F.col("_high.x") - F.col("_low.x"))
     return both.withColumn(x, F.coalesce(F.col(x), line)).drop("_low", "_high")
 

@@ -229,6 +229,7 @@ def format_sniffing(spark, d):
 @query("WITH i AS (SELECT l_suppkey AS g, l_orderkey // 50 AS i FROM lineitem GROUP BY ALL), k AS (SELECT g, i, i - row_number() OVER (PARTITION BY g ORDER BY i) AS k FROM i) SELECT g, min(i) AS start, count(*) AS length FROM k GROUP BY g, k")
 def selection_slabs(spark, d):
     """Index lists as the fewest stretches."""
-    i = T.read(spark, d, "lineitem").select(F.col("l_suppkey").alias("g"), F.expr("l_orderkey div 50").alias("i")).distinct()
+    i = T.read(spark, d, "lineitem").select(F.col("l_suppkey").alias("g"), F.expr("l_orderkey div 50").alias("i"))
+    i = W.dealt(i, T.tasks(spark, d), "g").distinct()
     k = i.withColumn("k", F.col("i") - F.row_number().over(W.ordered(["g"], ["i"])))
     return k.groupBy("g", "k").agg(F.min("i").alias("start"), F.count("*").alias("length")).drop("k")

@@ -38,3 +38,22 @@ def test_gappy_fits_one_by_one(spark):
     for r in got:
         n = 16 if r["trial"] % 3 else 9
         assert np.allclose((r["re"], r["im"]), want[r["trial"], round(r["freq"] * n)], atol=1e-8, equal_nan=True)
+
+
+#: Queries whose tasks must grow in number with the rows, or each would hold ever more.
+DEALT = ["fill_gaps", "band_interpolated", "spike_interpolated", "median_filter_padded", "threshold_crossings", "spaced_peaks", "kernel_smooth", "selection_slabs", "directed_transfer", "partial_directed"]
+
+
+@pytest.mark.parametrize("name", DEALT)
+def test_tasks_grow_with_rows(spark, name, monkeypatch):
+    """With room for 300 rows a task the 6,000 items take 20 tasks, not the session's 4; the rows stay the same."""
+    import pandas as pd
+
+    from synapark.plans import tables
+
+    few = catalog.queries()[name](spark, FOLDER)
+    monkeypatch.setattr(tables, "ROWS", 300)
+    many = catalog.queries()[name](spark, FOLDER)
+    assert "REPARTITION_BY_NUM" in many._jdf.queryExecution().executedPlan().toString()
+    a, b = (df.toPandas().sort_values(list(df.columns)).reset_index(drop=True) for df in (few, many))
+    pd.testing.assert_frame_equal(a, b)

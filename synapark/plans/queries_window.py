@@ -86,7 +86,7 @@ def median_filter(spark, d):
  SELECT channel, sample, round(median(v), 8) AS tonic FROM x GROUP BY ALL""")
 def median_filter_padded(spark, d):
     """Running median of nine samples, each end going on with the mean of the four samples next to it."""
-    out = W.padded_median(T.samples(spark, d).select("channel", "sample", "v"), "v", 4, "tonic")
+    out = W.padded_median(T.samples(spark, d).select("channel", "sample", "v"), "v", 4, "tonic", tasks=T.tasks(spark, d))
     return out.select("channel", "sample", F.round("tonic", 8).alias("tonic"))
 
 
@@ -163,7 +163,7 @@ def intervals_to_samples(spark, d):
 def fill_gaps(spark, d):
     """Artifact samples replaced by the line between their neighbours."""
     g = T.samples(spark, d).withColumn("x", F.when(F.col("v") <= 45, F.col("v")))
-    g = W.fill_gaps(g, "x")
+    g = W.fill_gaps(g, "x", tasks=T.tasks(spark, d))
     return g.select("channel", "sample", F.round("x", 9).alias("x"))
 
 

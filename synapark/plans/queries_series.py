@@ -51,7 +51,7 @@ def subset_reference(spark, d):
 def band_interpolated(spark, d):
     """Spectra with bands of line noise masked, and bridged by a line."""
     s = T.samples(spark, d).select("channel", F.col("sample").alias("freq"), F.when(~F.expr("sample % 100 BETWEEN 47 AND 53"), F.col("v")).alias("power"))
-    return W.fill_gaps(s, "power", order="freq").select("channel", "freq", F.round("power", 8).alias("power"))
+    return W.fill_gaps(s, "power", order="freq", tasks=T.tasks(spark, d)).select("channel", "freq", F.round("power", 8).alias("power"))
 
 
 @query("WITH a AS (SELECT p_brand AS label, p_partkey AS at_a, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS k FROM part WHERE p_size <= 30), b AS (SELECT p_brand AS label, p_partkey AS at_b, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS k FROM part WHERE p_size > 20) SELECT a.label, at_a, at_b FROM a JOIN b ON a.label = b.label AND a.k = b.k")
@@ -84,7 +84,7 @@ def kernel_smooth(spark, d):
     last = s.groupBy("channel").agg(F.max("sample").alias("last"))
     ends = s.join(last, "channel").groupBy("channel").agg(F.avg(F.when(F.col("sample") <= 2, F.col("v"))).alias("head"), F.avg(F.when(F.col("sample") > F.col("last") - 2, F.col("v"))).alias("tail"))
     made = {"smooth": lambda x: W.kernel_smooth("v", x, [1.0, 2.0, 3.0, 2.0, 1.0], F.col("head"), F.col("tail"))}
-    return W.over_stretches(s.join(ends, "channel"), 2, made).select("channel", "sample", F.round("smooth", 8).alias("smooth"))
+    return W.over_stretches(s.join(ends, "channel"), 2, made, tasks=T.tasks(spark, d)).select("channel", "sample", F.round("smooth", 8).alias("smooth"))
 
 
 @query(f"""WITH {SM}, x AS (SELECT *, lag(v) {OVER}) AS a, lead(v) {OVER}) AS b FROM smp), g AS (SELECT channel, sample, CASE WHEN a IS NULL THEN b - v WHEN b IS NULL THEN v - a ELSE (b - a) / 2 END AS v FROM x), y AS (SELECT *, lag(v) {OVER}) AS a, lead(v) {OVER}) AS b FROM g)
@@ -331,7 +331,7 @@ def spike_interpolated(spark, d):
     s = T.samples(spark, d).select("channel", "sample", "v")
     gone = marks(spark, d).where("at > 4").select("channel", F.explode(F.sequence(F.col("at") - 2, F.col("at") + 2)).alias("sample")).distinct().withColumn("gone", F.lit(True))
     held = s.join(gone, ["channel", "sample"], "left").select("channel", "sample", F.when(F.col("gone").isNull(), F.col("v")).alias("v"))
-    return W.fill_gaps(held, "v").select("channel", "sample", F.round("v", 8).alias("v"))
+    return W.fill_gaps(held, "v", tasks=T.tasks(spark, d)).select("channel", "sample", F.round("v", 8).alias("v"))
 
 
 @query(f"WITH {SP}, m AS (SELECT unit % 10 AS grp, depth // 20 AS x, CAST(floor(ampl / 40) AS BIGINT) AS y, count(*) AS n FROM spike GROUP BY ALL), z AS (SELECT grp, avg(n) AS m, stddev_samp(n) AS s FROM m GROUP BY grp) SELECT m.grp, x, y, n, round((n - m) / nullif(s, 0), 8) AS z, n = max(n) OVER (PARTITION BY m.grp) AS peak FROM m JOIN z ON z.grp = m.grp")

@@ -33,7 +33,7 @@ def trials_consecutive(spark, d):
  k AS (SELECT channel, min(sample) AS sample FROM c GROUP BY channel UNION ALL SELECT c.channel, min(c.sample) FROM k JOIN c ON c.channel = k.channel AND c.sample > k.sample + 3 GROUP BY c.channel) SELECT channel, sample FROM k""")
 def threshold_crossings(spark, d):
     """Rises through a threshold, none within three samples of the last one kept."""
-    return R.crossings(T.samples(spark, d), 40, 3).select("channel", "sample")
+    return R.crossings(T.samples(spark, d), 40, 3, tasks=T.tasks(spark, d)).select("channel", "sample")
 
 
 @query(f"WITH {T.SPIKES} SELECT depth // 20 AS x, CAST(floor(ampl / 40) AS BIGINT) AS y, count(*) AS n, round(avg(t % 86400000), 6) AS mean FROM spike GROUP BY ALL")

@@ -141,7 +141,7 @@ def neighbour_clusters(spark, d):
  k AS (SELECT channel, min(sample) AS sample FROM c GROUP BY channel UNION ALL SELECT c.channel, min(c.sample) FROM k JOIN c ON c.channel = k.channel AND c.sample > k.sample + 6 GROUP BY c.channel) SELECT channel, sample FROM k""")
 def spaced_peaks(spark, d):
     """Peaks above a threshold, none within six samples of the last one kept."""
-    near = W.over_stretches(T.samples(spark, d), 1, {"l": lambda x: F.lag("v").over(x), "r": lambda x: F.lead("v").over(x)}).where("v > l AND v > r AND v > 30")
+    near = W.over_stretches(T.samples(spark, d), 1, {"l": lambda x: F.lag("v").over(x), "r": lambda x: F.lead("v").over(x)}, tasks=T.tasks(spark, d)).where("v > l AND v > r AND v > 30")
     return R.drop_duplicates_within(near, 6, t="sample", key="sample").select("channel", "sample")
 
 

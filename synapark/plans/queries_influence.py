@@ -9,6 +9,7 @@ from ..operators import models as M
 from ..operators import permutation as P
 from ..operators import trials as R
 from ..operators import units as U
+from ..operators import windows as W
 from . import tables as T
 from .registry import query
 
@@ -26,6 +27,7 @@ TURNS = "t AS (SELECT supplier, f AS freq, 1 - 2 * a * cos(f * pi() / 500) + a *
 
 def pair(spark, d):
     both = T.samples(spark, d).select(F.col("channel").alias("supplier"), "sample", F.expr("(sample - 1) div 128").alias("trial"), "v", (F.col("w") / 1000).alias("w"))
+    both = W.dealt(both, T.tasks(spark, d), "supplier", "trial")
     means = both.groupBy("supplier").agg(F.avg("v").alias("mv"), F.avg("w").alias("mw"))
     return both.join(means, "supplier").select("supplier", "trial", "sample", F.array(F.col("v") - F.col("mv"), F.col("w") - F.col("mw")).alias("x"))
 

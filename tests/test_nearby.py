@@ -101,6 +101,32 @@ def test_every_unit(spark, handed, monkeypatch):
     assert len(got) == len(want) and {(r["unit"], r["i"]): (r["n"], r["total"]) for r in got} == want
 
 
+@pytest.mark.parametrize("tile", [256, 3])
+def test_every_unit_in_blocks(spark, tile, monkeypatch):
+    """The same in blocks of both, some without rows, with times that many share, and without any rows."""
+    monkeypatch.setattr(N, "TILE", tile)
+    rng = random.Random(9)
+    own = [(i, rng.choice([-40, 0, 0, 3, 55, None])) for i in range(40)]
+    rows = [(rng.choice(["a", "b", "c", None]), rng.choice([-44, -8, 0, 5, 60, None])) for _ in range(70)] + [("d", None)]
+    o, x = spark.createDataFrame(own, "i long, t long"), spark.createDataFrame(rows, "unit string, at long")
+    want = {}
+    for i, t in own:
+        for u in "a", "b", "c", "d", None:
+            gaps = [at - t for v, at in rows if v == u and u is not None and at is not None and t is not None and -9 <= at - t < 6]
+            want[u, i] = (len(gaps), sum(gaps))
+    for blocks in ((3, 2), (7, 9)):
+        got = N.every_unit(o, x, -9, 6, key="i", blocks=blocks).collect()
+        assert len(got) == len(want) and {(r["unit"], r["i"]): (r["n"], r["total"]) for r in got} == want
+    assert not N.every_unit(o.where("false"), x, -9, 6, key="i").count() and not N.every_unit(o, x.where("false"), -9, 6, key="i").count()
+
+
+@pytest.mark.parametrize("name", ["spikes_to_trials"])
+def test_no_row_is_dealt_to_many_tasks(spark, name):
+    """Rows are shuffled once and packed, not copied for all tasks that need them."""
+    text = catalog.queries()[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in text and "Generate" not in text and "Sort " not in text
+
+
 def test_spikes_to_trials_joins_no_pairs(spark):
     text = catalog.queries()["spikes_to_trials"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in text and "HashJoin" not in text

@@ -1,6 +1,7 @@
 """Neighbours in time counted without pairs, against every pair."""
 
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -120,7 +121,7 @@ def test_every_unit_in_blocks(spark, tile, monkeypatch):
     assert not N.every_unit(o.where("false"), x, -9, 6, key="i").count() and not N.every_unit(o, x.where("false"), -9, 6, key="i").count()
 
 
-@pytest.mark.parametrize("name", ["spikes_to_trials"])
+@pytest.mark.parametrize("name", ["spikes_to_trials", "cross_correlogram"])
 def test_no_row_is_dealt_to_many_tasks(spark, name):
     """Rows are shuffled once and packed, not copied for all tasks that need them."""
     text = catalog.queries()[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
@@ -149,3 +150,20 @@ def test_sparse_correlogram(spark, pairs, looked_at, monkeypatch):
 
 def test_cross_correlogram_sums_no_counts(spark):
     assert "HashAggregate" not in catalog.queries()["cross_correlogram"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("pairs", ["all", "upper"])
+def test_sparse_correlogram_of_two_trains(spark, pairs):
+    """Two trains keep their sides in every order of their shares; one without spikes has no pairs."""
+    rng = random.Random(8)
+    trains = [[(rng.choice("abcdefgh"), k, rng.choice([None, *range(200)])) for k in range(first, 120)] for first in (0, 30)]
+    a, b = (spark.createDataFrame(rows, "unit string, spike_id long, t long") for rows in trains)
+    want = Counter()
+    for u, i, x in trains[0]:
+        for v, j, y in trains[1]:
+            if None not in (x, y) and abs(y - x) <= 40 and (u, i) != (v, j) and (pairs == "all" or u <= v):
+                want[u, v, (1 if y > x else -1) * int((abs(y - x) + 3.5) // 7)] += 1
+    for shares in (1, 5):
+        out = A.sparse_correlogram(a, b, 40, 7, pairs=pairs, shares=shares).collect()
+        assert len(out) == len(want) and {tuple(r)[:3]: r["n"] for r in out} == want
+    assert not A.sparse_correlogram(a, b.where("false"), 40, 7, pairs=pairs).count()
